@@ -56,11 +56,17 @@ def partition_key(wiki: Column | str, title: Column | str) -> Column:
     return F.concat(F.coalesce(w, F.lit("?")), F.lit("|"), F.coalesce(t, F.lit("?")))
 
 
-# Deterministic draws for fault injection. A modular hash of an integer id,
-# plain BIGINT arithmetic so that any SQL engine computes the same value.
+# Deterministic draws for fault injection: a two-round modular hash of an
+# integer id (affine, then square), plain BIGINT arithmetic that stays below
+# 2^63, so that any SQL engine computes the same value. The square round
+# makes draws of different streams independent of each other.
 HASH_MODULUS = 1000003
 HASH_MULT = 7919
-HASH_SALT = 104729
+
+
+def _salts(seed: int, stream: int) -> tuple[int, int]:
+    return ((seed * 104729 + stream * 31337) % HASH_MODULUS,
+            (seed * 7907 + stream * 65537 + 12345) % HASH_MODULUS)
 
 
 def seeded_unit(key: Column | str, seed: int, stream: int = 0) -> Column:
@@ -69,13 +75,16 @@ def seeded_unit(key: Column | str, seed: int, stream: int = 0) -> Column:
     ``stream`` gives independent draws for the same key and seed.
     """
     k = F.col(key) if isinstance(key, str) else key
-    salt = (seed * HASH_SALT + stream * 31337) % HASH_MODULUS
-    h = F.pmod(F.pmod(k, F.lit(HASH_MODULUS)) * F.lit(HASH_MULT) + F.lit(salt), F.lit(HASH_MODULUS))
-    return h.cast("double") / F.lit(float(HASH_MODULUS))
+    s1, s2 = _salts(seed, stream)
+    m = F.lit(HASH_MODULUS)
+    g1 = F.pmod(F.pmod(k, m) * F.lit(HASH_MULT) + F.lit(s1), m)
+    g2 = F.pmod(F.pmod(g1 * g1, m) * F.lit(HASH_MULT) + F.lit(s2), m)
+    return g2.cast("double") / F.lit(float(HASH_MODULUS))
 
 
 def seeded_unit_sql(key: str, seed: int, stream: int = 0) -> str:
     """The same draw as SQL text (used by the oracles)."""
-    salt = (seed * HASH_SALT + stream * 31337) % HASH_MODULUS
-    return "(CAST((((%s) %% %d) * %d + %d) %% %d AS DOUBLE) / %d.0)" % (
-        key, HASH_MODULUS, HASH_MULT, salt, HASH_MODULUS, HASH_MODULUS)
+    s1, s2 = _salts(seed, stream)
+    g1 = "((((%s) %% %d) * %d + %d) %% %d)" % (key, HASH_MODULUS, HASH_MULT, s1, HASH_MODULUS)
+    g2 = "((((%s * %s) %% %d) * %d + %d) %% %d)" % (g1, g1, HASH_MODULUS, HASH_MULT, s2, HASH_MODULUS)
+    return "(CAST(%s AS DOUBLE) / %d.0)" % (g2, HASH_MODULUS)

@@ -159,3 +159,168 @@ ORACLE = {
         ORDER BY editores DESC, ediciones DESC, ventana_inicio, wiki, titulo LIMIT 15
     """, P3),
 }
+
+# --- integrity (G1-G3) -------------------------------------------------------
+
+def _queue(table: str, p: str, o: str) -> str:
+    return ("q AS (SELECT CAST(%s AS VARCHAR) AS particion, CAST(%s AS VARCHAR) AS desplazamiento FROM %s)"
+            % (p, o, table))
+
+
+DUPS = """
+SELECT count(*) AS filas, count(DISTINCT struct_pack(p := particion, o := desplazamiento)) AS distintos,
+       count(*) - count(DISTINCT struct_pack(p := particion, o := desplazamiento)) AS duplicados
+FROM q
+"""
+
+CONT = """
+cont AS (
+  SELECT particion, count(*) AS filas,
+         count(DISTINCT TRY_CAST(desplazamiento AS BIGINT)) AS distintos,
+         min(TRY_CAST(desplazamiento AS BIGINT)) AS primero,
+         max(TRY_CAST(desplazamiento AS BIGINT)) AS ultimo,
+         max(TRY_CAST(desplazamiento AS BIGINT)) - min(TRY_CAST(desplazamiento AS BIGINT)) + 1
+           - count(DISTINCT TRY_CAST(desplazamiento AS BIGINT)) AS huecos
+  FROM q GROUP BY particion
+)
+"""
+
+
+def _verdict(contiguous: bool) -> str:
+    gaps = "(SELECT CAST(coalesce(sum(huecos), 0) AS BIGINT) FROM cont)" if contiguous else "CAST(NULL AS BIGINT)"
+    return """
+SELECT filas, distintos, duplicados, huecos, %s AS contiguo,
+       duplicados = 0 AND coalesce(huecos, 0) = 0 AS ok
+FROM (SELECT count(*) AS filas,
+             count(DISTINCT struct_pack(p := particion, o := desplazamiento)) AS distintos,
+             count(*) - count(DISTINCT struct_pack(p := particion, o := desplazamiento)) AS duplicados,
+             %s AS huecos
+      FROM q)
+""" % ("true" if contiguous else "false", gaps)
+
+
+BRONZE_Q = "q AS (SELECT particion, desplazamiento FROM bronze)"
+
+ORACLE.update({
+    "integrity_duplicates_bronze": q(DUPS, BRONZE, BRONZE_Q),
+    "integrity_duplicates_lineitem": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber")) + DUPS,
+    "integrity_continuity_conversations": with_ctes(_queue("conversations", "conv_id", "turn"), CONT)
+        + "SELECT * FROM cont",
+    "integrity_continuity_lineitem": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber"), CONT)
+        + "SELECT * FROM cont",
+    "integrity_verdict_bronze": q(_verdict(True), BRONZE, BRONZE_Q, CONT),
+    "integrity_verdict_lineitem": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber"), CONT) + _verdict(True),
+    "integrity_verdict_offsets_only": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber")) + _verdict(False),
+})
+
+# --- fault injection and late data (H1-H5, J1-J3) -----------------------------
+
+from changeflow.functions.columns import seeded_unit_sql  # noqa: E402
+from changeflow.plans import scenario  # noqa: E402
+
+
+def _injected() -> str:
+    s = scenario.LATE
+    u1 = seeded_unit_sql("event_id", s["seed"], 1)
+    u2 = seeded_unit_sql("event_id", s["seed"], 2)
+    u3 = seeded_unit_sql("event_id", s["seed"], 3)
+    late = "(%s * 100.0 < %r)" % (u1, float(s["late_pct"]))
+    shift = "CAST(floor(%r + %r * %s) AS BIGINT)" % (s["lo_s"] * 1000.0, (s["hi_s"] - s["lo_s"]) * 1000.0, u2)
+    return """
+inj0 AS (
+  SELECT chg.*, %s AS tardio,
+         CASE WHEN %s THEN %s ELSE CAST(0 AS BIGINT) END AS retraso_inyectado_ms,
+         %s * 100.0 < %r AS dup
+  FROM chg
+),
+inj AS (
+  SELECT inj0.* EXCLUDE (dup, ts_evento, ts_mediawiki),
+         make_timestamp(epoch_us(ts_evento) - retraso_inyectado_ms * 1000) AS ts_evento,
+         make_timestamp(((epoch_us(ts_evento) - retraso_inyectado_ms * 1000) // 1000000) * 1000000) AS ts_mediawiki,
+         UNNEST(CASE WHEN dup THEN [0, 1] ELSE [0] END) AS copia
+  FROM inj0
+),
+tagged AS (
+  SELECT meta_id, ts_evento, ts_cola,
+         epoch_us(ts_cola) / 1000000.0 - epoch_us(ts_evento) / 1000000.0 AS retraso_s
+  FROM inj
+),
+isilver AS (
+  SELECT meta_id, ts_evento, tipo, wiki, servidor, espacio, titulo, usuario, es_bot,
+         ts_mediawiki, ts_cola,
+         epoch_us(ts_cola) / 1000000.0 - epoch_us(ts_evento) / 1000000.0 AS retraso_s,
+         ingerido_en, (epoch_us(ts_cola) // 1000) // %d AS b
+  FROM inj
+),
+bmax AS (SELECT b, max(epoch_us(ts_evento)) AS m FROM isilver GROUP BY b),
+marks AS (
+  SELECT b, max(m) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - %r AS wm
+  FROM bmax
+),
+kept AS (
+  SELECT DISTINCT s.* EXCLUDE (b) FROM isilver s JOIN marks USING (b)
+  WHERE wm IS NULL OR CAST(epoch_us(ts_evento) AS DOUBLE) > wm
+)
+""" % (late, late, shift, u3, float(s["dup_pct"]),
+       int(round(s["trigger_s"] * 1000)), s["lateness_s"] * 1e6)
+
+
+BUCKET_SQL = ("CASE WHEN retraso_s < 5 THEN 'a) <5s' WHEN retraso_s < 15 THEN 'b) 5-15s' "
+              "WHEN retraso_s < 30 THEN 'c) 15-30s' WHEN retraso_s < 45 THEN 'd) 30-45s' "
+              "WHEN retraso_s < 60 THEN 'e) 45-60s' ELSE 'f) >60s' END")
+
+ORACLE.update({
+    "late_injected_duplicates": q("""
+        SELECT count(*) AS filas, count(DISTINCT meta_id) AS distintos,
+               count(*) - count(DISTINCT meta_id) AS duplicados FROM tagged
+    """, _injected()),
+    "late_stream_silver": q("SELECT * FROM kept", _injected()),
+    "late_dedup_proof": q("""
+        SELECT count(*) AS filas, count(DISTINCT meta_id) AS distintos,
+               count(*) - count(DISTINCT meta_id) AS duplicados FROM kept
+    """, _injected()),
+    "late_survival": q("""
+        , b AS (SELECT DISTINCT meta_id, %s AS tramo FROM tagged),
+        p AS (SELECT DISTINCT meta_id FROM kept)
+        SELECT tramo, count(*) AS en_bronce,
+               CAST(sum(CASE WHEN p.meta_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS en_plata,
+               round(100.0 * CAST(sum(CASE WHEN p.meta_id IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE)
+                     / CAST(count(*) AS DOUBLE), 1) AS pct_superviviente
+        FROM b LEFT JOIN p USING (meta_id)
+        GROUP BY tramo ORDER BY tramo
+    """ % BUCKET_SQL, _injected()),
+    "inject_tally": q("""
+        SELECT CASE WHEN copia > 0 THEN 'duplicado' WHEN tardio THEN 'tardio' ELSE 'normal' END AS clase,
+               count(*) AS filas
+        FROM inj GROUP BY ALL
+    """, _injected()),
+})
+
+
+def _synth() -> str:
+    from changeflow.operators import inject as J
+    seed = scenario.SYNTH_SEED
+    t = seeded_unit_sql("event_id", seed, 10)
+    cum, kinds = 0.0, []
+    for name, share in J.TYPE_SHARES:
+        cum += share
+        kinds.append("WHEN %s <= %r THEN '%s'" % (t, cum, name))
+    site = "CAST(least(floor(%s * %d), %d) AS INTEGER)" % (seeded_unit_sql("event_id", seed, 11), len(J.SITES), len(J.SITES) - 1)
+    servers = "[" + ", ".join("'%s'" % s for s, _ in J.SITES) + "]"
+    wikis = "[" + ", ".join("'%s'" % w for _, w in J.SITES) + "]"
+    nss = "[" + ", ".join(str(n) for n in J.NAMESPACES) + "]"
+    ns_idx = "CAST(least(floor(%s * %d), %d) AS INTEGER)" % (seeded_unit_sql("event_id", seed, 14), len(J.NAMESPACES), len(J.NAMESPACES) - 1)
+    return """
+syn AS (
+  SELECT CASE %s ELSE 'edit' END AS tipo,
+         %s[%s + 1] AS servidor, %s[%s + 1] AS wiki, %s[%s + 1] AS espacio,
+         %s < %r AS es_bot
+  FROM chg
+)
+""" % (" ".join(kinds), servers, site, wikis, site, nss, ns_idx,
+       seeded_unit_sql("event_id", seed, 15), J.BOT_SHARE)
+
+
+ORACLE["inject_synth_mix"] = q("""
+    SELECT tipo, servidor, espacio, es_bot, count(*) AS eventos FROM syn GROUP BY ALL
+""", _synth())

@@ -70,3 +70,78 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "serve_bot_share_swing": lambda spark, d: serving.bot_share_swing(gold_p2(spark, d)),
     "serve_concurrent_top": lambda spark, d: serving.concurrent_top(gold_p3(spark, d)),
 }
+
+
+# --- integrity (G1-G3) -------------------------------------------------------
+
+from changeflow.operators import inject, integrity, lateness  # noqa: E402
+from changeflow.plans import scenario  # noqa: E402
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    apply_required(spark)
+    return spark.read.parquet(replay.table_path(sf_dir, name))
+
+
+def _lineitem_queue(spark, sf_dir):
+    return integrity.as_queue(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+def _conversation_queue(spark, sf_dir):
+    return integrity.as_queue(_table(spark, sf_dir, "conversations"), "conv_id", "turn")
+
+
+QUERIES.update({
+    "integrity_duplicates_bronze": lambda s, d: integrity.duplicate_count(bronze(s, d)),
+    "integrity_duplicates_lineitem": lambda s, d: integrity.duplicate_count(_lineitem_queue(s, d)),
+    "integrity_continuity_conversations": lambda s, d: integrity.continuity(_conversation_queue(s, d)),
+    "integrity_continuity_lineitem": lambda s, d: integrity.continuity(_lineitem_queue(s, d)),
+    "integrity_verdict_bronze": lambda s, d: integrity.verdict(bronze(s, d)),
+    "integrity_verdict_lineitem": lambda s, d: integrity.verdict(_lineitem_queue(s, d)),
+    "integrity_verdict_offsets_only": lambda s, d: integrity.verdict(_lineitem_queue(s, d), contiguous=False),
+})
+
+
+# --- fault injection and late data (H1-H5, J1-J3) -----------------------------
+
+def injected_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test log with late and duplicate rows injected, tagged as one batch."""
+    p = scenario.LATE
+    changes = replay.change_events(replay.read_events(spark, sf_dir))
+    late = inject.inject_late(changes, p["late_pct"], p["lo_s"], p["hi_s"], p["seed"])
+    dup = inject.inject_duplicates(late, p["dup_pct"], p["seed"])
+    return inject.tag(dup, inject.DEFAULT_TAG % p["seed"])
+
+
+def injected_raw(spark, sf_dir):
+    apply_required(spark)
+    return replay.to_envelope(injected_batch(spark, sf_dir))
+
+
+def stream_silver_model(spark, sf_dir):
+    """Silver as the stream would write it from the injected raw batch:
+    watermark cut per micro-batch, then dedup by id."""
+    p = scenario.LATE
+    refined = refine.refine(injected_raw(spark, sf_dir), ingest="ingerido_en")
+    kept = lateness.watermark_model(refined, p["trigger_s"], p["lateness_s"])
+    return dedup.dedup_first(kept)
+
+
+def synth_mix(spark, sf_dir):
+    apply_required(spark)
+    changes = replay.change_events(replay.read_events(spark, sf_dir))
+    raw = replay.to_envelope(inject.synth_events(changes, scenario.SYNTH_SEED))
+    from pyspark.sql import functions as F
+    return (refine.refine(raw, ingest="ingerido_en")
+            .groupBy("tipo", "servidor", "espacio", "es_bot")
+            .agg(F.count(F.lit(1)).alias("eventos")))
+
+
+QUERIES.update({
+    "late_injected_duplicates": lambda s, d: lateness.injected_duplicates(lateness.tagged(injected_raw(s, d))),
+    "late_stream_silver": stream_silver_model,
+    "late_dedup_proof": lambda s, d: lateness.dedup_proof(stream_silver_model(s, d)),
+    "late_survival": lambda s, d: lateness.survival(lateness.tagged(injected_raw(s, d)), stream_silver_model(s, d)),
+    "inject_tally": lambda s, d: inject.tally(injected_batch(s, d)),
+    "inject_synth_mix": synth_mix,
+})
