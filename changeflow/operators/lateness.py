@@ -66,17 +66,28 @@ def watermark_model(rows: DataFrame, trigger_s: float = 10.0, lateness_s: float
                     arrival: str = "ts_cola", time_col: str = "ts_evento") -> DataFrame:
     """Rows a micro-batch stream keeps behind a watermark.
 
-    Micro-batch b holds the rows that arrived during trigger interval b. The
-    watermark in force for batch b is max(event time of all earlier
-    batches) - lateness, and a row at or behind it is dropped as late.
-    The per-batch maxima (one row per trigger interval) get their running
-    maximum from ``prefix_max_before``, then join back on the batch id.
+    Micro-batch i holds the rows that arrived during trigger interval i.
+    The watermark advances between batches (max event time seen - lateness),
+    and the stateful operator judges late rows against the watermark of the
+    *previous* batch, so a row of batch i is dropped when its event time is
+    at or behind max(event time of intervals <= i - 2) - lateness. This is
+    the same whether interval i - 1 held data or ran as a no-data batch.
+
+    The maxima per interval (one row per trigger interval) get their
+    running maximum from ``prefix_max_before``: a probe row per interval i,
+    placed at i - 1 ahead of that interval's own maximum, reads the max of
+    everything before it; the cut then joins back on the interval id.
     """
     trig_ms = int(round(trigger_s * 1000))
     with_b = rows.withColumn("_batch", F.floor(F.unix_millis(F.col(arrival)) / F.lit(trig_ms)).cast("long"))
     per_batch = (with_b.groupBy("_batch")
-                 .agg(F.max(F.unix_micros(F.col(time_col))).alias("_bmax")))
-    marks = (prefix_max_before(per_batch, ["_batch"], "_bmax", "_prev")
+                 .agg(F.max(F.unix_micros(F.col(time_col))).cast("double").alias("_v")))
+    points = per_batch.select(F.col("_batch").alias("_pos"), F.lit(1).alias("_kind"),
+                              F.col("_batch"), "_v")
+    probes = per_batch.select((F.col("_batch") - 1).alias("_pos"), F.lit(0).alias("_kind"),
+                              F.col("_batch"), F.lit(None).cast("double").alias("_v"))
+    marks = (prefix_max_before(points.unionByName(probes), ["_pos", "_kind"], "_v", "_prev")
+             .filter(F.col("_kind") == 0)
              .select("_batch", (F.col("_prev") - F.lit(lateness_s * 1e6)).alias("_wm_us")))
     return (with_b.join(marks, "_batch", "left")
             .filter(F.col("_wm_us").isNull() | (F.unix_micros(F.col(time_col)).cast("double") > F.col("_wm_us")))

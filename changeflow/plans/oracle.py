@@ -254,7 +254,7 @@ isilver AS (
 ),
 bmax AS (SELECT b, max(epoch_us(ts_evento)) AS m FROM isilver GROUP BY b),
 marks AS (
-  SELECT b, max(m) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - %r AS wm
+  SELECT b, max(m) OVER (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - %r AS wm
   FROM bmax
 ),
 kept AS (

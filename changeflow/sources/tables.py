@@ -44,10 +44,17 @@ def ensure_tables(spark: SparkSession, warehouse: str, database: str = "changefl
     return names
 
 
-def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
-    """Batch scan of a layer, by catalog name or by path (no catalog)."""
+def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
+               layer: str | None = None) -> DataFrame:
+    """Batch scan of a layer, by catalog name or by path (no catalog).
+    With ``layer`` the fixed schema is used (an empty table still scans)."""
     if "/" in name_or_path or ":" in name_or_path:
-        return spark.read.format(fmt).load(name_or_path)
+        reader = spark.read.format(fmt)
+        if layer is None:
+            layer = name_or_path.rstrip("/").rsplit("/", 1)[-1]
+        if fmt == "parquet" and layer in LAYERS:
+            reader = reader.schema(table_schema(layer))
+        return reader.load(name_or_path)
     return spark.table(name_or_path)
 
 
