@@ -324,3 +324,106 @@ syn AS (
 ORACLE["inject_synth_mix"] = q("""
     SELECT tipo, servidor, espacio, es_bot, count(*) AS eventos FROM syn GROUP BY ALL
 """, _synth())
+
+# --- source profile (I1-I10) -------------------------------------------------
+
+CAPTURE = """
+cap AS (
+  SELECT epoch_us(ts_cola) / 1000000.0 AS recibido,
+         (event_id // 3) * 1000 + event_id % 3 AS seq,
+         json_object(
+           '$schema', '/mediawiki/recentchange/1.0.0',
+           'meta', json_object('id', meta_id,
+                               'dt', strftime(ts_evento, '%Y-%m-%dT%H:%M:%S.%g') || 'Z',
+                               'domain', servidor),
+           'id', event_id, 'type', tipo, 'namespace', espacio, 'title', titulo,
+           'comment', 'evento sintetico s42',
+           'timestamp', epoch_us(ts_evento) // 1000000, 'user', usuario, 'bot', es_bot,
+           'server_name', servidor, 'wiki', wiki)::VARCHAR AS evento,
+         ts_evento
+  FROM inj
+)
+"""
+
+
+def _cq(body: str) -> str:
+    return q(body, _injected(), CAPTURE)
+
+
+def _top(field: str, path: str, missing: str, n: int | None = None) -> str:
+    val = "coalesce(json_extract_string(evento, '%s'), '%s')" % (path, missing)
+    if field == "bot":
+        val = "CASE WHEN lower(coalesce(json_extract_string(evento, '$.bot'), 'false')) = 'true' THEN 'bot' ELSE 'humano' END"
+    return _cq("""
+        SELECT '%s' AS campo, %s AS valor, count(*) AS eventos,
+               100.0 * CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS pct
+        FROM cap GROUP BY 2 ORDER BY eventos DESC, valor %s
+    """ % (field, val, "LIMIT %d" % n if n else ""))
+
+
+ORACLE.update({
+    "profile_throughput": _cq("""
+        SELECT count(*) AS eventos, coalesce(max(recibido) - min(recibido), 0.0) AS duracion_s,
+               CASE WHEN max(recibido) - min(recibido) > 0
+                    THEN count(*) / (max(recibido) - min(recibido)) ELSE 0.0 END AS eps_medio,
+               CAST(0 AS BIGINT) AS errores_parseo
+        FROM cap
+    """),
+    "profile_rate_percentiles": _cq("""
+        , per_s AS (SELECT floor(recibido) AS s, count(*) AS n FROM cap GROUP BY 1),
+        inner_s AS (SELECT n FROM per_s
+                    WHERE s > (SELECT min(s) FROM per_s) AND s < (SELECT max(s) FROM per_s)
+                      AND (SELECT count(*) FROM per_s) > 2)
+        SELECT coalesce(CAST(quantile_cont(n, 0.5) AS DOUBLE), 'NaN'::DOUBLE) AS eps_p50,
+               coalesce(CAST(quantile_cont(n, 0.95) AS DOUBLE), 'NaN'::DOUBLE) AS eps_p95,
+               CAST(coalesce(max(n), 0) AS BIGINT) AS eps_pico
+        FROM inner_s
+    """),
+    "profile_sizes": _cq("""
+        , b AS (SELECT octet_length(evento::BLOB) AS b, recibido FROM cap)
+        SELECT avg(b) AS media, CAST(quantile_cont(b, 0.5) AS DOUBLE) AS p50,
+               CAST(quantile_cont(b, 0.95) AS DOUBLE) AS p95, CAST(max(b) AS BIGINT) AS maximo,
+               CAST(sum(b) AS DOUBLE) / 1e6 AS total_mb,
+               CASE WHEN max(recibido) - min(recibido) > 0
+                    THEN CAST(sum(b) AS DOUBLE) / (max(recibido) - min(recibido)) / 1e3 END AS kb_s
+        FROM b
+    """),
+    "profile_top_types": _top("type", "$.type", "(sin tipo)"),
+    "profile_top_schemas": _top("$schema", '$."$schema"', "(sin schema)"),
+    "profile_top_servers": _top("server_name", "$.server_name", "(sin server_name)", 12),
+    "profile_bot_share": _top("bot", "$.bot", ""),
+    "profile_top_namespaces": _top("namespace", "$.namespace", "(sin namespace)"),
+    "profile_duplicates": _cq("""
+        , m AS (SELECT json_extract_string(evento, '$.meta.id') AS k, count(*) AS c FROM cap
+                WHERE coalesce(json_extract_string(evento, '$.meta.id'), '') <> '' GROUP BY 1 HAVING count(*) > 1),
+        w AS (SELECT json_extract_string(evento, '$.wiki') AS kw, json_extract_string(evento, '$.id') AS ki,
+                     count(*) AS c FROM cap
+              WHERE json_extract_string(evento, '$.id') IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)
+        SELECT 'meta.id' AS clave, count(*) AS repetidos, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS entregas_de_mas FROM m
+        UNION ALL
+        SELECT '(wiki, id)', count(*), CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM w
+    """),
+    "profile_disorder": _cq("""
+        , t AS (SELECT recibido, seq, epoch_us(ts_evento) / 1000000.0 AS t FROM cap),
+        s AS (SELECT t, max(t) OVER (ORDER BY recibido, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM t),
+        l AS (SELECT CASE WHEN t < mx THEN mx - t END AS lag FROM s)
+        SELECT (SELECT count(*) FROM cap) AS con_tiempo, CAST(0 AS BIGINT) AS sin_tiempo,
+               count(lag) AS desordenados,
+               100.0 * CAST(count(lag) AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS pct,
+               quantile_cont(lag, 0.5) AS p50, quantile_cont(lag, 0.95) AS p95,
+               quantile_cont(lag, 0.99) AS p99, max(lag) AS maximo
+        FROM l
+    """),
+    "profile_arrival_latency": _cq("""
+        , l AS (SELECT recibido - epoch_us(ts_evento) / 1000000.0 AS lat FROM cap)
+        SELECT count(lat) AS con_tiempo, CAST(0 AS BIGINT) AS sin_tiempo, min(lat) AS minimo,
+               quantile_cont(lat, 0.5) AS p50, quantile_cont(lat, 0.95) AS p95,
+               quantile_cont(lat, 0.99) AS p99, max(lat) AS maximo
+        FROM l
+    """),
+    "profile_examples": _cq("""
+        SELECT json_extract_string(evento, '$.type') AS tipo,
+               first(evento ORDER BY recibido, seq) AS ejemplo
+        FROM cap GROUP BY 1
+    """),
+})

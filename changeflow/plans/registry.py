@@ -145,3 +145,32 @@ QUERIES.update({
     "inject_tally": lambda s, d: inject.tally(injected_batch(s, d)),
     "inject_synth_mix": synth_mix,
 })
+
+
+# --- source profile (A7, I1-I10) ---------------------------------------------
+
+from changeflow.operators import profile  # noqa: E402
+from changeflow.sources.capture import capture_from_raw  # noqa: E402
+
+
+def capture(spark, sf_dir):
+    """The injected batch as a capture: arrival = queue time."""
+    return capture_from_raw(injected_raw(spark, sf_dir))
+
+
+QUERIES.update({
+    "profile_throughput": lambda s, d: profile.throughput(capture(s, d)),
+    "profile_rate_percentiles": lambda s, d: profile.rate_percentiles(capture(s, d)),
+    "profile_sizes": lambda s, d: profile.size_profile(capture(s, d)),
+    "profile_top_types": lambda s, d: profile.top_values(capture(s, d), "type"),
+    "profile_top_schemas": lambda s, d: profile.top_values(capture(s, d), "$schema"),
+    "profile_top_servers": lambda s, d: profile.top_values(capture(s, d), "server_name", 12),
+    "profile_bot_share": lambda s, d: profile.top_values(capture(s, d), "bot"),
+    "profile_top_namespaces": lambda s, d: profile.top_values(capture(s, d), "namespace"),
+    "profile_duplicates": lambda s, d: profile.duplicate_report(capture(s, d)),
+    "profile_disorder": lambda s, d: profile.disorder(capture(s, d)),
+    "profile_arrival_latency": lambda s, d: profile.arrival_latency(capture(s, d)),
+    "profile_schema": lambda s, d: profile.schema_profile(capture(s, d)),
+    "profile_type_fields": lambda s, d: profile.type_fields(capture(s, d)),
+    "profile_examples": lambda s, d: profile.examples(capture(s, d)),
+})
