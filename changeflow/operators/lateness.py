@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.columns import delay_bucket, event_time, ingest_delay
 from changeflow.operators.ordering import prefix_max_before
+from changeflow.operators.refine import parse_event
 from changeflow.schemas import TAGGED_EVENT
 
 DEFAULT_TAG_PREFIX = "evento sintetico"
@@ -18,7 +19,7 @@ DEFAULT_TAG_PREFIX = "evento sintetico"
 def tagged(raw: DataFrame, prefix: str = DEFAULT_TAG_PREFIX) -> DataFrame:
     """H1: raw rows of one test batch (``comment`` starts with ``prefix``),
     with their event time and queue delay."""
-    return (raw.select(F.from_json(F.col("valor"), TAGGED_EVENT).alias("e"), F.col("ts_cola"))
+    return (parse_event(raw, TAGGED_EVENT)
             .filter(F.col("e.comment").startswith(prefix))
             .select(F.col("e.meta.id").alias("meta_id"),
                     event_time(F.col("e.meta.dt")).alias("ts_evento"),

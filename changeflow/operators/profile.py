@@ -173,32 +173,35 @@ def _json_type(schema_text):
             .otherwise(F.lower(s)))
 
 
-def field_paths(cap: DataFrame, max_depth: int = 16) -> DataFrame:
-    """Every dotted path of every event with its JSON type and the event's
-    type (one row per event and path). Objects are descended, arrays not;
-    one level per step, stopping when no object is left."""
+_PATHS_TYPE = "array<struct<ruta:string,tipo_json:string>>"
+
+
+def _paths(v, prefix, depth: int):
+    """All (dotted path, JSON type) pairs under variant ``v``: objects are
+    descended, arrays are not. Built as nested higher-order functions, so
+    every event is parsed once and walked in one pass, JVM-side."""
+    empty = F.array().cast(_PATHS_TYPE)
+    if depth == 0:
+        return empty
+    entries = F.coalesce(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")),
+                         F.array().cast("array<struct<key:string,value:variant>>"))
+
+    def one(e):
+        ruta = F.concat(prefix, e["key"])
+        here = F.array(F.struct(ruta.alias("ruta"), _json_type(F.schema_of_variant(e["value"])).alias("tipo_json")))
+        return F.concat(here, _paths(e["value"], F.concat(ruta, F.lit(".")), depth - 1))
+    return F.flatten(F.transform(entries, one))
+
+
+def field_paths(cap: DataFrame, max_depth: int = 8) -> DataFrame:
+    """One row per (event, dotted path) with the path's JSON type and the
+    event's type. Paths deeper than ``max_depth`` levels are not listed."""
     ev = _events(cap).select(
-        F.monotonically_increasing_id().alias("_eid"),
         F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"),
         F.try_parse_json("evento").alias("v"))
-    level = (ev.filter(F.col("v").isNotNull())
-             .select("_eid", "tipo", F.lit("").alias("_prefix"), "v"))
-    out = None
-    for _ in range(max_depth):
-        as_map = F.expr("try_variant_get(v, '$', 'map<string,variant>')")
-        kids = (level.select("_eid", "tipo", "_prefix", F.explode(as_map))
-                .select("_eid", "tipo",
-                        F.concat(F.col("_prefix"), F.col("key")).alias("ruta"),
-                        F.col("value").alias("v")))
-        typed = kids.select("_eid", "tipo", "ruta", "v",
-                            _json_type(F.schema_of_variant("v")).alias("tipo_json"))
-        part = typed.select("_eid", "tipo", "ruta", "tipo_json")
-        out = part if out is None else out.unionByName(part)
-        level = (typed.filter(F.col("tipo_json") == "struct")
-                 .select("_eid", "tipo", F.concat(F.col("ruta"), F.lit(".")).alias("_prefix"), "v"))
-        if level.isEmpty():
-            break
-    return out
+    return (ev.filter(F.col("v").isNotNull())
+            .select("tipo", F.explode(_paths(F.col("v"), F.lit(""), max_depth)).alias("p"))
+            .select("tipo", "p.ruta", "p.tipo_json"))
 
 
 def schema_profile(cap: DataFrame) -> DataFrame:
@@ -220,7 +223,8 @@ def schema_profile(cap: DataFrame) -> DataFrame:
 def type_fields(cap: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Per event type, fields that are not in every event but are in
     at least ``threshold`` of that type's events."""
-    paths = field_paths(cap).select("_eid", "tipo", "ruta").distinct()
+    # a path occurs at most once per event, so counts of rows are counts of events
+    paths = field_paths(cap).select("tipo", "ruta")
     ev = _events(cap).select(F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"))
     per_type_n = ev.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"))
     total = ev.agg(F.count(F.lit(1)).alias("_t"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.functions.columns import event_time, ingest_delay
+from changeflow.operators.common import fence
 from changeflow.schemas import EVENT, SILVER_COLUMNS
 
 # timestamp_seconds overflows past year 9999; such values become NULL.
@@ -17,8 +18,9 @@ def parse_event(raw: DataFrame, schema: T.StructType = EVENT, text: str = "valor
                 keep: tuple[str, ...] = ("ts_cola",)) -> DataFrame:
     """JSON text -> struct column ``e`` (permissive: text that is not JSON,
     or a top-level array, gives an all-NULL struct; a wrong-typed field gives
-    only that field NULL)."""
-    return raw.select(F.from_json(F.col(text), schema).alias("e"), *keep)
+    only that field NULL). The parse sits behind a ``fence`` so that the
+    filters on parsed fields do not parse each row again."""
+    return fence(raw.select(F.from_json(F.col(text), schema).alias("e"), *keep))
 
 
 def epoch_to_ts(col: Column) -> Column:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import partition_key
+from changeflow.operators.common import fence
 
 SCHEMA_URI = "/mediawiki/recentchange/1.0.0"
 QUEUE_PARTITIONS = 3
@@ -42,8 +43,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return "%s/%s.parquet" % (sf_dir.rstrip("/"), name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores (one small file,
+    one row group) would run the per-row JSON work in a few tasks; spread it
+    round-robin first. A large input already has thousands of splits and is
+    left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, "events"))
+    return spread(spark.read.parquet(table_path(sf_dir, "events")))
 
 
 def _plus_ms(ts: Column, ms: Column) -> Column:
@@ -113,7 +125,8 @@ def to_envelope(changes: DataFrame, origin: str = "events",
     stamp). A duplicate copy (copia > 0) is a redelivery of the same message:
     same partition, offset, bytes and queue time."""
     eid = F.col("event_id")
-    return changes.select(
+    # fenced: the payload is computed once per row, as if read from storage
+    return fence(changes.select(
         partition_key("wiki", "titulo").alias("clave"),
         payload(changes).alias("valor"),
         F.lit(origin).alias("origen"),
@@ -121,7 +134,7 @@ def to_envelope(changes: DataFrame, origin: str = "events",
         F.expr("event_id div %d" % partitions).cast("string").alias("desplazamiento"),
         F.col("ts_cola"),
         F.col("ingerido_en"),
-    )
+    ))
 
 
 def replay_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
