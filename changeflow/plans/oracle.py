@@ -427,3 +427,35 @@ ORACLE.update({
         FROM cap GROUP BY 1
     """),
 })
+
+PATHS = """
+pt AS (
+  SELECT coalesce(json_extract_string(cap.evento, '$.type'), '(sin tipo)') AS tipo,
+         CASE WHEN t.path = '$' THEN t.key ELSE substr(t.path, 3) || '.' || t.key END AS ruta,
+         CASE t.type WHEN 'OBJECT' THEN 'struct' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null'
+                     WHEN 'BOOLEAN' THEN 'bool' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+                     WHEN 'UBIGINT' THEN 'int' WHEN 'BIGINT' THEN 'int' ELSE lower(t.type) END AS tipo_json
+  FROM cap, json_tree(cap.evento) t
+  WHERE t.key IS NOT NULL AND t.fullkey NOT LIKE '%[%'
+)
+"""
+
+ORACLE.update({
+    "profile_schema": q("""
+        , per_type AS (SELECT ruta, tipo_json, count(*) AS n FROM pt GROUP BY ALL)
+        SELECT ruta, 100.0 * CAST(sum(n) AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS presencia_pct,
+               string_agg(tipo_json, ', ' ORDER BY n DESC, tipo_json) AS tipos,
+               count(*) > 1 AS mixto
+        FROM per_type GROUP BY ruta ORDER BY ruta
+    """, _injected(), CAPTURE, PATHS),
+    "profile_type_fields": q("""
+        , ptype AS (SELECT coalesce(json_extract_string(evento, '$.type'), '(sin tipo)') AS tipo, count(*) AS n
+                    FROM cap GROUP BY 1),
+        common AS (SELECT ruta FROM pt GROUP BY ruta HAVING count(*) = (SELECT count(*) FROM cap)),
+        per AS (SELECT tipo, ruta, count(*) AS k FROM pt WHERE ruta NOT IN (SELECT ruta FROM common) GROUP BY ALL),
+        sel AS (SELECT per.tipo, string_agg(ruta, ', ' ORDER BY ruta) AS campos
+                FROM per JOIN ptype USING (tipo) WHERE k >= 0.9 * n GROUP BY per.tipo)
+        SELECT ptype.tipo, ptype.n, coalesce(sel.campos, '-') AS campos
+        FROM ptype LEFT JOIN sel USING (tipo) ORDER BY n DESC, tipo
+    """, _injected(), CAPTURE, PATHS),
+})
