@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import delay_bucket, event_time, ingest_delay
+from changeflow.operators.common import broadcast_if_small
 from changeflow.operators.ordering import prefix_max_before
 from changeflow.operators.refine import parse_event
 from changeflow.schemas import TAGGED_EVENT
@@ -90,6 +91,6 @@ def watermark_model(rows: DataFrame, trigger_s: float = 10.0, lateness_s: float
     marks = (prefix_max_before(points.unionByName(probes), ["_pos", "_kind"], "_v", "_prev")
              .filter(F.col("_kind") == 0)
              .select("_batch", (F.col("_prev") - F.lit(lateness_s * 1e6)).alias("_wm_us")))
-    return (with_b.join(marks, "_batch", "left")
+    return (with_b.join(broadcast_if_small(marks), "_batch", "left")
             .filter(F.col("_wm_us").isNull() | (F.unix_micros(F.col(time_col)).cast("double") > F.col("_wm_us")))
             .drop("_batch", "_wm_us"))

@@ -3,7 +3,10 @@ capture: rates, sizes, value frequencies, duplicates, disorder, latency,
 observed schema, fields typical of a type, and one example per type.
 
 Percentiles use linear interpolation between closest ranks (``exact``), or
-the mergeable approximate form for very large captures.
+the mergeable approximate form. Exact percentiles of continuous values
+(lags, latencies) use distributed rank selection; those of small-range
+integers (events per second, sizes in bytes) use Spark's ``percentile``,
+whose value -> count map is bounded by the number of distinct values.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import event_time
-from changeflow.operators.ordering import prefix_max_before
+from changeflow.operators.ordering import exact_quantiles, prefix_max_before
 
 
 def _events(cap: DataFrame) -> DataFrame:
@@ -24,6 +27,16 @@ def _pct(col: str, p: float, exact: bool):
             else F.percentile_approx(F.col(col), F.lit(p), F.lit(10000)).cast("double"))
 
 
+def _with_quantiles(df: DataFrame, col: str, exact: bool, *aggs) -> DataFrame:
+    """One row: ``aggs`` plus p50/p95/p99 of a continuous column. Exact
+    quantiles use distributed rank selection (no single-task value map)."""
+    if exact:
+        qs = exact_quantiles(df, col, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+        return df.agg(*aggs).crossJoin(qs)
+    return df.agg(*aggs, *[F.percentile_approx(F.col(col), F.lit(p), F.lit(10000)).cast("double").alias(n)
+                           for n, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+
+
 def throughput(cap: DataFrame) -> DataFrame:
     """Events, duration (max - min arrival), mean events/s (0 when the
     duration is 0) and parse errors."""
@@ -136,9 +149,8 @@ def disorder(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataF
     lags = scanned.select(F.when(F.col("t") < F.col("_max"), F.col("_max") - F.col("t")).alias("lag"))
     counts = ev.agg(F.count(F.lit(1)).alias("_total"),
                     F.count(F.when(F.col("t").isNull(), 1)).alias("sin_tiempo"))
-    late = lags.agg(F.count("lag").alias("desordenados"),
-                    _pct("lag", 0.5, exact).alias("p50"), _pct("lag", 0.95, exact).alias("p95"),
-                    _pct("lag", 0.99, exact).alias("p99"), F.max("lag").alias("maximo"))
+    late = _with_quantiles(lags, "lag", exact, F.count("lag").alias("desordenados"),
+                           F.max("lag").alias("maximo"))
     return (counts.crossJoin(late)
             .select((F.col("_total") - F.col("sin_tiempo")).alias("con_tiempo"), "sin_tiempo",
                     "desordenados",
@@ -153,11 +165,10 @@ def arrival_latency(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -
     p99, max; events without a valid time are counted apart."""
     ev = _event_times(cap, path).select(
         (F.col("recibido") - F.unix_micros("t") / F.lit(1e6)).alias("lat"))
-    return ev.agg(F.count("lat").alias("con_tiempo"),
-                  F.count(F.when(F.col("lat").isNull(), 1)).alias("sin_tiempo"),
-                  F.min("lat").alias("minimo"), _pct("lat", 0.5, exact).cast("double").alias("p50"),
-                  _pct("lat", 0.95, exact).cast("double").alias("p95"),
-                  _pct("lat", 0.99, exact).cast("double").alias("p99"), F.max("lat").alias("maximo"))
+    out = _with_quantiles(ev, "lat", exact, F.count("lat").alias("con_tiempo"),
+                          F.count(F.when(F.col("lat").isNull(), 1)).alias("sin_tiempo"),
+                          F.min("lat").alias("minimo"), F.max("lat").alias("maximo"))
+    return out.select("con_tiempo", "sin_tiempo", "minimo", "p50", "p95", "p99", "maximo")
 
 
 # Variant type name -> JSON type name of the report.

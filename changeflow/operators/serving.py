@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeflow.operators.ordering import exact_quantiles
+
 PCT_TYPE = "double"
 
 
@@ -31,8 +33,9 @@ def latency(silver: DataFrame, lookback: str = "15 minutes", exact: bool = False
     """ingest latency (ingest stamp - event time, s) over the last
     ``lookback`` of event time, rows with ingest after event only.
 
-    ``exact=True`` uses linear-interpolation percentiles (the second
-    engine's numbers); the default is the mergeable approximate form.
+    ``exact=True`` gives linear-interpolation percentiles (the second
+    engine's numbers) by distributed rank selection; the default is the
+    mergeable approximate form (one sketch per task, merged).
     """
     bound = silver.agg((F.max("ts_evento") - F.expr("INTERVAL " + lookback)).alias("_lo"))
     recent = (silver.select("ts_evento", "ingerido_en")
@@ -40,18 +43,23 @@ def latency(silver: DataFrame, lookback: str = "15 minutes", exact: bool = False
               .filter((F.col("ts_evento") > F.col("_lo")) & (F.col("ingerido_en") > F.col("ts_evento")))
               .select((F.col("ingerido_en").cast("double") - F.col("ts_evento").cast("double")).alias("lat")))
     if exact:
-        def pct(p):
-            return F.percentile(F.col("lat"), F.lit(p))
+        stats = recent.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"),
+                           F.max("lat").alias("_max"))
+        qs = exact_quantiles(recent, "lat", {"_p50": 0.50, "_p95": 0.95, "_p99": 0.99})
+        both = stats.crossJoin(qs)
     else:
         def pct(p):
             return F.percentile_approx(F.col("lat"), F.lit(p), F.lit(accuracy))
-    return recent.agg(
-        F.count(F.lit(1)).alias("filas"),
-        F.round(F.min("lat"), 2).alias("minimo"),
-        F.round(pct(0.50), 2).alias("p50"),
-        F.round(pct(0.95), 2).alias("p95"),
-        F.round(pct(0.99), 2).alias("p99"),
-        F.round(F.max("lat"), 2).alias("maximo"),
+        both = recent.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"),
+                          F.max("lat").alias("_max"), pct(0.50).alias("_p50"),
+                          pct(0.95).alias("_p95"), pct(0.99).alias("_p99"))
+    return both.select(
+        "filas",
+        F.round(F.col("_min"), 2).alias("minimo"),
+        F.round(F.col("_p50"), 2).alias("p50"),
+        F.round(F.col("_p95"), 2).alias("p95"),
+        F.round(F.col("_p99"), 2).alias("p99"),
+        F.round(F.col("_max"), 2).alias("maximo"),
     )
 
 

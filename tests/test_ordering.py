@@ -21,3 +21,19 @@ def test_prefix_max_matches_window_with_hot_value(spark):
     j = got.join(want, ["arrival", "id"])
     assert j.count() == 3000
     assert j.filter(~F.col("m").eqNullSafe(F.col("m2"))).count() == 0
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from changeflow.operators.ordering import exact_quantiles
+    rnd = random.Random(5)
+    rows = [(float(rnd.randint(0, 50)) if i % 3 else rnd.random() * 1e6,) for i in range(5000)]
+    rows += [(None,)] * 7
+    df = spark.createDataFrame(rows, "x double")
+    got = exact_quantiles(df, "x", {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p0": 0.0, "p1": 1.0},
+                          partitions=6).first()
+    want = df.agg(*[F.percentile("x", F.lit(p)).alias(n) for n, p in
+                    [("p50", 0.5), ("p95", 0.95), ("p99", 0.99), ("p0", 0.0), ("p1", 1.0)]]).first()
+    for k in ("p50", "p95", "p99", "p0", "p1"):
+        assert abs(got[k] - want[k]) <= 1e-9 * max(1.0, abs(want[k]))
+    empty = exact_quantiles(df.filter("x < 0"), "x", {"p50": 0.5}).first()
+    assert empty.p50 is None
