@@ -459,3 +459,14 @@ ORACLE.update({
         FROM ptype LEFT JOIN sel USING (tipo) ORDER BY n DESC, tipo
     """, _injected(), CAPTURE, PATHS),
 })
+
+# Streaming chain: the append streams equal their batch twins.
+ORACLE.update({
+    "stream_gold_activity": ORACLE["gold_activity"],
+    "stream_gold_bot_counts": ORACLE["gold_bot_counts"],
+    "stream_gold_concurrent_exact": ORACLE["gold_concurrent_exact"],
+    "stream_silver_dedup_proof": q("""
+        SELECT count(*) AS filas, count(DISTINCT meta_id) AS distintos,
+               count(*) - count(DISTINCT meta_id) AS duplicados FROM silver
+    """),
+})

@@ -174,3 +174,45 @@ QUERIES.update({
     "profile_type_fields": lambda s, d: profile.type_fields(capture(s, d)),
     "profile_examples": lambda s, d: profile.examples(capture(s, d)),
 })
+
+
+# --- streaming chain (A5, A8, B1-B4, D1-D4) ------------------------------------
+
+import uuid  # noqa: E402
+
+from changeflow.session import ensure_checkpoint_dir  # noqa: E402
+from changeflow.sources.queue import read_envelope_files  # noqa: E402
+from changeflow.sources.tables import layer_path, read_table  # noqa: E402
+from changeflow.streaming.chain import ChainConfig, run_chain_available  # noqa: E402
+
+
+def _stream_chain(spark: SparkSession, sf_dir: str, exact_editors: bool = True) -> ChainConfig:
+    """Drain the replayed queue through the five streaming queries
+    (``availableNow``) into a fresh folder of the shared checkpoint store."""
+    apply_required(spark)
+    base = "%s/changeflow-runs/%s" % (ensure_checkpoint_dir(spark).rstrip("/"), uuid.uuid4().hex)
+    replay.replay_bronze(spark, sf_dir).drop("ingerido_en").write.parquet(base + "/queue")
+    cfg = ChainConfig(warehouse=base + "/wh", checkpoints=base + "/ckpt", exact_editors=exact_editors,
+                      edit_types=replay.EVENTS_EDIT_TYPES)
+    run_chain_available(spark, read_envelope_files(spark, base + "/queue"), cfg)
+    return cfg
+
+
+def _stream_layer(layer: str):
+    def run(spark, sf_dir):
+        cfg = _stream_chain(spark, sf_dir)
+        return read_table(spark, layer_path(cfg.warehouse, layer)).drop("dia")
+    return run
+
+
+def _stream_dedup_proof(spark, sf_dir):
+    cfg = _stream_chain(spark, sf_dir)
+    return lateness.dedup_proof(read_table(spark, layer_path(cfg.warehouse, "silver")))
+
+
+QUERIES.update({
+    "stream_gold_activity": _stream_layer("gold_activity"),
+    "stream_gold_bot_counts": _stream_layer("gold_bots"),
+    "stream_gold_concurrent_exact": _stream_layer("gold_concurrent"),
+    "stream_silver_dedup_proof": _stream_dedup_proof,
+})
