@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,23 +35,27 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, day_from: str |
     return w.start(path)
 
 
-def run_group(spark: SparkSession, queries: list[StreamingQuery], seconds: float = 0) -> None:
+def run_group(spark: SparkSession, queries: list[StreamingQuery], seconds: float = 0,
+              poll_s: float = 0.5) -> None:
     """The queries of one group share fate. Wait until ``seconds`` pass
-    (0 = until one ends), then stop them all; if one of them died, the
-    others are stopped and its error is raised: running on with two of
-    three gold tables would leave them inconsistent."""
+    (0 = no limit) or until one of *these* queries ends, then stop them all;
+    if one of them died, its error is raised once the others are stopped:
+    running on with two of three gold tables would leave them inconsistent.
+    (The session-wide ``awaitAnyTermination`` would also react to other
+    groups' queries and to queries that ended earlier.)"""
+    deadline = time.monotonic() + seconds if seconds else None
     try:
-        if seconds:
-            spark.streams.awaitAnyTermination(seconds)
-        else:
-            spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries):
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            time.sleep(poll_s)
     except KeyboardInterrupt:
         pass
     finally:
-        errors = [q.exception() for q in queries if not q.isActive and q.exception() is not None]
         for q in queries:
             if q.isActive:
                 q.stop()
+    errors = [q.exception() for q in queries if q.exception() is not None]
     if errors:
         raise RuntimeError("a query of the group failed: %s" % errors[0])
 
