@@ -114,5 +114,30 @@ def concurrent_top(p3: DataFrame, n: int = 15) -> DataFrame:
             .limit(n))
 
 
-__all__ = ["layer_volumes", "latency", "activity_latest", "bot_share",
+def report(spark: SparkSession, warehouse: str, exact: bool = False,
+           since: str | None = None) -> dict[str, DataFrame]:
+    """F1-F6 over the stored layers of a warehouse. A missing layer is
+    reported, not an error; without the P1 and P2 tables only the volumes
+    are returned. ``since`` limits silver to recent day partitions for the
+    latency query (partition pruning)."""
+    from changeflow.schemas import LAYERS
+    from changeflow.sources.tables import layer_path, read_table, table_exists
+    present = {k: table_exists(spark, layer_path(warehouse, k)) for k in LAYERS}
+    frames = {k: (read_table(spark, layer_path(warehouse, k)).drop("dia") if ok else None)
+              for k, ok in present.items()}
+    out = {"volumes": layer_volumes(spark, frames)}
+    if not (present["gold_activity"] and present["gold_bots"]):
+        return out
+    if present["silver"]:
+        silver = read_table(spark, layer_path(warehouse, "silver"), since=since).drop("dia")
+        out["latency"] = latency(silver, exact=exact)
+    out["activity_latest"] = activity_latest(frames["gold_activity"])
+    out["bot_share"] = bot_share(frames["gold_bots"])
+    out["bot_share_swing"] = bot_share_swing(frames["gold_bots"])
+    if present["gold_concurrent"]:
+        out["concurrent_top"] = concurrent_top(frames["gold_concurrent"])
+    return out
+
+
+__all__ = ["report", "layer_volumes", "latency", "activity_latest", "bot_share",
            "bot_share_swing", "concurrent_top", "T"]

@@ -10,6 +10,7 @@ name instead of a folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.schemas import LAYERS
@@ -45,24 +46,33 @@ def ensure_tables(spark: SparkSession, warehouse: str, database: str = "changefl
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
-               layer: str | None = None) -> DataFrame:
+               layer: str | None = None, since: str | None = None) -> DataFrame:
     """Batch scan of a layer, by catalog name or by path (no catalog).
-    With ``layer`` the fixed schema is used (an empty table still scans)."""
+    With ``layer`` the fixed schema is used (an empty table still scans).
+    ``since`` (timestamp text) keeps rows from then on and adds the matching
+    day predicate, so whole day partitions are pruned at planning time."""
     if "/" in name_or_path or ":" in name_or_path:
         reader = spark.read.format(fmt)
         if layer is None:
             layer = name_or_path.rstrip("/").rsplit("/", 1)[-1]
         if fmt == "parquet" and layer in LAYERS:
             reader = reader.schema(table_schema(layer))
-        return reader.load(name_or_path)
-    return spark.table(name_or_path)
+        df = reader.load(name_or_path)
+    else:
+        df = spark.table(name_or_path)
+        layer = layer or name_or_path.rsplit(".", 1)[-1]
+    if since is not None and layer in LAYERS:
+        time_col = LAYERS[layer][1]
+        df = df.filter((F.col(PARTITION_COL) >= F.to_date(F.lit(since)))
+                       & (F.col(time_col) >= F.to_timestamp(F.lit(since))))
+    return df
 
 
 def table_exists(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> bool:
     """A table may be missing legitimately: its job has not run yet."""
     if "/" in name_or_path or ":" in name_or_path:
         try:
-            spark.read.format(fmt).load(name_or_path).schema  # noqa: B018
+            read_table(spark, name_or_path, fmt).schema  # noqa: B018
             return True
         except Exception:  # AnalysisException: path does not exist / no files
             return False

@@ -112,3 +112,23 @@ def test_late_rows_cut_like_the_model(spark, scratch):
     surv = lateness.survival(lateness.tagged(static), model).collect()
     assert sum(r.en_plata for r in surv) == len(got)
     assert sum(r.en_bronce for r in surv) == 16
+
+
+def test_cli_jobs_and_report(spark, scratch):
+    from changeflow import cli
+    from changeflow.operators import serving
+    env = replay.replay_bronze(spark, SF).drop("ingerido_en")
+    env.repartition(2).write.parquet(scratch + "/queue")
+    common = ["--warehouse", scratch + "/wh", "--checkpoints", scratch + "/ck", "--available-now"]
+    assert cli.main(["bronze", "--queue-path", scratch + "/queue"] + common) == 0
+    assert cli.main(["verify", "--warehouse", scratch + "/wh"]) == 0
+    rep = serving.report(spark, scratch + "/wh")
+    vol = {r.tabla: (r.filas, r.existe) for r in rep["volumes"].collect()}
+    assert vol["bronze"] == (1000, True) and vol["silver"] == (None, False)
+    assert set(rep) == {"volumes"}
+    assert cli.main(["silver"] + common) == 0
+    assert cli.main(["gold"] + common) == 0
+    rep = serving.report(spark, scratch + "/wh", since="2024-01-30 00:00:00")
+    assert {"latency", "activity_latest", "bot_share", "bot_share_swing", "concurrent_top"} <= set(rep)
+    assert rep["activity_latest"].count() >= 1
+    assert rep["latency"].first().filas > 0
