@@ -88,3 +88,29 @@ def stream_table(spark: SparkSession, path: str, layer: str, fmt: str = "parquet
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
+
+
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+
+
+def compact_day(spark: SparkSession, src: str, dst: str, layer: str, day: str,
+                target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Rewrite one day partition of a layer into files of about
+    ``target_bytes`` (a stream writes one small file per task and batch).
+
+    The output goes to another folder (``dst``), overwriting only that day
+    there (dynamic partition overwrite): a streaming sink's own folder is
+    listed by its commit log and must not be rewritten in place. Returns
+    the number of files written."""
+    part = "%s/%s=%s" % (src.rstrip("/"), PARTITION_COL, day)
+    size = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(part)
+            .agg(F.sum("length")).first()[0] or 0)
+    n_files = max(1, -(-int(size) // int(target_bytes)))
+    rows = read_table(spark, src, layer=layer).filter(F.col(PARTITION_COL) == F.to_date(F.lit(day)))
+    (rows.repartition(n_files)
+     .write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd")
+     .partitionBy(PARTITION_COL)
+     .parquet(dst))
+    return n_files

@@ -53,3 +53,16 @@ def test_entry_runs_in_any_session_zone(spark):
     rows = entry(spark).collect()
     assert len(rows) >= 1 and set(rows[0].asDict()) == {"servidor", "espacio", "eventos"}
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_compact_day(spark, scratch):
+    from changeflow.sources.tables import compact_day
+    env = replay.replay_bronze(spark, "/root/testdata/sf0.001")
+    src = scratch + "/bronze"
+    env.withColumn("dia", F.to_date("ts_cola")).repartition(16).write.partitionBy("dia").parquet(src)
+    n = compact_day(spark, src, scratch + "/bronze_c", "bronze", "2024-01-02", target_bytes=1 << 30)
+    assert n == 1
+    out = read_table(spark, scratch + "/bronze_c", layer="bronze")
+    want = read_table(spark, src, layer="bronze").filter("dia = DATE'2024-01-02'")
+    assert out.count() == want.count() > 0
+    assert len(out.inputFiles()) == 1
