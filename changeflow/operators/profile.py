@@ -184,10 +184,10 @@ def _json_type(schema_text):
             .otherwise(F.lower(s)))
 
 
-_PATHS_TYPE = "array<struct<ruta:string,tipo_json:string>>"
+_PATHS_TYPE = "array<struct<ruta:string,tipo_json:string,nivel:int>>"
 
 
-def _paths(v, prefix, depth: int):
+def _paths(v, prefix, depth: int, level: int = 1):
     """All (dotted path, JSON type) pairs under variant ``v``: objects are
     descended, arrays are not. Built as nested higher-order functions, so
     every event is parsed once and walked in one pass, JVM-side."""
@@ -199,20 +199,27 @@ def _paths(v, prefix, depth: int):
 
     def one(e):
         ruta = F.concat(prefix, e["key"])
-        here = F.array(F.struct(ruta.alias("ruta"), _json_type(F.schema_of_variant(e["value"])).alias("tipo_json")))
-        return F.concat(here, _paths(e["value"], F.concat(ruta, F.lit(".")), depth - 1))
+        here = F.array(F.struct(ruta.alias("ruta"), _json_type(F.schema_of_variant(e["value"])).alias("tipo_json"),
+                                F.lit(level).alias("nivel")))
+        return F.concat(here, _paths(e["value"], F.concat(ruta, F.lit(".")), depth - 1, level + 1))
     return F.flatten(F.transform(entries, one))
 
 
-def field_paths(cap: DataFrame, max_depth: int = 8) -> DataFrame:
+def field_paths(cap: DataFrame, depth: int = 8) -> DataFrame:
     """One row per (event, dotted path) with the path's JSON type and the
-    event's type. Paths deeper than ``max_depth`` levels are not listed."""
+    event's type. The walk is unrolled ``depth`` levels deep; if some object
+    still sits at the last level, it is redone twice as deep, so no path is
+    ever left out."""
     ev = _events(cap).select(
         F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"),
         F.try_parse_json("evento").alias("v"))
-    return (ev.filter(F.col("v").isNotNull())
-            .select("tipo", F.explode(_paths(F.col("v"), F.lit(""), max_depth)).alias("p"))
-            .select("tipo", "p.ruta", "p.tipo_json"))
+    paths = (ev.filter(F.col("v").isNotNull())
+             .select("tipo", F.explode(_paths(F.col("v"), F.lit(""), depth)).alias("p"))
+             .select("tipo", "p.ruta", "p.tipo_json", "p.nivel"))
+    deeper = paths.filter((F.col("nivel") == depth) & (F.col("tipo_json") == "struct"))
+    if not deeper.isEmpty():
+        return field_paths(cap, depth * 2)
+    return paths.drop("nivel")
 
 
 def schema_profile(cap: DataFrame) -> DataFrame:

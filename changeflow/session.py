@@ -68,10 +68,14 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is set (tests,
-    a laptop) fall back to a fresh scratch folder."""
+    """Use the shared checkpoint folder the cluster names. Only a local
+    master (tests, a laptop) may fall back to a fresh scratch folder; on a
+    cluster an unset ``spark.checkpoint.dir`` is an error, because a
+    machine-local folder does not survive the loss of an executor."""
     root = checkpoint_root(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         root = tempfile.mkdtemp(prefix="changeflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -64,3 +64,13 @@ def test_disorder_duplicates_and_missing_time(spark, scratch):
     assert (dup["meta.id"].repetidos, dup["meta.id"].entregas_de_mas) == (1, 1)
     top = {x.valor: x.eventos for x in P.top_values(cap, "server_name").collect()}
     assert top["(sin server_name)"] == 1
+
+
+def test_schema_walk_goes_deeper_than_unrolled_depth(spark, scratch):
+    path = scratch + "/deep.jsonl"
+    deep = {"x": 1}
+    for i in range(11):
+        deep = {"n%d" % i: deep}
+    _write(path, [_ev(1, 1.0, deep=deep)])
+    paths = {r.ruta for r in P.field_paths(read_capture(spark, path), depth=3).collect()}
+    assert "deep.n10.n9.n8.n7.n6.n5.n4.n3.n2.n1.n0.x" in paths
