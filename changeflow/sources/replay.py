@@ -48,10 +48,12 @@ def spread(df: DataFrame) -> DataFrame:
     one row group) would run the per-row JSON work in a few tasks; spread it
     round-robin first. A large input already has thousands of splits and is
     left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access: leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,14 @@ def test_synthetic_mix_follows_shares(spark):
     assert syn.select("servidor").distinct().count() == 5
     assert syn.filter(~F.col("titulo").startswith("Pagina ")).count() == 0
     assert set(r.comment for r in syn.select("comment").distinct().collect()) == {"evento sintetico s7"}
+
+
+def test_inject_then_dedup_is_identity_on_ids(spark):
+    from changeflow.operators import dedup, refine
+    ch = _changes(spark)
+    raw = replay.to_envelope(inject.inject_duplicates(inject.inject_late(ch, 20.0, 1.0, 90.0, 5), 15.0, 5))
+    silver = dedup.dedup_first(refine.refine(raw, ingest="ingerido_en"))
+    ids = silver.select("meta_id")
+    want = ch.select(F.col("event_id").cast("string").alias("meta_id"))
+    assert ids.count() == want.count()
+    assert ids.exceptAll(want).count() == 0 and want.exceptAll(ids).count() == 0
