@@ -6,6 +6,7 @@
     report   --warehouse W [--since "2026-08-17 00:00:00"]
     verify   --warehouse W [--source kinesis]      exit code 0 = no loss, no duplicates
     late     --warehouse W [--tag "evento sintetico"]
+    profile  --capture PATH [--warehouse W]            source profile of capture files
 
 Common: --seconds N (0 = run until stopped), --trigger "10 seconds",
 --available-now (drain what is there and stop), --checkpoints DIR.
@@ -19,8 +20,9 @@ import sys
 
 def _args(argv):
     p = argparse.ArgumentParser(prog="changeflow")
-    p.add_argument("job", choices=["bronze", "silver", "gold", "report", "verify", "late"])
-    p.add_argument("--warehouse", required=True)
+    p.add_argument("job", choices=["bronze", "silver", "gold", "report", "verify", "late", "profile"])
+    p.add_argument("--warehouse", default="")
+    p.add_argument("--capture")
     p.add_argument("--checkpoints")
     p.add_argument("--source")
     p.add_argument("--brokers")
@@ -76,14 +78,41 @@ def main(argv=None) -> int:
         return 0
 
     if a.job == "verify":
+        from changeflow.streaming.commits import commit_history
         bronze = read_table(spark, layer_path(a.warehouse, "bronze"))
         contiguous = queue.offsets_consecutive(a.source)
         v = integrity.verdict(bronze, contiguous=contiguous)
         v.show(truncate=False)
         if contiguous:
             integrity.continuity(bronze).show(50, truncate=False)
+        try:
+            commit_history(spark, cfg.ckpt(spark, "bronze")).show(50, truncate=False)
+        except Exception:  # no checkpoint of a bronze stream here
+            pass
         return 0 if v.first()["ok"] else 1
 
+    if a.job == "profile":
+        from changeflow.operators import profile
+        from changeflow.sources.capture import read_capture
+        cap = read_capture(spark, a.capture)
+        for name, df in [("throughput", profile.throughput(cap)),
+                         ("rate", profile.rate_percentiles(cap)),
+                         ("sizes", profile.size_profile(cap)),
+                         ("types", profile.top_values(cap, "type")),
+                         ("schemas", profile.top_values(cap, "$schema")),
+                         ("servers", profile.top_values(cap, "server_name", 12)),
+                         ("bots", profile.top_values(cap, "bot")),
+                         ("namespaces", profile.top_values(cap, "namespace")),
+                         ("duplicates", profile.duplicate_report(cap)),
+                         ("disorder", profile.disorder(cap)),
+                         ("latency", profile.arrival_latency(cap)),
+                         ("schema", profile.schema_profile(cap)),
+                         ("type_fields", profile.type_fields(cap)),
+                         ("examples", profile.examples(cap))]:
+            print("== %s" % name)
+            df.show(200, truncate=False)
+        return 0
+
     # late
     raw = read_table(spark, layer_path(a.warehouse, "bronze"))
     silver = read_table(spark, layer_path(a.warehouse, "silver"))

@@ -74,3 +74,12 @@ def test_schema_walk_goes_deeper_than_unrolled_depth(spark, scratch):
     _write(path, [_ev(1, 1.0, deep=deep)])
     paths = {r.ruta for r in P.field_paths(read_capture(spark, path), depth=3).collect()}
     assert "deep.n10.n9.n8.n7.n6.n5.n4.n3.n2.n1.n0.x" in paths
+
+
+def test_cli_profile(spark, scratch, capsys):
+    from changeflow import cli
+    path = scratch + "/cap_cli.jsonl"
+    _write(path, [_ev(i, 100.0 + i * 0.3) for i in range(20)])
+    assert cli.main(["profile", "--capture", path]) == 0
+    out = capsys.readouterr().out
+    assert "== disorder" in out and "== examples" in out
