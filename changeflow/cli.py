@@ -124,4 +124,7 @@ def main(argv=None) -> int:
 
 
 if __name__ == "__main__":
+    # run as a file (spark-submit changeflow/cli.py ...): make the package importable
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sys.exit(main())
