@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from changeflow.operators.ordering import exact_quantiles
 
@@ -140,4 +139,4 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
 
 
 __all__ = ["report", "layer_volumes", "latency", "activity_latest", "bot_share",
-           "bot_share_swing", "concurrent_top", "T"]
+           "bot_share_swing", "concurrent_top"]

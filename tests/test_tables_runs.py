@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from changeflow.sources import replay
 from changeflow.sources.queue import read_envelope_files, stamp_ingest
-from changeflow.sources.tables import ensure_tables, layer_path, read_table, table_exists
+from changeflow.sources.tables import ensure_tables, read_table, table_exists
 from changeflow.streaming.commits import commit_history
 from changeflow.streaming.run import append_stream, run_group
 
