@@ -17,7 +17,8 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, day_from: str |
     """B2: append a stream to a layer folder, partitioned by the day of
     ``day_from``, zstd Parquet, checkpoint in the shared store. Rows are
     written as they come (no sort before the write): one day is alive at a
-    time, so each task writes few files."""
+    time, so each task writes few files. With ``fmt="iceberg"`` ``path`` is
+    a catalog table name."""
     if day_from:
         df = df.withColumn(PARTITION_COL, F.to_date(F.col(day_from)))
     w = (df.writeStream.format(fmt).outputMode("append")
@@ -32,6 +33,9 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, day_from: str |
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
+    if fmt == "iceberg":
+        # a catalog table; Iceberg writes without a sort by partition first
+        return w.option("fanout-enabled", "true").toTable(path)
     return w.start(path)
 
 
@@ -69,14 +73,14 @@ def run_available(queries: list[StreamingQuery]) -> None:
 
 
 PROGRESS_SCHEMA = ("batchId long, timestamp string, numInputRows long, inputRowsPerSecond double, "
-                   "processedRowsPerSecond double, rowsDroppedByWatermark long, stateRows long, "
-                   "watermark string, durationMs long")
+                   "processedRowsPerSecond double, rowsDroppedByWatermark long, duplicatesDropped long, "
+                   "stateRows long, watermark string, durationMs long")
 
 
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The query's recent micro-batches (at most the last 100, kept by
-    Spark on the driver) as a DataFrame, with late-row drops and state size
-    summed over its stateful operators."""
+    Spark on the driver) as a DataFrame, with late-row drops, duplicate
+    drops and state size summed over its stateful operators."""
     rows = []
     for p in query.recentProgress:
         ops = p.get("stateOperators") or []
@@ -84,6 +88,7 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             p.get("batchId"), p.get("timestamp"), p.get("numInputRows"),
             float(p.get("inputRowsPerSecond") or 0.0), float(p.get("processedRowsPerSecond") or 0.0),
             sum(int(o.get("numRowsDroppedByWatermark") or 0) for o in ops),
+            sum(int((o.get("customMetrics") or {}).get("numDroppedDuplicateRows") or 0) for o in ops),
             sum(int(o.get("numRowsTotal") or 0) for o in ops),
             (p.get("eventTime") or {}).get("watermark"),
             int((p.get("durationMs") or {}).get("triggerExecution") or 0),

@@ -102,8 +102,12 @@ def test_late_rows_cut_like_the_model(spark, scratch):
     _write_batches([b0, b1, b2, b3], scratch + "/queue")
     raw = read_envelope_files(spark, scratch + "/queue", 1)
     silver = dedup.dedup_stream(dedup.with_lateness(refine.refine(raw), "30 seconds"))
-    run_available([append_stream(silver, scratch + "/silver", scratch + "/ck", available_now=True)])
+    q = append_stream(silver, scratch + "/silver", scratch + "/ck", available_now=True)
+    run_available([q])
     got = {r.meta_id for r in spark.read.parquet(scratch + "/silver").collect()}
+    prog = progress_frame(spark, q).agg(F.sum("rowsDroppedByWatermark").alias("late"),
+                                        F.sum("duplicatesDropped").alias("dups")).first()
+    assert prog.late == 7 and prog.dups == 2
     # strictly behind the 30 s watermark survives; at or past it is dropped
     assert got == {"b0-0", "b1-0", "b2-0", "b2-1", "b2-2", "b2-3", "b2-4", "b2-5", "b3-0"}
     static = spark.read.parquet(scratch + "/queue")
