@@ -36,15 +36,26 @@ def offsets_consecutive(name: str | None = None) -> bool:
     return source_name(name) == "kafka"
 
 
-def kafka_options(brokers: str, topic: str) -> dict[str, str]:
-    # From the start of the topic on the first run; afterwards the
-    # checkpoint decides. A consumer that falls behind retention keeps going.
-    return {
+def kafka_options(brokers: str, topic: str, max_offsets_per_trigger: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """From the start of the topic on the first run; afterwards the
+    checkpoint decides. A consumer that falls behind retention keeps going.
+
+    ``max_offsets_per_trigger`` bounds each micro-batch (a first run that
+    catches up on a large backlog would otherwise read it all in one
+    batch); ``min_partitions`` splits large queue partitions over more
+    tasks than there are queue partitions."""
+    opts = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
+    return opts
 
 
 def kinesis_options(stream: str, region: str) -> dict[str, str]:
@@ -55,9 +66,10 @@ def kinesis_options(stream: str, region: str) -> dict[str, str]:
     }
 
 
-def read_kafka(spark: SparkSession, brokers: str, topic: str) -> DataFrame:
-    """A1: streaming scan of a Kafka topic (connector's own columns)."""
-    return spark.readStream.format("kafka").options(**kafka_options(brokers, topic)).load()
+def read_kafka(spark: SparkSession, brokers: str, topic: str, **limits) -> DataFrame:
+    """A1: streaming scan of a Kafka topic (connector's own columns);
+    ``limits``: ``max_offsets_per_trigger``, ``min_partitions``."""
+    return spark.readStream.format("kafka").options(**kafka_options(brokers, topic, **limits)).load()
 
 
 def read_kinesis(spark: SparkSession, stream: str, region: str) -> DataFrame:
@@ -96,7 +108,8 @@ def read_queue(spark: SparkSession, name: str | None = None, **kw) -> DataFrame:
     Kafka, ``stream``/``region`` for Kinesis)."""
     chosen = source_name(name)
     if chosen == "kafka":
-        return normalize_kafka(read_kafka(spark, kw["brokers"], kw["topic"]))
+        limits = {k: kw[k] for k in ("max_offsets_per_trigger", "min_partitions") if kw.get(k)}
+        return normalize_kafka(read_kafka(spark, kw["brokers"], kw["topic"], **limits))
     return normalize_kinesis(read_kinesis(spark, kw["stream"], kw["region"]))
 
 

@@ -47,3 +47,12 @@ def test_publish_key_and_value(spark):
     nulls = ch.limit(1).withColumn("wiki", ch.wiki.substr(0, 0).cast("string")).selectExpr(
         "*").withColumn("titulo", ch.titulo.isNull().cast("string")).withColumn("titulo", ch.comment)
     assert with_key(nulls).first().key.endswith("|?")
+
+
+def test_kafka_options_bound_batches():
+    o = queue.kafka_options("b:9092", "changes", max_offsets_per_trigger=500000, min_partitions=64)
+    assert o["startingOffsets"] == "earliest" and o["failOnDataLoss"] == "false"
+    assert o["maxOffsetsPerTrigger"] == "500000" and o["minPartitions"] == "64"
+    assert "maxOffsetsPerTrigger" not in queue.kafka_options("b:9092", "changes")
+    k = queue.kinesis_options("s", "eu-west-1")
+    assert k["kinesis.startingposition"] == "TRIM_HORIZON"
