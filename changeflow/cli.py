@@ -30,6 +30,8 @@ def _args(argv):
     p.add_argument("--stream")
     p.add_argument("--region")
     p.add_argument("--queue-path")
+    p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--state-partitions", type=int)
     p.add_argument("--seconds", type=float, default=0)
     p.add_argument("--trigger")
     p.add_argument("--lateness", default="30 seconds")
@@ -51,7 +53,8 @@ def main(argv=None) -> int:
 
     spark = get_session(app="changeflow-" + a.job)
     cfg = chain.ChainConfig(warehouse=a.warehouse, checkpoints=a.checkpoints, lateness=a.lateness,
-                            available_now=a.available_now, exact_editors=a.exact)
+                            available_now=a.available_now, exact_editors=a.exact,
+                            state_partitions=a.state_partitions)
     if a.trigger:
         cfg.bronze_trigger = cfg.silver_trigger = cfg.gold_trigger = a.trigger
 
@@ -59,7 +62,8 @@ def main(argv=None) -> int:
         if a.job == "bronze":
             src = (queue.read_envelope_files(spark, a.queue_path) if a.queue_path else
                    queue.read_queue(spark, a.source, brokers=a.brokers, topic=a.topic,
-                                    stream=a.stream, region=a.region))
+                                    stream=a.stream, region=a.region,
+                                    max_offsets_per_trigger=a.max_offsets_per_trigger))
             qs = [chain.start_bronze(spark, src, cfg)]
         elif a.job == "silver":
             qs = [chain.start_silver(spark, cfg)]

@@ -31,6 +31,10 @@ class ChainConfig:
     exact_editors: bool = False
     edit_types: tuple = gold.LIVE_EDIT_TYPES
     max_files_per_trigger: int | None = None
+    # Shuffle/state partitions of the stateful queries. Spark fixes them at a
+    # query's first start (they are part of its checkpoint), so size them for
+    # the target volume up front: state per partition = state / partitions.
+    state_partitions: int | None = None
     names: dict = field(default_factory=dict)
 
     def ckpt(self, spark: SparkSession, job: str) -> str:
@@ -53,9 +57,15 @@ def silver_frame(spark: SparkSession, cfg: ChainConfig) -> DataFrame:
     return dedup.dedup_stream(dedup.with_lateness(typed, cfg.lateness))
 
 
+def _state_partitions(spark: SparkSession, cfg: ChainConfig) -> None:
+    if cfg.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
+
+
 def start_silver(spark: SparkSession, cfg: ChainConfig) -> StreamingQuery:
     """Typed, deduplicated rows under the event-time watermark."""
     apply_required(spark)
+    _state_partitions(spark, cfg)
     return append_stream(silver_frame(spark, cfg), layer_path(cfg.warehouse, "silver"),
                          cfg.ckpt(spark, "silver"), day_from="ts_evento",
                          trigger=cfg.silver_trigger, available_now=cfg.available_now,
@@ -79,6 +89,7 @@ def start_gold(spark: SparkSession, cfg: ChainConfig) -> list[StreamingQuery]:
     """Three windowed aggregates, one query each (append: a window is
     written once the watermark passes its end)."""
     apply_required(spark)
+    _state_partitions(spark, cfg)
     return [append_stream(df, layer_path(cfg.warehouse, name), cfg.ckpt(spark, name),
                           day_from="ventana_inicio", trigger=cfg.gold_trigger,
                           available_now=cfg.available_now, name=cfg.names.get(name))
