@@ -192,9 +192,17 @@ def _stream_chain(spark: SparkSession, sf_dir: str, exact_editors: bool = True)
     apply_required(spark)
     base = "%s/changeflow-runs/%s" % (ensure_checkpoint_dir(spark).rstrip("/"), uuid.uuid4().hex)
     replay.replay_bronze(spark, sf_dir).drop("ingerido_en").write.parquet(base + "/queue")
+    # state partitions: one per core of the cluster (a stream fixes them at
+    # its first start; the session default of 200 would run 200 state stores
+    # per operator for a few thousand rows each)
     cfg = ChainConfig(warehouse=base + "/wh", checkpoints=base + "/ckpt", exact_editors=exact_editors,
-                      edit_types=replay.EVENTS_EDIT_TYPES)
-    run_chain_available(spark, read_envelope_files(spark, base + "/queue"), cfg)
+                      edit_types=replay.EVENTS_EDIT_TYPES,
+                      state_partitions=spark.sparkContext.defaultParallelism)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        run_chain_available(spark, read_envelope_files(spark, base + "/queue"), cfg)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return cfg
 
 
