@@ -33,12 +33,7 @@ def prefix_max_before(df: DataFrame, order_cols: list[str], value_col: str, out_
     the total order ``order_cols`` (NULL for the first row). ``value_col``
     must be numeric (cast timestamps to microseconds first)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = _ranged(df, order_cols, partitions)
     part_max = ranged.groupBy("_pid").agg(F.max(value_col).cast("double").alias("_pmax"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = {int(r["_pid"]): r["_carry"] for r in
@@ -73,10 +68,16 @@ def prefix_max_before(df: DataFrame, order_cols: list[str], value_col: str, out_
 
 
 def _ranged(df: DataFrame, order_cols: list[str], partitions: int | None) -> DataFrame:
+    """Range-partition on the order, sort inside partitions, number the
+    partitions and freeze the result (reliable checkpoint). Without an
+    explicit count AQE coalesces adjacent ranges to its advisory size, so
+    the partition count follows the data volume; merged ranges stay in
+    order, so partition ids still follow the global order."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *order_cols)
+    byrange = (df.repartitionByRange(partitions, *order_cols) if partitions
+               else df.repartitionByRange(*order_cols))
+    return (byrange
             .sortWithinPartitions(*order_cols)
             .withColumn("_pid", F.spark_partition_id())
             .checkpoint(eager=True))
