@@ -49,6 +49,13 @@ def survival(batch: DataFrame, silver: DataFrame, one_bucket_per_id: bool = Fals
     else:
         ids = batch.select("meta_id", "retraso_s")
     b = ids.select("meta_id", delay_bucket("retraso_s").alias("tramo")).distinct()
+    if "dia" in silver.columns and "ts_evento" in batch.columns:
+        # A stored, day-partitioned silver: read only the days of the batch.
+        # An id lands in silver on the day of its own event time, so the
+        # semi join on the partition column loses nothing, and dynamic
+        # partition pruning skips the other days at scan time.
+        days = batch.select(F.to_date("ts_evento").alias("dia")).filter(F.col("dia").isNotNull()).distinct()
+        silver = silver.join(broadcast_if_small(days), "dia", "left_semi")
     s = silver.select("meta_id").distinct().withColumn("_hit", F.lit(1))
     hit = F.sum(F.when(F.col("_hit").isNotNull(), 1).otherwise(0)).cast("long")
     return (b.join(s, "meta_id", "left")
