@@ -139,14 +139,14 @@ def test_cli_jobs_and_report(spark, scratch):
 
 
 def test_survival_with_day_pruning_equals_plain(spark, scratch):
-    env = replay.replay_bronze(spark, SF).drop("ingerido_en")
+    env = registry.injected_raw(spark, SF).drop("ingerido_en")
     env.repartition(2).write.parquet(scratch + "/queue")
     cfg = ChainConfig(warehouse=scratch + "/wh", checkpoints=scratch + "/ck",
                       edit_types=replay.EVENTS_EDIT_TYPES)
     run_chain_available(spark, read_envelope_files(spark, scratch + "/queue"), cfg)
     bronze = read_table(spark, layer_path(cfg.warehouse, "bronze"))
     silver = read_table(spark, layer_path(cfg.warehouse, "silver"))
-    batch = lateness.tagged(bronze.filter("dia <= DATE'2024-01-05'"), "")
+    batch = lateness.tagged(bronze.filter("dia <= DATE'2024-01-05'"))
     pruned = lateness.survival(batch, silver).collect()
     plain = lateness.survival(batch, silver.drop("dia")).collect()
     assert pruned == plain and sum(r.en_plata for r in pruned) > 0
