@@ -133,15 +133,23 @@ def duplicate_report(cap: DataFrame) -> DataFrame:
 
 
 def _event_times(cap: DataFrame, path: str) -> DataFrame:
-    return _events(cap).select("recibido", "seq",
-                               event_time(F.get_json_object(F.col("evento"), "$." + path)).alias("t"))
+    """Event time at ``path``: ISO text (``meta.dt``), or epoch seconds for
+    the ``timestamp`` field."""
+    raw = F.get_json_object(F.col("evento"), "$." + path)
+    if path == "timestamp":
+        secs = raw.try_cast("long")
+        t = F.when(F.abs(secs) <= 253402300799, F.timestamp_seconds(secs))
+    else:
+        t = event_time(raw)
+    return _events(cap).select("recibido", "seq", t.alias("t"))
 
 
 def disorder(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataFrame:
     """An event is late when its time is behind the running max of all
     earlier arrivals (strictly); lag = that max - its time. Events without
     a valid time are counted apart and do not move the max. The share is
-    over all events. The running max is the skew-safe prefix max."""
+    over all events. The running max is the skew-safe prefix max.
+    ``path="timestamp"`` measures the same on the epoch-seconds field."""
     ev = _event_times(cap, path)
     with_t = ev.filter(F.col("t").isNotNull()).select(
         "recibido", "seq", (F.unix_micros("t") / F.lit(1e6)).alias("t"))

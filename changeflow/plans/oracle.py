@@ -414,6 +414,17 @@ ORACLE.update({
                quantile_cont(lag, 0.99) AS p99, max(lag) AS maximo
         FROM l
     """),
+    "profile_disorder_timestamp": _cq("""
+        , t AS (SELECT recibido, seq, CAST(epoch_us(ts_evento) // 1000000 AS DOUBLE) AS t FROM cap),
+        s AS (SELECT t, max(t) OVER (ORDER BY recibido, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM t),
+        l AS (SELECT CASE WHEN t < mx THEN mx - t END AS lag FROM s)
+        SELECT (SELECT count(*) FROM cap) AS con_tiempo, CAST(0 AS BIGINT) AS sin_tiempo,
+               count(lag) AS desordenados,
+               100.0 * CAST(count(lag) AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS pct,
+               quantile_cont(lag, 0.5) AS p50, quantile_cont(lag, 0.95) AS p95,
+               quantile_cont(lag, 0.99) AS p99, max(lag) AS maximo
+        FROM l
+    """),
     "profile_arrival_latency": _cq("""
         , l AS (SELECT recibido - epoch_us(ts_evento) / 1000000.0 AS lat FROM cap)
         SELECT count(lat) AS con_tiempo, CAST(0 AS BIGINT) AS sin_tiempo, min(lat) AS minimo,

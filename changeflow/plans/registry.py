@@ -169,6 +169,7 @@ QUERIES.update({
     "profile_top_namespaces": lambda s, d: profile.top_values(capture(s, d), "namespace"),
     "profile_duplicates": lambda s, d: profile.duplicate_report(capture(s, d)),
     "profile_disorder": lambda s, d: profile.disorder(capture(s, d)),
+    "profile_disorder_timestamp": lambda s, d: profile.disorder(capture(s, d), path="timestamp"),
     "profile_arrival_latency": lambda s, d: profile.arrival_latency(capture(s, d)),
     "profile_schema": lambda s, d: profile.schema_profile(capture(s, d)),
     "profile_type_fields": lambda s, d: profile.type_fields(capture(s, d)),
