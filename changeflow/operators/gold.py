@@ -38,6 +38,27 @@ def bot_counts(silver: DataFrame, width: str = "1 minute") -> DataFrame:
     return _flatten(g, "es_bot", "eventos")
 
 
+def activity_bot_counts(silver: DataFrame, width: str = "1 minute") -> DataFrame:
+    """P1 and P2 folded: events per (tumbling window, server, namespace,
+    is-bot). One aggregation (one scan, one state store in a stream) from
+    which both are derived exactly by summing."""
+    g = (silver.groupBy(F.window("ts_evento", width), F.col("servidor"), F.col("espacio"), F.col("es_bot"))
+         .agg(F.count(F.lit(1)).alias("eventos")))
+    return _flatten(g, "servidor", "espacio", "es_bot", "eventos")
+
+
+def activity_from_counts(counts: DataFrame) -> DataFrame:
+    """P1 from the folded counts."""
+    return (counts.groupBy("ventana_inicio", "ventana_fin", "servidor", "espacio")
+            .agg(F.sum("eventos").cast("long").alias("eventos")))
+
+
+def bots_from_counts(counts: DataFrame) -> DataFrame:
+    """P2 from the folded counts."""
+    return (counts.groupBy("ventana_inicio", "ventana_fin", "es_bot")
+            .agg(F.sum("eventos").cast("long").alias("eventos")))
+
+
 def concurrent_pages(silver: DataFrame, width: str = "5 minutes", slide: str = "1 minute",
                      min_editors: int = MIN_EDITORS, exact: bool = False,
                      edit_types=LIVE_EDIT_TYPES, rsd: float = 0.05) -> DataFrame:

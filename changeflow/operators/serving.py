@@ -125,6 +125,11 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
     frames = {k: (read_table(spark, layer_path(warehouse, k)).drop("dia") if ok else None)
               for k, ok in present.items()}
     out = {"volumes": layer_volumes(spark, frames)}
+    if present["gold_counts"] and not (present["gold_activity"] and present["gold_bots"]):
+        from changeflow.operators.gold import activity_from_counts, bots_from_counts
+        frames["gold_activity"] = activity_from_counts(frames["gold_counts"])
+        frames["gold_bots"] = bots_from_counts(frames["gold_counts"])
+        present["gold_activity"] = present["gold_bots"] = True
     if not (present["gold_activity"] and present["gold_bots"]):
         return out
     if present["silver"]:

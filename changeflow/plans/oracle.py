@@ -474,6 +474,7 @@ ORACLE.update({
 # Streaming chain: the append streams equal their batch twins.
 ORACLE.update({
     "stream_gold_activity": ORACLE["gold_activity"],
+    "stream_gold_activity_folded": ORACLE["gold_activity"],
     "stream_gold_bot_counts": ORACLE["gold_bot_counts"],
     "stream_gold_concurrent_exact": ORACLE["gold_concurrent_exact"],
     "stream_silver_dedup_proof": q("""

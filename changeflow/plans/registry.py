@@ -187,7 +187,8 @@ from changeflow.sources.tables import layer_path, read_table  # noqa: E402
 from changeflow.streaming.chain import ChainConfig, run_chain_available  # noqa: E402
 
 
-def _stream_chain(spark: SparkSession, sf_dir: str, exact_editors: bool = True) -> ChainConfig:
+def _stream_chain(spark: SparkSession, sf_dir: str, exact_editors: bool = True,
+                  fold_counts: bool = False) -> ChainConfig:
     """Drain the replayed queue through the five streaming queries
     (``availableNow``) into a fresh folder of the shared checkpoint store."""
     apply_required(spark)
@@ -197,7 +198,7 @@ def _stream_chain(spark: SparkSession, sf_dir: str, exact_editors: bool = True)
     # its first start; the session default of 200 would run 200 state stores
     # per operator for a few thousand rows each)
     cfg = ChainConfig(warehouse=base + "/wh", checkpoints=base + "/ckpt", exact_editors=exact_editors,
-                      edit_types=replay.EVENTS_EDIT_TYPES,
+                      edit_types=replay.EVENTS_EDIT_TYPES, fold_counts=fold_counts,
                       state_partitions=spark.sparkContext.defaultParallelism)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
@@ -219,7 +220,14 @@ def _stream_dedup_proof(spark, sf_dir):
     return lateness.dedup_proof(read_table(spark, layer_path(cfg.warehouse, "silver")))
 
 
+def _stream_folded(spark, sf_dir):
+    """P1 derived from the folded P1/P2 stream."""
+    cfg = _stream_chain(spark, sf_dir, fold_counts=True)
+    return gold.activity_from_counts(read_table(spark, layer_path(cfg.warehouse, "gold_counts")).drop("dia"))
+
+
 QUERIES.update({
+    "stream_gold_activity_folded": _stream_folded,
     "stream_gold_activity": _stream_layer("gold_activity"),
     "stream_gold_bot_counts": _stream_layer("gold_bots"),
     "stream_gold_concurrent_exact": _stream_layer("gold_concurrent"),

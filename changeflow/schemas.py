@@ -80,6 +80,16 @@ P2 = T.StructType([
     T.StructField("eventos", T.LongType()),
 ])
 
+# P1 and P2 folded into one table (one streaming aggregate).
+COUNTS = T.StructType([
+    T.StructField("ventana_inicio", T.TimestampType()),
+    T.StructField("ventana_fin", T.TimestampType()),
+    T.StructField("servidor", T.StringType()),
+    T.StructField("espacio", T.IntegerType()),
+    T.StructField("es_bot", T.BooleanType()),
+    T.StructField("eventos", T.LongType()),
+])
+
 P3 = T.StructType([
     T.StructField("ventana_inicio", T.TimestampType()),
     T.StructField("ventana_fin", T.TimestampType()),
@@ -103,4 +113,5 @@ LAYERS = {
     "gold_activity": (P1, "ventana_inicio"),
     "gold_bots": (P2, "ventana_inicio"),
     "gold_concurrent": (P3, "ventana_inicio"),
+    "gold_counts": (COUNTS, "ventana_inicio"),
 }

@@ -35,6 +35,9 @@ class ChainConfig:
     # query's first start (they are part of its checkpoint), so size them for
     # the target volume up front: state per partition = state / partitions.
     state_partitions: int | None = None
+    # One streaming aggregate for P1 and P2 (table gold_counts) instead of
+    # two; read them with gold.activity_from_counts / bots_from_counts.
+    fold_counts: bool = False
     names: dict = field(default_factory=dict)
 
     def ckpt(self, spark: SparkSession, job: str) -> str:
@@ -77,12 +80,12 @@ def gold_frames(spark: SparkSession, cfg: ChainConfig) -> dict[str, DataFrame]:
         s = stream_table(spark, layer_path(cfg.warehouse, "silver"), "silver",
                          max_files_per_trigger=cfg.max_files_per_trigger)
         return dedup.with_lateness(s.drop("dia"), cfg.lateness)
-    return {
-        "gold_activity": gold.activity(silver_stream()),
-        "gold_bots": gold.bot_counts(silver_stream()),
-        "gold_concurrent": gold.concurrent_pages(silver_stream(), exact=cfg.exact_editors,
-                                                 edit_types=cfg.edit_types),
-    }
+    frames = ({"gold_counts": gold.activity_bot_counts(silver_stream())} if cfg.fold_counts else
+              {"gold_activity": gold.activity(silver_stream()),
+               "gold_bots": gold.bot_counts(silver_stream())})
+    frames["gold_concurrent"] = gold.concurrent_pages(silver_stream(), exact=cfg.exact_editors,
+                                                      edit_types=cfg.edit_types)
+    return frames
 
 
 def start_gold(spark: SparkSession, cfg: ChainConfig) -> list[StreamingQuery]:

@@ -72,3 +72,13 @@ def test_approx_close_to_exact(spark):
     assert j.count() > 1000
     off = j.filter(F.abs(F.col("a") - F.col("e")) > F.greatest(F.lit(1.0), F.lit(3 * 0.05) * F.col("e")))
     assert off.count() == 0
+
+
+def test_folded_counts_give_p1_and_p2(spark):
+    from changeflow.plans.registry import silver
+    s = silver(spark, "/root/testdata/sf0.01")
+    counts = gold.activity_bot_counts(s)
+    p1, p2 = gold.activity(s), gold.bot_counts(s)
+    f1, f2 = gold.activity_from_counts(counts), gold.bots_from_counts(counts)
+    assert p1.exceptAll(f1).count() == 0 and f1.exceptAll(p1).count() == 0
+    assert p2.exceptAll(f2).count() == 0 and f2.exceptAll(p2).count() == 0
