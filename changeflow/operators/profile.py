@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.columns import event_time
 from changeflow.operators.ordering import exact_quantiles, prefix_max_before
+from changeflow.session import ensure_checkpoint_dir
 
 
 def _events(cap: DataFrame) -> DataFrame:
@@ -213,29 +214,51 @@ def _paths(v, prefix, depth: int, level: int = 1):
     return F.flatten(F.transform(entries, one))
 
 
+def _raw_paths(cap: DataFrame, depth: int) -> DataFrame:
+    ev = _events(cap).select(
+        F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"),
+        F.try_parse_json("evento").alias("v"))
+    return (ev.filter(F.col("v").isNotNull())
+            .select("tipo", F.explode(_paths(F.col("v"), F.lit(""), depth)).alias("p"))
+            .select("tipo", "p.ruta", "p.tipo_json", "p.nivel"))
+
+
+def _too_shallow(paths: DataFrame, depth: int) -> bool:
+    return not paths.filter((F.col("nivel") == depth) & (F.col("tipo_json") == "struct")).isEmpty()
+
+
 def field_paths(cap: DataFrame, depth: int = 8) -> DataFrame:
     """One row per (event, dotted path) with the path's JSON type and the
     event's type. The walk is unrolled ``depth`` levels deep; if some object
     still sits at the last level, it is redone twice as deep, so no path is
     ever left out."""
-    ev = _events(cap).select(
-        F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"),
-        F.try_parse_json("evento").alias("v"))
-    paths = (ev.filter(F.col("v").isNotNull())
-             .select("tipo", F.explode(_paths(F.col("v"), F.lit(""), depth)).alias("p"))
-             .select("tipo", "p.ruta", "p.tipo_json", "p.nivel"))
-    deeper = paths.filter((F.col("nivel") == depth) & (F.col("tipo_json") == "struct"))
-    if not deeper.isEmpty():
+    paths = _raw_paths(cap, depth)
+    if _too_shallow(paths, depth):
         return field_paths(cap, depth * 2)
     return paths.drop("nivel")
 
 
+def path_stats(cap: DataFrame, depth: int = 8) -> DataFrame:
+    """Events per (event type, path, JSON type): one pass over the capture.
+    The aggregate is as small as the observed schema; it is frozen with a
+    checkpoint, so the depth check and the reports built on it do not scan
+    the capture again."""
+    ensure_checkpoint_dir(cap.sparkSession)
+    stats = (_raw_paths(cap, depth)
+             .groupBy("tipo", "ruta", "tipo_json", "nivel")
+             .agg(F.count(F.lit(1)).alias("n"))
+             .checkpoint(eager=True))
+    if _too_shallow(stats, depth):
+        return path_stats(cap, depth * 2)
+    return stats.drop("nivel")
+
+
 def schema_profile(cap: DataFrame) -> DataFrame:
     """I8: per dotted path: presence (% of events), observed JSON types
     (most common first) and a flag when there is more than one."""
-    paths = field_paths(cap)
+    stats = path_stats(cap)
     total = _events(cap).agg(F.count(F.lit(1)).alias("_t"))
-    per_type = paths.groupBy("ruta", "tipo_json").agg(F.count(F.lit(1)).alias("n"))
+    per_type = stats.groupBy("ruta", "tipo_json").agg(F.sum("n").alias("n"))
     per_path = (per_type.groupBy("ruta")
                 .agg(F.sum("n").alias("n"),
                      F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col("tipo_json").alias("t")))).alias("_ts")))
@@ -248,16 +271,15 @@ def schema_profile(cap: DataFrame) -> DataFrame:
 
 def type_fields(cap: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Per event type, fields that are not in every event but are in
-    at least ``threshold`` of that type's events."""
-    # a path occurs at most once per event, so counts of rows are counts of events
-    paths = field_paths(cap).select("tipo", "ruta")
+    at least ``threshold`` of that type's events. A path occurs at most once
+    per event, so summed counts are counts of events."""
+    stats = path_stats(cap).groupBy("tipo", "ruta").agg(F.sum("n").alias("k"))
     ev = _events(cap).select(F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"))
     per_type_n = ev.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"))
-    total = ev.agg(F.count(F.lit(1)).alias("_t"))
-    common = (paths.groupBy("ruta").agg(F.count(F.lit(1)).alias("c"))
+    total = per_type_n.agg(F.sum("n").alias("_t"))
+    common = (stats.groupBy("ruta").agg(F.sum("k").alias("c"))
               .crossJoin(F.broadcast(total)).filter(F.col("c") == F.col("_t")).select("ruta"))
-    per = (paths.groupBy("tipo", "ruta").agg(F.count(F.lit(1)).alias("k"))
-           .join(common, "ruta", "left_anti")
+    per = (stats.join(common, "ruta", "left_anti")
            .join(per_type_n, "tipo")
            .filter(F.col("k") >= F.lit(threshold) * F.col("n"))
            .groupBy("tipo").agg(F.array_join(F.sort_array(F.collect_list("ruta")), ", ").alias("campos")))
