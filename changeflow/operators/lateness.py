@@ -35,20 +35,22 @@ def injected_duplicates(batch: DataFrame) -> DataFrame:
             .withColumn("duplicados", F.col("filas") - F.col("distintos")))
 
 
-def survival(batch: DataFrame, silver: DataFrame, one_bucket_per_id: bool = False) -> DataFrame:
+def survival(batch: DataFrame, silver: DataFrame, one_bucket_per_id: bool = False,
+             null_bucket: str | None = None) -> DataFrame:
     """H4: per delay bucket, distinct ids in the raw batch, how many reached
     silver and the share (%, 1 decimal), ordered by bucket.
 
     By default an id is counted once per bucket its copies fall in (as the
     reference does); ``one_bucket_per_id`` keeps only its smallest delay.
-    The silver side is reduced to distinct ids before the join, and the
+    A NULL delay falls in the last bucket unless ``null_bucket`` names its
+    own. The silver side is reduced to distinct ids before the join, and the
     join is left outer on the id so the optimizer (AQE) picks broadcast or
     sort-merge from runtime sizes."""
     if one_bucket_per_id:
         ids = batch.groupBy("meta_id").agg(F.min("retraso_s").alias("retraso_s"))
     else:
         ids = batch.select("meta_id", "retraso_s")
-    b = ids.select("meta_id", delay_bucket("retraso_s").alias("tramo")).distinct()
+    b = ids.select("meta_id", delay_bucket("retraso_s", null_bucket).alias("tramo")).distinct()
     if "dia" in silver.columns and "ts_evento" in batch.columns:
         # A stored, day-partitioned silver: read only the days of the batch.
         # An id lands in silver on the day of its own event time, so the

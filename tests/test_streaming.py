@@ -150,3 +150,14 @@ def test_survival_with_day_pruning_equals_plain(spark, scratch):
     pruned = lateness.survival(batch, silver).collect()
     plain = lateness.survival(batch, silver.drop("dia")).collect()
     assert pruned == plain and sum(r.en_plata for r in pruned) > 0
+
+
+def test_delay_bucket_edges(spark):
+    from changeflow.functions.columns import delay_bucket
+    vals = [0.0, 4.999, 5.0, 14.999, 15.0, 29.999, 30.0, 44.999, 45.0, 59.999, 60.0, 120.0, None]
+    df = spark.createDataFrame([(v,) for v in vals], "d double")
+    got = [r.b for r in df.select(delay_bucket("d").alias("b")).collect()]
+    assert got == ["a) <5s", "a) <5s", "b) 5-15s", "b) 5-15s", "c) 15-30s", "c) 15-30s", "d) 30-45s",
+                   "d) 30-45s", "e) 45-60s", "e) 45-60s", "f) >60s", "f) >60s", "f) >60s"]
+    own = df.select(delay_bucket("d", "g) sin retraso").alias("b")).collect()[-1].b
+    assert own == "g) sin retraso"
