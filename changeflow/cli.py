@@ -2,7 +2,7 @@
 
     bronze   --source kafka --brokers B --topic T  (or --queue-path P) --warehouse W
     silver   --warehouse W [--lateness "30 seconds"]
-    gold     --warehouse W [--exact]
+    gold     --warehouse W [--exact] [--fold-counts]
     report   --warehouse W [--since "2026-08-17 00:00:00"]
     verify   --warehouse W [--source kinesis]      exit code 0 = no loss, no duplicates
     late     --warehouse W [--tag "evento sintetico"]
@@ -37,6 +37,7 @@ def _args(argv):
     p.add_argument("--lateness", default="30 seconds")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--exact", action="store_true")
+    p.add_argument("--fold-counts", action="store_true")
     p.add_argument("--since")
     p.add_argument("--tag", default="evento sintetico")
     return p.parse_args(argv)
@@ -54,7 +55,7 @@ def main(argv=None) -> int:
     spark = get_session(app="changeflow-" + a.job)
     cfg = chain.ChainConfig(warehouse=a.warehouse, checkpoints=a.checkpoints, lateness=a.lateness,
                             available_now=a.available_now, exact_editors=a.exact,
-                            state_partitions=a.state_partitions)
+                            state_partitions=a.state_partitions, fold_counts=a.fold_counts)
     if a.trigger:
         cfg.bronze_trigger = cfg.silver_trigger = cfg.gold_trigger = a.trigger
 
