@@ -21,6 +21,9 @@ BRONZE = T.StructType([
     T.StructField("ingerido_en", T.TimestampType()),
 ])
 
+# The envelope as a queue delivers it (bronze without the ingest stamp).
+ENVELOPE = T.StructType([f for f in BRONZE.fields if f.name != "ingerido_en"])
+
 # Only the fields the refine step reads.
 EVENT = T.StructType([
     T.StructField("meta", T.StructType([

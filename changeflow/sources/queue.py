@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.schemas import BRONZE
+from changeflow.schemas import ENVELOPE
 
 SOURCE_ENV = "CHANGEFLOW_SOURCE"
 DEFAULT_SOURCE = "kafka"
@@ -116,17 +116,12 @@ def read_queue(spark: SparkSession, name: str | None = None, **kw) -> DataFrame:
 def read_envelope_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Offline stand-in for a queue: a folder of Parquet files holding
     envelope rows, read as a stream (one or more files per micro-batch)."""
-    reader = spark.readStream.schema(_envelope_schema())
+    reader = spark.readStream.schema(ENVELOPE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(path)
 
 
-def _envelope_schema():
-    from pyspark.sql import types as T
-    return T.StructType([f for f in BRONZE.fields if f.name != "ingerido_en"])
-
-
 def stamp_ingest(df: DataFrame) -> DataFrame:
     """Ingest stamp = start of the micro-batch that wrote the row."""
     return df.withColumn("ingerido_en", F.current_timestamp())
