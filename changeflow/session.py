@@ -26,6 +26,9 @@ SCALE_CONF = {
     # The default keeps 100 state versions; checkpoints then outgrow the data.
     "spark.sql.streaming.minBatchesToRetain": "10",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The ordered passes freeze data with reliable checkpoints; remove those
+    # files once nothing references them (set when the context starts).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
