@@ -37,9 +37,12 @@ def read_capture(spark: SparkSession, path: str) -> DataFrame:
 
 def capture_from_raw(raw: DataFrame) -> DataFrame:
     """A capture frame from raw envelope rows: arrival = queue time, ties
-    broken by (offset, partition)."""
-    seq = (F.expr("try_cast(desplazamiento AS BIGINT)") * F.lit(1000)
-           + F.coalesce(F.expr("try_cast(particion AS BIGINT)"), F.lit(0)))
+    broken by (offset, partition); offsets that are not 64-bit integers
+    (Kinesis sequence numbers) fall back to a hash of the message."""
+    seq = F.coalesce(
+        F.expr("try_cast(desplazamiento AS BIGINT)") * F.lit(1000)
+        + F.coalesce(F.expr("try_cast(particion AS BIGINT)"), F.lit(0)),
+        F.xxhash64(F.col("valor")))
     return raw.select(
         (F.unix_micros(F.col("ts_cola")) / F.lit(1e6)).alias("recibido"),
         seq.alias("seq"),

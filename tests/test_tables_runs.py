@@ -66,3 +66,17 @@ def test_compact_day(spark, scratch):
     want = read_table(spark, src, layer="bronze").filter("dia = DATE'2024-01-02'")
     assert out.count() == want.count() > 0
     assert len(out.inputFiles()) == 1
+
+
+def test_report_on_folded_warehouse(spark, scratch):
+    from changeflow.operators import serving
+    from changeflow.streaming.chain import ChainConfig, run_chain_available
+    env = replay.replay_bronze(spark, "/root/testdata/sf0.001").drop("ingerido_en")
+    env.repartition(2).write.parquet(scratch + "/queue")
+    cfg = ChainConfig(warehouse=scratch + "/wh", checkpoints=scratch + "/ck", fold_counts=True,
+                      edit_types=replay.EVENTS_EDIT_TYPES)
+    run_chain_available(spark, read_envelope_files(spark, scratch + "/queue"), cfg)
+    rep = serving.report(spark, cfg.warehouse)
+    vol = {r.tabla: r.existe for r in rep["volumes"].collect()}
+    assert vol["gold_counts"] and not vol["gold_activity"]
+    assert rep["activity_latest"].count() >= 1 and rep["bot_share"].count() == 12
