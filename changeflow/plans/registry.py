@@ -23,29 +23,36 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.replay_bronze(spark, sf_dir)
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = bronze(spark, sf_dir)
-    return dedup.dedup_first(refine.refine(raw, ingest="ingerido_en"))
+# Columns the gold windows read: projecting to them (plus id and queue time)
+# before the dedup keeps the shuffle narrow.
+GOLD_COLUMNS = ("ts_evento", "tipo", "wiki", "servidor", "espacio", "titulo", "usuario", "es_bot")
+
+
+def silver(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    refined = refine.refine(bronze(spark, sf_dir), ingest="ingerido_en")
+    if columns:
+        refined = refined.select("meta_id", "ts_cola", *columns)
+    return dedup.dedup_first(refined)
 
 
 def gold_p1(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, GOLD_COLUMNS)
     return gold.closed_windows(gold.activity(s), s, LATENESS)
 
 
 def gold_p2(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, GOLD_COLUMNS)
     return gold.closed_windows(gold.bot_counts(s), s, LATENESS)
 
 
 def gold_p3(spark, sf_dir, exact=True):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, GOLD_COLUMNS)
     p3 = gold.concurrent_pages(s, exact=exact, edit_types=replay.EVENTS_EDIT_TYPES)
     return gold.closed_windows(p3, s, LATENESS)
 
 
 def layer_volumes(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, GOLD_COLUMNS)
     p3 = gold.concurrent_pages(s, exact=True, edit_types=replay.EVENTS_EDIT_TYPES)
     return serving.layer_volumes(spark, {
         "bronze": bronze(spark, sf_dir),
@@ -64,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_concurrent_exact": gold_p3,
     "gold_concurrent_approx": lambda spark, d: gold_p3(spark, d, exact=False),
     "serve_layer_volumes": layer_volumes,
-    "serve_latency": lambda spark, d: serving.latency(silver(spark, d), exact=True),
+    "serve_latency": lambda spark, d: serving.latency(silver(spark, d, ("ts_evento", "ingerido_en")), exact=True),
     "serve_activity_latest": lambda spark, d: serving.activity_latest(gold_p1(spark, d)),
     "serve_bot_share": lambda spark, d: serving.bot_share(gold_p2(spark, d)),
     "serve_bot_share_swing": lambda spark, d: serving.bot_share_swing(gold_p2(spark, d)),
