@@ -80,3 +80,15 @@ def test_report_on_folded_warehouse(spark, scratch):
     vol = {r.tabla: r.existe for r in rep["volumes"].collect()}
     assert vol["gold_counts"] and not vol["gold_activity"]
     assert rep["activity_latest"].count() >= 1 and rep["bot_share"].count() == 12
+
+
+def test_since_prunes_day_partitions(spark, scratch, capsys):
+    env = replay.replay_bronze(spark, "/root/testdata/sf0.001")
+    src = scratch + "/bronze_p"
+    env.withColumn("dia", F.to_date("ts_cola")).write.partitionBy("dia").parquet(src)
+    df = read_table(spark, src, layer="bronze", since="2024-01-29 00:00:00").select("ts_cola")
+    df.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(dia" in plan and "2024-01-29" in plan
+    assert "ReadSchema: struct<ts_cola:timestamp>" in plan
+    assert df.count() == env.filter("ts_cola >= TIMESTAMP'2024-01-29 00:00:00'").count() > 0
