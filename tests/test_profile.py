@@ -83,3 +83,18 @@ def test_cli_profile(spark, scratch, capsys):
     assert cli.main(["profile", "--capture", path]) == 0
     out = capsys.readouterr().out
     assert "== disorder" in out and "== examples" in out
+
+
+def test_capture_roundtrip(spark, scratch):
+    from pyspark.sql import functions as F
+    from changeflow.sources import replay
+    from changeflow.sources.capture import capture_from_raw, write_capture
+    cap = capture_from_raw(replay.replay_bronze(spark, "/root/testdata/sf0.001"))
+    write_capture(cap, scratch + "/cap_out")
+    back = read_capture(spark, scratch + "/cap_out")
+    a = cap.select("recibido", F.get_json_object("evento", "$.meta.id").alias("id"))
+    b = back.select("recibido", F.get_json_object("evento", "$.meta.id").alias("id"))
+    assert back.filter("error").count() == 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    t1, t2 = P.throughput(cap).first(), P.throughput(back).first()
+    assert t1.eventos == t2.eventos == 1000 and t1.duracion_s == t2.duracion_s
