@@ -161,3 +161,16 @@ def test_delay_bucket_edges(spark):
                    "d) 30-45s", "e) 45-60s", "e) 45-60s", "f) >60s", "f) >60s", "f) >60s"]
     own = df.select(delay_bucket("d", "g) sin retraso").alias("b")).collect()[-1].b
     assert own == "g) sin retraso"
+
+
+def test_hll_stream_equals_hll_batch(spark, scratch):
+    sf = "/root/testdata/sf0.01"
+    env = replay.replay_bronze(spark, sf).drop("ingerido_en")
+    env.repartition(4).write.parquet(scratch + "/queue")
+    cfg = ChainConfig(warehouse=scratch + "/wh", checkpoints=scratch + "/ck", exact_editors=False,
+                      edit_types=replay.EVENTS_EDIT_TYPES)
+    run_chain_available(spark, read_envelope_files(spark, scratch + "/queue"), cfg)
+    s = read_table(spark, layer_path(cfg.warehouse, "gold_concurrent")).drop("dia")
+    b = registry.gold_p3(spark, sf, exact=False)
+    assert s.count() == b.count() > 0
+    assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
