@@ -145,3 +145,49 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
 
 __all__ = ["report", "layer_volumes", "latency", "activity_latest", "bot_share",
            "bot_share_swing", "concurrent_top"]
+
+
+def commit_latency(silver: DataFrame, commits: DataFrame, lookback: str | None = "15 minutes",
+                   exact: bool = False) -> DataFrame:
+    """F2 measured to the commit: seconds from event time to the commit of
+    the micro-batch that wrote the row. ``ingerido_en`` is the batch start,
+    so the plain latency leaves out the batch's run time; ``commits`` is
+    the silver query's ``commit_history``.
+
+    The commit of a row is the first commit at or after its batch start.
+    Both sides have one row per micro-batch; a descending scan with the
+    distributed prefix max finds it, and the start -> commit map joins back
+    on the ingest stamp (broadcast only when counted small)."""
+    from changeflow.operators.common import broadcast_if_small
+    from changeflow.operators.ordering import prefix_max_before
+
+    starts = silver.select(F.col("ingerido_en").alias("_start")).distinct()
+    points = (starts.select(F.col("_start"), (-F.unix_micros("_start")).alias("_key"),
+                            F.lit(1).alias("_kind"), F.lit(None).cast("double").alias("_v"))
+              .unionByName(commits.select(
+                  F.lit(None).cast("timestamp").alias("_start"),
+                  (-F.unix_millis("committed_at") * 1000).alias("_key"),
+                  F.lit(0).alias("_kind"),
+                  (-F.unix_millis("committed_at") * 1000).cast("double").alias("_v"))))
+    # descending time; at equal time the commit comes first (commit >= start)
+    scanned = prefix_max_before(points, ["_key", "_kind"], "_v", "_neg")
+    mapping = (scanned.filter(F.col("_kind") == 1)
+               .select(F.col("_start").alias("ingerido_en"),
+                       F.timestamp_micros((-F.col("_neg")).cast("long")).alias("_commit")))
+    rows = silver.select("ts_evento", "ingerido_en")
+    if lookback:
+        bound = silver.agg((F.max("ts_evento") - F.expr("INTERVAL " + lookback)).alias("_lo"))
+        rows = rows.crossJoin(F.broadcast(bound)).filter(F.col("ts_evento") > F.col("_lo")).drop("_lo")
+    lat = (rows.join(broadcast_if_small(mapping), "ingerido_en", "left")
+           .filter(F.col("_commit").isNotNull())
+           .select((F.col("_commit").cast("double") - F.col("ts_evento").cast("double")).alias("lat")))
+    if exact:
+        stats = lat.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"), F.max("lat").alias("_max"))
+        both = stats.crossJoin(exact_quantiles(lat, "lat", {"_p50": 0.50, "_p95": 0.95, "_p99": 0.99}))
+    else:
+        both = lat.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"), F.max("lat").alias("_max"),
+                       *[F.percentile_approx("lat", F.lit(p), F.lit(10000)).alias(n)
+                         for n, p in (("_p50", 0.5), ("_p95", 0.95), ("_p99", 0.99))])
+    return both.select("filas", *[F.round(F.col(c), 2).alias(a) for c, a in
+                                  (("_min", "minimo"), ("_p50", "p50"), ("_p95", "p95"),
+                                   ("_p99", "p99"), ("_max", "maximo"))])
