@@ -77,7 +77,8 @@ def main(argv=None) -> int:
         return 0
 
     if a.job == "report":
-        for name, df in serving.report(spark, a.warehouse, exact=a.exact, since=a.since).items():
+        for name, df in serving.report(spark, a.warehouse, exact=a.exact, since=a.since,
+                                       silver_checkpoint=cfg.ckpt(spark, "silver")).items():
             print("== %s" % name)
             df.show(truncate=False)
         return 0

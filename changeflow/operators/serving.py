@@ -114,11 +114,12 @@ def concurrent_top(p3: DataFrame, n: int = 15) -> DataFrame:
 
 
 def report(spark: SparkSession, warehouse: str, exact: bool = False,
-           since: str | None = None) -> dict[str, DataFrame]:
+           since: str | None = None, silver_checkpoint: str | None = None) -> dict[str, DataFrame]:
     """F1-F6 over the stored layers of a warehouse. A missing layer is
     reported, not an error; without the P1 and P2 tables only the volumes
     are returned. ``since`` limits silver to recent day partitions for the
-    latency query (partition pruning)."""
+    latency query (partition pruning); with the silver query's checkpoint
+    the latency to commit is added."""
     from changeflow.schemas import LAYERS
     from changeflow.sources.tables import layer_path, read_table, table_exists
     present = {k: table_exists(spark, layer_path(warehouse, k)) for k in LAYERS}
@@ -135,6 +136,14 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
     if present["silver"]:
         silver = read_table(spark, layer_path(warehouse, "silver"), since=since).drop("dia")
         out["latency"] = latency(silver, exact=exact)
+        if silver_checkpoint:
+            from changeflow.streaming.commits import commit_history
+            try:
+                commits = commit_history(spark, silver_checkpoint)
+                commits.schema  # noqa: B018  (fails here when the folder is missing)
+                out["commit_latency"] = commit_latency(silver, commits, exact=exact)
+            except Exception:  # no checkpoint there: report without it
+                pass
     out["activity_latest"] = activity_latest(frames["gold_activity"])
     out["bot_share"] = bot_share(frames["gold_bots"])
     out["bot_share_swing"] = bot_share_swing(frames["gold_bots"])

@@ -132,8 +132,11 @@ def test_cli_jobs_and_report(spark, scratch):
     assert set(rep) == {"volumes"}
     assert cli.main(["silver"] + common) == 0
     assert cli.main(["gold"] + common) == 0
-    rep = serving.report(spark, scratch + "/wh", since="2024-01-30 00:00:00")
-    assert {"latency", "activity_latest", "bot_share", "bot_share_swing", "concurrent_top"} <= set(rep)
+    rep = serving.report(spark, scratch + "/wh", since="2024-01-30 00:00:00",
+                         silver_checkpoint=scratch + "/ck/silver")
+    assert {"latency", "commit_latency", "activity_latest", "bot_share", "bot_share_swing",
+            "concurrent_top"} <= set(rep)
+    assert rep["commit_latency"].first().filas == rep["latency"].first().filas
     assert rep["activity_latest"].count() >= 1
     assert rep["latency"].first().filas > 0
 
