@@ -6,13 +6,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, secrets
+from . import ann, chat, decontam, langid, lines, packing, pieces, secrets, simhash, suffixes
+from .shared import stored
+
+#: vocabulary files, a parameter of the operators that read them
+TOKENIZERS = "/opt/tokenizers"
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+RANK_FILE = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+# fixed value: the pattern that splits text before the merges of the rank file
+SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +37,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.span_text(F.col("spans")).alias("spans"))
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 #: conversation -7: a text that holds control strings, an escape character
 #: and the end of a turn
 TRICKY = "\\### Assistant: </turn> ok"
@@ -44,14 +61,63 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred",
+                        F.col("lang_score").alias("score"))
+
+
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load_vocabulary(PIECE_MODEL)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+                       F.sha2("decoded", 256).alias("decoded_sha256"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
+
+
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = stored(packing.pack(_table(spark, sf_dir, "documents"), packing.load_ranks(RANK_FILE), SPLIT_PATTERN),
+                    "packed")
+    back = packing.unpack(blocks)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "n_pieces", "first_at",
+                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"))
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op2_secrets": op2_secrets, "op4_chat": op4_chat, "op9_lines": op9_lines}
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_secrets": op2_secrets, "op3_decontam": op3_decontam,
+           "op4_chat": op4_chat, "op5_langid": op5_langid, "op6_pieces": op6_pieces, "op7_ann": op7_ann,
+           "op8_packing": op8_packing, "op9_lines": op9_lines, "op10_suffixes": op10_suffixes}
 
 ORACLE = {
+    "op3_decontam": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ds AS (SELECT DISTINCT doc_id, list_aggregate(ws[i:i + least(5, len(ws)) - 1], 'string_agg', ' ') AS s
+       FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - least(5, len(ws)) + 1)) AS i FROM w WHERE len(ws) > 0)),
+v AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x20\x09-\x0D]+') AS ws FROM benchmark),
+bs AS (SELECT DISTINCT item_id, list_aggregate(ws[i:i + least(5, len(ws)) - 1], 'string_agg', ' ') AS s
+       FROM (SELECT item_id, ws, unnest(generate_series(1, len(ws) - least(5, len(ws)) + 1)) AS i FROM v WHERE len(ws) > 0)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+hit AS (SELECT doc_id, item_id, count(*) AS n_held FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_held, CAST(n_held AS DOUBLE) / n_shingles AS containment
+FROM hit JOIN n USING (item_id) WHERE n_held >= ceil(0.8 * n_shingles - 1e-9)""",
     "op4_chat": r"""
 WITH logs AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -65,6 +131,22 @@ SELECT conv_id, count(*) AS n_turns,
     + length(replace(replace(role, '\', '\b'), '<', '\l'))
     + length(replace(replace(text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
 FROM logs GROUP BY conv_id""",
+    "op10_suffixes": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, p, substring(x, 2 * p + 1, 100) AS s
+      FROM (SELECT doc_id, x, unnest(generate_series(0, length(x) // 2 - 50)) AS p FROM d WHERE length(x) >= 100)),
+f AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, p, max(p + 50) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+      FROM w JOIN f USING (s) WHERE doc_id > first_doc),
+r AS (SELECT doc_id, p, sum(CASE WHEN reach >= p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+i AS (SELECT doc_id, run, min(p) AS b, max(p) + 50 AS e FROM r GROUP BY doc_id, run),
+c AS (SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS from_b FROM i),
+k AS (SELECT c.doc_id, CAST(sum(e - b) AS BIGINT) AS n_removed, count(*) AS n_spans, max(e) AS last_e,
+             string_agg(substring(x, 2 * from_b + 1, 2 * (b - from_b)), '' ORDER BY b) AS kept
+      FROM c JOIN d USING (doc_id) GROUP BY c.doc_id)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept || substring(x, 2 * last_e + 1), x))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
     "op9_lines": r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
