@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 8_192
-QUERIES = 1_024
-TABLES = 40
-LEAST = 26
-RATIO = 1.25
-START = 0.5
-SHARE = 0.12
+QUERIES = 512
+TABLES = 64
+LEAST = 44
+RATIO = 1.3
+START = 1.1
+SHARE = 0.25
 SEED = 3
 
 
@@ -51,7 +51,7 @@ class BlockIndex:
         by = np.argsort(group, kind="stable")
         ends = np.cumsum(np.bincount(group))
         # of equal vectors only the k + 1 smallest ids can be in a result
-        self.ids = [ids[by[a:min(b, a + k + 1)]] for a, b in zip(np.append(0, ends[:-1]), ends)]
+        self.ids = [np.unique(ids[by[a:b]])[:k + 1] for a, b in zip(np.append(0, ends[:-1]), ends)]
         self.vecs = vecs[first]
         self.norms = _norm(self.vecs)
         self.planes = np.random.default_rng(SEED).normal(size=(vecs.shape[1], TABLES))
@@ -59,29 +59,38 @@ class BlockIndex:
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(values, self.order.T, 0).T.copy()
 
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and cosines of the k nearest found, without the id ``own``."""
-        n, norm = len(self.vecs), _norm(query[None])[0]
-        centre = (query / norm) @ self.planes
-        hits = np.zeros(n, np.int32)
-        left = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, centre)])
-        right, width = left.copy(), START
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and cosines of the k nearest found, without
+        its own id."""
+        n, norms = len(self.vecs), _norm(queries)
+        centres = ((queries / norms[:, None]) @ self.planes).T.copy()
         enough = min(n, max(k + 1, int(np.ceil(SHARE * n))))
-        while True:
-            fresh = []
-            for t, (s, c) in enumerate(zip(self.sorted, centre)):
-                lo, hi = np.searchsorted(s, (c - width / 2, c + width / 2))
-                lo, hi = min(lo, left[t]), max(hi, right[t])
-                fresh += [self.order[t, lo:left[t]], self.order[t, right[t]:hi]]
-                left[t], right[t] = lo, hi
-            hits += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int32)
-            found = np.flatnonzero(hits >= LEAST)
-            whole = not left.any() and (right == n).all()
-            if whole or len(found) >= enough:
-                break
-            width *= RATIO
-        if whole:
-            found = np.arange(n)
+        hits = np.zeros((len(queries), n), np.int16)
+        middle = np.stack([np.searchsorted(s, c) for s, c in zip(self.sorted, centres)], axis=1)
+        left, right = middle, middle.copy()
+        out: list = [None] * len(queries)
+        active, width = np.arange(len(queries)), START
+        while len(active):
+            # the windows of this round, in every array, for all open queries
+            lo = np.stack([np.searchsorted(s, c[active] - width / 2) for s, c in zip(self.sorted, centres)], axis=1)
+            hi = np.stack([np.searchsorted(s, c[active] + width / 2) for s, c in zip(self.sorted, centres)], axis=1)
+            lo, hi = np.minimum(lo, left[active]), np.maximum(hi, right[active])
+            still = []
+            for q, a, b, c, d in zip(active.tolist(), lo.tolist(), left[active].tolist(), right[active].tolist(),
+                                     hi.tolist()):
+                fresh = [o[x:y] for o, x, y in zip(self.order, a, b)] + [o[x:y] for o, x, y in zip(self.order, c, d)]
+                hits[q] += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
+                found = np.flatnonzero(hits[q] >= LEAST)
+                whole = not any(a) and min(d) == n
+                if whole or len(found) >= enough:
+                    out[q] = self._verified(np.arange(n) if whole else found, queries[q], norms[q], own[q], k)
+                else:
+                    still.append(q)
+            left[active], right[active] = lo, hi
+            active, width = np.array(still, np.int64), width * RATIO
+        return out
+
+    def _verified(self, found, query, norm, own, k) -> tuple[np.ndarray, np.ndarray]:
         cosine = _cosine(self.vecs[found], self.norms[found], query, norm)
         if len(found) > k + 1:  # ties of the last place stay
             last = np.partition(cosine, len(found) - k - 1)[len(found) - k - 1]
@@ -114,8 +123,8 @@ def _cell(k: int):
         out = [], [], []
         if (role == 0).any():
             index = BlockIndex(ids[role == 0], vecs[role == 0], k)
-            for own, query in zip(ids[role == 1].tolist(), vecs[role == 1]):
-                near, score = index.search(query, own, k)
+            own = ids[role == 1]
+            for own, (near, score) in zip(own.tolist(), index.search(vecs[role == 1], own, k)):
                 out[0].append(np.full(len(near), own, np.int64))
                 out[1].append(near)
                 out[2].append(score)
