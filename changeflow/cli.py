@@ -39,27 +39,38 @@ def _args(argv):
     p.add_argument("--exact", action="store_true")
     p.add_argument("--fold-counts", action="store_true")
     p.add_argument("--since")
+    p.add_argument("--format", choices=["parquet", "iceberg"], default="parquet")
+    p.add_argument("--database", default="changeflow")
     p.add_argument("--tag", default="evento sintetico")
     return p.parse_args(argv)
 
 
+def _print_all(df) -> None:
+    """Every row, streamed partition by partition."""
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join(str(v) for v in row))
+
+
 def main(argv=None) -> int:
     a = _args(argv if argv is not None else sys.argv[1:])
     from changeflow.operators import integrity, lateness, serving
     from changeflow.session import get_session
     from changeflow.sources import queue
-    from changeflow.sources.tables import layer_path, read_table
+    from changeflow.sources.tables import ensure_tables, read_table
     from changeflow.streaming import chain
     from changeflow.streaming.run import run_available, run_group
 
     spark = get_session(app="changeflow-" + a.job)
     cfg = chain.ChainConfig(warehouse=a.warehouse, checkpoints=a.checkpoints, lateness=a.lateness,
                             available_now=a.available_now, exact_editors=a.exact,
-                            state_partitions=a.state_partitions, fold_counts=a.fold_counts)
+                            state_partitions=a.state_partitions, fold_counts=a.fold_counts,
+                            fmt=a.format, database=a.database)
     if a.trigger:
         cfg.bronze_trigger = cfg.silver_trigger = cfg.gold_trigger = a.trigger
 
     if a.job in ("bronze", "silver", "gold"):
+        ensure_tables(spark, a.warehouse, a.database, a.format)
         if a.job == "bronze":
             src = (queue.read_envelope_files(spark, a.queue_path) if a.queue_path else
                    queue.read_queue(spark, a.source, brokers=a.brokers, topic=a.topic,
@@ -78,29 +89,27 @@ def main(argv=None) -> int:
 
     if a.job == "report":
         for name, df in serving.report(spark, a.warehouse, exact=a.exact, since=a.since,
-                                       silver_checkpoint=cfg.ckpt(spark, "silver")).items():
+                                       silver_checkpoint=cfg.ckpt("silver")).items():
             print("== %s" % name)
-            df.show(truncate=False)
+            _print_all(df)
         return 0
 
     if a.job == "verify":
         from changeflow.streaming.commits import commit_history
-        bronze = read_table(spark, layer_path(a.warehouse, "bronze"))
+        bronze = read_table(spark, cfg.table("bronze"), layer="bronze")
         contiguous = queue.offsets_consecutive(a.source)
         v = integrity.verdict(bronze, contiguous=contiguous)
-        v.show(truncate=False)
+        _print_all(v)
         if contiguous:
-            integrity.continuity(bronze).show(50, truncate=False)
-        try:
-            commit_history(spark, cfg.ckpt(spark, "bronze")).show(50, truncate=False)
-        except Exception:  # no checkpoint of a bronze stream here
-            pass
+            _print_all(integrity.continuity(bronze))
+        _print_all(commit_history(spark, cfg.ckpt("bronze")))
         return 0 if v.first()["ok"] else 1
 
     if a.job == "profile":
         from changeflow.operators import profile
         from changeflow.sources.capture import read_capture
         cap = read_capture(spark, a.capture)
+        stats = profile.path_stats(cap)  # one walk for both schema reports
         for name, df in [("throughput", profile.throughput(cap)),
                          ("rate", profile.rate_percentiles(cap)),
                          ("sizes", profile.size_profile(cap)),
@@ -112,20 +121,20 @@ def main(argv=None) -> int:
                          ("duplicates", profile.duplicate_report(cap)),
                          ("disorder", profile.disorder(cap)),
                          ("latency", profile.arrival_latency(cap)),
-                         ("schema", profile.schema_profile(cap)),
-                         ("type_fields", profile.type_fields(cap)),
+                         ("schema", profile.schema_profile(cap, stats)),
+                         ("type_fields", profile.type_fields(cap, stats=stats)),
                          ("examples", profile.examples(cap))]:
             print("== %s" % name)
-            df.show(200, truncate=False)
+            _print_all(df)
         return 0
 
     # late
-    raw = read_table(spark, layer_path(a.warehouse, "bronze"))
-    silver = read_table(spark, layer_path(a.warehouse, "silver"))
+    raw = read_table(spark, cfg.table("bronze"), layer="bronze")
+    silver = read_table(spark, cfg.table("silver"), layer="silver")
     batch = lateness.tagged(raw, a.tag)
-    lateness.injected_duplicates(batch).show(truncate=False)
-    lateness.survival(batch, silver).show(truncate=False)
-    lateness.dedup_proof(silver).show(truncate=False)
+    _print_all(lateness.injected_duplicates(batch))
+    _print_all(lateness.survival(batch, silver))
+    _print_all(lateness.dedup_proof(silver))
     return 0
 
 

@@ -56,35 +56,33 @@ def partition_key(wiki: Column | str, title: Column | str) -> Column:
     return F.concat(F.coalesce(w, F.lit("?")), F.lit("|"), F.coalesce(t, F.lit("?")))
 
 
-# Deterministic draws for fault injection: a two-round modular hash of an
-# integer id (affine, then square), plain BIGINT arithmetic that stays below
-# 2^63, so that any SQL engine computes the same value. The square round
-# makes draws of different streams independent of each other.
-HASH_MODULUS = 1000003
-HASH_MULT = 7919
-
-
-def _salts(seed: int, stream: int) -> tuple[int, int]:
-    return ((seed * 104729 + stream * 31337) % HASH_MODULUS,
-            (seed * 7907 + stream * 65537 + 12345) % HASH_MODULUS)
+# Deterministic draws for fault injection: the first 48 bits of the MD5 of
+# "key:seed:stream", so any SQL engine computes the same value, keys of any
+# size draw without a period, and draws of different streams are independent.
+_DRAW_BITS, _DRAW_DIGITS = 48, 12
 
 
 def seeded_unit(key: Column | str, seed: int, stream: int = 0) -> Column:
-    """Uniform-looking value in [0, 1) from a non-negative integer key.
+    """Uniform value in [0, 1) from a key.
 
     ``stream`` gives independent draws for the same key and seed.
     """
     k = F.col(key) if isinstance(key, str) else key
-    s1, s2 = _salts(seed, stream)
-    m = F.lit(HASH_MODULUS)
-    g1 = F.pmod(F.pmod(k, m) * F.lit(HASH_MULT) + F.lit(s1), m)
-    g2 = F.pmod(F.pmod(g1 * g1, m) * F.lit(HASH_MULT) + F.lit(s2), m)
-    return g2.cast("double") / F.lit(float(HASH_MODULUS))
+    digest = F.md5(F.concat(k.cast("string"), F.lit(":%d:%d" % (seed, stream))))
+    return F.conv(F.substring(digest, 1, _DRAW_DIGITS), 16, 10).cast("double") / F.lit(float(1 << _DRAW_BITS))
 
 
 def seeded_unit_sql(key: str, seed: int, stream: int = 0) -> str:
     """The same draw as SQL text (used by the oracles)."""
-    s1, s2 = _salts(seed, stream)
-    g1 = "((((%s) %% %d) * %d + %d) %% %d)" % (key, HASH_MODULUS, HASH_MULT, s1, HASH_MODULUS)
-    g2 = "((((%s * %s) %% %d) * %d + %d) %% %d)" % (g1, g1, HASH_MODULUS, HASH_MULT, s2, HASH_MODULUS)
-    return "(CAST(%s AS DOUBLE) / %d.0)" % (g2, HASH_MODULUS)
+    digest = "md5(CAST(%s AS VARCHAR) || ':%d:%d')" % (key, seed, stream)
+    return ("(CAST(CAST('0x' || substr(%s, 1, %d) AS BIGINT) AS DOUBLE) / %d.0)"
+            % (digest, _DRAW_DIGITS, 1 << _DRAW_BITS))
+
+
+# The source profile reads event times with up to six fraction digits; the
+# refine step keeps to the three that the live stream sends.
+PROFILE_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def profile_time(text: Column) -> Column:
+    return F.try_to_timestamp(text, F.lit(PROFILE_TIME_PATTERN))

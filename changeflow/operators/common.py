@@ -14,15 +14,3 @@ def fence(df: DataFrame) -> DataFrame:
     generator's output cannot be pushed below it, so the expensive
     expressions above run once per row. Whole-stage codegen is kept."""
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-
-
-# One-row-per-key side tables up to this many rows are broadcast; beyond it
-# the join shuffles (and AQE may still switch strategy at runtime).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint a join side only after counting it: a side whose size
-    grows with the data (e.g. one row per trigger interval) is broadcast
-    while it is proven small and shuffled beyond that."""
-    return F.broadcast(df) if df.count() <= max_rows else df

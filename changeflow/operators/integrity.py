@@ -26,7 +26,8 @@ def duplicate_count(df: DataFrame, keys=("particion", "desplazamiento")) -> Data
 
 def continuity(df: DataFrame, partition_col: str = "particion",
                offset_col: str = "desplazamiento") -> DataFrame:
-    """Per partition rows, distinct offsets, first, last and gaps.
+    """Per partition rows, distinct offsets, first, last, gaps, and rows
+    whose offset is no integer (they can neither fill nor show a gap).
 
     Gaps are counted over distinct offsets, (last - first + 1) - distinct,
     so a duplicate cannot hide a gap in the same partition. Offsets that are
@@ -37,22 +38,26 @@ def continuity(df: DataFrame, partition_col: str = "particion",
            .agg(F.count(F.lit(1)).alias("filas"),
                 F.count_distinct("_off").alias("distintos"),
                 F.min("_off").alias("primero"),
-                F.max("_off").alias("ultimo")))
+                F.max("_off").alias("ultimo"),
+                F.count(F.when(F.col("_off").isNull(), 1)).alias("ilegibles")))
     return (per.withColumn("huecos", F.col("ultimo") - F.col("primero") + 1 - F.col("distintos"))
             .orderBy(F.expr("try_cast(particion AS INT)"), F.col("particion")))
 
 
 def verdict(df: DataFrame, contiguous: bool = True, keys=("particion", "desplazamiento")) -> DataFrame:
-    """One row; ok iff no duplicates and (for a source with consecutive
-    offsets) no gaps. A source whose offsets only grow is judged on
-    duplicates alone (``contiguous=False``)."""
+    """One row; ok iff no duplicates and, for a source with consecutive
+    offsets, no gaps and no offset that cannot be read. A source whose offsets
+    only grow is judged on duplicates alone (``contiguous=False``)."""
     dup = duplicate_count(df, keys)
     if contiguous:
         gaps = continuity(df, keys[0], keys[1]).agg(
-            F.coalesce(F.sum("huecos"), F.lit(0)).cast("long").alias("huecos"))
+            F.coalesce(F.sum("huecos"), F.lit(0)).cast("long").alias("huecos"),
+            F.coalesce(F.sum("ilegibles"), F.lit(0)).cast("long").alias("ilegibles"))
     else:
-        gaps = df.sparkSession.range(1).select(F.lit(None).cast("long").alias("huecos"))
+        nothing = F.lit(None).cast("long")
+        gaps = df.sparkSession.range(1).select(nothing.alias("huecos"), nothing.alias("ilegibles"))
+    clean = ((F.col("duplicados") == 0) & (F.coalesce(F.col("huecos"), F.lit(0)) == 0)
+             & (F.coalesce(F.col("ilegibles"), F.lit(0)) == 0))
     return (dup.crossJoin(gaps)
-            .select("filas", "distintos", "duplicados", "huecos",
-                    F.lit(contiguous).alias("contiguo"),
-                    ((F.col("duplicados") == 0) & (F.coalesce(F.col("huecos"), F.lit(0)) == 0)).alias("ok")))
+            .select("filas", "distintos", "duplicados", "huecos", "ilegibles",
+                    F.lit(contiguous).alias("contiguo"), clean.alias("ok")))

@@ -1,7 +1,5 @@
 """Late data: find a tagged test batch in the raw layer, bucket it by delay
-and measure how much of each bucket reached silver (H1-H5); plus an exact
-batch model of the watermark cut that a micro-batch stream applies.
-"""
+and measure how much of each bucket reached silver (H1-H5)."""
 
 from __future__ import annotations
 
@@ -9,8 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import delay_bucket, event_time, ingest_delay
-from changeflow.operators.common import broadcast_if_small
-from changeflow.operators.ordering import prefix_max_before
 from changeflow.operators.refine import parse_event
 from changeflow.schemas import TAGGED_EVENT
 
@@ -44,20 +40,18 @@ def survival(batch: DataFrame, silver: DataFrame, one_bucket_per_id: bool = Fals
     reference does); ``one_bucket_per_id`` keeps only its smallest delay.
     A NULL delay falls in the last bucket unless ``null_bucket`` names its
     own. The silver side is reduced to distinct ids before the join, and the
-    join is left outer on the id so the optimizer (AQE) picks broadcast or
-    sort-merge from runtime sizes."""
+    joins carry no hint: AQE picks broadcast or sort-merge from true sizes."""
     if one_bucket_per_id:
         ids = batch.groupBy("meta_id").agg(F.min("retraso_s").alias("retraso_s"))
     else:
         ids = batch.select("meta_id", "retraso_s")
     b = ids.select("meta_id", delay_bucket("retraso_s", null_bucket).alias("tramo")).distinct()
     if "dia" in silver.columns and "ts_evento" in batch.columns:
-        # A stored, day-partitioned silver: read only the days of the batch.
+        # A stored, day-partitioned silver: only the days of the batch matter.
         # An id lands in silver on the day of its own event time, so the
-        # semi join on the partition column loses nothing, and dynamic
-        # partition pruning skips the other days at scan time.
+        # semi join on the partition column loses nothing.
         days = batch.select(F.to_date("ts_evento").alias("dia")).filter(F.col("dia").isNotNull()).distinct()
-        silver = silver.join(broadcast_if_small(days), "dia", "left_semi")
+        silver = silver.join(days, "dia", "left_semi")
     s = silver.select("meta_id").distinct().withColumn("_hit", F.lit(1))
     hit = F.sum(F.when(F.col("_hit").isNotNull(), 1).otherwise(0)).cast("long")
     return (b.join(s, "meta_id", "left")
@@ -71,35 +65,3 @@ def survival(batch: DataFrame, silver: DataFrame, one_bucket_per_id: bool = Fals
 def dedup_proof(silver: DataFrame) -> DataFrame:
     """H5: silver rows, distinct ids and duplicates left (must be 0)."""
     return injected_duplicates(silver.select("meta_id"))
-
-
-def watermark_model(rows: DataFrame, trigger_s: float = 10.0, lateness_s: float = 30.0,
-                    arrival: str = "ts_cola", time_col: str = "ts_evento") -> DataFrame:
-    """Rows a micro-batch stream keeps behind a watermark.
-
-    Micro-batch i holds the rows that arrived during trigger interval i.
-    The watermark advances between batches (max event time seen - lateness),
-    and the stateful operator judges late rows against the watermark of the
-    *previous* batch, so a row of batch i is dropped when its event time is
-    at or behind max(event time of intervals <= i - 2) - lateness. This is
-    the same whether interval i - 1 held data or ran as a no-data batch.
-
-    The maxima per interval (one row per trigger interval) get their
-    running maximum from ``prefix_max_before``: a probe row per interval i,
-    placed at i - 1 ahead of that interval's own maximum, reads the max of
-    everything before it; the cut then joins back on the interval id.
-    """
-    trig_ms = int(round(trigger_s * 1000))
-    with_b = rows.withColumn("_batch", F.floor(F.unix_millis(F.col(arrival)) / F.lit(trig_ms)).cast("long"))
-    per_batch = (with_b.groupBy("_batch")
-                 .agg(F.max(F.unix_micros(F.col(time_col))).cast("double").alias("_v")))
-    points = per_batch.select(F.col("_batch").alias("_pos"), F.lit(1).alias("_kind"),
-                              F.col("_batch"), "_v")
-    probes = per_batch.select((F.col("_batch") - 1).alias("_pos"), F.lit(0).alias("_kind"),
-                              F.col("_batch"), F.lit(None).cast("double").alias("_v"))
-    marks = (prefix_max_before(points.unionByName(probes), ["_pos", "_kind"], "_v", "_prev")
-             .filter(F.col("_kind") == 0)
-             .select("_batch", (F.col("_prev") - F.lit(lateness_s * 1e6)).alias("_wm_us")))
-    return (with_b.join(broadcast_if_small(marks), "_batch", "left")
-            .filter(F.col("_wm_us").isNull() | (F.unix_micros(F.col(time_col)).cast("double") > F.col("_wm_us")))
-            .drop("_batch", "_wm_us"))

@@ -1,17 +1,18 @@
-"""Running maximum over one global order, without one task seeing it all.
+"""Running maximum and quantiles over one global order, without one task
+seeing it all.
 
 A plain ``max() OVER (ORDER BY ...)`` has no partition key, so Spark moves
 every row into a single task. Here the rows are range-partitioned on the
-order (the sampler splits a hot value range by the tie-breaker columns),
-frozen with a reliable checkpoint so that partition ids are stable across
-the two passes, and then:
-
-1. each partition reports its own maximum (one row per partition);
-2. the carry of a partition is the max of all earlier partitions (a window
-   over at most ``partitions`` rows: its size is bounded by the partition
-   count, not by the data, so broadcasting it is safe);
-3. each partition scans its rows in order, vectorised per Arrow batch, and
-   emits max(carry, running max of earlier rows in the partition).
+order, frozen with a reliable checkpoint so that partition ids are stable
+across the passes, and every pass carries one row per partition (a size that
+is bounded by the partition count, not by the data, so it may be broadcast).
+
+* ``prefix_max_before``: a partition's carry is the maximum of all earlier
+  partitions; each partition scans its rows in order, vectorised per Arrow
+  batch. The order must have a tie-breaker, or equal rows meet in one range.
+* ``exact_quantiles``: equal values are counted first (map-side combine, so a
+  value that most rows share is one row per task), and the distinct values
+  are ranged; only the few partitions that hold a wanted rank are ordered.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ from changeflow.session import ensure_checkpoint_dir
 
 
 def prefix_max_before(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Add ``out_col`` = max(``value_col``) over all rows strictly earlier in
     the total order ``order_cols`` (NULL for the first row). ``value_col``
-    must be numeric (cast timestamps to microseconds first)."""
+    must be numeric (cast timestamps to microseconds first). Only the columns
+    ``keep`` (default: all) go through the scan and come out."""
     spark = df.sparkSession
-    ranged = _ranged(df, order_cols, partitions)
+    ranged = _ranged(df, order_cols, partitions, keep)
     part_max = ranged.groupBy("_pid").agg(F.max(value_col).cast("double").alias("_pmax"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = {int(r["_pid"]): r["_carry"] for r in
@@ -67,7 +69,8 @@ def prefix_max_before(df: DataFrame, order_cols: list[str], value_col: str, out_
     return ranged.mapInPandas(scan, out_schema).drop("_pid")
 
 
-def _ranged(df: DataFrame, order_cols: list[str], partitions: int | None) -> DataFrame:
+def _ranged(df: DataFrame, order_cols: list[str], partitions: int | None,
+            keep: list[str] | None = None) -> DataFrame:
     """Range-partition on the order, sort inside partitions, number the
     partitions and freeze the result (reliable checkpoint). Without an
     explicit count AQE coalesces adjacent ranges to its advisory size, so
@@ -77,39 +80,10 @@ def _ranged(df: DataFrame, order_cols: list[str], partitions: int | None) -> Dat
     ensure_checkpoint_dir(spark)
     byrange = (df.repartitionByRange(partitions, *order_cols) if partitions
                else df.repartitionByRange(*order_cols))
-    return (byrange
-            .sortWithinPartitions(*order_cols)
-            .withColumn("_pid", F.spark_partition_id())
-            .checkpoint(eager=True))
-
-
-def global_rank(df: DataFrame, order_cols: list[str], out_col: str = "_rank",
-                partitions: int | None = None) -> DataFrame:
-    """Add the 0-based position of each row in the total order
-    ``order_cols``, without a single-task window: range partitions, a
-    per-partition row count (one row per partition, broadcast), and a
-    local position inside each partition."""
-    spark = df.sparkSession
-    ranged = _ranged(df, order_cols, partitions)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = {int(r["_pid"]): int(r["_off"] or 0) for r in
-               counts.select("_pid", F.sum("_n").over(before).alias("_off")).collect()}
-    off_bc = spark.sparkContext.broadcast(offsets)
-    out_schema = T.StructType(ranged.schema.fields + [T.StructField(out_col, T.LongType())])
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        nxt = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if nxt is None:
-                nxt = off_bc.value.get(int(pdf["_pid"].iloc[0]), 0)
-            pdf[out_col] = np.arange(nxt, nxt + len(pdf), dtype=np.int64)
-            nxt += len(pdf)
-            yield pdf
-
-    return ranged.mapInPandas(number, out_schema).drop("_pid")
+    ordered = byrange.sortWithinPartitions(*order_cols)
+    if keep is not None:
+        ordered = ordered.select(*keep)
+    return ordered.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
@@ -119,26 +93,31 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     as one row with one column per name in ``probs``. NULLs are ignored;
     an empty input gives NULLs.
 
-    Unlike ``percentile`` (a value -> count map merged in one task) no task
-    holds more than its range partition: rows are ranked in a distributed
-    way and only the two bracketing ranks per quantile are kept."""
-    vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = global_rank(vals, ["_v"], partitions=partitions)
-    total = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    picks, aggs = [], []
-    for i, (name, p) in enumerate(probs.items()):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        picks += [F.floor(pos).cast("long").alias("_lo%d" % i), F.ceil(pos).cast("long").alias("_hi%d" % i),
-                  (pos - F.floor(pos)).alias("_f%d" % i)]
-    marks = total.select("_n", *picks)
-    wanted = None
-    for i in range(len(probs)):
-        cond = (F.col("_rank") == F.col("_lo%d" % i)) | (F.col("_rank") == F.col("_hi%d" % i))
-        wanted = cond if wanted is None else wanted | cond
-    chosen = ranked.crossJoin(F.broadcast(marks)).filter(wanted)
-    for i, name in enumerate(probs):
-        lo = F.max(F.when(F.col("_rank") == F.col("_lo%d" % i), F.col("_v")))
-        hi = F.max(F.when(F.col("_rank") == F.col("_hi%d" % i), F.col("_v")))
-        frac = F.max(F.col("_f%d" % i))
-        aggs.append((lo + (hi - lo) * frac).alias(name))
-    return chosen.agg(*aggs)
+    Unlike ``percentile`` no task merges the counts of all values: values are
+    ranged with their counts, the ranks at which a partition begins come from
+    the partitions' sums, and the running count is built only in the (at most
+    two per quantile) partitions that hold a wanted rank."""
+    counts = (df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
+    ranged = _ranged(counts, ["_v"], partitions)
+    sizes = ranged.groupBy("_pid").agg(F.sum("_n").alias("_s"))
+    every = Window.orderBy("_pid")  # over one row per partition
+    marks = sizes.select("_pid", "_s", (F.sum("_s").over(every) - F.col("_s")).alias("_off"),
+                         F.sum("_s").over(Window.partitionBy()).alias("_total"))
+    at = {name: (F.col("_total") - 1).cast("double") * F.lit(float(p)) for name, p in probs.items()}
+    ranks = [f(pos).cast("long") for pos in at.values() for f in (F.floor, F.ceil)]
+    inside = F.lit(False)
+    for r in ranks:
+        inside = inside | ((r >= F.col("_off")) & (r < F.col("_off") + F.col("_s")))
+    near = ranged.join(F.broadcast(marks.where(inside)), "_pid")
+    w = Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_upto", F.col("_off") + F.sum("_n").over(w))
+
+    def value(rank):
+        return F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank), F.col("_v")))
+
+    out = []
+    for name, pos in at.items():
+        lo, hi, frac = value(F.floor(pos)), value(F.ceil(pos)), F.max(pos - F.floor(pos))
+        out.append((lo + (hi - lo) * frac).alias(name))
+    return near.agg(*out)

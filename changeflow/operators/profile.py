@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.columns import event_time
+from changeflow.functions.columns import profile_time
+from changeflow.operators.refine import epoch_to_ts
 from changeflow.operators.ordering import exact_quantiles, prefix_max_before
 from changeflow.session import ensure_checkpoint_dir
 
@@ -138,10 +139,9 @@ def _event_times(cap: DataFrame, path: str) -> DataFrame:
     the ``timestamp`` field."""
     raw = F.get_json_object(F.col("evento"), "$." + path)
     if path == "timestamp":
-        secs = raw.try_cast("long")
-        t = F.when(F.abs(secs) <= 253402300799, F.timestamp_seconds(secs))
+        t = epoch_to_ts(raw.try_cast("long"))
     else:
-        t = event_time(raw)
+        t = profile_time(raw)
     return _events(cap).select("recibido", "seq", t.alias("t"))
 
 
@@ -154,7 +154,7 @@ def disorder(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataF
     ev = _event_times(cap, path)
     with_t = ev.filter(F.col("t").isNotNull()).select(
         "recibido", "seq", (F.unix_micros("t") / F.lit(1e6)).alias("t"))
-    scanned = prefix_max_before(with_t, ["recibido", "seq"], "t", "_max")
+    scanned = prefix_max_before(with_t, ["recibido", "seq"], "t", "_max", keep=["t"])
     lags = scanned.select(F.when(F.col("t") < F.col("_max"), F.col("_max") - F.col("t")).alias("lag"))
     counts = ev.agg(F.count(F.lit(1)).alias("_total"),
                     F.count(F.when(F.col("t").isNull(), 1)).alias("sin_tiempo"))
@@ -253,11 +253,14 @@ def path_stats(cap: DataFrame, depth: int = 8) -> DataFrame:
     return stats.drop("nivel")
 
 
-def schema_profile(cap: DataFrame) -> DataFrame:
-    """I8: per dotted path: presence (% of events), observed JSON types
-    (most common first) and a flag when there is more than one."""
-    stats = path_stats(cap)
-    total = _events(cap).agg(F.count(F.lit(1)).alias("_t"))
+def schema_profile(cap: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """I8: per dotted path: presence (% of events), observed JSON types (most
+    common first), a flag when there is more than one, and how many events
+    have no paths because their text is no valid JSON (a repeated key is one
+    way); they stay in the denominator. ``stats``: a ``path_stats`` to share."""
+    stats = path_stats(cap) if stats is None else stats
+    total = _events(cap).agg(F.count(F.lit(1)).alias("_t"),
+                             F.count(F.when(F.try_parse_json("evento").isNull(), 1)).alias("_bad"))
     per_type = stats.groupBy("ruta", "tipo_json").agg(F.sum("n").alias("n"))
     per_path = (per_type.groupBy("ruta")
                 .agg(F.sum("n").alias("n"),
@@ -265,15 +268,15 @@ def schema_profile(cap: DataFrame) -> DataFrame:
     return (per_path.crossJoin(F.broadcast(total))
             .select("ruta", (F.lit(100.0) * F.col("n") / F.col("_t")).alias("presencia_pct"),
                     F.array_join(F.transform("_ts", lambda x: x["t"]), ", ").alias("tipos"),
-                    (F.size("_ts") > 1).alias("mixto"))
+                    (F.size("_ts") > 1).alias("mixto"), F.col("_bad").alias("ilegibles"))
             .orderBy("ruta"))
 
 
-def type_fields(cap: DataFrame, threshold: float = 0.9) -> DataFrame:
+def type_fields(cap: DataFrame, threshold: float = 0.9, stats: DataFrame | None = None) -> DataFrame:
     """Per event type, fields that are not in every event but are in
     at least ``threshold`` of that type's events. A path occurs at most once
     per event, so summed counts are counts of events."""
-    stats = path_stats(cap).groupBy("tipo", "ruta").agg(F.sum("n").alias("k"))
+    stats = (path_stats(cap) if stats is None else stats).groupBy("tipo", "ruta").agg(F.sum("n").alias("k"))
     ev = _events(cap).select(F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"))
     per_type_n = ev.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"))
     total = per_type_n.agg(F.sum("n").alias("_t"))

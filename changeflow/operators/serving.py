@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from changeflow.operators.ordering import exact_quantiles
 
-PCT_TYPE = "double"
-
 
 def layer_volumes(spark: SparkSession, layers: dict) -> DataFrame:
     """rows per layer. ``layers`` maps name -> DataFrame, or None for a
@@ -79,8 +77,8 @@ def _bot_sums(p2: DataFrame) -> DataFrame:
 
 
 def _pct_bot(bots: str = "bots", humans: str = "humanos"):
-    return (F.lit(100.0) * F.col(bots).cast(PCT_TYPE)
-            / (F.col(bots) + F.col(humans)).cast(PCT_TYPE))
+    return (F.lit(100.0) * F.col(bots).cast("double")
+            / (F.col(bots) + F.col(humans)).cast("double"))
 
 
 def bot_share(p2: DataFrame, n: int = 12) -> DataFrame:
@@ -137,13 +135,9 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
         silver = read_table(spark, layer_path(warehouse, "silver"), since=since).drop("dia")
         out["latency"] = latency(silver, exact=exact)
         if silver_checkpoint:
-            from changeflow.streaming.commits import commit_history
-            try:
-                commits = commit_history(spark, silver_checkpoint)
-                commits.schema  # noqa: B018  (fails here when the folder is missing)
-                out["commit_latency"] = commit_latency(silver, commits, exact=exact)
-            except Exception:  # no checkpoint there: report without it
-                pass
+            from changeflow.streaming.commits import commit_history, has_history
+            if has_history(spark, silver_checkpoint):
+                out["commit_latency"] = commit_latency(silver, commit_history(spark, silver_checkpoint), exact=exact)
     out["activity_latest"] = activity_latest(frames["gold_activity"])
     out["bot_share"] = bot_share(frames["gold_bots"])
     out["bot_share_swing"] = bot_share_swing(frames["gold_bots"])
@@ -152,10 +146,6 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
     return out
 
 
-__all__ = ["report", "layer_volumes", "latency", "activity_latest", "bot_share",
-           "bot_share_swing", "concurrent_top"]
-
-
 def commit_latency(silver: DataFrame, commits: DataFrame, lookback: str | None = "15 minutes",
                    exact: bool = False) -> DataFrame:
     """F2 measured to the commit: seconds from event time to the commit of
@@ -163,14 +153,18 @@ def commit_latency(silver: DataFrame, commits: DataFrame, lookback: str | None =
     so the plain latency leaves out the batch's run time; ``commits`` is
     the silver query's ``commit_history``.
 
-    The commit of a row is the first commit at or after its batch start.
+    The commit of a row is the first commit at or after its batch start. The
+    lookback is applied first, so only recent rows, starts and commits meet.
     Both sides have one row per micro-batch; a descending scan with the
     distributed prefix max finds it, and the start -> commit map joins back
-    on the ingest stamp (broadcast only when counted small)."""
-    from changeflow.operators.common import broadcast_if_small
+    on the ingest stamp."""
     from changeflow.operators.ordering import prefix_max_before
 
-    starts = silver.select(F.col("ingerido_en").alias("_start")).distinct()
+    rows = silver.select("ts_evento", "ingerido_en")
+    if lookback:
+        bound = silver.agg((F.max("ts_evento") - F.expr("INTERVAL " + lookback)).alias("_lo"))
+        rows = rows.crossJoin(F.broadcast(bound)).filter(F.col("ts_evento") > F.col("_lo")).drop("_lo")
+    starts = rows.select(F.col("ingerido_en").alias("_start")).distinct()
     points = (starts.select(F.col("_start"), (-F.unix_micros("_start")).alias("_key"),
                             F.lit(1).alias("_kind"), F.lit(None).cast("double").alias("_v"))
               .unionByName(commits.select(
@@ -183,11 +177,7 @@ def commit_latency(silver: DataFrame, commits: DataFrame, lookback: str | None =
     mapping = (scanned.filter(F.col("_kind") == 1)
                .select(F.col("_start").alias("ingerido_en"),
                        F.timestamp_micros((-F.col("_neg")).cast("long")).alias("_commit")))
-    rows = silver.select("ts_evento", "ingerido_en")
-    if lookback:
-        bound = silver.agg((F.max("ts_evento") - F.expr("INTERVAL " + lookback)).alias("_lo"))
-        rows = rows.crossJoin(F.broadcast(bound)).filter(F.col("ts_evento") > F.col("_lo")).drop("_lo")
-    lat = (rows.join(broadcast_if_small(mapping), "ingerido_en", "left")
+    lat = (rows.join(mapping, "ingerido_en", "left")
            .filter(F.col("_commit").isNotNull())
            .select((F.col("_commit").cast("double") - F.col("ts_evento").cast("double")).alias("lat")))
     if exact:

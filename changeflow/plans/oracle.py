@@ -180,23 +180,25 @@ cont AS (
          min(TRY_CAST(desplazamiento AS BIGINT)) AS primero,
          max(TRY_CAST(desplazamiento AS BIGINT)) AS ultimo,
          max(TRY_CAST(desplazamiento AS BIGINT)) - min(TRY_CAST(desplazamiento AS BIGINT)) + 1
-           - count(DISTINCT TRY_CAST(desplazamiento AS BIGINT)) AS huecos
+           - count(DISTINCT TRY_CAST(desplazamiento AS BIGINT)) AS huecos,
+         count(*) FILTER (WHERE TRY_CAST(desplazamiento AS BIGINT) IS NULL) AS ilegibles
   FROM q GROUP BY particion
 )
 """
 
 
 def _verdict(contiguous: bool) -> str:
-    gaps = "(SELECT CAST(coalesce(sum(huecos), 0) AS BIGINT) FROM cont)" if contiguous else "CAST(NULL AS BIGINT)"
+    def summed(col):
+        return "(SELECT CAST(coalesce(sum(%s), 0) AS BIGINT) FROM cont)" % col if contiguous else "CAST(NULL AS BIGINT)"
     return """
-SELECT filas, distintos, duplicados, huecos, %s AS contiguo,
-       duplicados = 0 AND coalesce(huecos, 0) = 0 AS ok
+SELECT filas, distintos, duplicados, huecos, ilegibles, %s AS contiguo,
+       duplicados = 0 AND coalesce(huecos, 0) = 0 AND coalesce(ilegibles, 0) = 0 AS ok
 FROM (SELECT count(*) AS filas,
              count(DISTINCT struct_pack(p := particion, o := desplazamiento)) AS distintos,
              count(*) - count(DISTINCT struct_pack(p := particion, o := desplazamiento)) AS duplicados,
-             %s AS huecos
+             %s AS huecos, %s AS ilegibles
       FROM q)
-""" % ("true" if contiguous else "false", gaps)
+""" % ("true" if contiguous else "false", summed("huecos"), summed("ilegibles"))
 
 
 BRONZE_Q = "q AS (SELECT particion, desplazamiento FROM bronze)"
@@ -210,6 +212,7 @@ ORACLE.update({
         + "SELECT * FROM cont",
     "integrity_verdict_bronze": q(_verdict(True), BRONZE, BRONZE_Q, CONT),
     "integrity_verdict_lineitem": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber"), CONT) + _verdict(True),
+    "integrity_verdict_unreadable": with_ctes(_queue("documents", "lang", "source"), CONT) + _verdict(True),
     "integrity_verdict_offsets_only": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber")) + _verdict(False),
 })
 
@@ -249,20 +252,38 @@ isilver AS (
   SELECT meta_id, ts_evento, tipo, wiki, servidor, espacio, titulo, usuario, es_bot,
          ts_mediawiki, ts_cola,
          epoch_us(ts_cola) / 1000000.0 - epoch_us(ts_evento) / 1000000.0 AS retraso_s,
-         ingerido_en, (epoch_us(ts_cola) // 1000) // %d AS b
+         ingerido_en
   FROM inj
+)
+""" % (late, late, shift, u3, float(s["dup_pct"]))
+
+
+def _streamed() -> str:
+    """The streamed scenario: a row of queue file b is late if it is at or
+    behind the newest event of the files before b - 1 less the lateness."""
+    p = scenario.STREAM
+    return """
+n AS (SELECT count(*) AS n FROM events),
+st0 AS (
+  SELECT chg.* EXCLUDE (ts_evento, ts_mediawiki, ts_cola, ingerido_en),
+         1704067200000 + event_id * %d // n.n AS ev_ms, (event_id * 7919) %% 90000 AS lag_ms,
+         UNNEST(CASE WHEN %s * 100.0 < %r THEN [0, 1] ELSE [0] END) AS copia
+  FROM chg, n
 ),
-bmax AS (SELECT b, max(epoch_us(ts_evento)) AS m FROM isilver GROUP BY b),
-marks AS (
-  SELECT b, max(m) OVER (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - %r AS wm
-  FROM bmax
+st AS (
+  SELECT *, ev_ms + lag_ms + copia * %d AS cola_ms, (ev_ms + lag_ms + copia * %d - 1704067200000) // %d AS lote FROM st0
 ),
+lots AS (SELECT lote, max(ev_ms) AS m, count(*) AS filas FROM st GROUP BY lote),
+marks AS (SELECT lote, max(m) OVER (ORDER BY lote ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - %d AS wm FROM lots),
+intime AS (SELECT st.* FROM st JOIN marks USING (lote) WHERE wm IS NULL OR ev_ms > wm),
 kept AS (
-  SELECT DISTINCT s.* EXCLUDE (b) FROM isilver s JOIN marks USING (b)
-  WHERE wm IS NULL OR CAST(epoch_us(ts_evento) AS DOUBLE) > wm
+  SELECT meta_id, make_timestamp(ev_ms * 1000) AS ts_evento, tipo, wiki, servidor, espacio, titulo, usuario, es_bot,
+         make_timestamp((ev_ms // 1000) * 1000000) AS ts_mediawiki, make_timestamp(min(cola_ms) * 1000) AS ts_cola,
+         min(cola_ms) / 1000.0 - ev_ms / 1000.0 AS retraso_s
+  FROM intime GROUP BY meta_id, ev_ms, tipo, wiki, servidor, espacio, titulo, usuario, es_bot
 )
-""" % (late, late, shift, u3, float(s["dup_pct"]),
-       int(round(s["trigger_s"] * 1000)), s["lateness_s"] * 1e6)
+""" % (p["span_s"] * 1000, seeded_unit_sql("event_id", p["seed"], 3), float(p["dup_pct"]),
+       p["redelivery_s"] * 1000, p["redelivery_s"] * 1000, p["file_s"] * 1000, p["lateness_s"] * 1000)
 
 
 BUCKET_SQL = ("CASE WHEN retraso_s < 5 THEN 'a) <5s' WHEN retraso_s < 15 THEN 'b) 5-15s' "
@@ -274,13 +295,26 @@ ORACLE.update({
         SELECT count(*) AS filas, count(DISTINCT meta_id) AS distintos,
                count(*) - count(DISTINCT meta_id) AS duplicados FROM tagged
     """, _injected()),
-    "late_stream_silver": q("SELECT * FROM kept", _injected()),
+    "late_stream_silver": q("SELECT * FROM kept", _streamed()),
+    "late_stream_drops": q("""
+        SELECT (SELECT count(*) FROM lots) AS lotes, CAST((SELECT count(*) FROM st) AS BIGINT) AS filas,
+               CAST((SELECT count(*) FROM st) - (SELECT count(*) FROM intime) AS BIGINT) AS tardias,
+               CAST((SELECT count(*) FROM intime) - (SELECT count(*) FROM kept) AS BIGINT) AS repetidas
+    """, _streamed()),
+    "stream_commit_history": q("""
+        SELECT row_number() OVER (ORDER BY lote) - 1 AS batch_id, filas AS rows, true AS fechado FROM lots
+    """, _streamed()),
+    "stream_ingest_stamp": q("SELECT count(*) AS sellos, CAST(0 AS BIGINT) AS sin_sello FROM lots", _streamed()),
+    "stream_restart_verdict": q(_verdict(True), _streamed(),
+        "q AS (SELECT CAST(event_id % 3 AS VARCHAR) AS particion, CAST(event_id // 3 AS VARCHAR) AS desplazamiento FROM st)",
+        CONT),
     "late_dedup_proof": q("""
         SELECT count(*) AS filas, count(DISTINCT meta_id) AS distintos,
                count(*) - count(DISTINCT meta_id) AS duplicados FROM kept
-    """, _injected()),
+    """, _streamed()),
     "late_survival": q("""
-        , b AS (SELECT DISTINCT meta_id, %s AS tramo FROM tagged),
+        , sttag AS (SELECT meta_id, cola_ms / 1000.0 - ev_ms / 1000.0 AS retraso_s FROM st),
+        b AS (SELECT DISTINCT meta_id, %s AS tramo FROM sttag),
         p AS (SELECT DISTINCT meta_id FROM kept)
         SELECT tramo, count(*) AS en_bronce,
                CAST(sum(CASE WHEN p.meta_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS en_plata,
@@ -288,7 +322,7 @@ ORACLE.update({
                      / CAST(count(*) AS DOUBLE), 1) AS pct_superviviente
         FROM b LEFT JOIN p USING (meta_id)
         GROUP BY tramo ORDER BY tramo
-    """ % BUCKET_SQL, _injected()),
+    """ % BUCKET_SQL, _streamed()),
     "inject_tally": q("""
         SELECT CASE WHEN copia > 0 THEN 'duplicado' WHEN tardio THEN 'tardio' ELSE 'normal' END AS clase,
                count(*) AS filas
@@ -297,34 +331,6 @@ ORACLE.update({
 })
 
 
-def _synth() -> str:
-    from changeflow.operators import inject as J
-    seed = scenario.SYNTH_SEED
-    t = seeded_unit_sql("event_id", seed, 10)
-    cum, kinds = 0.0, []
-    for name, share in J.TYPE_SHARES:
-        cum += share
-        kinds.append("WHEN %s <= %r THEN '%s'" % (t, cum, name))
-    site = "CAST(least(floor(%s * %d), %d) AS INTEGER)" % (seeded_unit_sql("event_id", seed, 11), len(J.SITES), len(J.SITES) - 1)
-    servers = "[" + ", ".join("'%s'" % s for s, _ in J.SITES) + "]"
-    wikis = "[" + ", ".join("'%s'" % w for _, w in J.SITES) + "]"
-    nss = "[" + ", ".join(str(n) for n in J.NAMESPACES) + "]"
-    ns_idx = "CAST(least(floor(%s * %d), %d) AS INTEGER)" % (seeded_unit_sql("event_id", seed, 14), len(J.NAMESPACES), len(J.NAMESPACES) - 1)
-    return """
-syn AS (
-  SELECT CASE %s ELSE 'edit' END AS tipo,
-         %s[%s + 1] AS servidor, %s[%s + 1] AS wiki, %s[%s + 1] AS espacio,
-         %s < %r AS es_bot
-  FROM chg
-)
-""" % (" ".join(kinds), servers, site, wikis, site, nss, ns_idx,
-       seeded_unit_sql("event_id", seed, 15), J.BOT_SHARE)
-
-
-ORACLE["inject_synth_mix"] = q("""
-    SELECT tipo, servidor, espacio, es_bot, count(*) AS eventos FROM syn GROUP BY ALL
-""", _synth())
-
 # --- source profile (I1-I10) -------------------------------------------------
 
 CAPTURE = """
@@ -456,7 +462,7 @@ ORACLE.update({
         , per_type AS (SELECT ruta, tipo_json, count(*) AS n FROM pt GROUP BY ALL)
         SELECT ruta, 100.0 * CAST(sum(n) AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS presencia_pct,
                string_agg(tipo_json, ', ' ORDER BY n DESC, tipo_json) AS tipos,
-               count(*) > 1 AS mixto
+               count(*) > 1 AS mixto, CAST(0 AS BIGINT) AS ilegibles
         FROM per_type GROUP BY ruta ORDER BY ruta
     """, _injected(), CAPTURE, PATHS),
     "profile_type_fields": q("""
@@ -471,12 +477,54 @@ ORACLE.update({
     """, _injected(), CAPTURE, PATHS),
 })
 
+# The documents as a capture file with faults: of three one good record, one
+# error record, one broken line.
+DIRTY = """
+cap AS (
+  SELECT doc_id + 0.5 AS recibido,
+         '{"id":' || doc_id || CASE WHEN doc_id % 5 = 0 OR lang IS NULL THEN '' ELSE ',"type":"' || lang || '"' END
+           || ',"size":' || CASE WHEN doc_id % 2 = 0 THEN CAST(n_chars AS VARCHAR) ELSE '"' || source || '"' END || '}' AS evento
+  FROM documents WHERE doc_id % 3 = 0
+)
+"""
+
+
+def _dirty(query: str) -> str:
+    """The body of a profile oracle over the dirty capture."""
+    body = ORACLE[query].split(PATHS.strip())[-1].lstrip()
+    return with_ctes(DIRTY, PATHS) + body
+
+
+ORACLE.update({
+    "profile_dirty_throughput": with_ctes(DIRTY) + """
+        SELECT count(*) AS eventos, max(CAST(recibido AS DOUBLE)) - min(CAST(recibido AS DOUBLE)) AS duracion_s,
+               count(*) / (max(CAST(recibido AS DOUBLE)) - min(CAST(recibido AS DOUBLE))) AS eps_medio,
+               (SELECT count(*) FROM documents WHERE doc_id % 3 <> 0) AS errores_parseo
+        FROM cap""",
+    "profile_dirty_types": with_ctes(DIRTY) + """
+        SELECT 'type' AS campo, coalesce(json_extract_string(evento, '$.type'), '(sin tipo)') AS valor, count(*) AS eventos,
+               100.0 * CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS pct
+        FROM cap GROUP BY 2""",
+    "profile_dirty_schema": _dirty("profile_schema"),
+    "profile_dirty_type_fields": _dirty("profile_type_fields"),
+    "envelope_kafka": q("SELECT * EXCLUDE (ingerido_en) FROM bronze", BRONZE),
+    "envelope_kinesis": q("""
+        SELECT clave, valor, origen, CAST(NULL AS VARCHAR) AS particion,
+               '4959' || lpad(desplazamiento || particion, 52, '0') AS desplazamiento, ts_cola FROM bronze
+    """, BRONZE),
+    "publish_keyed": q("""
+        SELECT wiki || '|' || titulo AS key,
+               json_object('meta_id', meta_id, 'wiki', wiki, 'titulo', titulo, 'tipo', tipo)::VARCHAR AS value FROM silver
+    """),
+    "gold_concurrent_error": "SELECT true AS dentro",
+    "stream_gold_concurrent_error": "SELECT true AS dentro",
+})
+
 # Streaming chain: the append streams equal their batch twins.
 ORACLE.update({
     "stream_gold_activity": ORACLE["gold_activity"],
     "stream_gold_activity_folded": ORACLE["gold_activity"],
     "stream_gold_bot_counts": ORACLE["gold_bot_counts"],
-    "stream_gold_concurrent_exact": ORACLE["gold_concurrent_exact"],
     "stream_silver_dedup_proof": q("""
         SELECT count(*) AS filas, count(DISTINCT meta_id) AS distintos,
                count(*) - count(DISTINCT meta_id) AS duplicados FROM silver

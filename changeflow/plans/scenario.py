@@ -9,7 +9,17 @@ LATE = {
     "hi_s": 300.0,
     "dup_pct": 10.0,
     "seed": 42,
-    "trigger_s": 10.0,
-    "lateness_s": 30.0,
 }
-SYNTH_SEED = 7
+
+# The streamed scenario: the log re-timed to ``span_s`` seconds, queue delays
+# of 0 to 90 s, ``dup_pct`` % of the messages delivered again ``redelivery_s``
+# later, and one queue file (one micro-batch) per ``file_s`` seconds of queue
+# time; silver runs behind a 30 s watermark.
+STREAM = {
+    "span_s": 240,
+    "file_s": 20,
+    "redelivery_s": 12,
+    "dup_pct": 10.0,
+    "seed": 42,
+    "lateness_s": 30,
+}

@@ -24,24 +24,6 @@ BRONZE = T.StructType([
 # The envelope as a queue delivers it (bronze without the ingest stamp).
 ENVELOPE = T.StructType([f for f in BRONZE.fields if f.name != "ingerido_en"])
 
-# Only the fields the refine step reads.
-EVENT = T.StructType([
-    T.StructField("meta", T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("dt", T.StringType()),
-        T.StructField("domain", T.StringType()),
-    ])),
-    T.StructField("id", T.LongType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("namespace", T.IntegerType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("user", T.StringType()),
-    T.StructField("bot", T.BooleanType()),
-    T.StructField("wiki", T.StringType()),
-    T.StructField("server_name", T.StringType()),
-    T.StructField("timestamp", T.LongType()),
-])
-
 # Fields the late-data analysis reads from the raw payload.
 TAGGED_EVENT = T.StructType([
     T.StructField("meta", T.StructType([

@@ -75,7 +75,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master (tests, a laptop) may fall back to a fresh scratch folder; on a
     cluster an unset ``spark.checkpoint.dir`` is an error, because a
     machine-local folder does not survive the loss of an executor."""
-    root = checkpoint_root(spark)
+    root = checkpoint_root(spark) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
@@ -86,10 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def stream_checkpoint(spark: SparkSession, job: str, base: str | None = None) -> str:
-    """Checkpoint location of one streaming query, inside the shared store.
-
-    Order: explicit ``base``; ``$CHECKPOINTS``; the session's checkpoint dir.
-    """
-    root = base or os.environ.get("CHECKPOINTS") or ensure_checkpoint_dir(spark)
+def stream_checkpoint(job: str, warehouse: str, base: str | None = None) -> str:
+    """Checkpoint location of one streaming query: under ``base`` if given,
+    else ``$CHECKPOINTS``, else next to the tables it writes. A checkpoint
+    belongs to one warehouse: two that shared one would each skip what the
+    other has read."""
+    root = base or os.environ.get("CHECKPOINTS") or "%s/_checkpoints" % warehouse.rstrip("/")
     return "%s/%s" % (root.rstrip("/"), job)

@@ -3,8 +3,8 @@ written by a live listener; an event that could not be read is stored as
 ``{"_evento": {"_error_parseo": "<first 500 chars>"}}``.
 
 A capture frame has: recibido (double, epoch s), seq (tie-breaker for equal
-arrival times, in file order), evento (JSON text of the event), error
-(true for an error record).
+arrival times, in file order), evento (JSON text of the event), error (true
+for an error record and for a line that is no record at all).
 """
 
 from __future__ import annotations
@@ -27,25 +27,28 @@ def read_capture(spark: SparkSession, path: str) -> DataFrame:
              .withColumn("seq", F.monotonically_increasing_id())
              .filter(F.trim(F.col("value")) != ""))
     rec = lines.select(F.from_json(F.col("value"), RECORD).alias("r"), "seq")
+    event = F.col("r._evento")
     return rec.select(
         F.col("r._recibido").alias("recibido"),
         F.col("seq"),
-        F.col("r._evento").alias("evento"),
-        F.get_json_object(F.col("r._evento"), "$._error_parseo").isNotNull().alias("error"),
+        event.alias("evento"),
+        (event.isNull() | F.get_json_object(event, "$._error_parseo").isNotNull()).alias("error"),
     )
 
 
 def capture_from_raw(raw: DataFrame) -> DataFrame:
     """A capture frame from raw envelope rows: arrival = queue time, ties
-    broken by (offset, partition); offsets that are not 64-bit integers
-    (Kinesis sequence numbers) fall back to a hash of the message."""
-    seq = F.coalesce(
-        F.expr("try_cast(desplazamiento AS BIGINT)") * F.lit(1000)
-        + F.coalesce(F.expr("try_cast(particion AS BIGINT)"), F.lit(0)),
-        F.xxhash64(F.col("valor")))
+    broken by (offset, partition). Both are 64-bit integers in a 38-digit
+    decimal (offset x 2^63 + partition would not fit one long); offsets or
+    partitions beyond that (Kinesis sequence numbers) fall back to a hash of
+    the message."""
+    offset = F.expr("try_cast(desplazamiento AS BIGINT)").cast("decimal(38,0)")
+    part = F.coalesce(F.expr("try_cast(particion AS INT)"), F.lit(0)).cast("decimal(38,0)")
+    seq = F.coalesce((offset * F.lit(2**31).cast("decimal(10,0)")).cast("decimal(38,0)") + part,
+                     F.xxhash64(F.col("valor")).cast("decimal(38,0)"))
     return raw.select(
         (F.unix_micros(F.col("ts_cola")) / F.lit(1e6)).alias("recibido"),
-        seq.alias("seq"),
+        seq.cast("decimal(38,0)").alias("seq"),
         F.col("valor").alias("evento"),
         F.lit(False).alias("error"),
     )

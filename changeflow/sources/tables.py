@@ -9,13 +9,16 @@ name instead of a folder.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.schemas import LAYERS
+from changeflow.sources import files
 
 PARTITION_COL = "dia"
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def layer_path(warehouse: str, layer: str) -> str:
@@ -28,21 +31,29 @@ def table_schema(layer: str) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(PARTITION_COL, T.DateType())])
 
 
-def ensure_tables(spark: SparkSession, warehouse: str, database: str = "changeflow") -> list[str]:
-    """B1: create the database and the five layer tables if absent
-    (idempotent), as external Parquet tables over the warehouse folders."""
+def table_ddl(layer: str, warehouse: str, database: str = "changeflow", fmt: str = "parquet") -> str:
+    """The statement that creates one layer table. Parquet: a folder of the
+    warehouse, partitioned by the stored day. Iceberg: a catalog table with a
+    hidden day partition of its time column and files of the target size."""
+    schema, time_col = LAYERS[layer]
+    name = "%s.%s" % (database, layer)
+    if fmt == "iceberg":
+        cols = ", ".join("`%s` %s" % (f.name, f.dataType.simpleString()) for f in schema.fields)
+        return ("CREATE TABLE IF NOT EXISTS %s (%s) USING iceberg PARTITIONED BY (days(%s)) TBLPROPERTIES ("
+                "'write.target-file-size-bytes'='%d', 'write.parquet.compression-codec'='zstd')"
+                % (name, cols, time_col, TARGET_FILE_BYTES))
+    cols = ", ".join("`%s` %s" % (f.name, f.dataType.simpleString()) for f in table_schema(layer).fields)
+    return ("CREATE TABLE IF NOT EXISTS %s (%s) USING parquet PARTITIONED BY (%s) "
+            "LOCATION '%s' OPTIONS (compression 'zstd')" % (name, cols, PARTITION_COL, layer_path(warehouse, layer)))
+
+
+def ensure_tables(spark: SparkSession, warehouse: str, database: str = "changeflow",
+                  fmt: str = "parquet") -> list[str]:
+    """B1: create the database and the layer tables if absent (idempotent)."""
     spark.sql("CREATE DATABASE IF NOT EXISTS %s" % database)
-    names = []
     for layer in LAYERS:
-        schema = table_schema(layer)
-        cols = ", ".join("`%s` %s" % (f.name, f.dataType.simpleString()) for f in schema.fields)
-        name = "%s.%s" % (database, layer)
-        spark.sql(
-            "CREATE TABLE IF NOT EXISTS %s (%s) USING parquet PARTITIONED BY (%s) "
-            "LOCATION '%s' OPTIONS (compression 'zstd')"
-            % (name, cols, PARTITION_COL, layer_path(warehouse, layer)))
-        names.append(name)
-    return names
+        spark.sql(table_ddl(layer, warehouse, database, fmt))
+    return ["%s.%s" % (database, layer) for layer in LAYERS]
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
@@ -69,13 +80,18 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
 
 
 def table_exists(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> bool:
-    """A table may be missing legitimately: its job has not run yet."""
+    """A table may be missing legitimately: its job has not run yet. A folder
+    of a layer has a fixed schema, so there its existence is asked first."""
+    if fmt == "parquet" and ("/" in name_or_path or ":" in name_or_path) and not files.names(spark, name_or_path):
+        return False
     if "/" in name_or_path or ":" in name_or_path:
         try:
             read_table(spark, name_or_path, fmt).schema  # noqa: B018
             return True
-        except Exception:  # AnalysisException: path does not exist / no files
-            return False
+        except AnalysisException as e:  # any other fault (storage, rights) is raised
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
     return spark.catalog.tableExists(name_or_path)
 
 
@@ -90,9 +106,6 @@ def stream_table(spark: SparkSession, path: str, layer: str, fmt: str = "parquet
     return reader.load(path)
 
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
 def compact_day(spark: SparkSession, src: str, dst: str, layer: str, day: str,
                 target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite one day partition of a layer into files of about

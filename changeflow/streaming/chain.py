@@ -7,7 +7,9 @@ checkpoint (exactly-once through replay plus the sink's commit log).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +24,7 @@ from changeflow.streaming.run import append_stream, run_available
 @dataclass
 class ChainConfig:
     warehouse: str
-    checkpoints: str | None = None          # default: the session's checkpoint dir
+    checkpoints: str | None = None          # default: <warehouse>/_checkpoints
     lateness: str = dedup.DEFAULT_LATENESS
     bronze_trigger: str = "10 seconds"
     silver_trigger: str = "10 seconds"
@@ -39,45 +41,59 @@ class ChainConfig:
     # two; read them with gold.activity_from_counts / bots_from_counts.
     fold_counts: bool = False
     names: dict = field(default_factory=dict)
+    # "iceberg": layers are tables of the catalog's ``database`` instead of
+    # Parquet folders of the warehouse.
+    fmt: str = "parquet"
+    database: str = "changeflow"
 
-    def ckpt(self, spark: SparkSession, job: str) -> str:
-        return stream_checkpoint(spark, job, self.checkpoints)
+    def ckpt(self, job: str) -> str:
+        return stream_checkpoint(job, self.warehouse, self.checkpoints)
+
+    def table(self, layer: str) -> str:
+        return layer_path(self.warehouse, layer) if self.fmt == "parquet" else "%s.%s" % (self.database, layer)
 
 
 def start_bronze(spark: SparkSession, envelope: DataFrame, cfg: ChainConfig) -> StreamingQuery:
     """Raw messages, never interpreted, stamped with the ingest time."""
     apply_required(spark)
-    return append_stream(stamp_ingest(envelope), layer_path(cfg.warehouse, "bronze"),
-                         cfg.ckpt(spark, "bronze"), day_from="ts_cola",
+    return append_stream(stamp_ingest(envelope), cfg.table("bronze"),
+                         cfg.ckpt("bronze"), day_from="ts_cola",
                          trigger=cfg.bronze_trigger, available_now=cfg.available_now,
-                         name=cfg.names.get("bronze"))
+                         name=cfg.names.get("bronze"), fmt=cfg.fmt)
 
 
 def silver_frame(spark: SparkSession, cfg: ChainConfig) -> DataFrame:
-    raw = stream_table(spark, layer_path(cfg.warehouse, "bronze"), "bronze",
+    raw = stream_table(spark, cfg.table("bronze"), "bronze", cfg.fmt,
                        max_files_per_trigger=cfg.max_files_per_trigger)
     typed = refine.refine(raw)
     return dedup.dedup_stream(dedup.with_lateness(typed, cfg.lateness))
 
 
-def _state_partitions(spark: SparkSession, cfg: ChainConfig) -> None:
+@contextmanager
+def _state_partitions(spark: SparkSession, cfg: ChainConfig) -> Iterator[None]:
+    """While queries start: a query keeps the setting it was started with."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
     if cfg.state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
+        spark.conf.set(key, str(cfg.state_partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def start_silver(spark: SparkSession, cfg: ChainConfig) -> StreamingQuery:
     """Typed, deduplicated rows under the event-time watermark."""
     apply_required(spark)
-    _state_partitions(spark, cfg)
-    return append_stream(silver_frame(spark, cfg), layer_path(cfg.warehouse, "silver"),
-                         cfg.ckpt(spark, "silver"), day_from="ts_evento",
-                         trigger=cfg.silver_trigger, available_now=cfg.available_now,
-                         name=cfg.names.get("silver"))
+    with _state_partitions(spark, cfg):
+        return append_stream(silver_frame(spark, cfg), cfg.table("silver"), cfg.ckpt("silver"), day_from="ts_evento",
+                             trigger=cfg.silver_trigger, available_now=cfg.available_now,
+                             name=cfg.names.get("silver"), fmt=cfg.fmt)
 
 
 def gold_frames(spark: SparkSession, cfg: ChainConfig) -> dict[str, DataFrame]:
     def silver_stream():
-        s = stream_table(spark, layer_path(cfg.warehouse, "silver"), "silver",
+        s = stream_table(spark, cfg.table("silver"), "silver", cfg.fmt,
                          max_files_per_trigger=cfg.max_files_per_trigger)
         return dedup.with_lateness(s.drop("dia"), cfg.lateness)
     frames = ({"gold_counts": gold.activity_bot_counts(silver_stream())} if cfg.fold_counts else
@@ -92,17 +108,17 @@ def start_gold(spark: SparkSession, cfg: ChainConfig) -> list[StreamingQuery]:
     """Three windowed aggregates, one query each (append: a window is
     written once the watermark passes its end)."""
     apply_required(spark)
-    _state_partitions(spark, cfg)
-    return [append_stream(df, layer_path(cfg.warehouse, name), cfg.ckpt(spark, name),
-                          day_from="ventana_inicio", trigger=cfg.gold_trigger,
-                          available_now=cfg.available_now, name=cfg.names.get(name))
-            for name, df in gold_frames(spark, cfg).items()]
+    with _state_partitions(spark, cfg):
+        return [append_stream(df, cfg.table(name), cfg.ckpt(name), day_from="ventana_inicio",
+                              trigger=cfg.gold_trigger, available_now=cfg.available_now,
+                              name=cfg.names.get(name), fmt=cfg.fmt)
+                for name, df in gold_frames(spark, cfg).items()]
 
 
 def run_chain_available(spark: SparkSession, envelope: DataFrame, cfg: ChainConfig) -> None:
     """Drain everything available through the chain, stage after stage
     (``availableNow``): the batch form of the continuous chain."""
-    cfg.available_now = True
+    cfg = replace(cfg, available_now=True)
     run_available([start_bronze(spark, envelope, cfg)])
     run_available([start_silver(spark, cfg)])
     run_available(start_gold(spark, cfg))

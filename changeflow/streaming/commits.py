@@ -1,9 +1,8 @@
-"""Commit history of a streaming query.
+"""Commit history of a streaming query (G4), from its lasting batch record.
 
-Parquet folders have no table snapshots; the query's checkpoint does keep
-one commit file per micro-batch that finished (``commits/<batchId>``), with
-the watermark for the next batch. Listing that folder gives the history:
-which batch committed when, so two separate runs show up as two bursts.
+Parquet folders have no table snapshots; ``history`` keeps a record per
+finished micro-batch, beyond the retention of the checkpoint's own logs. Two
+separate runs show up as two bursts.
 """
 
 from __future__ import annotations
@@ -11,22 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.streaming import history
+
+
+def has_history(spark: SparkSession, checkpoint: str) -> bool:
+    return history.read(spark, checkpoint) is not None
+
 
 def commit_history(spark: SparkSession, checkpoint: str, newest: int | None = None) -> DataFrame:
-    """batch_id, committed_at, operation, next_watermark; oldest first, or
-    the ``newest`` n newest first."""
-    files = (spark.read.format("binaryFile")
-             .load("%s/commits" % checkpoint.rstrip("/")))
-    text = F.col("content").cast("string")
-    wm_ms = F.get_json_object(F.element_at(F.split(text, "\n"), 2), "$.nextBatchWatermarkMs").cast("long")
-    out = (files.select(
-        F.regexp_extract(F.col("path"), r"/commits/(\d+)$", 1).alias("_id"),
-        F.col("modificationTime").alias("committed_at"),
-        wm_ms.alias("_wm"))
-        .filter(F.col("_id") != "")
-        .select(F.col("_id").cast("long").alias("batch_id"), "committed_at",
-                F.lit("append").alias("operation"),
-                F.when(F.col("_wm") > 0, F.timestamp_millis(F.col("_wm"))).alias("next_watermark")))
+    """batch_id, committed_at, operation, rows, next_watermark; oldest first,
+    or the ``newest`` n newest first. Empty without a record."""
+    rows = history.read(spark, checkpoint)
+    if rows is None:
+        rows = spark.createDataFrame([], history.RECORD)
+    started_ms = F.unix_millis(F.to_timestamp("started"))
+    out = rows.select("batch_id", F.timestamp_millis(started_ms + F.col("duration_ms")).alias("committed_at"),
+                      F.lit("append").alias("operation"), F.col("input_rows").alias("rows"),
+                      F.when(F.col("next_watermark_ms") > 0, F.timestamp_millis("next_watermark_ms")).alias("next_watermark"))
     if newest:
         return out.orderBy(F.col("batch_id").desc()).limit(newest)
     return out.orderBy("batch_id")

@@ -7,11 +7,10 @@ The producer waits for all replicas, is idempotent and compresses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import partition_key
-from changeflow.sources.replay import payload
 
 PRODUCER_OPTIONS = {
     "kafka.acks": "all",
@@ -21,11 +20,12 @@ PRODUCER_OPTIONS = {
 }
 
 
-def with_key(changes: DataFrame) -> DataFrame:
-    """Key/value frame of a change-event frame: key ``wiki|title`` (a
-    missing part becomes ``?``), value the event as UTF-8 JSON text."""
-    return changes.select(partition_key("wiki", "titulo").alias("key"),
-                          payload(changes).alias("value"))
+def with_key(changes: DataFrame, wiki: str = "wiki", title: str = "titulo", value: Column | None = None) -> DataFrame:
+    """Key/value frame of any frame of changes: key ``wiki|title`` (a missing
+    part becomes ``?``), value the change as UTF-8 JSON text: ``value`` if
+    given, else all columns of the row."""
+    value = F.to_json(F.struct(*[F.col(c) for c in changes.columns])) if value is None else value
+    return changes.select(partition_key(wiki, title).alias("key"), value.alias("value"))
 
 
 def publish(keyed: DataFrame, brokers: str, topic: str, checkpoint: str | None = None):

@@ -35,3 +35,11 @@ def test_non_contiguous_source_judged_on_duplicates(spark):
 def test_missing_offset_gives_null_bounds(spark):
     c = integrity.continuity(_q(spark, [("0", None), ("0", "x")])).first()
     assert c.primero is None and c.filas == 2
+
+
+def test_unreadable_offsets_are_no_proof(spark):
+    for offsets in (["x", "y", "z"], ["1", "2", "?"], ["1", None]):
+        df = spark.createDataFrame([("0", o) for o in offsets], "particion string, desplazamiento string")
+        v = integrity.verdict(df).first()
+        assert not v.ok and v.ilegibles == sum(not (o or "").isdigit() for o in offsets)
+        assert integrity.verdict(df, contiguous=False).first().ok

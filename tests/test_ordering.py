@@ -38,3 +38,16 @@ def test_exact_quantiles_match_percentile(spark):
         assert abs(got[k] - want[k]) <= 1e-9 * max(1.0, abs(want[k]))
     empty = exact_quantiles(df.filter("x < 0"), "x", {"p50": 0.5}).first()
     assert empty.p50 is None
+
+
+def test_quantiles_of_a_value_that_most_rows_share(spark):
+    from changeflow.operators import ordering
+    df = spark.range(200_000).select(F.when(F.col("id") % 10 < 9, 7.0).otherwise(F.col("id").cast("double")).alias("x"))
+    got = ordering.exact_quantiles(df, "x", {"a": 0.5, "b": 0.95}, partitions=8).first()
+    want = df.agg(F.percentile("x", F.lit(0.5)).alias("a"), F.percentile("x", F.lit(0.95)).alias("b")).first()
+    assert got.a == want.a == 7.0 and abs(got.b - want.b) < 1e-6
+    counts = df.groupBy("x").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = [r["count"] for r in ordering._ranged(counts, ["x"], 8).groupBy("_pid").count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+    plan = ordering.exact_quantiles(df, "x", {"a": 0.5}, partitions=8)._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "Python" not in plan

@@ -98,3 +98,20 @@ def test_capture_roundtrip(spark, scratch):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     t1, t2 = P.throughput(cap).first(), P.throughput(back).first()
     assert t1.eventos == t2.eventos == 1000 and t1.duracion_s == t2.duracion_s
+
+
+def test_broken_lines_microseconds_and_repeated_keys(spark, scratch):
+    from changeflow.operators import profile
+    from changeflow.sources.capture import read_capture
+    lines = ['{"_recibido":2.0,"_evento":{"meta":{"dt":"1970-01-01T00:00:01.250001Z"},"a":1}}',
+             '{"_recibido":3.0,"_evento":{"meta":{"dt":"1970-01-01T00:00:01.5Z"},"a":"x","a":2}}',
+             '{"_recibido":2.5,"_ev', '{"_evento":{"_error_parseo":"?"}}', "", "  "]
+    with open(scratch + "/c.jsonl", "w") as f:
+        f.write("\n".join(lines))
+    cap = read_capture(spark, scratch + "/c.jsonl")
+    t = profile.throughput(cap).first()
+    assert (t.eventos, t.errores_parseo) == (2, 2)
+    lat = profile.arrival_latency(cap).first()
+    assert (lat.con_tiempo, lat.sin_tiempo) == (2, 0) and abs(lat.minimo - 0.749999) < 1e-9
+    rows = {r.ruta: r for r in profile.schema_profile(cap).collect()}
+    assert rows["a"].presencia_pct == 50.0 and rows["a"].ilegibles == 1

@@ -9,12 +9,12 @@ from changeflow.streaming.publish import with_key
 
 
 def test_source_choice(monkeypatch):
-    assert queue.source_name(" Kafka ") == "kafka"
+    assert queue.pick(" Kafka ").connector == "kafka"
     monkeypatch.setenv(queue.SOURCE_ENV, "KINESIS")
-    assert queue.source_name() == "kinesis"
+    assert queue.pick().connector == "aws-kinesis"
     assert not queue.offsets_consecutive()
     with pytest.raises(ValueError):
-        queue.source_name("pulsar")
+        queue.pick("pulsar")
 
 
 def test_normalize_kafka(spark):
@@ -43,7 +43,11 @@ def test_publish_key_and_value(spark):
     from changeflow.sources import replay
     ch = replay.change_events(replay.read_events(spark, "/root/testdata/sf0.001"))
     kv = with_key(ch.limit(3)).collect()
-    assert all("|" in r.key and r.value.startswith('{"$schema"') for r in kv)
+    assert all("|" in r.key and '"meta_id"' in r.value for r in kv)
+    raw = with_key(ch.limit(3), value=replay.payload(ch)).collect()
+    assert all(r.value.startswith('{"$schema"') for r in raw)
+    other = spark.createDataFrame([("u-1", "w", None)], "uuid string, site string, page string")
+    assert with_key(other, "site", "page").first().asDict() == {"key": "w|?", "value": '{"uuid":"u-1","site":"w"}'}
     nulls = ch.limit(1).withColumn("wiki", ch.wiki.substr(0, 0).cast("string")).selectExpr(
         "*").withColumn("titulo", ch.titulo.isNull().cast("string")).withColumn("titulo", ch.comment)
     assert with_key(nulls).first().key.endswith("|?")

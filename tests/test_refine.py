@@ -66,3 +66,12 @@ def test_event_time_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert v == 1786978937471000
+
+
+def test_poison_timestamp_becomes_null(spark):
+    from changeflow.operators import refine as R
+    rows = [('{"meta":{"id":"%d","dt":"2026-01-01T00:00:00.000Z"},"timestamp":%d}' % (i, t),) for i, t in enumerate(
+        (-9223372036854775808, 9223372036854775807, 253402300800, 0, -1))]
+    raw = spark.createDataFrame(rows, "valor string").selectExpr("valor", "timestamp'2026-01-01 00:00:01' AS ts_cola")
+    got = {r.meta_id: r.s for r in R.refine(raw).selectExpr("meta_id", "unix_seconds(ts_mediawiki) AS s").collect()}
+    assert got == {"0": None, "1": None, "2": None, "3": 0, "4": -1}

@@ -92,3 +92,21 @@ def test_since_prunes_day_partitions(spark, scratch, capsys):
     assert "PartitionFilters: [isnotnull(dia" in plan and "2024-01-29" in plan
     assert "ReadSchema: struct<ts_cola:timestamp>" in plan
     assert df.count() == env.filter("ts_cola >= TIMESTAMP'2024-01-29 00:00:00'").count() > 0
+
+
+def test_iceberg_statement_and_chain_tables():
+    from changeflow.sources.tables import table_ddl
+    from changeflow.streaming.chain import ChainConfig
+    ddl = table_ddl("silver", "/wh", "lake", "iceberg")
+    assert "lake.silver" in ddl and "USING iceberg PARTITIONED BY (days(ts_evento))" in ddl and "134217728" in ddl
+    assert "`dia`" not in ddl
+    assert ChainConfig(warehouse="/wh", fmt="iceberg", database="lake").table("bronze") == "lake.bronze"
+    assert ChainConfig(warehouse="/wh").table("bronze") == "/wh/bronze"
+
+
+def test_only_a_missing_table_counts_as_missing(spark, scratch):
+    import pytest
+    from changeflow.sources.tables import table_exists
+    assert not table_exists(spark, scratch + "/silver")
+    with pytest.raises(Exception):
+        table_exists(spark, "nosuchstore://x/silver")
