@@ -226,5 +226,5 @@ def unpack(blocks: DataFrame) -> DataFrame:
                          pa.array((ends - part).astype(np.int64)), pa.array(at[part].astype(np.int64))],
                         names=["doc_id", "ids", "n_pieces", "first_at"])
 
-    blocks.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    small_batches(blocks.sparkSession)
     return blocks.mapInArrow(run, schema)

@@ -20,9 +20,9 @@ LOWER_TABLE = bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode())
 BLANKS = " \t\n\x0b\x0c\r"
 
 CLEAN_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: documents a Python worker holds at once; texts may be long
-BATCH_ROWS = 256
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: bytes of rows that a Python worker gets at once; texts may be long
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,9 +78,10 @@ def drop_stored(df: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, for tables with long texts."""
-    if int(spark.conf.get(BATCH_KEY)) > BATCH_ROWS:
-        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+    """Bound the bytes of an Arrow batch, for tables with long texts. The
+    number of rows stays as the session has it, so that queries on narrow rows
+    keep their large batches."""
+    spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
 
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
