@@ -22,7 +22,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 CLEAN_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: bytes of rows that a Python worker gets at once; texts may be long
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
