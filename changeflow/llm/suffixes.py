@@ -7,17 +7,20 @@ are put in suffix order that can repeat at all, in bounded groups:
    ``K``-byte strings, which depends on the string alone. So two documents
    that share a string of ``length`` bytes share its anchor. Anchors
    (about one in 18 bytes) are shuffled as hash and text number, and those
-   that two different texts hold are kept.
+   that two different texts hold are kept. An anchor that a task has sent for
+   two texts already is certain to be kept; its further rows are salted.
 2. For these, each text sends the stretch around the anchor that strings with
-   this anchor can reach (``2 length - K`` bytes), grouped by anchor. A task
+   this anchor can reach (``2 length - K`` bytes), with all its places in the
+   text, grouped by anchor. A stretch that the task has sent for a smaller
+   document is covered whole and is not sent. A task
    puts the suffixes of its groups' stretches in order; a suffix's
    longest previous factor, cut at ``length``, is that long if, among the
    suffixes it shares ``length`` bytes with, the previous or the next smaller
    document in suffix order exists, i.e. if it is not from the smallest one.
    Bytes are compared as bytes: nothing is removed on a hash alone.
-   Equal stretches are put in order once. Anchors in more than ``HOT`` texts
-   are not gathered: their strings are compared by a plain ``groupBy`` with
-   map-side combine (strings as keys).
+   Equal stretches are put in order once. Anchors of more than ``HOT``
+   stretches are not gathered: their strings are compared by a plain
+   ``groupBy`` with map-side combine (strings as keys).
 3. The covered intervals go back to the documents.
 
 Exact copies of whole texts are found by ``groupBy`` first; only the first of
@@ -37,10 +40,16 @@ from .shared import drop_stored, id_and_text, small_batches, stored, text_key
 
 LENGTH = 50
 K = 16
-HOT = 100_000
+HOT = 20_000
 #: stretches of whole groups that a task puts in order at once
 CHUNK = 12_000
 SEEN = 1_000_000
+#: stretches that a task remembers to have sent, and places it looks at at once
+SENT = 100_000
+SLICE = 16_384
+#: slots of a task's memory of anchors, and salts of those it knows to repeat
+SLOTS = 1 << 20
+SALTS = 256
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -68,9 +77,33 @@ def anchors(text: bytes, length: int) -> np.ndarray:
     return np.unique(low)
 
 
+class RepeatedAnchors:
+    """What a task remembers of the anchors it has sent: a slot holds the last
+    anchor that fell there, a text that has it, and whether another one has it
+    too. What a slot forgets is only sent once more as unknown."""
+
+    def __init__(self, slots: int = SLOTS):
+        self.mask = np.uint64(slots - 1)
+        self.anchor = ~np.arange(slots, dtype=np.uint64)  # no anchor of that slot
+        self.text = np.zeros(slots, np.int64)
+        self.repeated = np.zeros(slots, bool)
+
+    def known(self, anchor: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Which anchors had been sent for two texts before this call."""
+        slot = (anchor & self.mask).astype(np.int64)
+        same = self.anchor[slot] == anchor
+        known = same & self.repeated[slot]
+        self.repeated[slot[~same]] = False
+        self.anchor[slot[~same]] = anchor[~same]
+        self.text[slot[~same]] = text[~same]
+        self.repeated[slot[(self.anchor[slot] == anchor) & (self.text[slot] != text)]] = True
+        return known
+
+
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        sent = RepeatedAnchors()
         for b in batches:
             hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for t, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
@@ -80,32 +113,53 @@ def _anchor_rows(length: int):
                     seen.add(t)
                 hashes.append(anchors(text, length))
                 owners.append(np.full(len(hashes[-1]), t))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)),
-                                              pa.array(np.concatenate(owners))], names=["h", "t1"])
+            h, owner = np.concatenate(hashes), np.concatenate(owners)
+            salt = np.where(sent.known(h, owner), 1 + owner % SALTS, 0).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(owner), pa.array(salt)],
+                                             names=["h", "t1", "salt"])
 
     return run
 
 
 def _stretches(length: int):
-    """Rows (h, t1, first, pos, left, hot, bytes) around each wanted anchor."""
+    """Rows (h, t1, first, pos, left, size, bytes): a stretch around a wanted
+    anchor and all places where the text has it; ``bytes`` is null if a
+    smaller document is known to have the whole stretch."""
+    names = ["h", "t1", "first", "pos", "left", "size", "bytes"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[tuple[int, bytes], int] = {}
         for b in batches:
-            t1, first = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for i, text in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
-                wanted = np.sort(b.column(3)[i].values.to_numpy().view(np.uint64))
+            for t1, first, text, hs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
+                                           b.column(2).cast(pa.binary()).to_pylist(), b.column(3)):
+                wanted = np.sort(hs.values.to_numpy().view(np.uint64))
                 every = kmer_hashes(np.frombuffer(text, np.uint8))
                 at = np.minimum(np.searchsorted(wanted, every), len(wanted) - 1)
                 pos = np.flatnonzero(wanted[at] == every)
-                hot = np.isin(every[pos], b.column(4)[i].values.to_numpy().view(np.uint64))
-                for lo in range(0, len(pos), 16_384):
-                    p = pos[lo:lo + 16_384]
-                    left = np.minimum(p, length - K)
-                    cut = [text[x - y:x + length] for x, y in zip(p.tolist(), left.tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(every[p].view(np.int64)), pa.array(np.full(len(p), t1[i])),
-                         pa.array(np.full(len(p), first[i])), pa.array(p.astype(np.int32)),
-                         pa.array(left.astype(np.int32)), pa.array(hot[lo:lo + 16_384]), pa.array(cut, pa.binary())],
-                        names=["h", "t1", "first", "pos", "left", "hot", "bytes"])
+                for lo in range(0, len(pos), SLICE):
+                    places: dict[tuple[int, bytes], list[int]] = {}
+                    for x in pos[lo:lo + SLICE].tolist():
+                        left = min(x, length - K)
+                        cut = text[x - left:x + length]
+                        if len(cut) >= length:
+                            places.setdefault((left, cut), []).append(x)
+                    out = []
+                    for stretch, xs in places.items():
+                        least = sent.get(stretch)
+                        covered = least is not None and least < first
+                        if not covered:
+                            if len(sent) >= SENT:
+                                sent.clear()
+                            sent[stretch] = first
+                        left, cut = stretch
+                        out.append((xs, left, len(cut), None if covered else cut))
+                    if out:
+                        xs, left, size, cut = zip(*out)
+                        h = every[[x[0] for x in xs]].view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(h), pa.array(np.full(len(out), t1)), pa.array(np.full(len(out), first)),
+                             pa.array(xs, pa.list_(pa.int32())), pa.array(left, pa.int32()),
+                             pa.array(size, pa.int32()), pa.array(cut, pa.binary())], names=names)
 
     return run
 
@@ -164,22 +218,31 @@ def earlier_copies(h, first, left, flat, offsets, length: int) -> np.ndarray:
     return valid[which] & (smallest[which] < first[:, None])
 
 
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    column = column.combine_chunks()
+    return column if isinstance(column, pa.Array) else column.chunk(0)
+
+
 def _covered(length: int):
     reach = length - K
 
     def intervals(table: pa.Table) -> pa.RecordBatch:
-        h, t1, first, pos, left = (table.column(i).to_numpy() for i in range(5))
-        cut = table.column(5).combine_chunks()
-        cut = cut if isinstance(cut, pa.Array) else cut.chunk(0)
+        h, t1, first, left = (table.column(i).to_numpy() for i in range(4))
+        places, cut = (_one_array(table.column(i)) for i in (4, 5))
+        n_places, pos = places.value_lengths().to_numpy(), places.flatten().to_numpy()
         offsets = np.frombuffer(cut.buffers()[1], np.int32)[cut.offset:cut.offset + len(cut) + 1].astype(np.int64)
         flat = np.frombuffer(cut.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
         hit = earlier_copies(h, first, left.astype(np.int64), flat, offsets - offsets[0], length)
         edge = np.diff(np.pad(hit.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         row, start = np.nonzero(edge == 1)
         _, stop = np.nonzero(edge == -1)
+        # each interval at each place of its stretch
+        times = n_places[row]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        at = pos[np.repeat((np.cumsum(n_places) - n_places)[row], times) + nth] - reach
         return pa.RecordBatch.from_arrays(
-            [pa.array(t1[row]), pa.array((pos[row] + start - reach).astype(np.int32)),
-             pa.array((pos[row] + stop - 1 - reach + length).astype(np.int32))], names=["t1", "b", "e"])
+            [pa.array(np.repeat(t1[row], times)), pa.array((at + np.repeat(start, times)).astype(np.int32)),
+             pa.array((at + np.repeat(stop - 1 + length, times)).astype(np.int32))], names=["t1", "b", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -203,14 +266,14 @@ def _covered(length: int):
 
 
 def _covered_hot(rows: DataFrame, length: int) -> DataFrame:
-    """The same for anchors in very many texts, string by string."""
+    """The same for anchors of very many stretches, string by string."""
     each = rows.select("h", "t1", "first", "pos", "left", "bytes", F.explode(F.sequence(
-        F.lit(0), F.least(F.col("left"), F.octet_length("bytes") - length))).alias("s")).where(
-        F.octet_length("bytes") >= length)
-    each = each.select("h", "t1", "first", (F.col("pos") - F.col("left") + F.col("s")).alias("b"),
+        F.lit(0), F.col("size") - length)).alias("s"))
+    each = each.select("h", "t1", "first", "pos", (F.col("s") - F.col("left")).alias("from"),
                        F.expr(f"substring(bytes, s + 1, {length})").alias("x"))
     least = each.groupBy("h", "x").agg(F.min("first").alias("least"))
-    return each.join(least, ["h", "x"]).where("least < first").select("t1", "b", (F.col("b") + length).alias("e"))
+    found = each.join(least, ["h", "x"]).where("least < first").select("t1", "from", F.explode("pos").alias("p"))
+    return found.select("t1", (F.col("p") + F.col("from")).alias("b"), (F.col("p") + F.col("from") + length).alias("e"))
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -222,26 +285,31 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     small_batches(spark)
     src = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long"), *text_key("text"), "text")
     texts = stored(src.groupBy("t1", "t2").agg(F.min("doc_id").alias("first")), "texts")
-    rows = src.select("t1", "text").mapInArrow(_anchor_rows(length), "h long, t1 long")
-    w = Window.partitionBy("h")
-    rows = rows.select("h", "t1", F.min("t1").over(w).alias("low"), F.max("t1").over(w).alias("high"),
-                       F.count("*").over(w).alias("n")).where("low <> high")
-    wanted = stored(rows.groupBy("t1").agg(F.collect_set("h").alias("hs"),
-                                           F.collect_set(F.when(F.col("n") > hot, F.col("h"))).alias("hots")), "anchors")
+    rows = src.select("t1", "text").mapInArrow(_anchor_rows(length), "h long, t1 long, salt short")
+    w = Window.partitionBy("h", "salt")
+    rows = rows.select("h", "t1", "salt", F.min("t1").over(w).alias("low"), F.max("t1").over(w).alias("high")).where(
+        "salt > 0 or low <> high")
+    wanted = stored(rows.groupBy("t1").agg(F.collect_set("h").alias("hs")), "anchors")
     owners = texts.join(wanted, "t1")
-    cut = (src.join(owners, ["t1", "t2"]).where("doc_id = first").select("t1", "first", "text", "hs", "hots")
+    cut = (src.join(owners, ["t1", "t2"]).where("doc_id = first").select("t1", "first", "text", "hs")
            .mapInArrow(_stretches(length),
-                       "h long, t1 long, first long, pos int, left int, hot boolean, bytes binary"))
-    return texts, _intervals(cut, length)
-
-
-def _intervals(cut: DataFrame, length: int) -> DataFrame:
-    cut = stored(cut, "stretches")  # read twice, for usual and for hot anchors
-    cold = (cut.where(~F.col("hot")).select("h", "t1", "first", "pos", "left", "bytes")
+                       "h long, t1 long, first long, pos array<int>, left int, size int, bytes binary"))
+    return texts, _intervals(cut, length, hot)
+
+
+def _intervals(cut: DataFrame, length: int, hot: int) -> DataFrame:
+    cut = stored(cut, "stretches")  # read for covered stretches, usual and hot anchors
+    whole = cut.where("bytes is null").select("t1", "left", "size", F.explode("pos").alias("p")).select(
+        "t1", (F.col("p") - F.col("left")).alias("b"), (F.col("p") - F.col("left") + F.col("size")).alias("e"))
+    sent = cut.where("bytes is not null")
+    # stored, so the planner knows its size: broadcast if it is small, else shuffled
+    hots = stored(sent.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("h"), "hot")
+    cold = (sent.join(hots, "h", "left_anti").select("h", "t1", "first", "left", "pos", "bytes")
             .repartition("h").sortWithinPartitions("h").mapInArrow(_covered(length), "t1 long, b int, e int"))
-    found = cold.unionByName(_covered_hot(cut.where("hot"), length))
+    found = whole.unionByName(cold).unionByName(_covered_hot(sent.join(hots, "h", "left_semi"), length))
     spans = stored(found.groupBy("t1").agg(F.collect_list(F.struct("b", "e")).alias("spans")), "spans")
     drop_stored(cut)
+    drop_stored(hots)
     return spans
 
 

@@ -200,6 +200,34 @@ def test_hot_anchors_and_other_lengths_give_the_same(spark):
     assert substrings(spark, rows, length=30) == brute_removed(rows, 30)
 
 
+def test_repeats_known_to_a_task_give_the_same(spark):
+    rng = random.Random(3)
+    line = "a line that many of the documents hold, each of them in its own place."
+    rows = [(d, "%d %s\n%s" % (rng.random() * 1e9, "first %d" % d, (line + "\n") * rng.randint(0, 4)
+                               + line[rng.randint(0, 20):] * rng.randint(0, 2))) for d in range(60)] + corpus(4)
+    rng.shuffle(rows)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")  # so that a task has several batches
+    try:
+        assert substrings(spark, rows) == brute_removed(rows)
+        assert substrings(spark, rows, hot=3) == brute_removed(rows)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_only_anchors_sent_for_two_texts_are_known():
+    seen = suffixes.RepeatedAnchors(4)
+
+    def known(anchor, text):
+        return seen.known(np.array(anchor, np.uint64), np.array(text)).tolist()
+
+    assert known([1, 2], [7, 7]) == [False, False]
+    assert known([1, 1, 2], [7, 8, 7]) == [False, False, False]
+    assert known([1, 2, 5], [9, 9, 9]) == [True, False, False]  # 5 takes the slot of 1
+    assert known([1, 2], [9, 7]) == [False, True]
+
+
 def test_substring_edge_cases(spark):
     long = "".join(chr(97 + i % 26) + str(i) for i in range(60))
     rows = [(i, t) for i, t in enumerate(EDGE_TEXTS)] + [(50, long), (50, long), (51, long), (52, long[:49]), (53, long[:50]),
