@@ -143,8 +143,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     chosen = (labelled.where(rank <= ranks[-1])
               .select(rank.alias("r"), docs[lang_col].cast("string").alias("lang"),
                       docs[text_col].cast("string").alias("text"))
-              .mapInArrow(_cut, "r long, lang string, w binary").toPandas())
-    chosen = chosen.sort_values(["r", "lang", "w"]).head(sample_docs * SAMPLE_WINDOWS)
+              .mapInArrow(_cut, "r long, lang string, w binary")
+              # rows that repeat an id share its rank: the bound is on windows
+              .orderBy("r", "lang", "w").limit(sample_docs * SAMPLE_WINDOWS).toPandas())
     if not len(chosen):
         return None
     languages = sorted(chosen["lang"].unique())
