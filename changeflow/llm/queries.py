@@ -6,7 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, lines, packing, pieces, secrets, simhash, suffixes
+from changeflow.operators.common import fence
+
+from . import (ann, chat, decontam, langid, lines, packing, periodic, phrases, pieces, products, secrets, simhash,
+               suffixes)
 from .shared import stored
 
 #: vocabulary files, a parameter of the operators that read them
@@ -100,9 +103,40 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return products.top_products(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+def repeated_documents(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in one document of ten (by crc32 of its id) the words
+    from a place on repeat the first ones from there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = fence(docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words")))
+    docs = fence(docs.select("doc_id", "text", "g", "words", F.expr("if(size(words) > 0, g % size(words), null)").alias("a")))
+    again = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, "
+                   "words[int(a + (i - a) % (1 + (size(words) - a) div (3 + g % 8)))])), ' ')")
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), again).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repeated_documents(_table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(docs).withColumn("best", periodic.strongest(F.col("runs")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(periodic.run_text(F.col("runs")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_secrets": op2_secrets, "op3_decontam": op3_decontam,
            "op4_chat": op4_chat, "op5_langid": op5_langid, "op6_pieces": op6_pieces, "op7_ann": op7_ann,
-           "op8_packing": op8_packing, "op9_lines": op9_lines, "op10_suffixes": op10_suffixes}
+           "op8_packing": op8_packing, "op9_lines": op9_lines, "op10_suffixes": op10_suffixes,
+           "op11_phrases": op11_phrases, "op12_products": op12_products, "op13_periodic": op13_periodic}
 
 ORACLE = {
     "op3_decontam": r"""
@@ -159,4 +193,38 @@ m AS (SELECT k.*, s.last_doc IS NOT NULL AND s.last_doc <> k.doc_id AS gone FROM
 SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op11_phrases": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+      FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, size, phrase, count(*) AS f
+      FROM (SELECT lang, size, unnest(list_transform(generate_series(1, len(w) - size + 1), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+            FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(w) >= size)
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+cut AS (SELECT lang, size, phrase, a, w, unnest(generate_series(1, size - 1)) AS k FROM c),
+scored AS (SELECT cut.lang, cut.size, cut.phrase, cut.a, k, x.f AS l, y.f AS r, n,
+                  CAST((1000::HUGEINT * cut.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+           FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:k], ' ')
+           JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+           JOIN total ON total.lang = cut.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, a, size AS longer, unnest(list_transform(generate_series(1, 3), lambda m: m + 1)) AS size, w FROM c),
+inside AS (SELECT lang, phrase, max(a) AS a
+           FROM (SELECT lang, a, unnest(list_transform(generate_series(1, longer - size + 1), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+                 FROM part WHERE size < longer) GROUP BY lang, phrase),
+kept AS (SELECT best.* FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+         WHERE inside.a IS NULL OR 100 * inside.a < 100 * best.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000""",
+    "op12_products": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.v, v.v) AS BIGINT) AS score
+      FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10""",
 }
