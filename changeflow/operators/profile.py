@@ -169,11 +169,16 @@ def disorder(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataF
                     F.col("p99").cast("double").alias("p99"), "maximo"))
 
 
+def arrival_times(cap: DataFrame, path: str = "meta.dt") -> DataFrame:
+    """recibido, lat: arrival - event time in s, NULL without a valid time."""
+    return _event_times(cap, path).select(
+        "recibido", (F.col("recibido") - F.unix_micros("t") / F.lit(1e6)).alias("lat"))
+
+
 def arrival_latency(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataFrame:
     """Arrival - event time in s (includes clock skew): min, p50, p95,
     p99, max; events without a valid time are counted apart."""
-    ev = _event_times(cap, path).select(
-        (F.col("recibido") - F.unix_micros("t") / F.lit(1e6)).alias("lat"))
+    ev = arrival_times(cap, path)
     out = _with_quantiles(ev, "lat", exact, F.count("lat").alias("con_tiempo"),
                           F.count(F.when(F.col("lat").isNull(), 1)).alias("sin_tiempo"),
                           F.min("lat").alias("minimo"), F.max("lat").alias("maximo"))

@@ -116,8 +116,9 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
     """F1-F6 over the stored layers of a warehouse. A missing layer is
     reported, not an error; without the P1 and P2 tables only the volumes
     are returned. ``since`` limits silver to recent day partitions for the
-    latency query (partition pruning); with the silver query's checkpoint
-    the latency to commit is added."""
+    latency query (partition pruning), which reads no silver at all where
+    latency states are stored; with the silver query's checkpoint the latency
+    to commit is added."""
     from changeflow.schemas import LAYERS
     from changeflow.sources.tables import layer_path, read_table, table_exists
     present = {k: table_exists(spark, layer_path(warehouse, k)) for k in LAYERS}
@@ -129,11 +130,19 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
         frames["gold_activity"] = activity_from_counts(frames["gold_counts"])
         frames["gold_bots"] = bots_from_counts(frames["gold_counts"])
         present["gold_activity"] = present["gold_bots"] = True
+    if present["gold_panes"] and not present["gold_concurrent"]:
+        from changeflow.operators.panes import pages_from_panes
+        frames["gold_concurrent"] = pages_from_panes(frames["gold_panes"])
+        present["gold_concurrent"] = True
     if not (present["gold_activity"] and present["gold_bots"]):
         return out
     if present["silver"]:
         silver = read_table(spark, layer_path(warehouse, "silver"), since=since).drop("dia")
-        out["latency"] = latency(silver, exact=exact)
+        if present["silver_latency"] and not exact:
+            from changeflow.operators.panes import latency_from_panes
+            out["latency"] = latency_from_panes(frames["silver_latency"])
+        else:
+            out["latency"] = latency(silver, exact=exact)
         if silver_checkpoint:
             from changeflow.streaming.commits import commit_history, has_history
             if has_history(spark, silver_checkpoint):

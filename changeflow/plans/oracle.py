@@ -489,6 +489,17 @@ cap AS (
 """
 
 
+# windows, and how many an approximate count gets wrong by more than its bound
+NO_ERROR = q("""SELECT count(*) AS ventanas, CAST(0 AS BIGINT) AS fuera,
+                       CASE WHEN count(*) > 0 THEN 0.0::DOUBLE END AS error_maximo FROM p3c""", P3)
+
+GAPS = """
+, o AS (SELECT DISTINCT particion, TRY_CAST(desplazamiento AS BIGINT) AS o FROM q),
+g AS (SELECT particion, o, lag(o) OVER (PARTITION BY particion ORDER BY o) AS before FROM o WHERE o IS NOT NULL)
+SELECT particion, before + 1 AS desde, o - 1 AS hasta, o - before - 1 AS faltan FROM g WHERE o > before + 1
+"""
+
+
 def _dirty(query: str) -> str:
     """The body of a profile oracle over the dirty capture."""
     body = ORACLE[query].split(PATHS.strip())[-1].lstrip()
@@ -516,8 +527,43 @@ ORACLE.update({
         SELECT wiki || '|' || titulo AS key,
                json_object('meta_id', meta_id, 'wiki', wiki, 'titulo', titulo, 'tipo', tipo)::VARCHAR AS value FROM silver
     """),
-    "gold_concurrent_error": "SELECT true AS dentro",
-    "stream_gold_concurrent_error": "SELECT true AS dentro",
+    "gold_concurrent_error": NO_ERROR,
+    "stream_gold_concurrent_error": NO_ERROR,
+    "gold_concurrent_panes_error": NO_ERROR,
+    "gold_concurrent_panes": ORACLE["gold_concurrent_exact"],
+    "stream_gold_concurrent_panes": ORACLE["gold_concurrent_exact"],
+    # whole minutes; a sketch of fewer values than its size holds them all and
+    # gives the smallest value of at least the wanted rank
+    "serve_latency_states": q("""
+        , recent AS (
+          SELECT epoch_us(ingerido_en) / 1000000.0 - epoch_us(ts_evento) / 1000000.0 AS lat
+          FROM silver
+          WHERE date_trunc('minute', ts_evento) >= (SELECT max(ts_evento) - INTERVAL 15 MINUTE FROM silver)
+            AND ingerido_en > ts_evento),
+        ranked AS (SELECT lat, row_number() OVER (ORDER BY lat) AS r, count(*) OVER () AS n FROM recent)
+        SELECT count(*) AS filas, round(min(lat), 2) AS minimo,
+               round(min(lat) FILTER (WHERE r >= 0.50 * n), 2) AS p50,
+               round(min(lat) FILTER (WHERE r >= 0.95 * n), 2) AS p95,
+               round(min(lat) FILTER (WHERE r >= 0.99 * n), 2) AS p99,
+               round(max(lat), 2) AS maximo
+        FROM ranked
+    """),
+    "serve_latency_states_error": q("""
+        SELECT unnest(['p50', 'p95', 'p99']) AS cuantil, count(*) AS filas, false AS fuera FROM silver
+    """),
+    "profile_arrival_states_error": _cq("""
+        SELECT unnest(['p50', 'p95', 'p99']) AS cuantil, count(*) AS filas, false AS fuera FROM cap
+    """),
+    "stream_latency_states": q("""
+        SELECT date_trunc('minute', ts_evento) AS ventana_inicio, count(*) AS filas FROM silver, wm
+        WHERE date_trunc('minute', ts_evento) + INTERVAL 1 MINUTE <= bound GROUP BY ALL
+    """),
+    "integrity_bitmap_continuity_conversations": ORACLE["integrity_continuity_conversations"],
+    "integrity_bitmap_continuity_lineitem": ORACLE["integrity_continuity_lineitem"],
+    "integrity_bitmap_verdict_bronze": ORACLE["integrity_verdict_bronze"],
+    "integrity_gaps_conversations": with_ctes(_queue("conversations", "conv_id", "turn")) + GAPS,
+    "integrity_gaps_lineitem": with_ctes(_queue("lineitem", "l_orderkey", "l_linenumber")) + GAPS,
+    "integrity_gaps_orders": with_ctes(_queue("orders", "o_orderstatus", "o_orderkey")) + GAPS,
 })
 
 # Streaming chain: the append streams equal their batch twins.

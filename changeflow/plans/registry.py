@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.operators import dedup, gold, refine, serving
+from changeflow.operators import dedup, gold, panes, refine, serving
 from changeflow.session import apply_required
 from changeflow.sources import replay
 
@@ -98,11 +98,29 @@ def _conversation_queue(spark, sf_dir):
     return integrity.as_queue(_table(spark, sf_dir, "conversations"), "conv_id", "turn")
 
 
+def _order_queue(spark, sf_dir):
+    """Orders of a status as a partition of consecutive keys, with a gap for
+    every order of another status: ranges across buckets of offsets."""
+    return integrity.as_queue(_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderkey")
+
+
+#: offsets belong to a partition of an origin
+ORIGIN_KEY = ("origen", "particion")
+
 QUERIES.update({
     "integrity_duplicates_bronze": lambda s, d: integrity.duplicate_count(bronze(s, d)),
     "integrity_duplicates_lineitem": lambda s, d: integrity.duplicate_count(_lineitem_queue(s, d)),
     "integrity_continuity_conversations": lambda s, d: integrity.continuity(_conversation_queue(s, d)),
     "integrity_continuity_lineitem": lambda s, d: integrity.continuity(_lineitem_queue(s, d)),
+    "integrity_bitmap_continuity_conversations": lambda s, d: integrity.continuity_from_bitmaps(
+        integrity.offset_bitmaps(_conversation_queue(s, d))),
+    "integrity_bitmap_continuity_lineitem": lambda s, d: integrity.continuity_from_bitmaps(
+        integrity.offset_bitmaps(_lineitem_queue(s, d))),
+    "integrity_bitmap_verdict_bronze": lambda s, d: integrity.verdict_from_bitmaps(
+        integrity.offset_bitmaps(bronze(s, d), ORIGIN_KEY), ORIGIN_KEY),
+    "integrity_gaps_conversations": lambda s, d: integrity.gap_ranges(integrity.offset_bitmaps(_conversation_queue(s, d))),
+    "integrity_gaps_lineitem": lambda s, d: integrity.gap_ranges(integrity.offset_bitmaps(_lineitem_queue(s, d))),
+    "integrity_gaps_orders": lambda s, d: integrity.gap_ranges(integrity.offset_bitmaps(_order_queue(s, d))),
     "integrity_verdict_bronze": lambda s, d: integrity.verdict(bronze(s, d)),
     "integrity_verdict_lineitem": lambda s, d: integrity.verdict(_lineitem_queue(s, d)),
     "integrity_verdict_offsets_only": lambda s, d: integrity.verdict(_lineitem_queue(s, d), contiguous=False),
@@ -228,6 +246,7 @@ def _stream_chain(spark: SparkSession, sf_dir: str, fold_counts: bool = False) -
     # its first start; the session default of 200 would run 200 state stores
     # per operator for a few thousand rows each)
     cfg = ChainConfig(warehouse=base + "/wh", edit_types=replay.EVENTS_EDIT_TYPES, fold_counts=fold_counts,
+                      panes=fold_counts, latency_states=fold_counts,
                       state_partitions=spark.sparkContext.defaultParallelism)
     run_chain_available(spark, read_envelope_files(spark, base + "/queue"), cfg)
     return cfg
@@ -240,28 +259,79 @@ def _stream_layer(layer: str):
     return run
 
 
-def _within_error(approx: DataFrame, exact: DataFrame, rsd: float = 0.05) -> DataFrame:
-    """One row: whether at least 99 % of the windows that an exact count keeps
-    are there with an approximate count within three standard errors."""
+def _outside_error(approx: DataFrame, exact: DataFrame, rsd: float = 0.05) -> DataFrame:
+    """One row: the windows that an exact count keeps, how many of them an
+    approximate count misses or counts more than three standard errors off,
+    and the largest relative error."""
     from pyspark.sql import functions as F
     keys = ["ventana_inicio", "ventana_fin", "wiki", "titulo"]
     both = exact.join(approx.select(*keys, F.col("editores").alias("aprox")), keys, "left")
-    near = F.abs(F.col("aprox") - F.col("editores")) <= F.ceil(F.lit(3 * rsd) * F.col("editores"))
-    return both.agg((F.avg(F.coalesce(near, F.lit(False)).cast("double")) >= 0.99).alias("dentro"))
+    off = F.abs(F.coalesce(F.col("aprox"), F.lit(0)) - F.col("editores"))
+    return both.agg(F.count(F.lit(1)).alias("ventanas"),
+                    F.count(F.when(off > F.ceil(F.lit(3 * rsd) * F.col("editores")), 1)).alias("fuera"),
+                    F.max(off / F.col("editores")).alias("error_maximo"))
+
+
+def _folded(spark, sf_dir, layer):
+    """A layer of the chain that stores folded counts, panes and latency states."""
+    cfg = _stream_chain(spark, sf_dir, True)
+    return read_table(spark, layer_path(cfg.warehouse, layer)).drop("dia")
 
 
 def _stream_folded(spark, sf_dir):
     """P1 derived from the folded P1/P2 stream."""
-    cfg = _stream_chain(spark, sf_dir, True)
-    return gold.activity_from_counts(read_table(spark, layer_path(cfg.warehouse, "gold_counts")).drop("dia"))
+    return gold.activity_from_counts(_folded(spark, sf_dir, "gold_counts"))
+
+
+def _stream_panes(spark, sf_dir):
+    """P3 derived from the stored panes of the stream."""
+    found = panes.pages_from_panes(_folded(spark, sf_dir, "gold_panes"))
+    return gold.closed_windows(found, silver(spark, sf_dir, ("ts_evento",)), LATENESS)
+
+
+def _batch_panes(spark, sf_dir):
+    s = silver(spark, sf_dir, GOLD_COLUMNS)
+    found = panes.pages_from_panes(panes.page_panes(s, edit_types=replay.EVENTS_EDIT_TYPES))
+    return gold.closed_windows(found, s, LATENESS)
+
+
+QUANTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
+
+
+def _beyond(errors: DataFrame) -> DataFrame:
+    """cuantil, filas, and whether the estimate's rank is off by more than the sketch's bound."""
+    from pyspark.sql import functions as F
+    return errors.select("cuantil", "filas", (F.col("error") > panes.KLL_RANK_ERROR).alias("fuera"))
+
+
+def _latency_rank_error(spark, sf_dir):
+    from pyspark.sql import functions as F
+    s = silver(spark, sf_dir, ("ts_evento", "ingerido_en"))
+    merged = panes.merge_states(panes.latency_panes(s))
+    lat = s.select((F.col("ingerido_en").cast("double") - F.col("ts_evento").cast("double")).alias("lat"))
+    return _beyond(panes.rank_errors(lat, "lat", panes.quantiles(merged, QUANTILES), QUANTILES))
+
+
+def _arrival_rank_error(spark, sf_dir):
+    times = profile.arrival_times(capture(spark, sf_dir))
+    found = panes.arrival_from_panes(panes.arrival_panes(times))
+    return _beyond(panes.rank_errors(times, "lat", found, QUANTILES))
 
 
 QUERIES.update({
     "stream_gold_activity_folded": _stream_folded,
+    "stream_gold_concurrent_panes": _stream_panes,
+    "gold_concurrent_panes": _batch_panes,
+    "gold_concurrent_panes_error": lambda s, d: _outside_error(_batch_panes(s, d), gold_p3(s, d), rsd=0.0163),
+    "serve_latency_states": lambda s, d: panes.latency_from_panes(
+        panes.latency_panes(silver(s, d, ("ts_evento", "ingerido_en")))),
+    "serve_latency_states_error": _latency_rank_error,
+    "stream_latency_states": lambda s, d: _folded(s, d, "silver_latency").select("ventana_inicio", "filas"),
+    "profile_arrival_states_error": _arrival_rank_error,
     "stream_gold_activity": _stream_layer("gold_activity"),
     "stream_gold_bot_counts": _stream_layer("gold_bots"),
-    "stream_gold_concurrent_error": lambda s, d: _within_error(_stream_layer("gold_concurrent")(s, d), gold_p3(s, d)),
-    "gold_concurrent_error": lambda s, d: _within_error(gold_p3(s, d, exact=False), gold_p3(s, d)),
+    "stream_gold_concurrent_error": lambda s, d: _outside_error(_stream_layer("gold_concurrent")(s, d), gold_p3(s, d)),
+    "gold_concurrent_error": lambda s, d: _outside_error(gold_p3(s, d, exact=False), gold_p3(s, d)),
     "stream_silver_dedup_proof": lambda s, d: lateness.dedup_proof(_stream_layer("silver")(s, d)),
 })
 

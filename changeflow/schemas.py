@@ -84,6 +84,27 @@ P3 = T.StructType([
     T.StructField("ediciones", T.LongType()),
 ])
 
+# P3 as panes of mergeable editor sketches, and latency states per minute.
+PANES = T.StructType([
+    T.StructField("ventana_inicio", T.TimestampType()),
+    T.StructField("ventana_fin", T.TimestampType()),
+    T.StructField("ts_panel", T.TimestampType()),
+    T.StructField("wiki", T.StringType()),
+    T.StructField("titulo", T.StringType()),
+    T.StructField("editores_hll", T.BinaryType()),
+    T.StructField("ediciones", T.LongType()),
+])
+
+LATENCY = T.StructType([
+    T.StructField("ventana_inicio", T.TimestampType()),
+    T.StructField("ventana_fin", T.TimestampType()),
+    T.StructField("ultimo", T.TimestampType()),
+    T.StructField("filas", T.LongType()),
+    T.StructField("minimo", T.DoubleType()),
+    T.StructField("maximo", T.DoubleType()),
+    T.StructField("estado", T.BinaryType()),
+])
+
 # Capture file record: arrival time in epoch seconds and the event as text.
 CAPTURE = T.StructType([
     T.StructField("recibido", T.DoubleType()),
@@ -99,4 +120,6 @@ LAYERS = {
     "gold_bots": (P2, "ventana_inicio"),
     "gold_concurrent": (P3, "ventana_inicio"),
     "gold_counts": (COUNTS, "ventana_inicio"),
+    "gold_panes": (PANES, "ventana_inicio"),
+    "silver_latency": (LATENCY, "ventana_inicio"),
 }

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators import dedup, gold, refine
+from changeflow.operators import dedup, gold, panes, refine
 from changeflow.session import apply_required, stream_checkpoint
 from changeflow.sources.queue import stamp_ingest
 from changeflow.sources.tables import layer_path, stream_table
@@ -40,6 +40,12 @@ class ChainConfig:
     # One streaming aggregate for P1 and P2 (table gold_counts) instead of
     # two; read them with gold.activity_from_counts / bots_from_counts.
     fold_counts: bool = False
+    # P3 as stored panes of editor sketches (table gold_panes) instead of
+    # sliding windows of rows; read them with panes.pages_from_panes.
+    panes: bool = False
+    # A latency state per minute of silver (table silver_latency), from which
+    # ``report`` answers without a scan of silver.
+    latency_states: bool = False
     names: dict = field(default_factory=dict)
     # "iceberg": layers are tables of the catalog's ``database`` instead of
     # Parquet folders of the warehouse.
@@ -99,8 +105,13 @@ def gold_frames(spark: SparkSession, cfg: ChainConfig) -> dict[str, DataFrame]:
     frames = ({"gold_counts": gold.activity_bot_counts(silver_stream())} if cfg.fold_counts else
               {"gold_activity": gold.activity(silver_stream()),
                "gold_bots": gold.bot_counts(silver_stream())})
-    frames["gold_concurrent"] = gold.concurrent_pages(silver_stream(), exact=cfg.exact_editors,
-                                                      edit_types=cfg.edit_types)
+    if cfg.panes:
+        frames["gold_panes"] = panes.page_panes(silver_stream(), edit_types=cfg.edit_types)
+    else:
+        frames["gold_concurrent"] = gold.concurrent_pages(silver_stream(), exact=cfg.exact_editors,
+                                                          edit_types=cfg.edit_types)
+    if cfg.latency_states:
+        frames["silver_latency"] = panes.latency_panes(silver_stream())
     return frames
 
 

@@ -43,3 +43,52 @@ def test_unreadable_offsets_are_no_proof(spark):
         v = integrity.verdict(df).first()
         assert not v.ok and v.ilegibles == sum(not (o or "").isdigit() for o in offsets)
         assert integrity.verdict(df, contiguous=False).first().ok
+
+
+def test_bitmaps_equal_counting_and_find_every_gap(spark):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for part, lo, hi in (("0", 0, 200_000), ("1", 32_700, 32_800), ("2", -70_000, 70_000), ("3", 10**15, 10**15 + 90_000), (None, 5, 9)):
+        here = set(range(lo, hi))
+        for _ in range(40):
+            at = rnd.randrange(lo, hi)
+            here -= set(range(at, at + rnd.choice([1, 2, 30, 40_000])))
+        here |= {lo, hi}
+        rows += [(part, str(o)) for o in here] + [(part, str(lo))]
+    rows += [("0", "x"), ("0", None), ("4", "y")]
+    q = _q(spark, rows).repartition(4)
+    bitmaps = integrity.offset_bitmaps(q)
+    key = lambda r: str(r.particion)
+    plain = sorted(integrity.continuity(q).collect(), key=key)
+    assert sorted(integrity.continuity_from_bitmaps(bitmaps).select(integrity.continuity(q).columns).collect(), key=key) == plain
+    gaps = {}
+    for r in integrity.gap_ranges(bitmaps).collect():
+        assert r.faltan == r.hasta - r.desde + 1
+        gaps.setdefault(r.particion, []).append((r.desde, r.hasta))
+    have = {}
+    for p, o in rows:
+        if o and o.lstrip("-").isdigit():
+            have.setdefault(p, set()).add(int(o))
+    for p, offsets in have.items():
+        order = sorted(offsets)
+        assert sorted(gaps.get(p, [])) == [(a + 1, b - 1) for a, b in zip(order, order[1:]) if b > a + 1]
+    assert any(b - a > 32_768 for a, b in gaps["0"])
+
+
+def test_bitmap_verdict(spark):
+    cases = [[("0", "0"), ("0", "1")], [("0", "0"), ("0", "1"), ("0", "1")], [("0", "0"), ("0", "2")], [("0", "0"), ("0", "?")]]
+    for rows in cases:
+        q = _q(spark, rows)
+        a, b = integrity.verdict(q).first(), integrity.verdict_from_bitmaps(integrity.offset_bitmaps(q)).first()
+        assert a.ok == b.ok and (a.filas, a.duplicados, a.huecos, a.ilegibles) == (b.filas, b.duplicados, b.huecos, b.ilegibles)
+    odd = integrity.offset_bitmaps(_q(spark, [("0", "7"), ("0", "007")])).first()
+    assert odd.raros == 1
+
+
+def test_two_origins_are_two_queues(spark):
+    rows = [("a", "0", str(i)) for i in range(5)] + [("b", "0", str(i)) for i in range(90, 95)]
+    q = spark.createDataFrame(rows, "origen string, particion string, desplazamiento string")
+    assert integrity.verdict_from_bitmaps(integrity.offset_bitmaps(q)).first().huecos == 85
+    both = ("origen", "particion")
+    assert integrity.verdict_from_bitmaps(integrity.offset_bitmaps(q, both), both).first().ok
