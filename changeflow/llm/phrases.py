@@ -12,7 +12,7 @@ grouped by a memory budget, and each group's subtrees are built on their own.
    ``min_count`` hold no candidate, so the tree is not extended there (the
    elastic range of ERA).
 3. Suffixes of the remaining prefixes, cut where the elastic range ends, leave
-   a task as distinct leaves with a total. A prefix goes to one of
+   a task as distinct leaves with a total, one row per group. A prefix goes to one of
    ``2 x suffixes / budget`` groups; one of more than ``budget / 8`` suffixes
    is extended to the full depth first, so its leaves spread over all groups.
    A group fits the budget whatever a prefix's share of the corpus is.
@@ -48,6 +48,10 @@ WORD_BITS, PAIR_BITS = 1 << 24, 1 << 26
 #: words that a task holds as codes, and different words it remembers
 CHUNK_WORDS = 4_000_000
 MEMO_WORDS = 400_000
+#: bytes of leaves that leave a task at once
+BUNDLE_BYTES = 4 << 20
+#: languages whose totals may be broadcast
+LANGS = 10_000
 _SEED = 42
 _END = b"."
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -182,10 +186,10 @@ def _bitmap(rows: DataFrame, position: str, size: int) -> bytes:
     return out.tobytes()
 
 
-def _leaves(codes, hashes, wanted, heavy, depth: int, n_groups: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    """Distinct suffixes of a chunk (columns 0 to depth - 1: codes, null
-    behind the end) with their totals, their groups, and whether their prefix
-    is extended."""
+def _leaves(codes, hashes, wanted, heavy, depth: int, n_groups: int) -> tuple[np.ndarray, ...]:
+    """Distinct suffixes of a chunk, by group: their groups, words (a row of
+    ``depth`` codes, -1 behind the end), totals, and whether their prefix is
+    extended."""
     at, slots = _pair_slots(codes, hashes)
     keep = _has_bit(wanted, slots)
     at, slots = at[keep], slots[keep]
@@ -198,48 +202,93 @@ def _leaves(codes, hashes, wanted, heavy, depth: int, n_groups: int) -> tuple[pa
         columns.append(np.where(alive, padded[at + d], -1))
     table = pa.table({**{str(d): c for d, c in enumerate(columns)}, "slot": slots})
     table = table.group_by(table.column_names).aggregate([([], "count_all")])
-    columns = [table.column(str(d)).to_numpy() for d in range(depth)]
-    slots = table.column("slot").to_numpy()
+    words = np.stack([table.column(str(d)).to_numpy() for d in range(depth)], axis=1)
+    slots, total = table.column("slot").to_numpy(), table.column("count_all").to_numpy()
     split = _has_bit(heavy, slots)
     whole = np.zeros(len(slots), np.uint64)
-    for c in columns:
+    for c in words.T if len(hashes) else ():
         whole = (whole ^ np.where(c >= 0, hashes[c], np.uint64(1))) * _MIX
         whole ^= whole >> np.uint64(32)
-    key = np.where(split, (whole >> np.uint64(20)).astype(np.int64), slots)
-    return table, (key % n_groups).astype(np.int32), split
+    group = (np.where(split, (whole >> np.uint64(20)).astype(np.int64), slots) % n_groups).astype(np.int32)
+    order = np.argsort(group, kind="stable")
+    return group[order], words[order], total[order], split[order]
+
+
+def _binary(rows: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of the rows from each start to the next one."""
+    ends = np.append(starts, len(rows)).astype(np.int64) * (rows[:1].nbytes if len(rows) else 1)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(
+        np.ascontiguousarray(rows))]).cast(pa.binary())
+
+
+def _bundles(chunk: _Chunk, group, words, total, split) -> pa.Table:
+    """A row per group: its leaves of this chunk, with their words numbered
+    within the row, so that a word is sent once."""
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])[:len(group)])
+    there = words >= 0
+    row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(group))))
+    key = np.broadcast_to(row[:, None], words.shape)[there] * len(chunk.words) + words[there]
+    different, number = np.unique(key, return_inverse=True)
+    first = np.searchsorted(different, np.arange(len(starts) + 1) * max(1, len(chunk.words)))
+    words = words.copy()
+    words[there] = number.ravel() - np.broadcast_to(first[row][:, None], there.shape)[there]
+    code = pa.array(different % max(1, len(chunk.words)))
+    first = pa.array(first.astype(np.int32))
+    return pa.table({
+        "part": pa.array(group[starts]),
+        "lang": pa.ListArray.from_arrays(first, pa.array(chunk.langs, pa.string()).take(code)),
+        "word": pa.ListArray.from_arrays(first, pa.array(chunk.words, pa.binary()).cast(pa.string()).take(code)),
+        "codes": _binary(words.astype("<i4"), starts), "n": _binary(total.astype("<i8"), starts),
+        "split": _binary(split.astype(np.uint8), starts)})
+
+
+BUNDLE = "part int, lang array<string>, word array<string>, codes binary, n binary, split binary"
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    column = column.combine_chunks()
+    return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
+
+
+def _unbundled(table: pa.Table, depth: int) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Languages and words (distinct), and of every leaf the codes of its
+    language and words (-1 behind the end), its total and its mark."""
+    lists = _whole(table.column("word"))
+    base = np.cumsum(np.append(0, lists.value_lengths().to_numpy()[:-1]))
+    word = lists.flatten().dictionary_encode()
+    lang = _whole(table.column("lang")).flatten().dictionary_encode()
+    word_of, lang_of = (x.indices.to_numpy() for x in (word, lang))
+
+    def joined(name, kind):
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+    codes, total, split = joined("codes", "<i4").reshape(-1, depth), joined("n", "<i8"), joined("split", np.uint8)
+    sizes = pc.binary_length(_whole(table.column("split"))).to_numpy()
+    codes = np.where(codes >= 0, codes + np.repeat(base, sizes)[:, None], -1)
+    leaf = np.concatenate([lang_of[codes[:, :1]], np.where(codes >= 0, word_of[codes], -1)], axis=1)
+    return lang.dictionary, word.dictionary, leaf, total, split.astype(bool)
 
 
 def _subtrees(depth: int, least: int):
     """Counts of the nodes of a group: (lang, phrase, size, n)."""
 
     def run(table: pa.Table) -> pa.Table:
-        out = [pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string()),
-                         "size": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})]
-        table = table.combine_chunks()
-
-        def coded(name):
-            codes = table.column(name).combine_chunks().dictionary_encode()
-            codes = codes.chunk(0) if isinstance(codes, pa.ChunkedArray) else codes
-            return codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-
-        columns = [coded("lang"), *(coded("w%d" % d) for d in range(depth))]
-        order = np.lexsort(columns[::-1])
-        total = table.column("n").to_numpy()[order]
-        split = table.column("split").to_numpy()[order]
-        new = np.zeros(len(order), bool)
+        langs, words, leaves, total, split = _unbundled(table, depth)
+        order = np.lexsort(leaves.T[::-1])
+        leaves, total, split = leaves[order], total[order], split[order]
+        new, out = np.zeros(len(order), bool), []
         new[:1] = True
-        for d, codes in enumerate(columns):
-            codes = codes[order]
-            new[1:] |= codes[1:] != codes[:-1]
+        for d in range(depth + 1):
+            new[1:] |= leaves[1:, d] != leaves[:-1, d]
             if d < 2:
                 continue
             first = np.flatnonzero(new)  # the leaves that open a node of d words
             n = np.add.reduceat(total, first)
-            keep = (codes[first] >= 0) & ((n >= least) | split[first])
-            rows = table.take(pa.array(order[first[keep]]))
-            phrase = pc.binary_join_element_wise(*(rows.column("w%d" % i) for i in range(d)), " ")
-            out.append(pa.table({"lang": rows.column("lang"), "phrase": phrase,
-                                 "size": pa.array(np.full(len(rows), d, np.int32)), "n": pa.array(n[keep])}))
+            keep = (leaves[first, d] >= 0) & ((n >= least) | split[first])
+            nodes = leaves[first[keep]]
+            phrase = pc.binary_join_element_wise(*(words.take(pa.array(nodes[:, i])) for i in range(1, d + 1)), " ")
+            out.append(pa.table({"lang": langs.take(pa.array(nodes[:, 0])), "phrase": phrase,
+                                 "size": pa.array(np.full(len(nodes), d, np.int32)), "n": pa.array(n[keep])}))
         return pa.concat_tables(out)
 
     return run
@@ -276,16 +325,10 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, heavy = (np.frombuffer(x, np.uint8) for x in pair_bits.value)
         for chunk, codes, hashes in _chunks(batches, word_bits.value):
-            table, group, split = _leaves(codes, hashes, wanted, heavy, depth, n_groups)
-            texts, langs = pa.array(chunk.words, pa.binary()).cast(pa.string()), pa.array(chunk.langs, pa.string())
-            columns = [table.column(str(d)).to_numpy() for d in range(depth)]
-            columns = [pa.array(c, mask=c < 0) for c in columns]
-            yield from pa.table({"part": pa.array(group), "split": pa.array(split), "lang": langs.take(columns[0]),
-                                 **{"w%d" % d: texts.take(c) for d, c in enumerate(columns)},
-                                 "n": table.column("count_all")}).to_batches(max_chunksize=20_000)
-
-    fields = ", ".join("w%d string" % d for d in range(depth))
-    nodes = (src.mapInArrow(leaves, f"part int, split boolean, lang string, {fields}, n long")
+            rows = _bundles(chunk, *_leaves(codes, hashes, wanted, heavy, depth, n_groups))
+            yield from rows.to_batches(max_chunksize=max(1, int(BUNDLE_BYTES * len(rows) / max(1, rows.nbytes))))
+
+    nodes = (src.mapInArrow(leaves, BUNDLE)
              .groupBy("part").applyInArrow(_subtrees(depth, min_count), "lang string, phrase string, size int, n long")
              .groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
     singles = words.select("lang", F.col("word").alias("phrase"),
@@ -319,7 +362,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     cuts = cuts.select("lang", "phrase", "a", "k",
                        F.array_join(F.slice("words", 1, F.col("k")), " ").alias("before"),
                        F.array_join(F.slice("words", F.col("k") + 1, F.size("words")), " ").alias("after"))
-    totals = counts.where("size = 0").select("lang", F.col("n").alias("n"))
+    totals = counts.where("size = 0").select("lang", "n")
+    if totals.count() <= LANGS:  # else joined by language, which a shuffle deals to as many tasks
+        totals = F.broadcast(totals)
     cuts = (cuts.join(known.select("lang", F.col("phrase").alias("before"), F.col("n").alias("l")), ["lang", "before"])
             .join(known.select("lang", F.col("phrase").alias("after"), F.col("n").alias("r")), ["lang", "after"])
             .join(totals, "lang"))

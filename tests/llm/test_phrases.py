@@ -82,24 +82,26 @@ def test_share(spark):
     assert result(phrases.collocations(docs, min_count=9, share=60, top=1000)) == brute(rows, 9, 1000, 60)
 
 
-def test_chunks_and_forgetting():
-    """Small chunks and memos give the same codes and leaves as one chunk."""
+def test_leaves_of_a_chunk():
+    """Distinct suffixes with their totals, in bundles and back."""
     import numpy as np
     words, bits = b"a b c a b. c a b c a".split(), b"\xff" * (phrases.WORD_BITS // 8)
-    chunk = phrases._Chunk(bits)
-    chunk.add("en", b" ".join(words))
-    codes, hashes = chunk.take()
     every = np.full(phrases.PAIR_BITS // 8, 255, np.uint8)
-    table, group, split = phrases._leaves(codes, hashes, every, every, 5, 7)
-    leaves = Counter()
-    for r in table.to_pylist():
-        leaves[tuple(chunk.words[r[str(d)]] for d in range(5) if r[str(d)] >= 0)] += r["count_all"]
-    assert leaves == {(b"a", b"b", b"c", b"a", b"b"): 1, (b"b", b"c", b"a", b"b"): 1, (b"c", b"a", b"b"): 1,
-                      (b"a", b"b"): 1, (b"c", b"a", b"b", b"c", b"a"): 1, (b"a", b"b", b"c", b"a"): 1,
-                      (b"b", b"c", b"a"): 1, (b"c", b"a"): 1}
-    assert split.all() and len(set(group.tolist())) > 1
-    chunk.forget()
-    assert chunk.words  # few words are remembered
+    for n_groups in (1, 7):
+        chunk = phrases._Chunk(bits)
+        chunk.add("en", b" ".join(words))
+        chunk.add("fr", b"a b")
+        found = phrases._leaves(*chunk.take(), every, every, 5, n_groups)
+        table = phrases._bundles(chunk, *found)
+        assert table.num_rows == len(set(found[0].tolist())) and (n_groups == 1 or table.num_rows > 1)
+        lang, word, leaves, total, split = phrases._unbundled(table, 5)
+        got = Counter()
+        for row, n in zip(leaves.tolist(), total.tolist()):
+            got[lang[row[0]].as_py(), " ".join(word[i].as_py() for i in row[1:] if i >= 0)] += n
+        assert got == {("en", s): 1 for s in ("a b c a b", "b c a b", "c a b", "a b", "c a b c a", "a b c a", "b c a", "c a")} | {("fr", "a b"): 1}
+        assert split.all()
+        chunk.forget()
+        assert chunk.words  # few words are remembered
 
 
 def test_exact_beyond_64_bits(spark):
