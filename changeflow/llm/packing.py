@@ -23,23 +23,25 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BoundedCache, id_and_text, small_batches
+from .shared import id_and_text, small_batches
 
 ROW_LEN = 2_048
 BLOCK_TOKENS = 2_000_000
-MEMO = 300_000
+#: characters of texts whose different words are encoded together
+CHUNK_CHARS = 4_000_000
 #: other white space than space and newline, with which a text is encoded whole
 _ODD_BLANK = re.compile(r"[^\S \n]")
-_UNITS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -49,22 +51,62 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Tokenizer:
-    """Byte-level BPE over given ranks. The split pattern never joins a
-    non-blank with a following space or newline, so a text is encoded word by
-    word, each with the blanks before it, through a bounded memo."""
+    """Byte-level BPE over given ranks. The split pattern joins no character
+    with a space behind it, and of a run of blanks at most the last one with
+    what follows. So where no two spaces stand together, a text is its words,
+    each with the space before it, encoded one by one; and of many texts each
+    different word is encoded once."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.dtype = np.dtype("<u2" if max(ranks.values()) < 65_535 else "<u4")
-        self.memo = BoundedCache(self._unit, MEMO)
-
-    def _unit(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), self.dtype).tobytes()
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = [len(b) for b in ranks]
 
     def encode(self, text: str) -> np.ndarray:
-        if _ODD_BLANK.search(text):
-            return np.frombuffer(self._unit(text), self.dtype)
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, _UNITS.findall(text))), self.dtype)
+        return np.array(self.encoding.encode_ordinary(text), self.dtype)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list = [None] * len(texts)
+        plain, words = [], []
+        for i, text in enumerate(texts):
+            first, *rest = text.split(" ")
+            if "" in rest or _ODD_BLANK.search(text):
+                out[i] = self.encode(text)
+            else:
+                plain.append((i, first, len(rest)))
+                words += rest
+        found = pa.array(words, pa.large_string()).dictionary_encode()
+        different = found.dictionary
+        line = np.array(self.encoding.encode_ordinary("".join([" " + w for w in different.to_pylist()])), self.dtype)
+        # the ids of a word end where its bytes end
+        ends = np.cumsum(pc.binary_length(different).to_numpy() + 1)
+        reach = np.cumsum(self.sizes[line])
+        last = np.searchsorted(reach, ends)
+        if len(ends) and not (reach[last] == ends).all():
+            raise ValueError("the split pattern joins words across a space")
+        stop = np.append(0, last + 1)
+        number = found.indices.to_numpy()
+        begin, size = stop[number], stop[number + 1] - stop[number]
+        upto = np.append(0, np.cumsum(size))
+        flat = line[np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])]
+        at = 0
+        for i, first, n in plain:
+            out[i] = np.concatenate([self.encode(first), flat[upto[at]:upto[at + n]]])
+            at += n
+        return out
+
+
+_tokenizers: dict[str, Tokenizer] = {}
+
+
+def _tokenizer(name: str, sent) -> Tokenizer:
+    """One tokenizer per worker process and call of ``pack``."""
+    if name not in _tokenizers:
+        _tokenizers.clear()
+        _tokenizers[name] = Tokenizer(*sent.value)
+    return _tokenizers[name]
 
 
 class RoomTree:
@@ -153,6 +195,20 @@ def _schema(id_type: T.DataType) -> T.StructType:
         T.StructField("piece_at", ints), T.StructField("piece_len", ints)])
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of about CHUNK_CHARS characters."""
+    docs, texts, n = [], [], 0
+    for b in batches:
+        docs += b.column(0).to_pylist()
+        texts += b.column(1).to_pylist()
+        n += b.column(1).nbytes
+        if n >= CHUNK_CHARS:
+            yield docs, texts
+            docs, texts, n = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def pack(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
          row_len: int = ROW_LEN, pad_id: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The blocks described above, for every row of ``docs``.
@@ -165,19 +221,18 @@ def pack(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
     src = id_and_text(docs, id_col, text_col)
     schema = _schema(src.schema["doc_id"].dataType)
     sent = src.sparkSession.sparkContext.broadcast((ranks, pattern))  # a bounded vocabulary
-    pad = len(ranks) if pad_id is None else pad_id
+    pad, name = len(ranks) if pad_id is None else pad_id, uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
-        tokenizer = Tokenizer(*sent.value)
+        tokenizer = _tokenizer(name, sent)
         arrow, held, size = to_arrow_schema(schema), [], 0
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([pack_block(held, row_len, pad, tokenizer.dtype)], schema=arrow)
 
-        for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = tokenizer.encode(text)
+        for docs, texts in _chunks(batches):
+            for doc_id, ids in zip(docs, tokenizer.encode_all(texts)):
                 if held and size + len(ids) > block_tokens:
                     yield block()
                     held, size = [], 0

@@ -42,6 +42,16 @@ def brute_viterbi(vocabulary, text):
     return best[-1]
 
 
+def test_words_of_many_texts_give_the_ids_of_whole_texts(ranks):
+    rnd = random.Random(1)
+    some = [" ", " ", "\n", "a", "b'", "'s", "1", "漢", "é", "\x00", "\t", ".", "!", "'", "ll", "  ", "😀", "\xa0"]
+    texts = ["".join(rnd.choices(some, k=rnd.randint(0, 30))) for _ in range(5000)] + [t for t in EDGE_TEXTS if t is not None]
+    tok = packing.Tokenizer(ranks, SPLIT_PATTERN)
+    for text, ids in zip(texts, tok.encode_all(texts)):
+        assert tok.encoding.encode_ordinary(text) == ids.tolist()
+    assert tok.encode_all([]) == []
+
+
 def test_codec_round_trip_and_best_score(codec, vocabulary):
     lowest = min(s for _, s, k in vocabulary if k == pieces.NORMAL)
     for text in [t for t in EDGE_TEXTS + MORE if t]:
