@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ASCII_LOWER, ASCII_UPPER, BLANKS, id_and_text
+from .shared import ASCII_LOWER, ASCII_UPPER, BLANKS, free_names, id_and_text
 
 SALTS = 32
 RANGE_BITS = 12
@@ -30,7 +30,9 @@ RANGE_BITS = 12
 def _line_rows(src: DataFrame, min_chars: int) -> DataFrame:
     keys = F.transform(F.split("text", "\n", -1),
                        lambda x: F.btrim(F.translate(x, ASCII_UPPER, ASCII_LOWER), F.lit(BLANKS)))
-    return (src.select("doc_id", F.xxhash64("text").alias("t1"), F.posexplode(keys).alias("line_no", "key"))
+    # the hash of a text is computed below the explode: once a text, not once a line
+    return (src.select("doc_id", F.xxhash64("text").alias("t1"), keys.alias("keys"))
+            .select("doc_id", "t1", F.posexplode("keys").alias("line_no", "key"))
             .where(F.char_length("key") >= min_chars)
             .select("doc_id", "t1", "line_no", F.xxhash64("key").alias("h1"),
                     F.xxhash64(F.lit("second"), "key").alias("h2")))
@@ -87,16 +89,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one empty line. Repeated rows of one id are one document and are treated
     alike; an empty table gives an empty table. Columns of the input named
     like the added ones are replaced."""
+    doc, key, keep, text = free_names(docs, "doc", "key", "keep", "whole_text")
     maps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs).select(
-        F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"),
-        F.map_from_entries("keep").alias("__keep"))
-    added = ["kept_text", "n_lines", "n_dropped", "__text"]
+        F.col("doc_id").alias(doc), F.col("t1").alias(key), F.col("keep").alias(keep))
+    added = ["kept_text", "n_lines", "n_dropped"]
     src = docs.drop(*[c for c in added if c not in (id_col, text_col)])
-    src = src.withColumn("__text", F.coalesce(src[text_col].cast("string"), F.lit("")))
-    both = src.join(maps, src[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64("__text") == F.col("__t1")), "left")
-    kept = F.expr("array_join(filter(split(__text, '\n', -1), (l, i) -> "
-                  "getbit(coalesce(__keep[i div 64], -1L), i % 64) = 1), '\n')")
-    both = both.withColumn("kept_text", F.when(F.col("__keep").isNull(), F.col("__text")).otherwise(kept))
-    dropped = F.expr("coalesce(aggregate(map_values(__keep), 0L, (a, m) -> a + 64 - bit_count(m)), 0L)")
-    return (both.withColumn("n_lines", F.size(F.split("__text", "\n", -1)).cast("long"))
-            .withColumn("n_dropped", dropped).drop("__text", "__id", "__t1", "__keep"))
+    src = src.withColumn(text, F.coalesce(src[text_col].cast("string"), F.lit("")))
+    both = src.join(maps, src[id_col].eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(key)), "left")
+    # a mask for every word up to the last listed one, made once per text and looked up by place
+    masks = (f"flatten(transform({keep}, (x, i) -> concat(array_repeat(-1L, x.word - coalesce(get({keep}, i - 1).word, -1) - 1), "
+             "array(x.mask))))")
+    kept = F.expr(f"get(transform(array({masks}), m -> array_join(filter(split({text}, '\n', -1), (l, i) -> "
+                  "getbit(coalesce(get(m, cast(i div 64 as int)), -1L), i % 64) = 1), '\n')), 0)")
+    both = both.withColumn("kept_text", F.when(F.col(keep).isNull(), F.col(text)).otherwise(kept))
+    dropped = F.expr(f"coalesce(aggregate({keep}, 0L, (a, x) -> a + 64 - bit_count(x.mask)), 0L)")
+    return (both.withColumn("n_lines", F.size(F.split(text, "\n", -1)).cast("long"))
+            .withColumn("n_dropped", dropped).drop(text, doc, key, keep))

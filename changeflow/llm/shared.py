@@ -3,7 +3,6 @@ bounded caches."""
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -91,6 +90,19 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes not to
+    be a column of ``df`` (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_key(text: Column | str) -> list[Column]:
     """128 bits that stand for a text, as two columns ``t1`` and ``t2``."""
     col = F.col(text) if isinstance(text, str) else text
@@ -118,4 +130,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWER_TABLE).split()
 
 
-HAS_LETTER = re.compile(r"[^\W\d_]")
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (Unicode category L); numerals such as
+    a half sign or a Roman one are not."""
+    return any(map(str.isalpha, text))
