@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BoundedCache, id_and_text, small_batches, words_of
+from .shared import BoundedCache, free_names, id_and_text, small_batches, words_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -183,7 +183,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                       **options) -> DataFrame:
     """The rows of ``docs`` that hold no item. Rows are told apart by id and
     text, so a clean row stays even if another row of its id is not clean."""
-    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    marked = docs.withColumn("__key", F.struct(docs[id_col].alias("id"), key.alias("t")))
-    found = contaminated(marked, items, "__key", text_col, **options).select(F.col("doc_id").alias("__bad")).distinct()
-    return marked.join(found, F.col("__key").eqNullSafe(F.col("__bad")), "left_anti").drop("__key")
+    key, bad = free_names(docs, "key", "bad")
+    text = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    marked = docs.withColumn(key, F.struct(docs[id_col].alias("id"), text.alias("t")))
+    found = contaminated(marked, items, key, text_col, **options).select(F.col("doc_id").alias(bad)).distinct()
+    return marked.join(found, F.col(key).eqNullSafe(F.col(bad)), "left_anti").drop(key)

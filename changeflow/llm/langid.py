@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import HAS_LETTER, LOWER_TABLE, small_batches
+from .shared import LOWER_TABLE, has_letter, small_batches
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -160,7 +160,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
         for rank, lang, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-            if not HAS_LETTER.search(text):
+            if not has_letter(text):
                 continue
             x = windows_of(text.encode())
             for i in sorted({len(x) * k // SAMPLE_WINDOWS for k in range(SAMPLE_WINDOWS)}):
@@ -196,7 +196,7 @@ def predict(docs: DataFrame, model: ByteCNN | None, text_col: str = "text") -> D
                     pred[i], score[i] = model.languages[k], min(1.0, float(s))
 
             for i, text in enumerate(b.column(at).to_pylist()):
-                if model is None or text is None or not HAS_LETTER.search(text):
+                if model is None or text is None or not has_letter(text):
                     continue
                 held.append(windows_of(text.encode()))
                 owners.append(i)

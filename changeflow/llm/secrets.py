@@ -6,19 +6,24 @@ Two detectors share one span list per document:
   the offsets of a pattern's matches come from its matches and the gaps
   between them, both found by one regular expression in the JVM;
 * the entropy detector: candidate strings (whole runs of token characters
-  with a digit in them) are read once per candidate with a sliding window per
-  character class. The window's counts are an array, updated by one character
-  in and one out, and so is sum(c log2 c), which gives the Shannon entropy
+  with a digit in them) are cut into characters once and read with a sliding
+  window per character class. The window's counts are a string of 128 bytes,
+  changed in two places per step (one character in, one out), and sum(c log2 c)
+  changes by two table entries; it gives the Shannon entropy
   ``log2(w) - sum / w``. Windows at or above the class's threshold are merged
   to spans. Candidates that match an allow-list pattern, and spans inside a
-  base span, are suppressed.
+  base span, are suppressed. All steps are linear in the text's length.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free_names
+
 # fixed values: the base patterns
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -30,7 +35,7 @@ CLASSES = (("entropy_hex", r"^[0-9a-fA-F-]+$", 32, 3.2),
 #: candidates that are known to be harmless: UUIDs, one repeated character,
 #: documentation placeholders, counters
 ALLOW = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"^(.)\1*$",
-         r"(?i).*(example|placeholder|changeme|xxxxx|01234567|abcdefgh).*", r"^[0-9_=+/-]+$")
+         r"(?i)(example|placeholder|changeme|xxxxx|01234567|abcdefgh)", r"^[0-9_=+/-]+$")
 KINDS = ("assign", "access", "hex", *(c[0] for c in CLASSES))
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 _RUN = "A-Za-z0-9+/_="
@@ -38,22 +43,30 @@ _CANDIDATE = rf"(?<![{_RUN}-])(?=[A-Za-z+/_=-]*+[0-9])[{_RUN}-]{{20,}}+"
 _STEP = 256
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, not in every step of the
+    higher-order functions within ``use``."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _offsets(matches: Column, gaps: Column) -> Column:
     """Code-point offset of each match. Offsets are gathered in chunks, so a
     text with very many matches costs no quadratic copying."""
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("now"),
                      F.expr("cast(array() as array<array<int>>)").alias("done"))
 
-    def step(a, i):
-        at = a["at"] + F.char_length(F.get(gaps, i))
-        full = F.size(a["now"]) >= _STEP
-        return F.struct((at + F.char_length(F.get(matches, i))).alias("at"),
-                        F.when(full, F.array(at)).otherwise(F.array_append(a["now"], at)).alias("now"),
-                        F.when(full, F.array_append(a["done"], a["now"])).otherwise(a["done"]).alias("done"))
+    def all_of(x):
+        def step(a, i):
+            at = a["at"] + F.get(x["gap"], i)
+            now, done = _append(a, at)
+            return F.struct((at + F.get(x["size"], i)).alias("at"), now.alias("now"), done.alias("done"))
+
+        every = F.when(F.size(x["size"]) > 0, F.sequence(F.lit(0), F.size(x["size"]) - 1)).otherwise(
+            F.expr("cast(array() as array<int>)"))
+        return F.aggregate(every, start, step, lambda a: F.flatten(F.array_append(a["done"], a["now"])))
 
-    every = F.when(F.size(matches) > 0, F.sequence(F.lit(0), F.size(matches) - 1)).otherwise(
-        F.expr("cast(array() as array<int>)"))
-    return F.aggregate(every, start, step, lambda a: F.flatten(F.array_append(a["done"], a["now"])))
+    return _bound(F.struct(F.transform(matches, lambda m: F.char_length(m)).alias("size"),
+                           F.transform(gaps, lambda g: F.char_length(g)).alias("gap")), all_of)
 
 
 def _spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) -> Column:
@@ -68,35 +81,75 @@ def _spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) ->
     return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.lit(None)).cast(SPAN)
 
 
+_BYTES = bytes(range(128))
+_CLOG = [c * math.log2(c) if c else 0.0 for c in range(129)]
+
+
+def _count(counts: Column, code: Column) -> Column:
+    return F.ascii(F.substr(counts, code + 1, F.lit(1)).cast("string"))
+
+
+def _with_count(counts: Column, code: Column, n: Column) -> Column:
+    return F.overlay(counts, F.substr(F.lit(_BYTES), n + 1, F.lit(1)), code + 1, F.lit(1))
+
+
+def _append(a: Column, item: Column) -> tuple[Column, Column]:
+    """``now`` and ``done`` of a state with one more item; chunks of _STEP, so
+    that a long list costs no quadratic copying."""
+    full = F.size(a["now"]) >= _STEP
+    return (F.when(full, F.array(item)).otherwise(F.array_append(a["now"], item)),
+            F.when(full, F.array_append(a["done"], a["now"])).otherwise(a["done"]))
+
+
 def _windows(word: Column, size: int, bits: float) -> Column:
-    """Merged spans (b, e) of the windows of ``word`` with enough entropy."""
-    zero = F.struct(F.array_repeat(F.lit(0), 128).alias("c"), F.lit(0.0).alias("s"), F.lit(-1).alias("b"),
-                    F.lit(-1).alias("e"), F.expr("cast(array() as array<struct<b:int,e:int>>)").alias("spans"))
-
-    def clog(x):
-        return F.when(x > 1, x * F.log2(x.cast("double"))).otherwise(0.0)
-
-    def step(a, i):
-        came = F.ascii(F.substr(word, i, F.lit(1))) + 1
-        went = F.when(i > size, F.ascii(F.substr(word, i - size, F.lit(1))) + 1).otherwise(0)
-        n_in = F.element_at(a["c"], came)
-        n_out = F.when(went > 0, F.element_at(a["c"], F.greatest(went, F.lit(1)))).otherwise(0)
-        same = came == went
-        s = F.when(same, a["s"]).otherwise(a["s"] + clog(n_in + 1) - clog(n_in)
-                                           + F.when(went > 0, clog(n_out - 1) - clog(n_out)).otherwise(0.0))
-        counts = F.when(same, a["c"]).otherwise(F.transform(a["c"], lambda v, k: v + F.when(
-            k + 1 == came, 1).when(k + 1 == went, -1).otherwise(0)))
-        hit = (i >= size) & (F.log2(F.lit(float(size))) - s / size >= bits)
-        joined = hit & (a["e"] >= i - size)
-        return F.struct(counts.alias("c"), s.alias("s"),
-                        F.when(hit & ~joined, i - size).otherwise(a["b"]).alias("b"),
-                        F.when(hit, i).otherwise(a["e"]).alias("e"),
-                        F.when(hit & ~joined & (a["e"] >= 0), F.array_append(
-                            a["spans"], F.struct(a["b"].alias("b"), a["e"].alias("e")))).otherwise(a["spans"]).alias("spans"))
-
-    return F.when(F.char_length(word) >= size, F.aggregate(
-        F.sequence(F.lit(1), F.char_length(word)), zero, step, lambda a: F.when(a["e"] >= 0, F.array_append(
-            a["spans"], F.struct(a["b"].alias("b"), a["e"].alias("e")))).otherwise(a["spans"])))
+    """Merged spans (b, e) of the windows (of up to 127 characters) of an
+    ASCII ``word`` with enough entropy."""
+    # what one more of a character adds to sum(c log2 c), by its count
+    more = F.array(*[F.lit(y - x) for x, y in zip(_CLOG, _CLOG[1:size + 1])])
+    bound = F.lit(size * (math.log2(size) - bits + 1e-9))
+    span = "struct<b:int,e:int>"
+    zero = F.struct(F.lit(bytes(128)).alias("c"), F.lit(0.0).alias("s"), F.lit(-1).alias("b"), F.lit(-1).alias("e"),
+                    F.expr(f"cast(array() as array<{span}>)").alias("now"),
+                    F.expr(f"cast(array() as array<array<{span}>>)").alias("done"))
+
+    def read(codes: Column) -> Column:
+        def enter(a, i):
+            came = F.get(codes, i - 1)
+            n = _count(a["c"], came)
+            return _with_count(a["c"], came, n + 1), a["s"] + F.get(more, n)
+
+        def move(a, i):
+            came, went = F.get(codes, i - 1), F.get(codes, i - 1 - size)
+            n_in, n_out = _count(a["c"], came), _count(a["c"], went)
+            same = came == went
+            return (F.when(same, a["c"]).otherwise(_with_count(_with_count(a["c"], came, n_in + 1), went, n_out - 1)),
+                    F.when(same, a["s"]).otherwise(a["s"] + F.get(more, n_in) - F.get(more, n_out - 1)))
+
+        def step(a, i):
+            (first, first_sum), (later, later_sum) = enter(a, i), move(a, i)
+            return F.struct(F.when(i <= size, first).otherwise(later).alias("c"),
+                            F.when(i <= size, first_sum).otherwise(later_sum).alias("s"),
+                            *[a[x].alias(x) for x in ("b", "e", "now", "done")])
+
+        def note(a, i):
+            hit = (i >= size) & (a["s"] <= bound)
+            opens = hit & (a["e"] < i - size)
+            closes = opens & (a["e"] >= 0)
+            now, done = _append(a, F.struct(a["b"].alias("b"), a["e"].alias("e")))
+            return F.when(hit, F.struct(
+                a["c"].alias("c"), a["s"].alias("s"), F.when(opens, i - size).otherwise(a["b"]).alias("b"), i.alias("e"),
+                F.when(closes, now).otherwise(a["now"]).alias("now"),
+                F.when(closes, done).otherwise(a["done"]).alias("done"))).otherwise(a)
+
+        def end(a):
+            every = F.flatten(F.array_append(a["done"], a["now"]))
+            return F.when(a["e"] >= 0, F.array_append(every, F.struct(a["b"].alias("b"), a["e"].alias("e")))).otherwise(every)
+
+        # the state after a step is bound once, for the note that is taken of it
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), zero, lambda a, i: _bound(step(a, i), lambda b: note(b, i)), end)
+
+    codes = F.transform(F.filter(F.split(word, ""), lambda x: x != ""), lambda x: F.ascii(x))
+    return F.when(F.char_length(word) >= size, _bound(codes, read))
 
 
 def _class_spans(candidate: Column, found_class) -> Column:
@@ -123,6 +176,29 @@ def _entropy_spans(text: Column, classes, allow) -> Column:
     return F.when(F.regexp_like(text, F.lit(_CANDIDATE)), spans).otherwise(F.lit(None)).cast(SPAN)
 
 
+def _uncovered(base: Column, found: Column) -> Column:
+    """The spans of ``found`` that no span of ``base`` contains: both are read
+    in order of start, with the furthest end of a base span so far."""
+    one = "struct<start:int,mine:int,rank:int,kind:string,end:int>"
+    start = F.struct(F.lit(-1).alias("reach"), F.expr(f"cast(array() as array<{one}>)").alias("now"),
+                     F.expr(f"cast(array() as array<array<{one}>>)").alias("done"))
+
+    def marked(spans, mine):
+        return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(mine).alias("mine"),
+                                                     x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+    def step(a, x):
+        now, done = _append(a, x)
+        free = (x["mine"] == 1) & (x["end"] > a["reach"])
+        return F.struct(F.when(x["mine"] == 0, F.greatest(a["reach"], x["end"])).otherwise(a["reach"]).alias("reach"),
+                        F.when(free, now).otherwise(a["now"]).alias("now"),
+                        F.when(free, done).otherwise(a["done"]).alias("done"))
+
+    kept = F.aggregate(F.array_sort(F.concat(marked(base, 0), marked(found, 1))), start, step,
+                       lambda a: F.flatten(F.array_append(a["done"], a["now"])))
+    return F.transform(kept, lambda x: F.struct(*[x[c].alias(c) for c in ("start", "rank", "kind", "end")]))
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text", classes=CLASSES, allow=ALLOW) -> DataFrame:
     """All columns of ``docs`` plus ``base_spans`` and ``spans`` (base and
     entropy), arrays of (start, rank, kind, end) in order of start and kind;
@@ -135,15 +211,16 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", classes=CLASSES, allow
     empty = F.array().cast(SPAN)
     work = docs.drop(*[c for c in ("base_spans", "spans") if c != text_col])
     text = F.coalesce(work[text_col].cast("string"), F.lit(""))
-    kinds = {"__a": _spans(text, ASSIGN, "assign", 12, 2), "__k": _spans(text, ACCESS, "access", 18),
+    kinds = (_spans(text, ASSIGN, "assign", 12, 2), _spans(text, ACCESS, "access", 18),
              # a hex run of 16 or more is a whole run, so shorter ones need no match
-             "__h": _spans(text, r"[0-9a-f]{16,}", "hex", 16), "__e": _entropy_spans(text, classes, allow)}
-    work = work.select("*", *[c.alias(k) for k, c in kinds.items()])
-    base = F.array_sort(F.concat(*[F.coalesce(F.col(k), empty) for k in ("__a", "__k", "__h")]))
+             _spans(text, r"[0-9a-f]{16,}", "hex", 16), _entropy_spans(text, classes, allow))
+    names = free_names(work, *("found%d" % i for i in range(len(kinds))))
+    work = work.select("*", *[c.alias(k) for k, c in zip(names, kinds)])
+    base = F.array_sort(F.concat(*[F.coalesce(F.col(k), empty) for k in names[:-1]]))
     work = work.withColumn("base_spans", base)
-    added = F.filter(F.coalesce(F.col("__e"), empty), lambda s: ~F.exists(
-        F.col("base_spans"), lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
-    return work.withColumn("spans", F.array_sort(F.concat("base_spans", added))).drop(*kinds)
+    some = F.size(F.coalesce(F.col(names[-1]), empty)) > 0
+    spans = F.when(some, F.array_sort(F.concat("base_spans", _uncovered(F.col("base_spans"), F.col(names[-1])))))
+    return work.withColumn("spans", F.coalesce(spans, F.col("base_spans"))).drop(*names)
 
 
 def span_text(spans: Column) -> Column:

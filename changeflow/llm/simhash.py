@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import drop_stored, id_and_text, small_batches, stored, text_key, words_of
+from .shared import drop_stored, free_names, id_and_text, small_batches, stored, text_key, words_of
 
 SEED = 42
 HOT_BUCKET = 65_536
@@ -248,10 +248,11 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
     # a component without any id is told apart by its fingerprint
     group = F.when(F.col("component_id").isNull(), F.col("fp"))
+    doc, x1, x2, y1, y2 = free_names(docs, "doc", "x1", "x2", "y1", "y2")
     kept = found.groupBy("component_id", group.alias("g")).agg(F.min(key).alias("k")).select(
-        F.col("k.doc_id").alias("__id"), F.col("k.t1").alias("__t1"), F.col("k.t2").alias("__t2")).distinct()
+        F.col("k.doc_id").alias(doc), F.col("k.t1").alias(x1), F.col("k.t2").alias(x2)).distinct()
     t1, t2 = text_key(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    src = docs.withColumn("__a", t1).withColumn("__b", t2)
-    return (src.join(kept, src[id_col].eqNullSafe(F.col("__id")) & (F.col("__a") == F.col("__t1"))
-                     & (F.col("__b") == F.col("__t2")), "left_semi")
-            .dropDuplicates([id_col, "__a", "__b"]).drop("__a", "__b"))
+    src = docs.withColumn(y1, t1).withColumn(y2, t2)
+    return (src.join(kept, src[id_col].eqNullSafe(F.col(doc)) & (F.col(y1) == F.col(x1))
+                     & (F.col(y2) == F.col(x2)), "left_semi")
+            .dropDuplicates([id_col, y1, y2]).drop(y1, y2))

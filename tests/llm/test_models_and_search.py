@@ -162,3 +162,11 @@ def test_a_very_common_vector_yields_its_smallest_ids(spark):
     for r in ann.nearest(df, df.where("vec_id in (0, 50, 2950)")).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert got == {0: [1, 2, 3, 4, 5], 50: [0, 1, 2, 3, 4], 2950: [0, 1, 2, 3, 4]}
+
+
+def test_only_letters_make_a_language(spark):
+    """Numerals, signs and marks are no letters."""
+    texts = ["½ ²", "Ⅷ", "_ 1 ٣", "漢", "½ a", "ª", "👍", None, ""]
+    model = langid.ByteCNN(["en", "fr"])
+    got = [r.lang_pred for r in langid.predict(documents(spark, texts), model).orderBy("doc_id").collect()]
+    assert [p == "und" for p in got] == [True, True, True, False, False, False, True, True, True]
