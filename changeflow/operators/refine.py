@@ -69,24 +69,58 @@ def parse_schema(fields: dict[str, Field]) -> T.StructType:
 EVENT = parse_schema(FIELDS)
 
 
+CORRUPT = "_corrupt_record"
+
+
 def parse_event(raw: DataFrame, schema: T.StructType = EVENT, text: str = "valor",
                 keep: tuple[str, ...] = ("ts_cola",)) -> DataFrame:
     """JSON text -> struct column ``e`` (permissive: text that is not JSON,
     or a top-level array, gives an all-NULL struct; a wrong-typed field gives
     only that field NULL). The parse sits behind a ``fence`` so that the
     filters on parsed fields do not parse each row again."""
-    return fence(raw.select(F.from_json(F.col(text), schema).alias("e"), *keep))
+    return fence(raw.select(F.from_json(F.col(text), schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("e"), *keep))
+
+
+def rejects(rows: DataFrame) -> list[Column]:
+    """Counts over parsed rows (``refused_rows``): read, unreadable text, no id,
+    no valid event time. A row counts under its first fault only."""
+    bad, no_id, no_time = (F.col(c) for c in ("_bad", "_no_id", "_no_time"))
+
+    def count(c):
+        return F.count(F.when(c, 1))
+    return [F.count(F.lit(1)).alias("leidas"), count(bad).alias("ilegibles"), count(~bad & no_id).alias("sin_id"),
+            count(~bad & ~no_id & no_time).alias("sin_hora")]
+
+
+def _typed(raw: DataFrame, kept: list[str], faults: bool) -> DataFrame:
+    """The silver columns of every row, before any is dropped; with ``faults``
+    also what is wrong with it."""
+    schema = T.StructType([*EVENT.fields, T.StructField(CORRUPT, T.StringType())]) if faults else EVENT
+    rows = parse_event(raw, schema, keep=tuple(kept))
+    marks = [F.coalesce(F.col("e").isNull() | F.col("e." + CORRUPT).isNotNull(), F.lit(True)).alias("_bad")] if faults else []
+    rows = rows.select(*[f.use(F.col("e." + f.path)).alias(name) for name, f in FIELDS.items()], *kept, *marks)
+    if faults:
+        rows = rows.withColumns({"_no_id": F.col("meta_id").isNull(), "_no_time": F.col("ts_evento").isNull()})
+    return rows
+
+
+def refuse_counts(raw: DataFrame) -> DataFrame:
+    """C2, C5 of a batch: one row of the counts of ``rejects``."""
+    rows = _typed(raw, ["ts_cola"], True)
+    return rows.agg(*rejects(rows))
 
 
-def refine(raw: DataFrame, ingest: Column | str | None = None) -> DataFrame:
+def refine(raw: DataFrame, ingest: Column | str | None = None, observe: str | None = None) -> DataFrame:
     """Raw envelope rows -> silver rows in table order (13 columns). Rows
     without a required field (an id, a valid event time) are dropped.
     ``ingest`` is the ingest stamp: by default the micro-batch start; a replay
-    names its own column."""
+    names its own column. With ``observe`` the dropped rows are counted by
+    fault on the way (an observation of that name: no further pass)."""
     kept = ["ts_cola"] + ([ingest] if isinstance(ingest, str) else [])
     stamp = F.current_timestamp() if ingest is None else F.col(ingest) if isinstance(ingest, str) else ingest
-    rows = parse_event(raw, keep=tuple(kept))
-    rows = rows.select(*[f.use(F.col("e." + f.path)).alias(name) for name, f in FIELDS.items()], *kept)
+    rows = _typed(raw, kept, observe is not None)
+    if observe:
+        rows = rows.observe(observe, *rejects(rows)).drop("_bad", "_no_id", "_no_time")
     for name, f in FIELDS.items():
         if f.required:
             rows = rows.where(F.col(name).isNotNull())

@@ -576,3 +576,32 @@ ORACLE.update({
                count(*) - count(DISTINCT meta_id) AS duplicados FROM silver
     """),
 })
+
+# The quarantine judges by the newest event of all earlier micro-batches.
+VERDICTS = """
+qmarks AS (SELECT lote, max(m) OVER (ORDER BY lote ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - %d AS wm FROM lots),
+judged AS (SELECT st.*, wm IS NOT NULL AND ev_ms <= wm AS tarde FROM st JOIN qmarks USING (lote)),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY meta_id, tarde ORDER BY cola_ms) AS nth FROM judged)
+""" % (scenario.STREAM["lateness_s"] * 1000)
+FAULTS = """
+SELECT count(*) AS leidas, count(*) FILTER (WHERE doc_id %% 5 = 0) AS ilegibles, count(*) FILTER (WHERE doc_id %% 5 = 1) AS sin_id,
+       count(*) FILTER (WHERE doc_id %% 5 IN (2, 3)) AS sin_hora FROM documents
+""".replace("%%", "%")
+
+ORACLE.update({
+    "parts_gold_activity": ORACLE["gold_activity"],
+    "parts_gold_bot_counts": ORACLE["gold_bot_counts"],
+    "parts_gold_concurrent": ORACLE["gold_concurrent_exact"],
+    "quarantine_silver": q("""
+        SELECT meta_id, make_timestamp(ev_ms * 1000) AS ts_evento, tipo, wiki, servidor, espacio, titulo, usuario, es_bot,
+               make_timestamp((ev_ms // 1000) * 1000000) AS ts_mediawiki, make_timestamp(cola_ms * 1000) AS ts_cola,
+               cola_ms / 1000.0 - ev_ms / 1000.0 AS retraso_s
+        FROM firsts WHERE NOT tarde AND nth = 1
+    """, _streamed(), VERDICTS),
+    "quarantine_rows": q("""
+        SELECT CASE WHEN tarde THEN 'tardia' WHEN nth = 1 THEN 'conservada' ELSE 'repetida' END AS motivo, count(*) AS filas
+        FROM firsts GROUP BY 1
+    """, _streamed(), VERDICTS),
+    "refine_faults": FAULTS,
+    "stream_refine_faults": FAULTS,
+})

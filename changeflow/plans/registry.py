@@ -342,6 +342,8 @@ from dataclasses import dataclass  # noqa: E402
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from pyspark.errors import StreamingQueryException  # noqa: E402
+
 from changeflow.sources import files  # noqa: E402
 from changeflow.streaming.chain import start_bronze, start_silver  # noqa: E402
 from changeflow.streaming.commits import commit_history  # noqa: E402
@@ -466,3 +468,95 @@ QUERIES.update({
     "integrity_verdict_unreadable": lambda s, d: integrity.verdict(
         integrity.as_queue(_table(s, d, "documents"), "lang", "source")),
 })
+
+
+# --- own writes per micro-batch: gold parts, quarantine, counted faults -----------
+
+from changeflow.streaming import parts, quarantine  # noqa: E402
+
+
+@_once
+def _parts_run(spark: SparkSession, sf_dir: str) -> ChainConfig:
+    """Silver of the chain run, read once per micro-batch into three tables.
+    The first try dies between two writes and is started again."""
+    chain = _stream_chain(spark, sf_dir)
+    cfg = ChainConfig(warehouse=chain.warehouse, checkpoints=_run_folder(spark), available_now=True,
+                      edit_types=chain.edit_types, max_files_per_trigger=2)
+
+    def die(batch, table):
+        if batch == 1 and table == "gold_activity":
+            raise RuntimeError("killed between two writes")
+
+    query = parts.start_gold_parts(spark, cfg, after=die)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        pass
+    run_available([parts.start_gold_parts(spark, cfg)])
+    return cfg
+
+
+def _from_parts(table):
+    def run(spark, sf_dir):
+        found = parts.gold_from_parts(spark, _parts_run(spark, sf_dir))[table]
+        return gold.closed_windows(found, silver(spark, sf_dir, ("ts_evento",)), LATENESS)
+    return run
+
+
+@_once
+def _quarantine_run(spark: SparkSession, sf_dir: str) -> ChainConfig:
+    """The bronze of the late run through the dedup that keeps what it turns away."""
+    late = _late_run(spark, sf_dir).cfg
+    cfg = ChainConfig(warehouse=late.warehouse, checkpoints=_run_folder(spark), available_now=True, max_files_per_trigger=1,
+                      state_partitions=late.state_partitions)
+    run_available([quarantine.start_silver_with_quarantine(spark, cfg)])
+    return cfg
+
+
+def _turned_away(spark, sf_dir):
+    """Rows per verdict, late and repeated ones from the quarantine table."""
+    cfg = _quarantine_run(spark, sf_dir)
+    kept = quarantine.read_silver(spark, cfg).select(F.lit("conservada").alias("motivo"))
+    return (kept.unionByName(quarantine.read_quarantine(spark, cfg).select("motivo"))
+            .groupBy("motivo").agg(F.count(F.lit(1)).alias("filas")))
+
+
+def dirty_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a queue with faults: of five messages one is no JSON,
+    one has no id, one no event time, one a time that is none, one is good."""
+    docs = _table(spark, sf_dir, "documents")
+    kind = F.col("doc_id") % 5
+    ident = F.concat(F.lit('"id":"'), F.col("doc_id").cast("string"), F.lit('"'))
+    valor = (F.when(kind == 0, F.concat(F.lit('{"meta":'), F.col("source")))
+             .when(kind == 1, F.lit('{"meta":{"dt":"2024-01-01T00:00:00.000Z"},"type":"edit"}'))
+             .when(kind == 2, F.concat(F.lit('{"meta":{'), ident, F.lit("}}")))
+             .when(kind == 3, F.concat(F.lit('{"meta":{'), ident, F.lit(',"dt":"yesterday"}}')))
+             .otherwise(F.concat(F.lit('{"meta":{'), ident, F.lit(',"dt":"2024-01-01T00:00:00.000Z"},"bot":false}'))))
+    return docs.select(F.lit(None).cast("string").alias("clave"), valor.alias("valor"), F.lit("documents").alias("origen"),
+                       F.lit("0").alias("particion"), F.col("doc_id").cast("string").alias("desplazamiento"),
+                       F.lit("2024-01-01 00:00:05").cast("timestamp").alias("ts_cola"))
+
+
+def _stream_faults(spark, sf_dir):
+    """What the refine step of a stream counts while it drops it."""
+    apply_required(spark)
+    base = _run_folder(spark)
+    dirty_queue(spark, sf_dir).write.parquet(base + "/queue")
+    cfg = ChainConfig(warehouse=base + "/wh", available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
+    run_available([start_bronze(spark, read_envelope_files(spark, base + "/queue"), cfg)])
+    query = start_silver(spark, cfg)
+    run_available([query])
+    return progress_frame(spark, query).agg(
+        F.sum("readRows").alias("leidas"), F.sum("unreadable").alias("ilegibles"), F.sum("withoutId").alias("sin_id"),
+        F.sum("withoutTime").alias("sin_hora"))
+
+
+QUERIES.update({
+    "parts_gold_activity": _from_parts("gold_activity"),
+    "parts_gold_bot_counts": _from_parts("gold_bots"),
+    "parts_gold_concurrent": _from_parts("gold_concurrent"),
+    "quarantine_silver": lambda s, d: quarantine.read_silver(s, _quarantine_run(s, d)).drop("ingerido_en"),
+    "quarantine_rows": _turned_away,
+    "refine_faults": lambda s, d: refine.refuse_counts(dirty_queue(s, d)),
+    "stream_refine_faults": _stream_faults,
+})

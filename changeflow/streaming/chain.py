@@ -18,6 +18,7 @@ from changeflow.operators import dedup, gold, panes, refine
 from changeflow.session import apply_required, stream_checkpoint
 from changeflow.sources.queue import stamp_ingest
 from changeflow.sources.tables import layer_path, stream_table
+from changeflow.streaming import history
 from changeflow.streaming.run import append_stream, run_available
 
 
@@ -71,7 +72,7 @@ def start_bronze(spark: SparkSession, envelope: DataFrame, cfg: ChainConfig) ->
 def silver_frame(spark: SparkSession, cfg: ChainConfig) -> DataFrame:
     raw = stream_table(spark, cfg.table("bronze"), "bronze", cfg.fmt,
                        max_files_per_trigger=cfg.max_files_per_trigger)
-    typed = refine.refine(raw)
+    typed = refine.refine(raw, observe=history.REFINE)
     return dedup.dedup_stream(dedup.with_lateness(typed, cfg.lateness))
 
 

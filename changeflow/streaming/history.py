@@ -8,10 +8,12 @@ batch, so a batch that runs again after a restart replaces its own record.
 
 from __future__ import annotations
 
+import atexit
 import json
 import threading
-from collections import defaultdict
+from collections import deque
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -20,12 +22,20 @@ from changeflow.sources import files
 
 RECORD = ("batch_id long, run_id string, started string, duration_ms long, input_rows long, input_rate double, "
           "process_rate double, late_drops long, duplicate_drops long, state_rows long, watermark string, "
-          "next_watermark_ms long")
+          "next_watermark_ms long, read_rows long, unreadable long, without_id long, without_time long")
+#: the observation of the refine step, and its counts as columns of the record
+REFINE = "refine"
+_COUNTS = {"read_rows": "leidas", "unreadable": "ilegibles", "without_id": "sin_id", "without_time": "sin_hora"}
+
+#: reports kept for a query whose checkpoint is not known yet, of so many
+#: queries; ``append_stream`` names it right after the start
+EARLY_REPORTS, EARLY_QUERIES = 100, 50
 
 _lock = threading.RLock()
 _folders: dict[str, str] = {}
-_waiting: dict[str, list] = defaultdict(list)
-_written: dict[str, set] = defaultdict(set)
+_waiting: dict[str, deque] = {}
+#: per query the run and its last batch on record: batches of a run come in order
+_written: dict[str, tuple[str, int]] = {}
 
 
 def folder(checkpoint: str) -> str:
@@ -41,7 +51,10 @@ def _record(spark: SparkSession, checkpoint: str, p) -> dict:
     ops = [o if isinstance(o, dict) else json.loads(o.json) for o in ops]
     commit = files.read_text(spark, "%s/commits/%d" % (checkpoint, p.get("batchId")))
     mark = json.loads(commit.split("\n")[1]).get("nextBatchWatermarkMs") if commit else None
+    seen = (p.get("observedMetrics") or {}).get(REFINE) or {}
+    seen = seen if isinstance(seen, dict) else seen.asDict()
     return {
+        **{name: seen.get(count) for name, count in _COUNTS.items()},
         "batch_id": p.get("batchId"), "run_id": str(p.get("runId")), "started": p.get("timestamp"),
         "duration_ms": _number(p.get("durationMs") or {}, "triggerExecution"),
         "input_rows": _number(p, "numInputRows"), "input_rate": _number(p, "inputRowsPerSecond", 0.0),
@@ -57,15 +70,17 @@ def _take(spark: SparkSession, p) -> None:
     key = str(p.get("id"))
     with _lock:
         if key not in _folders:
-            _waiting[key].append(p)
+            _waiting.setdefault(key, deque(maxlen=EARLY_REPORTS)).append(p)
+            while len(_waiting) > EARLY_QUERIES:  # queries that nobody follows
+                _waiting.pop(next(iter(_waiting)))
             return
-        mark = (str(p.get("runId")), p.get("batchId"))
-        if mark in _written[key]:
+        run, batch = str(p.get("runId")), p.get("batchId")
+        if key in _written and _written[key][0] == run and batch <= _written[key][1]:
             return
         checkpoint = _folders[key]
         files.write_text(spark, "%s/%020d.json" % (folder(checkpoint), p.get("batchId")),
                          json.dumps(_record(spark, checkpoint, p)))
-        _written[key].add(mark)
+        _written[key] = (run, batch)
 
 
 class _Listener(StreamingQueryListener):
@@ -89,12 +104,23 @@ _listening: set[str] = set()
 
 
 def listen(spark: SparkSession) -> None:
-    """Add the listener, once per application."""
+    """Add the listener, once per application; it is removed when Python ends,
+    so that Spark does not call a process that is gone."""
     app = spark.sparkContext.applicationId
     with _lock:
         if app not in _listening:
-            spark.streams.addListener(_Listener(spark))
+            listener = _Listener(spark)
+            spark.streams.addListener(listener)
             _listening.add(app)
+            atexit.register(_unlisten, spark, listener)
+
+
+def _unlisten(spark: SparkSession, listener: StreamingQueryListener) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            spark.streams.removeListener(listener)
+    except (Py4JError, OSError):  # the session has ended before
+        pass
 
 
 def follow(spark: SparkSession, query: StreamingQuery, checkpoint: str) -> None:

@@ -116,4 +116,5 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
         F.col("input_rows").alias("numInputRows"), F.col("input_rate").alias("inputRowsPerSecond"),
         F.col("process_rate").alias("processedRowsPerSecond"), F.col("late_drops").alias("rowsDroppedByWatermark"),
         F.col("duplicate_drops").alias("duplicatesDropped"), F.col("state_rows").alias("stateRows"), "watermark",
-        F.col("duration_ms").alias("durationMs"))
+        F.col("duration_ms").alias("durationMs"), F.col("read_rows").alias("readRows"), "unreadable",
+        F.col("without_id").alias("withoutId"), F.col("without_time").alias("withoutTime"))
