@@ -605,3 +605,12 @@ ORACLE.update({
     "refine_faults": FAULTS,
     "stream_refine_faults": FAULTS,
 })
+
+ORACLE.update({
+    "late_survival_joined": ORACLE["late_survival"],
+    "late_lost_ids": q("""
+        SELECT DISTINCT meta_id, %s AS tramo
+        FROM (SELECT meta_id, cola_ms / 1000.0 - ev_ms / 1000.0 AS retraso_s FROM st)
+        WHERE meta_id NOT IN (SELECT meta_id FROM kept)
+    """ % BUCKET_SQL, _streamed()),
+})

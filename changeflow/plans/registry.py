@@ -560,3 +560,52 @@ QUERIES.update({
     "refine_faults": lambda s, d: refine.refuse_counts(dirty_queue(s, d)),
     "stream_refine_faults": _stream_faults,
 })
+
+
+# --- survival by a join of two streams (H4) -----------------------------------------
+
+from changeflow.schemas import BRONZE, SILVER  # noqa: E402
+from changeflow.streaming import survival  # noqa: E402
+from changeflow.streaming.run import append_stream  # noqa: E402
+
+
+@_once
+def _joined_outcomes(spark: SparkSession, sf_dir: str) -> str:
+    """Raw and silver of the late run as two streams, joined. Behind the rows
+    comes one event an hour later on both sides, as the next traffic would,
+    so the watermarks pass the last rows and what is lost comes out."""
+    base = _run_folder(spark)
+    later = spark.range(1).select(
+        F.lit(None).cast("string").alias("clave"),
+        F.lit('{"meta":{"id":"later","dt":"2024-01-01T01:00:00.000Z"},"comment":"later"}').alias("valor"))
+    for layer, schema in (("bronze", BRONZE), ("silver", SILVER)):
+        rows = _late_layer(spark, sf_dir, layer)
+        more = later if layer == "bronze" else spark.range(1).select(
+            F.lit("later").alias("meta_id"), F.lit("2024-01-01 01:00:00").cast("timestamp").alias("ts_evento"))
+        rows.unionByName(more, allowMissingColumns=True).write.parquet("%s/%s" % (base, layer))
+
+    def stream(layer, schema):
+        return spark.readStream.schema(schema).parquet("%s/%s" % (base, layer))
+
+    # every row of the two layers is read with its own time; "later" is not of the tagged batch
+    raw = lateness.tagged(stream("bronze", BRONZE), "")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        query = append_stream(survival.outcomes(raw, stream("silver", SILVER)), base + "/outcomes", base + "/checkpoint",
+                              available_now=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    run_available([query])
+    return base + "/outcomes"
+
+
+def _joined_survival(spark, sf_dir):
+    found = spark.read.parquet(_joined_outcomes(spark, sf_dir)).where("meta_id <> 'later'")
+    return survival.survival_of(found)
+
+
+QUERIES.update({
+    "late_survival_joined": _joined_survival,
+    "late_lost_ids": lambda s, d: s.read.parquet(_joined_outcomes(s, d)).where("NOT llego").select("meta_id", "tramo"),
+})
