@@ -109,7 +109,7 @@ def main(argv=None) -> int:
         from changeflow.operators import profile
         from changeflow.sources.capture import read_capture
         cap = read_capture(spark, a.capture)
-        stats = profile.path_stats(cap)  # one walk for both schema reports
+        shapes = profile.shape_counts(cap)  # one pass for both schema reports
         for name, df in [("throughput", profile.throughput(cap)),
                          ("rate", profile.rate_percentiles(cap)),
                          ("sizes", profile.size_profile(cap)),
@@ -121,8 +121,8 @@ def main(argv=None) -> int:
                          ("duplicates", profile.duplicate_report(cap)),
                          ("disorder", profile.disorder(cap)),
                          ("latency", profile.arrival_latency(cap)),
-                         ("schema", profile.schema_profile(cap, stats)),
-                         ("type_fields", profile.type_fields(cap, stats=stats)),
+                         ("schema", profile.schema_profile(cap, shapes)),
+                         ("type_fields", profile.type_fields(cap, shapes=shapes)),
                          ("examples", profile.examples(cap))]:
             print("== %s" % name)
             _print_all(df)

@@ -8,8 +8,8 @@ across the passes, and every pass carries one row per partition (a size that
 is bounded by the partition count, not by the data, so it may be broadcast).
 
 * ``prefix_max_before``: a partition's carry is the maximum of all earlier
-  partitions; each partition scans its rows in order, vectorised per Arrow
-  batch. The order must have a tie-breaker, or equal rows meet in one range.
+  partitions; a window inside each partition does the rest. The order must
+  have a tie-breaker, or equal rows meet in one range.
 * ``exact_quantiles``: equal values are counted first (map-side combine, so a
   value that most rows share is one row per task), and the distinct values
   are ranged; only the few partitions that hold a wanted rank are ordered.
@@ -17,13 +17,8 @@ is bounded by the partition count, not by the data, so it may be broadcast).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from changeflow.session import ensure_checkpoint_dir
 
@@ -34,39 +29,16 @@ def prefix_max_before(df: DataFrame, order_cols: list[str], value_col: str, out_
     the total order ``order_cols`` (NULL for the first row). ``value_col``
     must be numeric (cast timestamps to microseconds first). Only the columns
     ``keep`` (default: all) go through the scan and come out."""
-    spark = df.sparkSession
-    ranged = _ranged(df, order_cols, partitions, keep)
+    wanted = None if keep is None else [*dict.fromkeys([*keep, *order_cols, value_col])]
+    ranged = _ranged(df, order_cols, partitions, wanted)
     part_max = ranged.groupBy("_pid").agg(F.max(value_col).cast("double").alias("_pmax"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = {int(r["_pid"]): r["_carry"] for r in
-             part_max.select("_pid", F.max("_pmax").over(before).alias("_carry")).collect()}
-    carry_bc = spark.sparkContext.broadcast(carry)
-
-    out_schema = T.StructType(ranged.schema.fields + [T.StructField(out_col, T.DoubleType())])
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        running = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if running is None:
-                c = carry_bc.value.get(int(pdf["_pid"].iloc[0]))
-                running = np.nan if c is None else float(c)
-            vals = pdf[value_col].astype("float64").to_numpy()
-            filled = np.where(np.isnan(vals), -np.inf, vals)
-            acc = np.maximum.accumulate(filled)
-            prev = np.concatenate(([-np.inf], acc[:-1]))
-            start = -np.inf if np.isnan(running) else running
-            res = np.maximum(prev, start)
-            res = np.where(np.isneginf(res), np.nan, res)
-            if len(acc):
-                running = max(start, acc[-1])
-                if np.isneginf(running):
-                    running = np.nan
-            pdf[out_col] = res
-            yield pdf
-
-    return ranged.mapInPandas(scan, out_schema).drop("_pid")
+    carry = part_max.select("_pid", F.max("_pmax").over(before).alias("_carry"))  # a row per partition
+    within = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    scanned = (ranged.withColumn(out_col, F.max(F.col(value_col).cast("double")).over(within))
+               .join(F.broadcast(carry), "_pid", "left")
+               .withColumn(out_col, F.greatest(out_col, "_carry")))
+    return scanned.select(*(keep if keep is not None else df.columns), out_col)
 
 
 def _ranged(df: DataFrame, order_cols: list[str], partitions: int | None,
@@ -97,9 +69,20 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     ranged with their counts, the ranks at which a partition begins come from
     the partitions' sums, and the running count is built only in the (at most
     two per quantile) partitions that hold a wanted rank."""
-    counts = (df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-    ranged = _ranged(counts, ["_v"], partitions)
+    return summary(df, col, probs, partitions).select(*probs)
+
+
+def summary(df: DataFrame, col: str, probs: dict[str, float], partitions: int | None = None) -> DataFrame:
+    """One row: valores, nulos, minimo, maximo and the quantiles of
+    ``exact_quantiles``, all from one pass over ``df``: the counts of its
+    values are frozen, and everything else reads them."""
+    counts = df.select(F.col(col).cast("double").alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    frozen = _ranged(counts, ["_v"], partitions)
+    null = F.col("_v").isNull()
+    edges = frozen.agg(F.coalesce(F.sum(F.when(~null, F.col("_c"))), F.lit(0)).cast("long").alias("valores"),
+                       F.coalesce(F.sum(F.when(null, F.col("_c"))), F.lit(0)).cast("long").alias("nulos"),
+                       F.min("_v").alias("minimo"), F.max("_v").alias("maximo"))
+    ranged = frozen.where(~null).withColumnRenamed("_c", "_n")
     sizes = ranged.groupBy("_pid").agg(F.sum("_n").alias("_s"))
     every = Window.orderBy("_pid")  # over one row per partition
     marks = sizes.select("_pid", "_s", (F.sum("_s").over(every) - F.col("_s")).alias("_off"),
@@ -120,4 +103,4 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     for name, pos in at.items():
         lo, hi, frac = value(F.floor(pos)), value(F.ceil(pos)), F.max(pos - F.floor(pos))
         out.append((lo + (hi - lo) * frac).alias(name))
-    return near.agg(*out)
+    return edges.crossJoin(near.agg(*out))

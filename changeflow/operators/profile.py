@@ -11,12 +11,18 @@ whose value -> count map is bounded by the number of distinct values.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.functions.columns import profile_time
+from changeflow.operators.common import fence
 from changeflow.operators.refine import epoch_to_ts
-from changeflow.operators.ordering import exact_quantiles, prefix_max_before
+from changeflow.operators.ordering import prefix_max_before, summary
 from changeflow.session import ensure_checkpoint_dir
 
 
@@ -29,14 +35,18 @@ def _pct(col: str, p: float, exact: bool):
             else F.percentile_approx(F.col(col), F.lit(p), F.lit(10000)).cast("double"))
 
 
-def _with_quantiles(df: DataFrame, col: str, exact: bool, *aggs) -> DataFrame:
-    """One row: ``aggs`` plus p50/p95/p99 of a continuous column. Exact
-    quantiles use distributed rank selection (no single-task value map)."""
+_P = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def _summary(df: DataFrame, col: str, exact: bool) -> DataFrame:
+    """One row over a continuous column: valores, nulos, minimo, maximo, p50,
+    p95, p99. Exact quantiles use distributed rank selection (no single-task
+    value map), all from one pass over ``df``."""
     if exact:
-        qs = exact_quantiles(df, col, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
-        return df.agg(*aggs).crossJoin(qs)
-    return df.agg(*aggs, *[F.percentile_approx(F.col(col), F.lit(p), F.lit(10000)).cast("double").alias(n)
-                           for n, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+        return summary(df, col, _P)
+    return df.agg(F.count(col).alias("valores"), F.count(F.when(F.col(col).isNull(), 1)).alias("nulos"),
+                  F.min(col).cast("double").alias("minimo"), F.max(col).cast("double").alias("maximo"),
+                  *[F.percentile_approx(F.col(col), F.lit(p), F.lit(10000)).cast("double").alias(n) for n, p in _P.items()])
 
 
 def throughput(cap: DataFrame) -> DataFrame:
@@ -158,8 +168,7 @@ def disorder(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataF
     lags = scanned.select(F.when(F.col("t") < F.col("_max"), F.col("_max") - F.col("t")).alias("lag"))
     counts = ev.agg(F.count(F.lit(1)).alias("_total"),
                     F.count(F.when(F.col("t").isNull(), 1)).alias("sin_tiempo"))
-    late = _with_quantiles(lags, "lag", exact, F.count("lag").alias("desordenados"),
-                           F.max("lag").alias("maximo"))
+    late = _summary(lags, "lag", exact).withColumnRenamed("valores", "desordenados")
     return (counts.crossJoin(late)
             .select((F.col("_total") - F.col("sin_tiempo")).alias("con_tiempo"), "sin_tiempo",
                     "desordenados",
@@ -178,11 +187,9 @@ def arrival_times(cap: DataFrame, path: str = "meta.dt") -> DataFrame:
 def arrival_latency(cap: DataFrame, path: str = "meta.dt", exact: bool = True) -> DataFrame:
     """Arrival - event time in s (includes clock skew): min, p50, p95,
     p99, max; events without a valid time are counted apart."""
-    ev = arrival_times(cap, path)
-    out = _with_quantiles(ev, "lat", exact, F.count("lat").alias("con_tiempo"),
-                          F.count(F.when(F.col("lat").isNull(), 1)).alias("sin_tiempo"),
-                          F.min("lat").alias("minimo"), F.max("lat").alias("maximo"))
-    return out.select("con_tiempo", "sin_tiempo", "minimo", "p50", "p95", "p99", "maximo")
+    out = _summary(arrival_times(cap, path), "lat", exact)
+    return out.select(F.col("valores").alias("con_tiempo"), F.col("nulos").alias("sin_tiempo"), "minimo", "p50", "p95", "p99",
+                      "maximo")
 
 
 # Variant type name -> JSON type name of the report.
@@ -198,75 +205,101 @@ def _json_type(schema_text):
             .otherwise(F.lower(s)))
 
 
-_PATHS_TYPE = "array<struct<ruta:string,tipo_json:string,nivel:int>>"
-
-
-def _paths(v, prefix, depth: int, level: int = 1):
-    """All (dotted path, JSON type) pairs under variant ``v``: objects are
-    descended, arrays are not. Built as nested higher-order functions, so
-    every event is parsed once and walked in one pass, JVM-side."""
-    empty = F.array().cast(_PATHS_TYPE)
-    if depth == 0:
-        return empty
-    entries = F.coalesce(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")),
-                         F.array().cast("array<struct<key:string,value:variant>>"))
-
-    def one(e):
-        ruta = F.concat(prefix, e["key"])
-        here = F.array(F.struct(ruta.alias("ruta"), _json_type(F.schema_of_variant(e["value"])).alias("tipo_json"),
-                                F.lit(level).alias("nivel")))
-        return F.concat(here, _paths(e["value"], F.concat(ruta, F.lit(".")), depth - 1, level + 1))
-    return F.flatten(F.transform(entries, one))
-
-
-def _raw_paths(cap: DataFrame, depth: int) -> DataFrame:
-    ev = _events(cap).select(
-        F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"),
-        F.try_parse_json("evento").alias("v"))
-    return (ev.filter(F.col("v").isNotNull())
-            .select("tipo", F.explode(_paths(F.col("v"), F.lit(""), depth)).alias("p"))
-            .select("tipo", "p.ruta", "p.tipo_json", "p.nivel"))
+# a field name of a variant's schema text, quoted unless it is plain, and what
+# opens or closes inside an array's type
+_NAME = re.compile(r"`((?:[^`]|``)*)`|([^:`<>,]+)")
+_NESTED = re.compile(r"`(?:[^`]|``)*`|[<>]")
+_TYPE = re.compile(r"\w+(\([^)]*\))?")
+
+
+def shape_paths(shape: str) -> list[tuple[str, str]]:
+    """(dotted path, type) of every field in the schema text of an object,
+    e.g. ``OBJECT<a: BIGINT, b: OBJECT<c: STRING>>``. Objects are descended,
+    arrays are not; another text has no fields."""
+    if not shape.startswith("OBJECT<"):
+        return []
+    out, above, at = [], [""], len("OBJECT<")
+    while above:
+        if shape[at] == ">":
+            above.pop()
+            at += 1
+        else:
+            m = _NAME.match(shape, at)
+            path = above[-1] + (m[2] if m[1] is None else m[1].replace("``", "`"))
+            kind = _TYPE.match(shape, m.end() + 2)
+            out.append((path, kind[0]))
+            at = kind.end()
+            if kind[0] == "OBJECT":
+                above.append(path + ".")
+                at += 1
+                continue
+            if shape.startswith("<", at):
+                depth = 0
+                for token in _NESTED.finditer(shape, at):
+                    depth += {"<": 1, ">": -1}.get(token[0], 0)
+                    if not depth:
+                        break
+                at = token.end()
+        if shape.startswith(", ", at):
+            at += 2
+    return out
+
+
+def _shaped(cap: DataFrame) -> DataFrame:
+    """tipo and forma of each event: its type, and its schema as text (NULL if
+    it is no valid JSON). An event is parsed once."""
+    v = F.col("v")
+    kind = F.when(v.isNull(), F.get_json_object("evento", "$.type")).otherwise(F.try_variant_get(v, "$.type", "string"))
+    parsed = fence(_events(cap).select("evento", F.try_parse_json("evento").alias("v")))
+    return parsed.select(F.coalesce(kind, F.lit(MISSING["type"])).alias("tipo"), F.schema_of_variant("v").alias("forma"))
+
+
+def _unfold(shapes: DataFrame) -> DataFrame:
+    """A row per path of each row's shape, with the other columns."""
+    rest = [f for f in shapes.schema.fields if f.name != "forma"]
+    schema = T.StructType([*rest, T.StructField("ruta", T.StringType()), T.StructField("_tipo", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shape_paths(s) if s else [] for s in b.column("forma").to_pylist()]
+            row = pa.array([i for i, paths in enumerate(found) for _ in paths], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(f.name).take(row) for f in rest), pa.array([p for paths in found for p, _ in paths], pa.string()),
+                 pa.array([t for paths in found for _, t in paths], pa.string())], names=schema.names)
+
+    out = shapes.mapInArrow(run, schema)
+    return out.withColumn("tipo_json", _json_type(F.col("_tipo"))).drop("_tipo")
+
+
+def field_paths(cap: DataFrame) -> DataFrame:
+    """One row per (event, dotted path) with the path's JSON type and the
+    event's type."""
+    return _unfold(_shaped(cap)).select("tipo", "ruta", "tipo_json")
 
 
-def _too_shallow(paths: DataFrame, depth: int) -> bool:
-    return not paths.filter((F.col("nivel") == depth) & (F.col("tipo_json") == "struct")).isEmpty()
+def shape_counts(cap: DataFrame) -> DataFrame:
+    """Events per (event type, shape), shape NULL for text that is no valid
+    JSON: one pass over the capture, one parse an event. Events of a stream
+    have few shapes, so the paths are spelt out per shape, not per event. The
+    counts are frozen with a checkpoint, so all schema reports share the pass."""
+    ensure_checkpoint_dir(cap.sparkSession)
+    return _shaped(cap).groupBy("tipo", "forma").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
 
 
-def field_paths(cap: DataFrame, depth: int = 8) -> DataFrame:
-    """One row per (event, dotted path) with the path's JSON type and the
-    event's type. The walk is unrolled ``depth`` levels deep; if some object
-    still sits at the last level, it is redone twice as deep, so no path is
-    ever left out."""
-    paths = _raw_paths(cap, depth)
-    if _too_shallow(paths, depth):
-        return field_paths(cap, depth * 2)
-    return paths.drop("nivel")
-
-
-def path_stats(cap: DataFrame, depth: int = 8) -> DataFrame:
-    """Events per (event type, path, JSON type): one pass over the capture.
-    The aggregate is as small as the observed schema; it is frozen with a
-    checkpoint, so the depth check and the reports built on it do not scan
-    the capture again."""
-    ensure_checkpoint_dir(cap.sparkSession)
-    stats = (_raw_paths(cap, depth)
-             .groupBy("tipo", "ruta", "tipo_json", "nivel")
-             .agg(F.count(F.lit(1)).alias("n"))
-             .checkpoint(eager=True))
-    if _too_shallow(stats, depth):
-        return path_stats(cap, depth * 2)
-    return stats.drop("nivel")
+def path_stats(shapes: DataFrame) -> DataFrame:
+    """Events per (event type, path, JSON type), from ``shape_counts``."""
+    return _unfold(shapes).groupBy("tipo", "ruta", "tipo_json").agg(F.sum("n").alias("n"))
 
 
-def schema_profile(cap: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def schema_profile(cap: DataFrame, shapes: DataFrame | None = None) -> DataFrame:
     """I8: per dotted path: presence (% of events), observed JSON types (most
     common first), a flag when there is more than one, and how many events
     have no paths because their text is no valid JSON (a repeated key is one
-    way); they stay in the denominator. ``stats``: a ``path_stats`` to share."""
-    stats = path_stats(cap) if stats is None else stats
-    total = _events(cap).agg(F.count(F.lit(1)).alias("_t"),
-                             F.count(F.when(F.try_parse_json("evento").isNull(), 1)).alias("_bad"))
-    per_type = stats.groupBy("ruta", "tipo_json").agg(F.sum("n").alias("n"))
+    way); they stay in the denominator. ``shapes``: a ``shape_counts`` to share."""
+    shapes = shape_counts(cap) if shapes is None else shapes
+    total = shapes.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("_t"),
+                       F.coalesce(F.sum(F.when(F.col("forma").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("_bad"))
+    per_type = path_stats(shapes).groupBy("ruta", "tipo_json").agg(F.sum("n").alias("n"))
     per_path = (per_type.groupBy("ruta")
                 .agg(F.sum("n").alias("n"),
                      F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col("tipo_json").alias("t")))).alias("_ts")))
@@ -277,13 +310,13 @@ def schema_profile(cap: DataFrame, stats: DataFrame | None = None) -> DataFrame:
             .orderBy("ruta"))
 
 
-def type_fields(cap: DataFrame, threshold: float = 0.9, stats: DataFrame | None = None) -> DataFrame:
+def type_fields(cap: DataFrame, threshold: float = 0.9, shapes: DataFrame | None = None) -> DataFrame:
     """Per event type, fields that are not in every event but are in
     at least ``threshold`` of that type's events. A path occurs at most once
     per event, so summed counts are counts of events."""
-    stats = (path_stats(cap) if stats is None else stats).groupBy("tipo", "ruta").agg(F.sum("n").alias("k"))
-    ev = _events(cap).select(F.coalesce(F.get_json_object("evento", "$.type"), F.lit(MISSING["type"])).alias("tipo"))
-    per_type_n = ev.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"))
+    shapes = shape_counts(cap) if shapes is None else shapes
+    stats = path_stats(shapes).groupBy("tipo", "ruta").agg(F.sum("n").alias("k"))
+    per_type_n = shapes.groupBy("tipo").agg(F.sum("n").cast("long").alias("n"))
     total = per_type_n.agg(F.sum("n").alias("_t"))
     common = (stats.groupBy("ruta").agg(F.sum("k").alias("c"))
               .crossJoin(F.broadcast(total)).filter(F.col("c") == F.col("_t")).select("ruta"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators.ordering import exact_quantiles
+from changeflow.operators.ordering import summary
 
 
 def layer_volumes(spark: SparkSession, layers: dict) -> DataFrame:
@@ -40,10 +40,8 @@ def latency(silver: DataFrame, lookback: str = "15 minutes", exact: bool = False
               .filter((F.col("ts_evento") > F.col("_lo")) & (F.col("ingerido_en") > F.col("ts_evento")))
               .select((F.col("ingerido_en").cast("double") - F.col("ts_evento").cast("double")).alias("lat")))
     if exact:
-        stats = recent.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"),
-                           F.max("lat").alias("_max"))
-        qs = exact_quantiles(recent, "lat", {"_p50": 0.50, "_p95": 0.95, "_p99": 0.99})
-        both = stats.crossJoin(qs)
+        both = summary(recent, "lat", {"_p50": 0.50, "_p95": 0.95, "_p99": 0.99}).withColumnsRenamed(
+            {"valores": "filas", "minimo": "_min", "maximo": "_max"})
     else:
         def pct(p):
             return F.percentile_approx(F.col("lat"), F.lit(p), F.lit(accuracy))
@@ -190,8 +188,8 @@ def commit_latency(silver: DataFrame, commits: DataFrame, lookback: str | None =
            .filter(F.col("_commit").isNotNull())
            .select((F.col("_commit").cast("double") - F.col("ts_evento").cast("double")).alias("lat")))
     if exact:
-        stats = lat.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"), F.max("lat").alias("_max"))
-        both = stats.crossJoin(exact_quantiles(lat, "lat", {"_p50": 0.50, "_p95": 0.95, "_p99": 0.99}))
+        both = summary(lat, "lat", {"_p50": 0.50, "_p95": 0.95, "_p99": 0.99}).withColumnsRenamed(
+            {"valores": "filas", "minimo": "_min", "maximo": "_max"})
     else:
         both = lat.agg(F.count(F.lit(1)).alias("filas"), F.min("lat").alias("_min"), F.max("lat").alias("_max"),
                        *[F.percentile_approx("lat", F.lit(p), F.lit(10000)).alias(n)

@@ -66,14 +66,14 @@ def test_disorder_duplicates_and_missing_time(spark, scratch):
     assert top["(sin server_name)"] == 1
 
 
-def test_schema_walk_goes_deeper_than_unrolled_depth(spark, scratch):
+def test_schema_walk_goes_as_deep_as_the_events(spark, scratch):
     path = scratch + "/deep.jsonl"
     deep = {"x": 1}
-    for i in range(11):
+    for i in range(40):
         deep = {"n%d" % i: deep}
     _write(path, [_ev(1, 1.0, deep=deep)])
-    paths = {r.ruta for r in P.field_paths(read_capture(spark, path), depth=3).collect()}
-    assert "deep.n10.n9.n8.n7.n6.n5.n4.n3.n2.n1.n0.x" in paths
+    paths = {r.ruta for r in P.field_paths(read_capture(spark, path)).collect()}
+    assert "deep." + ".".join("n%d" % i for i in range(39, -1, -1)) + ".x" in paths
 
 
 def test_cli_profile(spark, scratch, capsys):
@@ -115,3 +115,28 @@ def test_broken_lines_microseconds_and_repeated_keys(spark, scratch):
     assert (lat.con_tiempo, lat.sin_tiempo) == (2, 0) and abs(lat.minimo - 0.749999) < 1e-9
     rows = {r.ruta: r for r in profile.schema_profile(cap).collect()}
     assert rows["a"].presencia_pct == 50.0 and rows["a"].ilegibles == 1
+
+
+def test_paths_of_a_shape(spark):
+    """Quoted names, nested arrays and empty objects in the schema text."""
+    from pyspark.sql import functions as F
+    from changeflow.operators.profile import shape_paths
+    event = ('{"": 1, "$schema": "x", "b c": {"d`e": 1.5, "f, g": [1, {"z: >": [[{"`": 2}]]}], "h>": null}, "m": {}, "n": [], '
+             '"o": true, "p": 1e30, "1x": {"a.b": {"<": 1}}, "z": 12345678901234567890}')
+    text = spark.createDataFrame([(event,)], "e string").select(F.schema_of_variant(F.try_parse_json("e")).alias("s")).first().s
+    expected = {"": "BIGINT", "$schema": "STRING", "b c": "OBJECT", "b c.d`e": "DECIMAL(2,1)", "b c.f, g": "ARRAY",
+                "b c.h>": "VOID", "m": "OBJECT", "n": "ARRAY", "o": "BOOLEAN", "p": "DOUBLE", "1x": "OBJECT",
+                "1x.a.b": "OBJECT", "1x.a.b.<": "BIGINT", "z": "DECIMAL(20,0)"}
+    found = shape_paths(text)
+    assert dict(found) == expected and len(found) == len(expected)
+    for other in ("ARRAY<OBJECT<a: BIGINT>>", "STRING", "VOID", "OBJECT<>"):
+        assert shape_paths(other) == []
+
+
+def test_schema_reports_read_the_capture_once(spark, scratch):
+    path = scratch + "/once.jsonl"
+    _write(path, [_ev(i, 1.0 + i) for i in range(5)])
+    shapes = P.shape_counts(read_capture(spark, path))
+    for df in (P.schema_profile(None, shapes), P.type_fields(None, shapes=shapes)):
+        assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() > 0
