@@ -61,6 +61,8 @@ def main(argv=None) -> int:
     from changeflow.streaming import chain
     from changeflow.streaming.run import run_available, run_group
 
+    from pyspark.sql import functions as F
+
     spark = get_session(app="changeflow-" + a.job)
     cfg = chain.ChainConfig(warehouse=a.warehouse, checkpoints=a.checkpoints, lateness=a.lateness,
                             available_now=a.available_now, exact_editors=a.exact,
@@ -98,10 +100,16 @@ def main(argv=None) -> int:
         from changeflow.streaming.commits import commit_history
         bronze = read_table(spark, cfg.table("bronze"), layer="bronze")
         contiguous = queue.offsets_consecutive(a.source)
-        v = integrity.verdict(bronze, contiguous=contiguous)
-        _print_all(v)
-        if contiguous:
-            _print_all(integrity.continuity(bronze))
+        if contiguous:  # one pass for verdict, continuity and missing ranges, per origin and partition
+            keys = ("origen", "particion")
+            bitmaps = integrity.offset_bitmaps(bronze, keys).persist()
+            v = integrity.verdict_from_bitmaps(bitmaps, keys)
+            _print_all(v)
+            _print_all(integrity.continuity_from_bitmaps(bitmaps, keys).orderBy(*keys))
+            _print_all(integrity.gap_ranges(bitmaps, keys).orderBy(*keys, "desde"))
+        else:
+            v = integrity.verdict(bronze, contiguous=False)
+            _print_all(v)
         _print_all(commit_history(spark, cfg.ckpt("bronze")))
         return 0 if v.first()["ok"] else 1
 
@@ -113,11 +121,8 @@ def main(argv=None) -> int:
         for name, df in [("throughput", profile.throughput(cap)),
                          ("rate", profile.rate_percentiles(cap)),
                          ("sizes", profile.size_profile(cap)),
-                         ("types", profile.top_values(cap, "type")),
-                         ("schemas", profile.top_values(cap, "$schema")),
-                         ("servers", profile.top_values(cap, "server_name", 12)),
-                         ("bots", profile.top_values(cap, "bot")),
-                         ("namespaces", profile.top_values(cap, "namespace")),
+                         ("values", profile.top_values_of(cap, profile.REPORTED).orderBy(
+                             "campo", F.col("eventos").desc(), "valor")),
                          ("duplicates", profile.duplicate_report(cap)),
                          ("disorder", profile.disorder(cap)),
                          ("latency", profile.arrival_latency(cap)),

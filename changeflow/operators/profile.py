@@ -15,7 +15,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,10 @@ def _field(path: str):
         else F.get_json_object(F.col("evento"), "$." + path)
 
 
+#: the fields of the report, with the number of values shown
+REPORTED = {"type": None, "$schema": None, "server_name": 12, "bot": None, "namespace": None}
+
+
 def top_values(cap: DataFrame, field: str, n: int | None = None) -> DataFrame:
     """I4: frequency of a top-level field's values with their share of all
     events, most common first (ties by value). A missing field gets its
@@ -126,6 +130,32 @@ def top_values(cap: DataFrame, field: str, n: int | None = None) -> DataFrame:
     return out.limit(n) if n else out
 
 
+def top_values_of(cap: DataFrame, fields: dict[str, int | None]) -> DataFrame:
+    """I4 for many top-level fields at once: campo, valor, eventos, pct, for
+    each field its n most common values (None: all), as ``top_values`` gives
+    them. Each event is parsed once, and all fields share one shuffle of
+    counts. (Text that is no valid JSON counts as missing
+    in every field.)"""
+    parsed = fence(_events(cap).select(F.from_json("evento", T.StructType(
+        [T.StructField(f, T.StringType()) for f in fields])).alias("e")))
+
+    def value(field):
+        v = F.col("e.`%s`" % field)
+        if field == "bot":
+            return F.when(F.lower(F.coalesce(v, F.lit("false"))) == "true", F.lit("bot")).otherwise(F.lit("humano"))
+        return F.coalesce(v, F.lit(MISSING.get(field, "(sin %s)" % field)))
+
+    pairs = F.array(*[F.struct(F.lit(f).alias("campo"), value(f).alias("valor")) for f in fields])
+    counts = (parsed.select(F.explode(pairs).alias("p")).groupBy("p.campo", "p.valor")
+              .agg(F.count(F.lit(1)).alias("eventos")))
+    total = _events(cap).agg(F.count(F.lit(1)).alias("_t"))  # parses nothing
+    order = Window.partitionBy("campo").orderBy(F.col("eventos").desc(), F.col("valor"))
+    most = F.coalesce(*[F.when(F.col("campo") == f, n) for f, n in fields.items() if n], F.lit(2**31 - 1))
+    return (counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most)
+            .crossJoin(F.broadcast(total))
+            .select("campo", "valor", "eventos", (F.lit(100.0) * F.col("eventos") / F.col("_t")).alias("pct")))
+
+
 def duplicate_report(cap: DataFrame) -> DataFrame:
     """Repeated keys and surplus deliveries (sum of counts - keys) for
     ``meta.id`` (non-empty) and for ``(wiki, id)`` with id present."""

@@ -118,11 +118,14 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
     latency states are stored; with the silver query's checkpoint the latency
     to commit is added."""
     from changeflow.schemas import LAYERS
-    from changeflow.sources.tables import layer_path, read_table, table_exists
+    from changeflow.sources.tables import footer_scan, layer_path, newest_day, read_table, table_exists
     present = {k: table_exists(spark, layer_path(warehouse, k)) for k in LAYERS}
     frames = {k: (read_table(spark, layer_path(warehouse, k)).drop("dia") if ok else None)
               for k, ok in present.items()}
-    out = {"volumes": layer_volumes(spark, frames)}
+    # counts come from the files' footers
+    out = {"volumes": layer_volumes(spark, {k: footer_scan(spark, layer_path(warehouse, k), k) if ok else None
+                                            for k, ok in present.items()})}
+    stored = present["gold_activity"]
     if present["gold_counts"] and not (present["gold_activity"] and present["gold_bots"]):
         from changeflow.operators.gold import activity_from_counts, bots_from_counts
         frames["gold_activity"] = activity_from_counts(frames["gold_counts"])
@@ -145,7 +148,8 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
             from changeflow.streaming.commits import commit_history, has_history
             if has_history(spark, silver_checkpoint):
                 out["commit_latency"] = commit_latency(silver, commit_history(spark, silver_checkpoint), exact=exact)
-    out["activity_latest"] = activity_latest(frames["gold_activity"])
+    latest = newest_day(spark, layer_path(warehouse, "gold_activity"), "gold_activity") if stored else frames["gold_activity"]
+    out["activity_latest"] = activity_latest(latest)
     out["bot_share"] = bot_share(frames["gold_bots"])
     out["bot_share_swing"] = bot_share_swing(frames["gold_bots"])
     if present["gold_concurrent"]:

@@ -614,3 +614,29 @@ ORACLE.update({
         WHERE meta_id NOT IN (SELECT meta_id FROM kept)
     """ % BUCKET_SQL, _streamed()),
 })
+
+ORACLE.update({
+    "serve_layer_volumes_footers": ORACLE["serve_layer_volumes"],
+    "serve_silver_days_footers": q("SELECT CAST(ts_evento AS DATE) AS dia, count(*) AS filas FROM silver GROUP BY 1"),
+    "serve_activity_latest_stored": ORACLE["serve_activity_latest"],
+    "profile_top_all": _cq("""
+        , pairs AS (
+          SELECT unnest([struct_pack(campo := 'type', valor := coalesce(json_extract_string(evento, '$.type'), '(sin tipo)')),
+                         struct_pack(campo := '$schema', valor := coalesce(json_extract_string(evento, '$."$schema"'), '(sin schema)')),
+                         struct_pack(campo := 'server_name', valor := coalesce(json_extract_string(evento, '$.server_name'), '(sin server_name)')),
+                         struct_pack(campo := 'bot', valor := CASE WHEN lower(coalesce(json_extract_string(evento, '$.bot'), 'false')) = 'true'
+                                                               THEN 'bot' ELSE 'humano' END),
+                         struct_pack(campo := 'namespace', valor := coalesce(json_extract_string(evento, '$.namespace'), '(sin namespace)'))]) AS p
+          FROM cap),
+        n AS (SELECT p.campo, p.valor, count(*) AS eventos FROM pairs GROUP BY ALL)
+        SELECT campo, valor, eventos, 100.0 * CAST(eventos AS DOUBLE) / CAST((SELECT count(*) FROM cap) AS DOUBLE) AS pct
+        FROM n QUALIFY row_number() OVER (PARTITION BY campo ORDER BY eventos DESC, valor)
+                       <= CASE campo WHEN 'server_name' THEN 12 ELSE 2147483647 END
+    """),
+    "late_survival_bucketed": ORACLE["late_survival"],
+    "late_first_delivery_bucketed": q("""
+        SELECT meta_id, make_timestamp(ev_ms * 1000) AS ts_evento, make_timestamp(min(cola_ms) * 1000) AS ts_cola,
+               min(cola_ms) / 1000.0 - ev_ms / 1000.0 AS retraso_s
+        FROM st GROUP BY meta_id, ev_ms
+    """, _streamed()),
+})

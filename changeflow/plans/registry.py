@@ -609,3 +609,57 @@ QUERIES.update({
     "late_survival_joined": _joined_survival,
     "late_lost_ids": lambda s, d: s.read.parquet(_joined_outcomes(s, d)).where("NOT llego").select("meta_id", "tramo"),
 })
+
+
+# --- counts from footers, one pass for all fields, bucketed tables -------------------
+
+from changeflow.sources.tables import footer_scan, newest_day, write_bucketed  # noqa: E402
+
+
+def _footer_volumes(spark, sf_dir):
+    cfg = _stream_chain(spark, sf_dir)
+    names = ("bronze", "silver", "gold_activity", "gold_bots", "gold_concurrent")
+    return serving.layer_volumes(spark, {n: footer_scan(spark, layer_path(cfg.warehouse, n), n) for n in names})
+
+
+def _footer_days(spark, sf_dir):
+    """Silver rows per day, from footers."""
+    cfg = _stream_chain(spark, sf_dir)
+    return footer_scan(spark, layer_path(cfg.warehouse, "silver"), "silver").groupBy("dia").agg(F.count(F.lit(1)).alias("filas"))
+
+
+def _latest_stored(spark, sf_dir):
+    cfg = _stream_chain(spark, sf_dir)
+    return serving.activity_latest(newest_day(spark, layer_path(cfg.warehouse, "gold_activity"), "gold_activity"))
+
+
+@_once
+def _bucketed_ids(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Ids of the late run's raw and silver rows as two tables bucketed alike."""
+    base, name = _run_folder(spark), uuid.uuid4().hex[:12]
+    raw = lateness.tagged(_late_layer(spark, sf_dir, "bronze")).select("meta_id", "ts_evento", "ts_cola", "retraso_s")
+    tables = ("raw_ids_" + name, "silver_ids_" + name)
+    n = spark.sparkContext.defaultParallelism
+    write_bucketed(raw, tables[0], base + "/raw", ["meta_id"], n)
+    write_bucketed(_late_layer(spark, sf_dir, "silver").select("meta_id", "ts_evento"), tables[1], base + "/silver", ["meta_id"], n)
+    return tables
+
+
+def _bucketed_survival(spark, sf_dir):
+    raw, there = (spark.table(t) for t in _bucketed_ids(spark, sf_dir))
+    return lateness.survival(raw, there)
+
+
+def _bucketed_first(spark, sf_dir):
+    """The first delivery of each raw id, from the bucketed table."""
+    return dedup.dedup_first(spark.table(_bucketed_ids(spark, sf_dir)[0]))
+
+
+QUERIES.update({
+    "serve_layer_volumes_footers": _footer_volumes,
+    "serve_silver_days_footers": _footer_days,
+    "serve_activity_latest_stored": _latest_stored,
+    "profile_top_all": lambda s, d: profile.top_values_of(capture(s, d), profile.REPORTED),
+    "late_survival_bucketed": _bucketed_survival,
+    "late_first_delivery_bucketed": _bucketed_first,
+})

@@ -127,3 +127,37 @@ def compact_day(spark: SparkSession, src: str, dst: str, layer: str, day: str,
      .partitionBy(PARTITION_COL)
      .parquet(dst))
     return n_files
+
+
+V1_LIST = "spark.sql.sources.useV1SourceList"
+
+
+def footer_scan(spark: SparkSession, path: str, layer: str) -> DataFrame:
+    """Batch scan of a stored layer by the v2 Parquet source, which answers
+    counts and bounds of numbers from the files' footers, also per day: no
+    column is read. (Bounds of timestamps are not kept there; a day's rows
+    are found by its partition.)"""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    before = spark.conf.get(V1_LIST)
+    spark.conf.set(V1_LIST, ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        return spark.read.schema(table_schema(layer)).parquet(path)
+    finally:
+        spark.conf.set(V1_LIST, before)
+
+
+def newest_day(spark: SparkSession, path: str, layer: str) -> DataFrame:
+    """The rows of a layer's newest day: the day is the maximum of the
+    partition column, and only its folder is read."""
+    rows = read_table(spark, path, layer=layer)
+    day = rows.agg(F.max(PARTITION_COL).alias("dia"))
+    return rows.join(F.broadcast(day), PARTITION_COL, "left_semi")
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Store a frame as a table bucketed and sorted by ``keys``: grouping and
+    joining by them needs no exchange. Two tables that are to be joined need
+    the same number of buckets."""
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+     .option("compression", "zstd").mode("overwrite").format("parquet").saveAsTable(table))
+    return df.sparkSession.table(table)
