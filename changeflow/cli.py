@@ -7,6 +7,7 @@
     verify   --warehouse W [--source kinesis]      exit code 0 = no loss, no duplicates
     late     --warehouse W [--tag "evento sintetico"]
     profile  --capture PATH [--warehouse W]            source profile of capture files
+    compact  --warehouse W --layer L --to DIR          closed days into files of the target size
 
 Common: --seconds N (0 = run until stopped), --trigger "10 seconds",
 --available-now (drain what is there and stop), --checkpoints DIR.
@@ -20,9 +21,11 @@ import sys
 
 def _args(argv):
     p = argparse.ArgumentParser(prog="changeflow")
-    p.add_argument("job", choices=["bronze", "silver", "gold", "report", "verify", "late", "profile"])
+    p.add_argument("job", choices=["bronze", "silver", "gold", "report", "verify", "late", "profile", "compact"])
     p.add_argument("--warehouse", default="")
     p.add_argument("--capture")
+    p.add_argument("--layer", default="bronze")
+    p.add_argument("--to")
     p.add_argument("--checkpoints")
     p.add_argument("--source")
     p.add_argument("--brokers")
@@ -57,9 +60,9 @@ def main(argv=None) -> int:
     from changeflow.operators import integrity, lateness, serving
     from changeflow.session import get_session
     from changeflow.sources import queue
-    from changeflow.sources.tables import ensure_tables, read_table
+    from changeflow.sources.tables import compact_closed_days, ensure_tables, read_table
     from changeflow.streaming import chain
-    from changeflow.streaming.run import run_available, run_group
+    from changeflow.streaming.run import run_available, run_group, say_progress
 
     from pyspark.sql import functions as F
 
@@ -86,7 +89,7 @@ def main(argv=None) -> int:
         if a.available_now:
             run_available(qs)
         else:
-            run_group(spark, qs, a.seconds)
+            run_group(spark, qs, a.seconds, tell=say_progress)
         return 0
 
     if a.job == "report":
@@ -113,6 +116,11 @@ def main(argv=None) -> int:
         _print_all(commit_history(spark, cfg.ckpt("bronze")))
         return 0 if v.first()["ok"] else 1
 
+    if a.job == "compact":
+        for day, n in compact_closed_days(spark, cfg.table(a.layer), a.to, a.layer):
+            print("%s: %d files" % (day, n))
+        return 0
+
     if a.job == "profile":
         from changeflow.operators import profile
         from changeflow.sources.capture import read_capture

@@ -94,3 +94,11 @@ def tally(df: DataFrame) -> DataFrame:
     kind = (F.when(F.col("copia") > 0, F.lit("duplicado"))
             .when(F.col("tardio"), F.lit("tardio")).otherwise(F.lit("normal")))
     return df.groupBy(kind.alias("clase")).agg(F.count(F.lit(1)).alias("filas"))
+
+
+def mix_shares(df: DataFrame) -> DataFrame:
+    """Events per type, site, namespace and bot flag, and the pages and users
+    they name: what the mix of a batch looks like."""
+    return (df.groupBy("tipo", "wiki", "servidor", "espacio", "es_bot")
+            .agg(F.count(F.lit(1)).alias("eventos"), F.count_distinct("titulo").alias("paginas"),
+                 F.count_distinct("usuario").alias("usuarios")))

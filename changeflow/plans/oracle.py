@@ -640,3 +640,32 @@ ORACLE.update({
         FROM st GROUP BY meta_id, ev_ms
     """, _streamed()),
 })
+
+
+def _mix() -> str:
+    """The draws of the synthetic mix over the ids of ``events``."""
+    from changeflow.operators import inject
+    seed = scenario.LATE["seed"]
+
+    def u(stream):
+        return seeded_unit_sql("event_id", seed, stream)
+
+    def pick(values, stream):
+        return "[%s][least(CAST(floor(%s * %d) AS INTEGER), %d) + 1]" % (", ".join(values), u(stream), len(values), len(values) - 1)
+
+    cum, kinds = 0.0, []
+    for name, share in inject.TYPE_SHARES:
+        cum += share
+        kinds.append("WHEN %s <= %r THEN '%s'" % (u(10), cum, name))
+    return """
+WITH m AS (
+  SELECT CASE %s ELSE 'edit' END AS tipo, %s AS wiki, %s AS servidor, %s AS espacio, %s < %r AS es_bot,
+         CAST(floor(%s * %d) AS INTEGER) AS t, CAST(floor(%s * %d) AS INTEGER) AS u FROM events)
+SELECT tipo, wiki, servidor, CAST(espacio AS INTEGER) AS espacio, es_bot, count(*) AS eventos, count(DISTINCT t) AS paginas,
+       count(DISTINCT u) AS usuarios
+FROM m GROUP BY ALL""" % (" ".join(kinds), pick(["'%s'" % w for _, w in inject.SITES], 11),
+                          pick(["'%s'" % s for s, _ in inject.SITES], 11), pick([str(n) for n in inject.NAMESPACES], 14),
+                          u(15), inject.BOT_SHARE, u(12), inject.N_TITLES, u(13), inject.N_USERS)
+
+
+ORACLE["inject_mix"] = _mix()

@@ -146,6 +146,8 @@ def injected_raw(spark, sf_dir):
 QUERIES.update({
     "late_injected_duplicates": lambda s, d: lateness.injected_duplicates(lateness.tagged(injected_raw(s, d))),
     "inject_tally": lambda s, d: inject.tally(injected_batch(s, d)),
+    "inject_mix": lambda s, d: inject.mix_shares(inject.synth_events(
+        replay.change_events(replay.read_events(s, d)), scenario.LATE["seed"])),
 })
 
 
@@ -219,16 +221,21 @@ from changeflow.sources.tables import layer_path, read_table  # noqa: E402
 from changeflow.streaming.chain import ChainConfig, run_chain_available  # noqa: E402
 
 
+from changeflow.sources import files  # noqa: E402
+
+
 def _run_folder(spark: SparkSession) -> str:
     return "%s/changeflow-runs/%s" % (ensure_checkpoint_dir(spark).rstrip("/"), uuid.uuid4().hex)
 
 
 def _once(run):
-    """One run per session and input: several registered queries read it."""
+    """One run per session and input: several registered queries read it. A
+    table that is written anew is another input."""
     done: dict[tuple, object] = {}
 
     def call(spark, sf_dir, *args):
-        key = (spark.sparkContext.applicationId, sf_dir, *args)
+        inputs = tuple(files.signature(spark, replay.table_path(sf_dir, t)) for t in ("events", "documents"))
+        key = (spark.sparkContext.applicationId, sf_dir, inputs, *args)
         if key not in done:
             done[key] = run(spark, sf_dir, *args)
         return done[key]

@@ -43,8 +43,8 @@ def capture_from_raw(raw: DataFrame) -> DataFrame:
     partitions beyond that (Kinesis sequence numbers) fall back to a hash of
     the message."""
     offset = F.expr("try_cast(desplazamiento AS BIGINT)").cast("decimal(38,0)")
-    part = F.coalesce(F.expr("try_cast(particion AS INT)"), F.lit(0)).cast("decimal(38,0)")
-    seq = F.coalesce((offset * F.lit(2**31).cast("decimal(10,0)")).cast("decimal(38,0)") + part,
+    part = F.when(F.col("particion").isNull(), F.lit(0)).otherwise(F.expr("try_cast(particion AS BIGINT)")).cast("decimal(38,0)")
+    seq = F.coalesce((offset * F.expr("9223372036854775808BD")).cast("decimal(38,0)") + part,
                      F.xxhash64(F.col("valor")).cast("decimal(38,0)"))
     return raw.select(
         (F.unix_micros(F.col("ts_cola")) / F.lit(1e6)).alias("recibido"),

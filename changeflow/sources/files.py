@@ -46,3 +46,11 @@ def deliver(spark: SparkSession, path: str, to: str, modified_ms: int) -> None:
     if not fs.rename(p, target):
         raise OSError("cannot move %s to %s" % (path, to))
     fs.setTimes(target, modified_ms, -1)
+
+
+def signature(spark: SparkSession, path: str) -> tuple:
+    """What tells a rewritten file or folder of files from what it was."""
+    _, p, fs = _open(spark, path)
+    if not fs.exists(p):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))

@@ -129,6 +129,16 @@ def compact_day(spark: SparkSession, src: str, dst: str, layer: str, day: str,
     return n_files
 
 
+def compact_closed_days(spark: SparkSession, src: str, dst: str, layer: str,
+                        target_bytes: int = TARGET_FILE_BYTES) -> list[tuple[str, int]]:
+    """Compact every day of a layer but the newest one (a stream may still
+    write to it) that ``dst`` does not hold yet: (day, files). Run it daily;
+    readers of old days use ``dst``."""
+    prefix = PARTITION_COL + "="
+    days, done = ({n[len(prefix):] for n in files.names(spark, f) if n.startswith(prefix)} for f in (src, dst))
+    return [(day, compact_day(spark, src, dst, layer, day, target_bytes)) for day in sorted(days - {max(days, default="")} - done)]
+
+
 V1_LIST = "spark.sql.sources.useV1SourceList"
 
 

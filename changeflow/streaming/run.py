@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,19 +67,33 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, day_from: str |
     return query
 
 
+def say_progress(query: StreamingQuery, seen: dict) -> None:
+    """Print the rate and rows of a query's last micro-batch, once a batch."""
+    p = query.lastProgress
+    if p and seen.get(query.id) != p["batchId"] and p["numInputRows"]:
+        seen[query.id] = p["batchId"]
+        print("%s batch %d: %d rows, %.1f rows/s in, %.1f rows/s processed" % (
+            query.name or query.id, p["batchId"], p["numInputRows"], p["inputRowsPerSecond"] or 0.0,
+            p["processedRowsPerSecond"] or 0.0), flush=True)
+
+
 def run_group(spark: SparkSession, queries: list[StreamingQuery], seconds: float = 0,
-              poll_s: float = 0.5) -> None:
+              poll_s: float = 0.5, tell: Callable[[StreamingQuery, dict], None] | None = None) -> None:
     """The queries of one group live and die together. Watches only the
     queries given (the session may run other groups) until ``seconds`` have
     passed (0: no limit) or one of them ends, stops the others, and raises the
     error of one that failed: gold tables of which some went on and some did
-    not would disagree."""
+    not would disagree. ``tell`` is called with each query while the group runs
+    (``say_progress`` prints rates and rows)."""
+    seen: dict = {}
     deadline = time.monotonic() + seconds if seconds else None
     try:
         while all(q.isActive for q in queries):
             if deadline is not None and time.monotonic() >= deadline:
                 break
             time.sleep(poll_s)
+            for q in queries if tell else ():
+                tell(q, seen)
     except KeyboardInterrupt:
         pass
     finally:

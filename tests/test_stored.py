@@ -76,3 +76,31 @@ def test_all_fields_in_one_pass(spark):
     for field, n in profile.REPORTED.items():
         want |= {(r.campo, r.valor): (r.eventos, round(r.pct, 9)) for r in profile.top_values(cap, field, n).collect()}
     assert got == want
+
+
+def test_closed_days_are_compacted_once(spark, scratch):
+    from changeflow.sources.tables import compact_closed_days
+    path = _layer(spark, scratch)
+    spark.read.parquet(path).repartition(5).write.mode("append").partitionBy("dia").parquet(path)
+    made = compact_closed_days(spark, path, scratch + "/compact", "gold_activity")
+    assert [d for d, _ in made] == ["2026-01-01", "2026-01-02"] and all(n == 1 for _, n in made)
+    assert compact_closed_days(spark, path, scratch + "/compact", "gold_activity") == []
+    assert spark.read.parquet(scratch + "/compact").count() == 24
+    assert compact_closed_days(spark, scratch + "/none", scratch + "/x", "gold_activity") == []
+
+
+def test_progress_is_told_while_a_group_runs(spark, scratch, capsys):
+    from changeflow.streaming.run import append_stream, run_group, say_progress
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
+    query = append_stream(rate, scratch + "/rate", scratch + "/ck", trigger="1 second", name="told")
+    run_group(spark, [query], seconds=9, tell=say_progress)
+    assert "told batch" in capsys.readouterr().out
+
+
+def test_capture_order_of_large_partitions(spark):
+    from changeflow.sources.capture import capture_from_raw
+    rows = [("0", "5"), ("9000000000000000000", "4"), (None, "9000000000000000000"), ("x", "1")]
+    raw = spark.createDataFrame([(p, o, "{}", dt.datetime(2026, 1, 1)) for p, o in rows],
+                                "particion string, desplazamiento string, valor string, ts_cola timestamp")
+    seq = [int(r.seq) for r in capture_from_raw(raw).collect()]
+    assert seq[:3] == [5 * 2**63, 4 * 2**63 + 9 * 10**18, 9 * 10**18 * 2**63] and seq[1] < seq[0]
