@@ -7,7 +7,8 @@ buckets: in every array a window is opened around the query's own projection
 and widened from round to round by the factor ``RATIO`` (virtual rehashing).
 A vector that falls into the windows of ``LEAST`` or more arrays collides
 often enough to be verified by its exact cosine. A query's rounds end when
-``SHARE`` of the block (and at least k vectors) are verified.
+``share`` of the block (and at least k vectors) are verified; with a share of
+1 the windows open until every vector is, and the search is exact.
 
 Every vector is indexed. The queries, a stated set, meet the blocks in blocks
 of ``QUERIES`` (a cell of data block and query block is one bounded task);
@@ -52,6 +53,8 @@ class BlockIndex:
         ends = np.cumsum(np.bincount(group))
         # of equal vectors only the k + 1 smallest ids can be in a result
         self.ids = [np.unique(ids[by[a:b]])[:k + 1] for a, b in zip(np.append(0, ends[:-1]), ends)]
+        # vectors beyond one of each id: so many of the best may be of ids that count already
+        self.repeated = sum(map(len, self.ids)) - len(np.unique(np.concatenate(self.ids)))
         self.vecs = vecs[first]
         self.norms = _norm(self.vecs)
         self.planes = np.random.default_rng(SEED).normal(size=(vecs.shape[1], TABLES))
@@ -59,12 +62,12 @@ class BlockIndex:
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(values, self.order.T, 0).T.copy()
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, share: float = SHARE) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the ids and cosines of the k nearest found, without
         its own id."""
         n, norms = len(self.vecs), _norm(queries)
         centres = ((queries / norms[:, None]) @ self.planes).T.copy()
-        enough = min(n, max(k + 1, int(np.ceil(SHARE * n))))
+        enough = min(n, max(k + 1, int(np.ceil(share * n))))
         hits = np.zeros((len(queries), n), np.int16)
         middle = np.stack([np.searchsorted(s, c) for s, c in zip(self.sorted, centres)], axis=1)
         left, right = middle, middle.copy()
@@ -92,14 +95,15 @@ class BlockIndex:
 
     def _verified(self, found, query, norm, own, k) -> tuple[np.ndarray, np.ndarray]:
         cosine = _cosine(self.vecs[found], self.norms[found], query, norm)
-        if len(found) > k + 1:  # ties of the last place stay
-            last = np.partition(cosine, len(found) - k - 1)[len(found) - k - 1]
+        spare = k + 1 + self.repeated
+        if len(found) > spare:  # ties of the last place stay
+            last = np.partition(cosine, len(found) - spare)[len(found) - spare]
             found, cosine = found[cosine >= last], cosine[cosine >= last]
         ids = np.concatenate([self.ids[i] for i in found])
         score = np.repeat(cosine, [len(self.ids[i]) for i in found])
-        other = ids != own
-        ids, score = ids[other], score[other]
-        best = np.lexsort((ids, -score))[:k]
+        best = np.lexsort((-score, ids))  # an id with several vectors counts once, with its best
+        best = best[np.append(True, ids[best][1:] != ids[best][:-1])[:len(best)] & (ids[best] != own)]
+        best = best[np.argsort(-score[best], kind="stable")][:k]
         return ids[best], score[best]
 
 
@@ -114,7 +118,7 @@ def _cosine(vecs, norms, query, norm) -> np.ndarray:
     return ((vecs / norms[:, None]) * (query / norm)).sum(1)
 
 
-def _cell(k: int):
+def _cell(k: int, share: float):
     def run(table: pa.Table) -> pa.Table:
         role = table.column("role").to_numpy()
         ids = table.column("vec_id").to_numpy()
@@ -124,7 +128,7 @@ def _cell(k: int):
         if (role == 0).any():
             index = BlockIndex(ids[role == 0], vecs[role == 0], k)
             own = ids[role == 1]
-            for own, (near, score) in zip(own.tolist(), index.search(vecs[role == 1], own, k)):
+            for own, (near, score) in zip(own.tolist(), index.search(vecs[role == 1], own, k, share)):
                 out[0].append(np.full(len(near), own, np.int64))
                 out[1].append(near)
                 out[2].append(score)
@@ -136,9 +140,10 @@ def _cell(k: int):
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
-            vec_col: str = "embedding") -> DataFrame:
+            vec_col: str = "embedding", share: float = SHARE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of each
-    query by cosine (double precision), ties to the smaller id.
+    query by cosine (double precision), ties to the smaller id. ``share``: the
+    part of a block that a search verifies at least; 1 is exact.
 
     A query's own id is no candidate. Vectors that are null, zero or hold null
     or non-finite components, and rows with a null id, take no part, neither as
@@ -164,7 +169,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     rows = rows.select(deal("row", n_blocks).alias("a"), every(n_asked).alias("b"), "dim", F.lit(0).alias("role"), "vec_id", "v")
     asked = asked.select(every(n_blocks).alias("a"), deal("query", n_asked).alias("b"), "dim", F.lit(1).alias("role"), "vec_id", "v")
     found = (rows.unionByName(asked).groupBy("a", "b", "dim")
-             .applyInArrow(_cell(k), "query_id long, vec_id long, score double"))
+             .applyInArrow(_cell(k, share), "query_id long, vec_id long, score double"))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

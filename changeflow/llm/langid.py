@@ -4,10 +4,10 @@ Network: one-hot bytes -> filters of several widths -> ReLU -> max pooling
 over the window -> softmax. A filter bank of width w over one-hot bytes is w
 tables of 256 rows, so a convolution is w table look-ups and sums.
 
-Training reads a bounded sample: the ``SAMPLE_DOCS`` labelled documents with
-the smallest hash of their id (a top-k over ids, no texts), of each at most
-``SAMPLE_WINDOWS`` windows. It runs on the driver in a few seconds and always
-gives the same network for the same sample.
+Training reads a bounded sample of whole labelled texts: of each language the
+``SAMPLE_DOCS`` documents with the smallest hash of their id (a top-k over
+ids, no texts), so a rare language is learned as well. It runs on the driver
+in a few seconds and always gives the same network for the same sample.
 
 Prediction reads whole texts: each text is cut into windows of ``WINDOW``
 bytes without gaps, the windows of many texts are classified as one batch, and
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,10 @@ from .shared import LOWER_TABLE, has_letter, small_batches
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 12
-SAMPLE_DOCS = 6_000
-SAMPLE_WINDOWS = 3
-EPOCHS = 12
+SAMPLE_DOCS = 300
+#: languages whose sample bounds may be broadcast
+LANGUAGES = 10_000
+EPOCHS = 8
 BATCH_WINDOWS = 128
 UNKNOWN = "und"
 
@@ -131,46 +132,38 @@ def held_out(id_col) -> F.Column:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample_docs: int = SAMPLE_DOCS) -> ByteCNN | None:
     """A network from the labelled rows that are not held out, None if there
-    is none. At most ``sample_docs`` documents and SAMPLE_WINDOWS windows of
-    each reach the driver (about 2.5 MB)."""
+    is none. The whole texts of at most ``sample_docs`` documents of each
+    language reach the driver; texts without a letter are not learned from,
+    and of rows that repeat an id only that many count."""
     small_batches(docs.sparkSession)
-    rank = F.xxhash64(F.lit("langid"), docs[id_col])
-    labelled = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull() & docs[id_col].isNotNull()
-                          & ~held_out(docs[id_col]))
-    ranks = [r.r for r in labelled.select(rank.alias("r")).orderBy("r").limit(sample_docs).collect()]
-    if not ranks:
+    rows = docs.select(F.xxhash64(F.lit("langid"), docs[id_col]).alias("r"), docs[lang_col].cast("string").alias("lang"),
+                       docs[text_col].cast("string").alias("text"), docs[id_col].alias("id"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull()
+                      & ~held_out(F.col("id")))
+    order = Window.partitionBy("lang").orderBy("r")
+    last = (rows.select("lang", "r").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample_docs)
+            .groupBy("lang").agg(F.max("r").alias("last")))
+    bounds = {r["lang"]: r["last"] for r in last.toLocalIterator()}  # a row per language
+    if not bounds:
         return None
-    chosen = (labelled.where(rank <= ranks[-1])
-              .select(rank.alias("r"), docs[lang_col].cast("string").alias("lang"),
-                      docs[text_col].cast("string").alias("text"))
-              .mapInArrow(_cut, "r long, lang string, w binary")
-              # rows that repeat an id share its rank: the bound is on windows
-              .orderBy("r", "lang", "w").limit(sample_docs * SAMPLE_WINDOWS).toPandas())
-    if not len(chosen):
+    marks = docs.sparkSession.createDataFrame(list(bounds.items()), "lang string, last long")
+    chosen = rows.join(F.broadcast(marks) if len(bounds) <= LANGUAGES else marks, "lang")
+    chosen = (chosen.where(F.col("r") <= F.col("last")).select("lang", "r", "text")
+              .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("r", "text")))
+              .where(F.col("nth") <= sample_docs).select("r", "lang", "text"))
+    x, y = [], []
+    for row in sorted(chosen.toLocalIterator(), key=lambda t: (t["lang"], t["r"], t["text"])):
+        if has_letter(row["text"]):
+            x.append(windows_of(row["text"].encode()))
+            y += [row["lang"]] * len(x[-1])
+    if not x:
         return None
-    languages = sorted(chosen["lang"].unique())
+    languages = sorted(set(y))
     model = ByteCNN(languages)
-    x = np.frombuffer(b"".join(map(bytes, chosen["w"])), np.uint8).reshape(-1, WINDOW)
-    model.train(x, np.array([languages.index(v) for v in chosen["lang"]]))
+    model.train(np.concatenate(x), np.searchsorted(languages, y))
     return model
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to SAMPLE_WINDOWS windows, evenly spread over each text."""
-    for b in batches:
-        rows = []
-        for rank, lang, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-            if not has_letter(text):
-                continue
-            x = windows_of(text.encode())
-            for i in sorted({len(x) * k // SAMPLE_WINDOWS for k in range(SAMPLE_WINDOWS)}):
-                rows.append((rank, lang, x[i].tobytes()))
-        if rows:
-            r, lang, w = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(r), pa.array(lang), pa.array(w, pa.binary())],
-                                             names=["r", "lang", "w"])
-
-
 def predict(docs: DataFrame, model: ByteCNN | None, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred`` and ``lang_score`` (0 to 1).
 

@@ -15,16 +15,18 @@ from changeflow.llm.queries import PIECE_MODEL
 from changeflow.llm.shared import drop_stored, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: documents whose language is less certain are rejected; with four languages
-#: a guess scores 0.25
-LEAST_SCORE = 0.3
+#: documents whose language is not this many times as certain as a guess among
+#: the learned languages are rejected
+LEAST_LIFT = 1.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; null texts and texts
     without a letter go, and those of which it is not certain at all."""
-    found = langid.predict(docs.select(*COLUMNS), langid.train(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)).select(*COLUMNS)
+    model = langid.train(docs)
+    least = min(1.0, LEAST_LIFT / len(model.languages)) if model else 1.0
+    found = langid.predict(docs.select(*COLUMNS), model)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= least)).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,3 +170,35 @@ def test_only_letters_make_a_language(spark):
     model = langid.ByteCNN(["en", "fr"])
     got = [r.lang_pred for r in langid.predict(documents(spark, texts), model).orderBy("doc_id").collect()]
     assert [p == "und" for p in got] == [True, True, True, False, False, False, True, True, True]
+
+
+def test_a_share_of_one_is_exact_and_repeated_ids_count_once(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)]
+    rows += [(i % 40, (np.array(rows[0][1]) + rng.normal(size=8) * 0.05).tolist()) for i in range(1, 200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows]
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 50 = 0"), k=6, share=1.0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (0, 50, 100):
+        best = {}
+        for a in (v for i, v in unit if i == q):
+            for i, v in unit:
+                if i != q:
+                    best[i] = max(best.get(i, -2.0), float(a @ v))
+        want = sorted(best.items(), key=lambda e: (-e[1], e[0]))[:6]
+        assert [i for _, i, _ in sorted(got[q])] == [i for i, _ in want]
+        assert [s for *_, s in sorted(got[q])] == pytest.approx([s for _, s in want])
+
+
+def test_a_rare_language_is_learned_from_whole_texts(spark):
+    common = [("the cat and the dog %d" % i, "en") for i in range(400)]
+    # what tells the rare language apart stands at the end of long texts
+    rare = [("the cat and the dog " * 60 + "zzqx qqzz xqzq " * 60, "qz")] * 3
+    texts, langs = zip(*common, *rare)
+    docs = documents(spark, texts, langs=langs).where(~langid.held_out(F.col("doc_id")))
+    model = langid.train(docs, sample_docs=50)
+    assert model.languages == ["en", "qz"]
+    p = model.probabilities(langid.windows_of(b"zzqx qqzz xqzq " * 20)).mean(0)
+    assert p[1] > 0.8
