@@ -488,7 +488,7 @@ def _parts_run(spark: SparkSession, sf_dir: str) -> ChainConfig:
     The first try dies between two writes and is started again."""
     chain = _stream_chain(spark, sf_dir)
     cfg = ChainConfig(warehouse=chain.warehouse, checkpoints=_run_folder(spark), available_now=True,
-                      edit_types=chain.edit_types, max_files_per_trigger=2)
+                      edit_types=chain.edit_types, max_files_per_trigger=100)
 
     def die(batch, table):
         if batch == 1 and table == "gold_activity":

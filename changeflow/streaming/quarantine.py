@@ -17,6 +17,7 @@ less ``lateness``. Only rows later than ``grace`` are still dropped by Spark
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from changeflow.operators import refine
-from changeflow.session import apply_required
+from changeflow.session import SCALE_CONF, apply_required
 from changeflow.sources.tables import stream_table
 from changeflow.streaming import history
 from changeflow.streaming.chain import ChainConfig, _state_partitions
@@ -96,11 +97,24 @@ def folder(cfg: ChainConfig) -> str:
     return "%s/silver_parts" % cfg.warehouse.rstrip("/")
 
 
+@contextmanager
+def _own_state_store(spark: SparkSession) -> Iterator[None]:
+    """A keyed state of one's own needs the RocksDB store, whatever the session
+    uses; a query keeps the setting it was started with."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, SCALE_CONF[key])
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_silver_with_quarantine(spark: SparkSession, cfg: ChainConfig, lateness_s: int = 30) -> StreamingQuery:
     """Bronze -> silver and quarantine, both written once per micro-batch."""
     apply_required(spark)
     raw = stream_table(spark, cfg.table("bronze"), "bronze", cfg.fmt, max_files_per_trigger=cfg.max_files_per_trigger)
-    with _state_partitions(spark, cfg):
+    with _state_partitions(spark, cfg), _own_state_store(spark):
         return start_parts(with_verdict(refine.refine(raw, observe=history.REFINE), lateness_s), by_verdict, folder(cfg), cfg.ckpt("silver_parts"),
                            trigger=cfg.silver_trigger, available_now=cfg.available_now, name=cfg.names.get("silver_parts"))
 
