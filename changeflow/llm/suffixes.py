@@ -13,18 +13,21 @@ are put in suffix order that can repeat at all, in bounded groups:
    this anchor can reach (``2 length - K`` bytes), with all its places in the
    text, grouped by anchor. A stretch that the task has sent for a smaller
    document is covered whole and is not sent. A task
-   puts the suffixes of its groups' stretches in order; a suffix's
-   longest previous factor, cut at ``length``, is that long if, among the
-   suffixes it shares ``length`` bytes with, the previous or the next smaller
-   document in suffix order exists, i.e. if it is not from the smallest one.
-   Bytes are compared as bytes: nothing is removed on a hash alone.
+   puts the suffixes of its groups' stretches in order, with the common
+   prefixes of neighbours. The previous and the next suffix of a smaller
+   document give each suffix its longest previous factor (cut at ``length``,
+   as the suffixes are); where that is ``length`` the string is a later copy.
+   Bytes are compared as bytes; a hash only says which ones are compared.
    Equal stretches are put in order once. Anchors of more than ``HOT``
    stretches are not gathered: their strings are compared by a plain
    ``groupBy`` with map-side combine (strings as keys).
-3. The covered intervals go back to the documents.
+3. The covered intervals of a text are merged in the tasks that find them and
+   once more where they meet, and go back to its first document.
 
-Exact copies of whole texts are found by ``groupBy`` first; only the first of
-them is searched, the rest go whole.
+Exact copies of whole texts are found by ``groupBy`` first, on a hash of 128
+bits; only the first of them is searched, the rest go whole. Copies of a text
+that more than one row in ``PARTS`` has learn its first document from a
+broadcast of fewer than ``PARTS`` rows and are not gathered anywhere.
 """
 
 from __future__ import annotations
@@ -50,6 +53,8 @@ SLICE = 16_384
 #: slots of a task's memory of anchors, and salts of those it knows to repeat
 SLOTS = 1 << 20
 SALTS = 256
+#: a text of more than ``HOT_COPIES`` rows and one row in ``PARTS`` is hot
+HOT_COPIES, PARTS = 1_000, 1_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -179,6 +184,43 @@ def _same_as_before(keys: np.ndarray) -> np.ndarray:
     return np.concatenate([[False], (raw[1:] == raw[:-1]).all(1)])
 
 
+def common_prefixes(keys: np.ndarray) -> np.ndarray:
+    """How many first bytes each string shares with the one before it (0 for
+    the first string)."""
+    raw = keys.view(np.uint8).reshape(len(keys), -1)
+    differs = raw[1:] != raw[:-1]
+    n = np.where(differs.any(1), differs.argmax(1), raw.shape[1])
+    return np.concatenate([[0], n])
+
+
+def _to_smaller_before(doc: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """The common prefix of each suffix and the nearest one before it, in
+    suffix order, from a smaller document (0 if there is none). All suffixes
+    follow their links at once: the suffixes between one and the target of
+    its link are from no smaller documents, so whoever meets it there may
+    take its link as well."""
+    link, common = np.arange(len(doc)) - 1, lcp.copy()
+    going = np.flatnonzero(common)
+    going = going[doc[link[going]] >= doc[going]]
+    while len(going):
+        over = link[going]
+        common[going] = np.minimum(common[going], common[over])
+        link[going] = link[over]
+        going = going[common[going] > 0]
+        going = going[doc[link[going]] >= doc[going]]
+    return common
+
+
+def previous_factors(doc: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """The longest previous factor of each suffix: ``doc`` are the documents
+    of the suffixes in suffix order, ``lcp`` the common prefixes with the
+    suffix before. A factor is previous if it starts in a smaller document;
+    the longest one is shared with the previous or the next suffix of a
+    smaller document in that order."""
+    after = _to_smaller_before(doc[::-1], np.append(lcp[1:], 0)[::-1])[::-1]
+    return np.maximum(_to_smaller_before(doc, lcp), after)
+
+
 def earlier_copies(h, first, left, flat, offsets, length: int) -> np.ndarray:
     """For stretches (rows; anchors h, documents ``first``): a matrix that
     says, for each start from ``length - K`` bytes before the anchor to the
@@ -202,20 +244,31 @@ def earlier_copies(h, first, left, flat, offsets, length: int) -> np.ndarray:
     np.minimum.at(doc, which, first)
     starts = np.arange(reach + 1)
     valid = (starts >= begin[one][:, None]) & (starts + length <= (begin + size)[one][:, None])
-    smallest = np.repeat(doc[:, None], reach + 1, axis=1)
+    factor = np.zeros((len(one), reach + 1), np.int64)
     # suffix order among the anchors that have different stretches
     group = np.cumsum(np.concatenate([[True], h[one][1:] != h[one][:-1]])) - 1
     several = np.bincount(group)[group] > 1
     u, s = np.nonzero(valid & several[:, None])
     if len(u):
         suffix = np.lib.stride_tricks.sliding_window_view(grid[one], length, axis=1)[u, s]
-        keys = _rows_as_bytes([_as_bytes(group[u], ">u4"), _as_bytes(s, "u1"), suffix])
+        head = [_as_bytes(group[u], ">u4"), _as_bytes(s, ">u2")]  # equal strings have their anchor at one place
+        keys = _rows_as_bytes([*head, suffix])
         order = np.argsort(keys, kind="stable")
-        run = np.cumsum(~_same_as_before(keys[order])) - 1  # suffixes that share ``length`` bytes
-        least = np.full(run[-1] + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, run, doc[u[order]])
-        smallest[u[order], s[order]] = least[run]
-    return valid[which] & (smallest[which] < first[:, None])
+        lcp = np.maximum(common_prefixes(keys[order]) - sum(x.shape[1] for x in head), 0)
+        factor[u[order], s[order]] = previous_factors(doc[u[order]], lcp)
+    return valid[which] & ((doc[which] < first)[:, None] | (factor[which] >= length))
+
+
+def merged_by_owner(t1, first, b, e) -> tuple[np.ndarray, ...]:
+    """Maximal intervals of overlapping or touching ones of each (t1, first)."""
+    order = np.lexsort((b, first, t1))
+    t1, first, b, e = (x[order] for x in (t1, first, b, e))
+    other = np.append(True, (t1[1:] != t1[:-1]) | (first[1:] != first[:-1]))[:len(b)]
+    owner = np.cumsum(other) << 32
+    reach = np.maximum.accumulate(owner + e) if len(b) else owner
+    new = np.flatnonzero(np.append(True, owner[1:] + b[1:] > reach[:-1])[:len(b)])
+    last = np.append(new[1:], len(b))[:len(new)] - 1
+    return t1[new], first[new], b[new].astype(np.int32), (reach[last] - owner[last]).astype(np.int32)
 
 
 def _one_array(column: pa.ChunkedArray) -> pa.Array:
@@ -240,9 +293,9 @@ def _covered(length: int):
         times = n_places[row]
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         at = pos[np.repeat((np.cumsum(n_places) - n_places)[row], times) + nth] - reach
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(t1[row], times)), pa.array((at + np.repeat(start, times)).astype(np.int32)),
-             pa.array((at + np.repeat(stop - 1 + length, times)).astype(np.int32))], names=["t1", "b", "e"])
+        spans = merged_by_owner(np.repeat(t1[row], times), np.repeat(first[row], times), at + np.repeat(start, times),
+                                at + np.repeat(stop - 1 + length, times))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in spans], names=["t1", "first", "b", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -272,26 +325,31 @@ def _covered_hot(rows: DataFrame, length: int) -> DataFrame:
     each = each.select("h", "t1", "first", "pos", (F.col("s") - F.col("left")).alias("from"),
                        F.expr(f"substring(bytes, s + 1, {length})").alias("x"))
     least = each.groupBy("h", "x").agg(F.min("first").alias("least"))
-    found = each.join(least, ["h", "x"]).where("least < first").select("t1", "from", F.explode("pos").alias("p"))
-    return found.select("t1", (F.col("p") + F.col("from")).alias("b"), (F.col("p") + F.col("from") + length).alias("e"))
+    found = each.join(least, ["h", "x"]).where("least < first").select(
+        "t1", "first", "from", F.explode("pos").alias("p"))
+    return found.select("t1", "first", (F.col("p") + F.col("from")).alias("b"), (F.col("p") + F.col("from") + length).alias("e"))
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
             hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): ``texts`` has t1, t2 and ``first``, the smallest id, of
-    each different text; ``spans`` has t1 and the intervals (b, e) of its
-    first document that earlier documents hold, as an array."""
+    """(texts, spans): ``texts`` has t1, t2, n (rows) and ``first``, the
+    smallest id, of each different text; ``spans`` has t1, first and the
+    intervals (b, e) of that document that earlier documents hold, as an
+    array. t1 and the first document name a text; a text whose t1 another one
+    shares gets that one's anchors besides its own, which are not in it."""
     spark = docs.sparkSession
     small_batches(spark)
     src = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long"), *text_key("text"), "text")
-    texts = stored(src.groupBy("t1", "t2").agg(F.min("doc_id").alias("first")), "texts")
+    texts = stored(src.groupBy("t1", "t2").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("n")), "texts")
     rows = src.select("t1", "text").mapInArrow(_anchor_rows(length), "h long, t1 long, salt short")
     w = Window.partitionBy("h", "salt")
     rows = rows.select("h", "t1", "salt", F.min("t1").over(w).alias("low"), F.max("t1").over(w).alias("high")).where(
         "salt > 0 or low <> high")
     wanted = stored(rows.groupBy("t1").agg(F.collect_set("h").alias("hs")), "anchors")
-    owners = texts.join(wanted, "t1")
-    cut = (src.join(owners, ["t1", "t2"]).where("doc_id = first").select("t1", "first", "text", "hs")
+    # the id in the key deals the copies of a text to all tasks
+    owners = texts.join(wanted, "t1").select("t1", "t2", F.col("first").alias("doc_id"), "hs")
+    cut = (src.join(owners, ["t1", "t2", "doc_id"]).select("t1", F.col("doc_id").alias("first"), "text", "hs")
            .mapInArrow(_stretches(length),
                        "h long, t1 long, first long, pos array<int>, left int, size int, bytes binary"))
     return texts, _intervals(cut, length, hot)
@@ -299,31 +357,26 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
 def _intervals(cut: DataFrame, length: int, hot: int) -> DataFrame:
     cut = stored(cut, "stretches")  # read for covered stretches, usual and hot anchors
-    whole = cut.where("bytes is null").select("t1", "left", "size", F.explode("pos").alias("p")).select(
-        "t1", (F.col("p") - F.col("left")).alias("b"), (F.col("p") - F.col("left") + F.col("size")).alias("e"))
+    whole = cut.where("bytes is null").select("t1", "first", "left", "size", F.explode("pos").alias("p")).select(
+        "t1", "first", (F.col("p") - F.col("left")).alias("b"), (F.col("p") - F.col("left") + F.col("size")).alias("e"))
     sent = cut.where("bytes is not null")
     # stored, so the planner knows its size: broadcast if it is small, else shuffled
     hots = stored(sent.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("h"), "hot")
     cold = (sent.join(hots, "h", "left_anti").select("h", "t1", "first", "left", "pos", "bytes")
-            .repartition("h").sortWithinPartitions("h").mapInArrow(_covered(length), "t1 long, b int, e int"))
+            .repartition("h").sortWithinPartitions("h").mapInArrow(_covered(length), "t1 long, first long, b int, e int"))
     found = whole.unionByName(cold).unionByName(_covered_hot(sent.join(hots, "h", "left_semi"), length))
-    spans = stored(found.groupBy("t1").agg(F.collect_list(F.struct("b", "e")).alias("spans")), "spans")
+    # one exchange by text, for the merging windows and for both groupings
+    w = Window.partitionBy("t1", "first").orderBy("b", "e")
+    reach = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    runs = found.withColumn("new", F.when(reach >= F.col("b"), 0).otherwise(1)).select(
+        "t1", "first", "b", "e", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    runs = runs.groupBy("t1", "first", "run").agg(F.min("b").alias("b"), F.max("e").alias("e"))
+    spans = stored(runs.groupBy("t1", "first").agg(F.sort_array(F.collect_list(F.struct("b", "e"))).alias("spans")), "spans")
     drop_stored(cut)
     drop_stored(hots)
     return spans
 
 
-def merged(spans) -> list[tuple[int, int]]:
-    """Maximal intervals of overlapping or touching ones."""
-    out: list[tuple[int, int]] = []
-    for b, e in sorted(spans):
-        if out and b <= out[-1][1]:
-            out[-1] = (out[-1][0], max(e, out[-1][1]))
-        else:
-            out.append((b, e))
-    return out
-
-
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                      hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and ``kept`` (binary) for every row.
@@ -338,28 +391,36 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     long."""
     texts, spans = covered(docs, id_col, text_col, length, hot)
     src = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long"), *text_key("text"), "text")
-    owned = texts.join(spans, "t1", "left").select("t1", "t2", "first", "spans")
-    rows = src.join(owned, ["t1", "t2"]).select("doc_id", "text", "first", "spans")
+    owned = texts.join(spans, ["t1", "first"], "left").select("t1", "t2", "first", "spans")
+    rows_in_all = texts.agg(F.sum("n")).first()[0] or 0
+    hot = texts.where(F.col("n") > max(HOT_COPIES, rows_in_all // PARTS)).select("t1", "t2", F.col("first").alias("known"))
+    src = src.join(F.broadcast(hot), ["t1", "t2"], "left").withColumn("size", F.octet_length("text"))
+    # a later copy of a hot text needs nothing from ``owned``: any task will do, and one that goes leaves its text behind
+    later = F.col("known").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("known"))
+    goes = later & (F.col("doc_id") > F.col("known")) & (F.col("size") >= length)
+    src = src.select("doc_id", "t2", "known", "size", F.when(goes, None).otherwise(F.col("text")).alias("text"),
+                     F.when(later, F.xxhash64("doc_id", F.spark_partition_id())).otherwise(F.col("t1")).alias("t1"))
+    rows = src.join(owned, ["t1", "t2"], "left").select(
+        "doc_id", "text", F.coalesce("known", "first").alias("first"), "spans", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n_bytes, n_removed, n_spans, kept = [], [], [], []
-            for doc, text, first, own in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(),
-                                             b.column(2).to_pylist(), b.column(3).to_pylist()):
+            n_removed, n_spans, kept = [], [], []
+            for doc, text, first, own, size in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(),
+                                                   *(b.column(i).to_pylist() for i in (2, 3, 4))):
                 if doc is None or first is None:
                     gone = []
                 elif doc > first:
-                    gone = [(0, len(text))] if len(text) >= length else []
+                    gone = [(0, size)] if size >= length else []
                 else:
-                    gone = merged((x["b"], x["e"]) for x in own or [])
-                edges = [0, *(x for span in gone for x in span), len(text)]
-                rest = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2]))
-                n_bytes.append(len(text))
-                n_removed.append(len(text) - len(rest))
+                    gone = [(x["b"], x["e"]) for x in own or []]
+                edges = [0, *(x for span in gone for x in span), size]
+                rest = b"" if text is None else b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2]))
+                n_removed.append(size - len(rest))
                 n_spans.append(len(gone))
                 kept.append(rest)
-            longs = [pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *longs, pa.array(kept, pa.binary())],
+            longs = [pa.array(x, pa.int64()) for x in (n_removed, n_spans)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(4).cast(pa.int64()), *longs, pa.array(kept, pa.binary())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -238,6 +238,45 @@ def test_only_anchors_sent_for_two_texts_are_known():
     assert known([1, 2], [9, 7]) == [False, True]
 
 
+def test_previous_factors_against_brute_force():
+    rng = random.Random(6)
+    for _ in range(300):
+        n, width = rng.randint(1, 40), rng.randint(1, 6)
+        words = sorted(bytes(rng.choices(b"ab", k=width)) for _ in range(n))
+        docs = np.array([rng.randint(0, 6) for _ in range(n)])
+        lcp = suffixes.common_prefixes(np.array(words, "S%d" % width))
+
+        def shared(x, y):
+            return next((i for i in range(width) if x[i] != y[i]), width)
+
+        want = [max((shared(words[i], words[j]) for j in range(n) if docs[j] < docs[i]), default=0) for i in range(n)]
+        assert suffixes.previous_factors(docs, lcp).tolist() == want
+    long = np.concatenate([np.arange(3000), np.zeros(3000, np.int64)])  # links that are followed one by one
+    assert suffixes.previous_factors(long, np.append(0, np.full(5999, 50))).tolist() == [0] + [50] * 2999 + [0] * 3000
+
+
+def test_merged_by_owner():
+    rng = random.Random(7)
+    rows = [(rng.choice([-5, 3]), rng.randint(0, 2), b := rng.randint(0, 60), b + rng.randint(1, 6)) for _ in range(60)]
+    want = set()
+    for key in {r[:2] for r in rows}:
+        at = sorted({x for r in rows if r[:2] == key for x in range(2 * r[2], 2 * r[3] + 1)})
+        ends = [x for x in at if x - 1 not in at], [x for x in at if x + 1 not in at]
+        want |= {(*key, b // 2, e // 2) for b, e in zip(*ends)}
+    got = suffixes.merged_by_owner(*(np.array(c) for c in zip(*rows)))
+    assert set(zip(*(c.tolist() for c in got))) == want and len(got[0]) == len(want)
+    assert [len(c) for c in suffixes.merged_by_owner(*[np.zeros(0, np.int64)] * 4)] == [0] * 4
+
+
+def test_hot_copies_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_COPIES", 3)
+    monkeypatch.setattr(suffixes, "PARTS", 50)
+    rows = corpus(5)
+    rows += ([(300 + i, rows[0][1]) for i in range(40)] + [(400 + i, "short") for i in range(20)]
+             + [(500 + i, "") for i in range(9)] + [(None, rows[0][1])] * 6 + [(0, rows[0][1])] * 4)
+    assert substrings(spark, rows) == brute_removed(rows)
+
+
 def test_substring_edge_cases(spark):
     long = "".join(chr(97 + i % 26) + str(i) for i in range(60))
     rows = [(i, t) for i, t in enumerate(EDGE_TEXTS)] + [(50, long), (50, long), (51, long), (52, long[:49]), (53, long[:50]),
