@@ -94,7 +94,7 @@ def main(argv=None) -> int:
 
     if a.job == "report":
         for name, df in serving.report(spark, a.warehouse, exact=a.exact, since=a.since,
-                                       silver_checkpoint=cfg.ckpt("silver")).items():
+                                       silver_checkpoint=cfg.ckpt("silver"), table=cfg.table).items():
             print("== %s" % name)
             _print_all(df)
         return 0

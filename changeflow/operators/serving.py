@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,21 +112,24 @@ def concurrent_top(p3: DataFrame, n: int = 15) -> DataFrame:
 
 
 def report(spark: SparkSession, warehouse: str, exact: bool = False,
-           since: str | None = None, silver_checkpoint: str | None = None) -> dict[str, DataFrame]:
-    """F1-F6 over the stored layers of a warehouse. A missing layer is
+           since: str | None = None, silver_checkpoint: str | None = None,
+           table: Callable[[str], str] | None = None) -> dict[str, DataFrame]:
+    """F1-F6 over the stored layers of a warehouse, or over those that
+    ``table`` names (layer -> folder or catalog name). A missing layer is
     reported, not an error; without the P1 and P2 tables only the volumes
     are returned. ``since`` limits silver to recent day partitions for the
     latency query (partition pruning), which reads no silver at all where
     latency states are stored; with the silver query's checkpoint the latency
     to commit is added."""
     from changeflow.schemas import LAYERS
-    from changeflow.sources.tables import footer_scan, layer_path, newest_day, read_table, table_exists
-    present = {k: table_exists(spark, layer_path(warehouse, k)) for k in LAYERS}
-    frames = {k: (read_table(spark, layer_path(warehouse, k)).drop("dia") if ok else None)
-              for k, ok in present.items()}
-    # counts come from the files' footers
-    out = {"volumes": layer_volumes(spark, {k: footer_scan(spark, layer_path(warehouse, k), k) if ok else None
-                                            for k, ok in present.items()})}
+    from changeflow.sources.tables import is_folder, footer_scan, layer_path, newest_day, read_table, table_exists
+    names = {k: table(k) if table else layer_path(warehouse, k) for k in LAYERS}
+    present = {k: table_exists(spark, name) for k, name in names.items()}
+    frames = {k: (read_table(spark, names[k], layer=k).drop("dia") if ok else None) for k, ok in present.items()}
+    # counts of folders come from the files' footers
+    out = {"volumes": layer_volumes(spark, {
+        k: (footer_scan(spark, names[k], k) if is_folder(names[k]) else frames[k]) if ok else None
+        for k, ok in present.items()})}
     stored = present["gold_activity"]
     if present["gold_counts"] and not (present["gold_activity"] and present["gold_bots"]):
         from changeflow.operators.gold import activity_from_counts, bots_from_counts
@@ -138,7 +143,7 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
     if not (present["gold_activity"] and present["gold_bots"]):
         return out
     if present["silver"]:
-        silver = read_table(spark, layer_path(warehouse, "silver"), since=since).drop("dia")
+        silver = read_table(spark, names["silver"], layer="silver", since=since).drop("dia")
         if present["silver_latency"] and not exact:
             from changeflow.operators.panes import latency_from_panes
             out["latency"] = latency_from_panes(frames["silver_latency"])
@@ -148,7 +153,7 @@ def report(spark: SparkSession, warehouse: str, exact: bool = False,
             from changeflow.streaming.commits import commit_history, has_history
             if has_history(spark, silver_checkpoint):
                 out["commit_latency"] = commit_latency(silver, commit_history(spark, silver_checkpoint), exact=exact)
-    latest = newest_day(spark, layer_path(warehouse, "gold_activity"), "gold_activity") if stored else frames["gold_activity"]
+    latest = newest_day(spark, names["gold_activity"], "gold_activity").drop("dia") if stored else frames["gold_activity"]
     out["activity_latest"] = activity_latest(latest)
     out["bot_share"] = bot_share(frames["gold_bots"])
     out["bot_share_swing"] = bot_share_swing(frames["gold_bots"])

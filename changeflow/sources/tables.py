@@ -56,13 +56,20 @@ def ensure_tables(spark: SparkSession, warehouse: str, database: str = "changefl
     return ["%s.%s" % (database, layer) for layer in LAYERS]
 
 
+def is_folder(name_or_path: str) -> bool:
+    """Folders have a slash or a scheme, catalog names have neither."""
+    return "/" in name_or_path or ":" in name_or_path
+
+
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
                layer: str | None = None, since: str | None = None) -> DataFrame:
     """Batch scan of a layer, by catalog name or by path (no catalog).
     With ``layer`` the fixed schema is used (an empty table still scans).
     ``since`` (timestamp text) keeps rows from then on and adds the matching
-    day predicate, so whole day partitions are pruned at planning time."""
-    if "/" in name_or_path or ":" in name_or_path:
+    day predicate, so whole day partitions are pruned at planning time. A
+    table without the stored day (a hidden partition of its time column)
+    prunes by the time itself."""
+    if is_folder(name_or_path):
         reader = spark.read.format(fmt)
         if layer is None:
             layer = name_or_path.rstrip("/").rsplit("/", 1)[-1]
@@ -74,17 +81,18 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
         layer = layer or name_or_path.rsplit(".", 1)[-1]
     if since is not None and layer in LAYERS:
         time_col = LAYERS[layer][1]
-        df = df.filter((F.col(PARTITION_COL) >= F.to_date(F.lit(since)))
-                       & (F.col(time_col) >= F.to_timestamp(F.lit(since))))
+        if PARTITION_COL in df.columns:
+            df = df.filter(F.col(PARTITION_COL) >= F.to_date(F.lit(since)))
+        df = df.filter(F.col(time_col) >= F.to_timestamp(F.lit(since)))
     return df
 
 
 def table_exists(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> bool:
     """A table may be missing legitimately: its job has not run yet. A folder
     of a layer has a fixed schema, so there its existence is asked first."""
-    if fmt == "parquet" and ("/" in name_or_path or ":" in name_or_path) and not files.names(spark, name_or_path):
+    if fmt == "parquet" and is_folder(name_or_path) and not files.names(spark, name_or_path):
         return False
-    if "/" in name_or_path or ":" in name_or_path:
+    if is_folder(name_or_path):
         try:
             read_table(spark, name_or_path, fmt).schema  # noqa: B018
             return True
@@ -156,10 +164,15 @@ def footer_scan(spark: SparkSession, path: str, layer: str) -> DataFrame:
         spark.conf.set(V1_LIST, before)
 
 
-def newest_day(spark: SparkSession, path: str, layer: str) -> DataFrame:
+def newest_day(spark: SparkSession, name_or_path: str, layer: str) -> DataFrame:
     """The rows of a layer's newest day: the day is the maximum of the
-    partition column, and only its folder is read."""
-    rows = read_table(spark, path, layer=layer)
+    partition column, and only its folder is read. Without a stored day it is
+    the day of the newest time, and the bound on the time prunes."""
+    rows = read_table(spark, name_or_path, layer=layer)
+    if PARTITION_COL not in rows.columns:
+        newest = rows.agg(F.max(LAYERS[layer][1])).first()[0]
+        return rows if newest is None else rows.filter(
+            F.col(LAYERS[layer][1]) >= F.date_trunc("day", F.lit(newest)))
     day = rows.agg(F.max(PARTITION_COL).alias("dia"))
     return rows.join(F.broadcast(day), PARTITION_COL, "left_semi")
 

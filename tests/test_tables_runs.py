@@ -82,6 +82,36 @@ def test_report_on_folded_warehouse(spark, scratch):
     assert rep["activity_latest"].count() >= 1 and rep["bot_share"].count() == 12
 
 
+def test_report_by_catalog_names(spark, scratch):
+    """Named tables, with and without a stored day, give the folders' report."""
+    from changeflow.operators import serving
+    from changeflow.sources.tables import layer_path
+    from changeflow.streaming.chain import ChainConfig, run_chain_available
+    env = replay.replay_bronze(spark, "/root/testdata/sf0.001").drop("ingerido_en")
+    env.repartition(2).write.parquet(scratch + "/queue")
+    cfg = ChainConfig(warehouse=scratch + "/wh", checkpoints=scratch + "/ck", edit_types=replay.EVENTS_EDIT_TYPES)
+    run_chain_available(spark, read_envelope_files(spark, scratch + "/queue"), cfg)
+    spark.sql("CREATE DATABASE IF NOT EXISTS cf_named LOCATION '%s/named'" % scratch)
+    layers = ["bronze", "silver", "gold_activity", "gold_bots"]
+    for layer in layers:
+        df = read_table(spark, layer_path(cfg.warehouse, layer))
+        df = df.drop("dia") if layer in ("silver", "gold_activity") else df
+        df.write.option("path", "%s/named/%s" % (scratch, layer)).saveAsTable("cf_named." + layer)
+    try:
+        since = "2024-01-20 00:00:00"
+        want = serving.report(spark, cfg.warehouse, since=since)
+        got = serving.report(spark, "", since=since, table=lambda layer: "cf_named." + layer)
+        assert set(want) - set(got) == {"concurrent_top"}  # that table is not there
+        vol = {r.tabla: (r.filas, r.existe) for r in got["volumes"].collect()}
+        for r in want["volumes"].collect():
+            assert vol[r.tabla] == ((r.filas, True) if r.tabla in layers else (None, False))
+        for name in ("latency", "activity_latest", "bot_share", "bot_share_swing"):
+            assert got[name].collect() == want[name].collect() != []
+        assert table_exists(spark, "cf_named.silver") and not table_exists(spark, "cf_named.gold_panes")
+    finally:
+        spark.sql("DROP DATABASE cf_named CASCADE")
+
+
 def test_since_prunes_day_partitions(spark, scratch, capsys):
     env = replay.replay_bronze(spark, "/root/testdata/sf0.001")
     src = scratch + "/bronze_p"
