@@ -100,7 +100,7 @@ def main(argv=None) -> int:
         return 0
 
     if a.job == "verify":
-        from changeflow.streaming.commits import commit_history
+        from changeflow.streaming.commits import table_commits
         bronze = read_table(spark, cfg.table("bronze"), layer="bronze")
         contiguous = queue.offsets_consecutive(a.source)
         if contiguous:  # one pass for verdict, continuity and missing ranges, per origin and partition
@@ -113,7 +113,7 @@ def main(argv=None) -> int:
         else:
             v = integrity.verdict(bronze, contiguous=False)
             _print_all(v)
-        _print_all(commit_history(spark, cfg.ckpt("bronze")))
+        _print_all(table_commits(spark, cfg.table("bronze"), cfg.ckpt("bronze")))
         return 0 if v.first()["ok"] else 1
 
     if a.job == "compact":

@@ -28,6 +28,19 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def modified_ms(spark: SparkSession, path: str) -> int | None:
+    """When a file was written, None if it does not exist."""
+    _, p, fs = _open(spark, path)
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove single files."""
+    for path in paths:
+        _, p, fs = _open(spark, path)
+        fs.delete(p, False)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     _, p, fs = _open(spark, path)
     stream = fs.create(p, True)

@@ -9,6 +9,9 @@ name instead of a folder.
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,11 +125,12 @@ def compact_day(spark: SparkSession, src: str, dst: str, layer: str, day: str,
     The output goes to another folder (``dst``), overwriting only that day
     there (dynamic partition overwrite): a streaming sink's own folder is
     listed by its commit log and must not be rewritten in place. Returns
-    the number of files written."""
+    the number of files written. The day's record (see ``compactions``) comes
+    last, so a day without one was not finished."""
     part = "%s/%s=%s" % (src.rstrip("/"), PARTITION_COL, day)
-    size = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(part)
-            .agg(F.sum("length")).first()[0] or 0)
-    n_files = max(1, -(-int(size) // int(target_bytes)))
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(part)
+             .agg(F.count("length").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first())
+    n_files = max(1, -(-found["size"] // int(target_bytes)))
     rows = read_table(spark, src, layer=layer).filter(F.col(PARTITION_COL) == F.to_date(F.lit(day)))
     (rows.repartition(n_files)
      .write.mode("overwrite")
@@ -134,16 +138,35 @@ def compact_day(spark: SparkSession, src: str, dst: str, layer: str, day: str,
      .option("compression", "zstd")
      .partitionBy(PARTITION_COL)
      .parquet(dst))
+    written = footer_scan(spark, dst, layer).filter(F.col(PARTITION_COL) == F.to_date(F.lit(day)))
+    files.write_text(spark, "%s/%s/%s.json" % (dst.rstrip("/"), RECORDS, day), json.dumps({
+        "day": day, "committed_ms": int(time.time() * 1000), "rows": written.count(),
+        "files_before": found["n"], "files_after": n_files, "bytes_before": found["size"]}))
     return n_files
 
 
+#: folder of a compacted table's records; scans skip names with an underscore
+RECORDS = "_compactions"
+COMPACTION = "day string, committed_ms long, rows long, files_before long, files_after long, bytes_before long"
+
+
+def compactions(spark: SparkSession, path: str) -> DataFrame:
+    """A row per compacted day of a folder: when, rows, files and bytes.
+    Empty for a folder that no job compacts."""
+    folder = "%s/%s" % (path.rstrip("/"), RECORDS)
+    if not files.names(spark, folder):
+        return spark.createDataFrame([], COMPACTION)
+    return spark.read.schema(COMPACTION).json(folder)
+
+
 def compact_closed_days(spark: SparkSession, src: str, dst: str, layer: str,
                         target_bytes: int = TARGET_FILE_BYTES) -> list[tuple[str, int]]:
     """Compact every day of a layer but the newest one (a stream may still
     write to it) that ``dst`` does not hold yet: (day, files). Run it daily;
     readers of old days use ``dst``."""
     prefix = PARTITION_COL + "="
-    days, done = ({n[len(prefix):] for n in files.names(spark, f) if n.startswith(prefix)} for f in (src, dst))
+    days = {n[len(prefix):] for n in files.names(spark, src) if n.startswith(prefix) and n[len(prefix):len(prefix) + 1].isdigit()}
+    done = {n.removesuffix(".json") for n in files.names(spark, "%s/%s" % (dst.rstrip("/"), RECORDS))}
     return [(day, compact_day(spark, src, dst, layer, day, target_bytes)) for day in sorted(days - {max(days, default="")} - done)]
 
 

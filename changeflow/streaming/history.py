@@ -4,12 +4,17 @@ Spark keeps the last 100 progress reports on the driver and purges old commit
 files, so neither is a history. Here a listener writes one small JSON file per
 finished batch into ``<checkpoint>/history``. The file is named after the
 batch, so a batch that runs again after a restart replaces its own record.
+Every ``ROLL`` batches the small files become one, so a query that runs for
+years leaves a file per ``ROLL`` batches; of two records of a batch (a run that
+was stopped between writing and removing, a batch that ran again) the later
+one counts.
 """
 
 from __future__ import annotations
 
 import atexit
 import json
+import re
 import threading
 from collections import deque
 
@@ -22,7 +27,7 @@ from changeflow.sources import files
 
 RECORD = ("batch_id long, run_id string, started string, duration_ms long, input_rows long, input_rate double, "
           "process_rate double, late_drops long, duplicate_drops long, state_rows long, watermark string, "
-          "next_watermark_ms long, read_rows long, unreadable long, without_id long, without_time long")
+          "next_watermark_ms long, committed_ms long, read_rows long, unreadable long, without_id long, without_time long")
 #: the observation of the refine step, and its counts as columns of the record
 REFINE = "refine"
 _COUNTS = {"read_rows": "leidas", "unreadable": "ilegibles", "without_id": "sin_id", "without_time": "sin_hora"}
@@ -30,6 +35,9 @@ _COUNTS = {"read_rows": "leidas", "unreadable": "ilegibles", "without_id": "sin_
 #: reports kept for a query whose checkpoint is not known yet, of so many
 #: queries; ``append_stream`` names it right after the start
 EARLY_REPORTS, EARLY_QUERIES = 100, 50
+#: batches whose records share a file
+ROLL = 500
+_BATCH_FILE = re.compile(r"[0-9]{20}\.json")
 
 _lock = threading.RLock()
 _folders: dict[str, str] = {}
@@ -49,7 +57,8 @@ def _number(x, key, default=0):
 def _record(spark: SparkSession, checkpoint: str, p) -> dict:
     ops = p.get("stateOperators") or []
     ops = [o if isinstance(o, dict) else json.loads(o.json) for o in ops]
-    commit = files.read_text(spark, "%s/commits/%d" % (checkpoint, p.get("batchId")))
+    committed = "%s/commits/%d" % (checkpoint, p.get("batchId"))
+    commit = files.read_text(spark, committed)
     mark = json.loads(commit.split("\n")[1]).get("nextBatchWatermarkMs") if commit else None
     seen = (p.get("observedMetrics") or {}).get(REFINE) or {}
     seen = seen if isinstance(seen, dict) else seen.asDict()
@@ -62,7 +71,20 @@ def _record(spark: SparkSession, checkpoint: str, p) -> dict:
         "late_drops": sum(_number(o, "numRowsDroppedByWatermark") for o in ops),
         "duplicate_drops": sum(_number(o.get("customMetrics") or {}, "numDroppedDuplicateRows") for o in ops),
         "state_rows": sum(_number(o, "numRowsTotal") for o in ops),
-        "watermark": (p.get("eventTime") or {}).get("watermark"), "next_watermark_ms": mark}
+        "watermark": (p.get("eventTime") or {}).get("watermark"), "next_watermark_ms": mark,
+        "committed_ms": files.modified_ms(spark, committed)}
+
+
+def roll(spark: SparkSession, checkpoint: str, below: int) -> None:
+    """Put the records of the batches before ``below`` that have a file each
+    into one file per ``ROLL``, then remove theirs."""
+    single = [n for n in files.names(spark, folder(checkpoint)) if _BATCH_FILE.fullmatch(n) and int(n[:20]) < below]
+    for lo in range(0, len(single), ROLL):
+        some = single[lo:lo + ROLL]
+        part = ["%s/%s" % (folder(checkpoint), n) for n in some]
+        lines = [text.strip() for text in (files.read_text(spark, f) for f in part) if text]
+        files.write_text(spark, "%s/to-%s" % (folder(checkpoint), some[-1]), "\n".join(lines) + "\n")
+        files.remove(spark, part)
 
 
 def _take(spark: SparkSession, p) -> None:
@@ -81,6 +103,8 @@ def _take(spark: SparkSession, p) -> None:
         files.write_text(spark, "%s/%020d.json" % (folder(checkpoint), p.get("batchId")),
                          json.dumps(_record(spark, checkpoint, p)))
         _written[key] = (run, batch)
+        if batch and batch % ROLL == 0:
+            roll(spark, checkpoint, batch)
 
 
 class _Listener(StreamingQueryListener):
@@ -144,7 +168,9 @@ def read(spark: SparkSession, checkpoint: str) -> DataFrame | None:
     """All recorded batches, None if there is no record."""
     if not files.names(spark, folder(checkpoint)):
         return None
-    return spark.read.schema(RECORD).json(folder(checkpoint)).where(F.col("batch_id").isNotNull())
+    rows = spark.read.schema(RECORD).json(folder(checkpoint)).where(F.col("batch_id").isNotNull())
+    newest = F.max(F.struct("started", *(c for c in rows.columns if c != "started")))
+    return rows.groupBy("batch_id").agg(newest.alias("r")).select(*("r." + c for c in rows.columns))
 
 
 def of_query(query: StreamingQuery) -> str | None:

@@ -79,13 +79,21 @@ def test_all_fields_in_one_pass(spark):
 
 
 def test_closed_days_are_compacted_once(spark, scratch):
-    from changeflow.sources.tables import compact_closed_days
+    from changeflow.sources.tables import compact_closed_days, compactions
+    from changeflow.streaming.commits import table_commits
     path = _layer(spark, scratch)
     spark.read.parquet(path).repartition(5).write.mode("append").partitionBy("dia").parquet(path)
     made = compact_closed_days(spark, path, scratch + "/compact", "gold_activity")
     assert [d for d, _ in made] == ["2026-01-01", "2026-01-02"] and all(n == 1 for _, n in made)
     assert compact_closed_days(spark, path, scratch + "/compact", "gold_activity") == []
     assert spark.read.parquet(scratch + "/compact").count() == 24
+    done = {r.day: r for r in compactions(spark, scratch + "/compact").collect()}
+    assert sorted(done) == ["2026-01-01", "2026-01-02"] and sum(r.rows for r in done.values()) == 24
+    assert all(r.files_before > r.files_after == 1 and r.bytes_before > 0 for r in done.values())
+    commits = table_commits(spark, scratch + "/compact").collect()
+    assert [(c.commit, c.operation, c.rows) for c in commits] == [
+        ("day " + d, "replace", done[d].rows) for d in sorted(done, key=lambda d: done[d].committed_ms)]
+    assert table_commits(spark, path).count() == 0
     assert compact_closed_days(spark, scratch + "/none", scratch + "/x", "gold_activity") == []
 
 

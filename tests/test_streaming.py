@@ -1,6 +1,7 @@
 """Streaming = batch, restart without loss or duplicates, late-data cut."""
 
 import datetime as dt
+import json
 import os
 
 import pyarrow as pa
@@ -12,8 +13,9 @@ from changeflow.plans import registry
 from changeflow.sources import replay
 from changeflow.sources.queue import read_envelope_files
 from changeflow.sources.tables import layer_path, read_table
+from changeflow.streaming import history
 from changeflow.streaming.chain import ChainConfig, run_chain_available, start_bronze
-from changeflow.streaming.commits import commit_history
+from changeflow.streaming.commits import commit_history, table_commits
 from changeflow.streaming.run import append_stream, progress_frame, run_available
 
 SF = "/root/testdata/sf0.001"
@@ -221,7 +223,7 @@ def test_rerun_reads_what_is_new_and_a_foreign_checkpoint_is_refused(spark, scra
         start_bronze(spark, read_envelope_files(spark, scratch + "/queue"), other)
 
 
-def test_history_outlives_the_checkpoint_logs(spark, scratch):
+def test_history_outlives_the_checkpoint_logs(spark, scratch, monkeypatch):
     rows = [tuple(r) for r in replay.replay_bronze(spark, SF).drop("ingerido_en").limit(50).collect()]
     _write_batches([rows[i:i + 2] for i in range(0, 50, 2)], scratch + "/queue")
     cfg = ChainConfig(warehouse=scratch + "/wh", available_now=True)
@@ -235,6 +237,23 @@ def test_history_outlives_the_checkpoint_logs(spark, scratch):
     assert len([f for f in os.listdir(cfg.ckpt("bronze") + "/commits") if f.isdigit()]) < 25
     hist = commit_history(spark, cfg.ckpt("bronze")).collect()
     assert [(h.batch_id, h.rows) for h in hist] == [(i, 2) for i in range(25)]
+    assert all(a.committed_at < b.committed_at for a, b in zip(hist, hist[1:]))
+    # records of finished batches share files; a record that is there twice counts once
+    monkeypatch.setattr(history, "ROLL", 10)
+    folder = history.folder(cfg.ckpt("bronze"))
+    twice = folder + "/%020d.json" % 3
+    text = open(twice).read()
+    history.roll(spark, cfg.ckpt("bronze"), 20)
+    names = sorted(n for n in os.listdir(folder) if n.endswith(".json"))
+    assert [n for n in names if n.startswith("to-")] == ["to-%020d.json" % i for i in (9, 19)] and len(names) == 7
+    assert commit_history(spark, cfg.ckpt("bronze")).collect() == hist
+    again = json.loads(text)
+    again.update(started="2099-01-01T00:00:00.000Z", input_rows=7)
+    open(twice, "w").write(json.dumps(again))
+    assert [h.rows for h in commit_history(spark, cfg.ckpt("bronze")).collect()][2:5] == [2, 7, 2]
+    open(twice, "w").write(text)
+    commits = table_commits(spark, cfg.table("bronze"), cfg.ckpt("bronze")).collect()
+    assert [c.commit for c in commits] == ["batch %d" % i for i in range(25)] and commits[0].operation == "append"
     assert progress_frame(spark, q).count() == 25
     assert commit_history(spark, scratch + "/nothing").count() == 0
 
