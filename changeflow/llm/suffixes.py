@@ -33,6 +33,7 @@ broadcast of fewer than ``PARTS`` rows and are not gathered anywhere.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -132,8 +133,19 @@ def _stretches(length: int):
     smaller document is known to have the whole stretch."""
     names = ["h", "t1", "first", "pos", "left", "size", "bytes"]
 
+    def batch(hashes, owners, rows) -> pa.RecordBatch:
+        places, left, size, cut = zip(*rows)
+        t1, first, n = (np.array(x) for x in zip(*owners))
+        ends = np.cumsum([0, *map(len, places)])
+        flat = np.fromiter(chain.from_iterable(places), np.int32, ends[-1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.repeat(t1, n)), pa.array(np.repeat(first, n)),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(left, pa.int32()),
+             pa.array(size, pa.int32()), pa.array(cut, pa.binary())], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: dict[tuple[int, bytes], int] = {}
+        hashes, owners, rows = [], [], []  # of several texts, for one batch
         for b in batches:
             for t1, first, text, hs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
                                            b.column(2).cast(pa.binary()).to_pylist(), b.column(3)):
@@ -148,7 +160,6 @@ def _stretches(length: int):
                         cut = text[x - left:x + length]
                         if len(cut) >= length:
                             places.setdefault((left, cut), []).append(x)
-                    out = []
                     for stretch, xs in places.items():
                         least = sent.get(stretch)
                         covered = least is not None and least < first
@@ -157,14 +168,15 @@ def _stretches(length: int):
                                 sent.clear()
                             sent[stretch] = first
                         left, cut = stretch
-                        out.append((xs, left, len(cut), None if covered else cut))
-                    if out:
-                        xs, left, size, cut = zip(*out)
-                        h = every[[x[0] for x in xs]].view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(h), pa.array(np.full(len(out), t1)), pa.array(np.full(len(out), first)),
-                             pa.array(xs, pa.list_(pa.int32())), pa.array(left, pa.int32()),
-                             pa.array(size, pa.int32()), pa.array(cut, pa.binary())], names=names)
+                        rows.append((xs, left, len(cut), None if covered else cut))
+                    if places:
+                        hashes.append(every[[xs[0] for xs in places.values()]])
+                        owners.append((t1, first, len(places)))
+                    if len(rows) >= SLICE // 4:
+                        yield batch(hashes, owners, rows)
+                        hashes, owners, rows = [], [], []
+        if rows:
+            yield batch(hashes, owners, rows)
 
     return run
 
@@ -188,9 +200,9 @@ def common_prefixes(keys: np.ndarray) -> np.ndarray:
     """How many first bytes each string shares with the one before it (0 for
     the first string)."""
     raw = keys.view(np.uint8).reshape(len(keys), -1)
-    differs = raw[1:] != raw[:-1]
-    n = np.where(differs.any(1), differs.argmax(1), raw.shape[1])
-    return np.concatenate([[0], n])
+    differs = np.ones((len(raw) - 1, raw.shape[1] + 1), bool)  # the last column ends equal ones
+    np.not_equal(raw[1:], raw[:-1], out=differs[:, :-1])
+    return np.concatenate([[0], differs.argmax(1)])
 
 
 def _to_smaller_before(doc: np.ndarray, lcp: np.ndarray) -> np.ndarray:
