@@ -364,7 +364,9 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     cut = (src.join(owners, ["t1", "t2", "doc_id"]).select("t1", F.col("doc_id").alias("first"), "text", "hs")
            .mapInArrow(_stretches(length),
                        "h long, t1 long, first long, pos array<int>, left int, size int, bytes binary"))
-    return texts, _intervals(cut, length, hot)
+    spans = _intervals(cut, length, hot)
+    drop_stored(wanted)
+    return texts, spans
 
 
 def _intervals(cut: DataFrame, length: int, hot: int) -> DataFrame:
