@@ -5,8 +5,10 @@ them. Here a keyed state of our own decides, and every row goes on with its
 verdict: kept rows to silver, late and repeated ones to a quarantine table
 with the reason. Nothing vanishes: kept + late + repeated = input.
 
-Per id the state holds that it has been seen; an event-time timer removes it
-once the watermark is ``lateness`` past the event. Spark itself drops rows
+The state holds the ids that have been seen, in buckets by their hash, so that
+a micro-batch calls Python and the state store once per bucket. An id is gone
+once the watermark is ``lateness`` past its event; an event-time timer per
+bucket removes what no later row of the bucket has removed. Spark itself drops rows
 behind a query's watermark before a processor sees them, so the query runs
 with a watermark that is ``grace`` behind the newest event, and the verdict
 ``late`` is ours: at or behind the newest event of the earlier micro-batches
@@ -36,41 +38,63 @@ from changeflow.streaming.parts import Tables, read_parts, start_parts
 LATE, REPEATED = "tardia", "repetida"
 DAY_MS = 86_400_000
 GRACE_DAYS = 3650
+#: ids share a state by hash: a call to Python per bucket and micro-batch, not per id
+BUCKETS = 128
+IDENT, BUCKET = "identidad", "cubeta"
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 class FirstOfEach(StatefulProcessor):
-    """Marks each row of an id: first (null), late or repeated."""
+    """Marks each row of a bucket of ids: first of its id (null), late or repeated."""
 
-    def __init__(self, lateness_ms: int, grace_ms: int, time_col: str, order_col: str):
+    def __init__(self, lateness_ms: int, grace_ms: int, time_col: str, order_col: str, columns: list[str]):
         self.lateness_ms, self.ahead_ms = lateness_ms, grace_ms - lateness_ms
-        self.time_col, self.order_col = time_col, order_col
+        self.time_col, self.order_col, self.columns = time_col, order_col, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "expira bigint")
+        self.seen = handle.getValueState("seen", "ids array<string>, expira array<bigint>, reloj bigint")
+
+    def _load(self, mark: int) -> tuple[dict[str, int], int | None, int]:
+        """The bucket's ids with their expiry, less those that have expired; the
+        timer that is set; how many ids are stored."""
+        ids, expires, timer = self.seen.get() or ((), (), None)
+        return {i: e for i, e in zip(ids, expires) if e > mark}, timer, len(ids)
+
+    def _store(self, known: dict[str, int], timer: int | None, mark: int) -> None:
+        """One timer per bucket, at the last expiry known when it is set."""
+        if not known:
+            self.seen.clear()
+            return
+        if timer is None:
+            timer = max(max(known.values()), mark + 1)
+            self.handle.registerTimer(timer)
+        self.seen.update((list(known), list(known.values()), timer))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(rows)).sort_values(self.order_col, kind="stable")
         mark = timerValues.getCurrentWatermarkInMs()
         bound = mark + self.ahead_ms if mark > 0 else None
-        # Spark runs the timers of a batch behind its rows: an expired state counts as gone
-        known, verdict = self.seen.exists() and self.seen.get()[0] > mark, []
-        for at in rows[self.time_col]:
-            event = int(pd.Timestamp(at).value // 1_000_000)
+        # Spark runs the timers of a batch behind its rows: an expired id counts as gone
+        known, timer, stored = self._load(mark)
+        verdict, first = [], len(known)
+        events = rows[self.time_col].to_numpy("datetime64[ns]").astype("int64") // 1_000_000
+        for ident, event in zip(rows[IDENT], events.tolist()):
             if bound is not None and event <= bound:
                 verdict.append(LATE)
-            elif known:
+            elif ident in known:
                 verdict.append(REPEATED)
             else:
                 verdict.append(None)
-                known = True
-                expires = event + self.lateness_ms - self.ahead_ms
-                self.seen.update((expires,))
-                self.handle.registerTimer(max(expires, mark + 1))
-        yield rows.assign(motivo=verdict)
+                known[ident] = event + self.lateness_ms - self.ahead_ms
+        if len(known) != first or first != stored:
+            # a timer that is due runs behind these rows and sets the next one
+            self._store(known, timer, mark)
+        yield rows[self.columns].assign(motivo=verdict)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        mark = timerValues.getCurrentWatermarkInMs()
+        self._store(self._load(mark)[0], None, mark)
         return iter(())
 
     def close(self) -> None:
@@ -78,12 +102,16 @@ class FirstOfEach(StatefulProcessor):
 
 
 def with_verdict(df: DataFrame, lateness_s: int = 30, keys=("meta_id",), time_col: str = "ts_evento",
-                 order_col: str = "ts_cola", grace_days: int = GRACE_DAYS) -> DataFrame:
+                 order_col: str = "ts_cola", grace_days: int = GRACE_DAYS, buckets: int = BUCKETS) -> DataFrame:
     """All rows of a stream with ``motivo``: null for the first row of an id,
-    else why it is turned away."""
+    else why it is turned away. ``buckets`` is part of the state: a checkpoint
+    keeps the number it was started with."""
     schema = T.StructType([*df.schema.fields, T.StructField("motivo", T.StringType())])
-    processor = FirstOfEach(lateness_s * 1000, grace_days * DAY_MS, time_col, order_col)
-    return (df.withWatermark(time_col, "%d days" % grace_days).groupBy(*keys)
+    processor = FirstOfEach(lateness_s * 1000, grace_days * DAY_MS, time_col, order_col, df.columns)
+    ident = F.to_json(F.struct(*(F.col(k).alias(str(n)) for n, k in enumerate(keys))),
+                      {"timestampFormat": MICROS + "XXX", "timestampNTZFormat": MICROS})
+    return (df.withWatermark(time_col, "%d days" % grace_days)
+            .withColumns({IDENT: ident, BUCKET: F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")}).groupBy(BUCKET)
             .transformWithStateInPandas(processor, schema, "append", "eventTime"))
 
 

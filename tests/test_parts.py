@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -98,6 +99,55 @@ def test_quarantine_keeps_what_it_turns_away(spark, scratch):
                     ("repetida", "e", 10), ("tardia", "a", 8), ("tardia", "d", 5)]
 
 
+class _Bucket:
+    """A handle and a value state that count their calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+class _Mark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_quarantine_asks_its_state_once_per_bucket():
+    processor, bucket = quarantine.FirstOfEach(30_000, quarantine.DAY_MS, "at", "queued", ["id", "at", "queued"]), _Bucket()
+    processor.init(bucket)
+    at = pd.Timestamp(T0.replace(tzinfo=None))
+    rows = pd.DataFrame({"id": range(1000), "at": at, "queued": 1, quarantine.IDENT: [str(i) for i in range(1000)]})
+    found = pd.concat(processor.handleInputRows((0,), iter([rows, rows.head(10)]), _Mark(0)))
+    assert list(found.columns) == ["id", "at", "queued", "motivo"]
+    assert (found.motivo.isna().sum(), (found.motivo == quarantine.REPEATED).sum()) == (1000, 10)
+    # a thousand ids: the state read and written once, one timer
+    assert bucket.calls == 3 and len(bucket.value[0]) == 1000 and len(bucket.timers) == 1
+    # before the ids expire they are known, behind that the timer removes them
+    mark = bucket.timers[0]
+    again = pd.concat(processor.handleInputRows((0,), iter([rows.head(1).assign(at=at + pd.Timedelta(minutes=2))]), _Mark(mark - 1)))
+    assert list(again.motivo) == [quarantine.REPEATED] and bucket.calls == 4
+    assert list(processor.handleExpiredTimer((0,), _Mark(mark), None)) == [] and bucket.value is None
+
+
 def test_faults_are_counted_once_each(spark):
     good = '{"meta":{"id":"1","dt":"2024-01-01T00:00:00.000Z"}}'
     values = [good, None, "", "nope", "[]", '{"meta":{"id":"1"', "{}", '{"meta":{"dt":"2024-01-01T00:00:00.000Z"}}',
