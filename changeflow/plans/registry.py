@@ -402,7 +402,8 @@ def _late_run(spark: SparkSession, sf_dir: str) -> LateRun:
                 if name.startswith("part-"):
                     files.deliver(spark, "%s/lots/%s/%s" % (base, lot, name), "%s/queue/%05d.parquet" % (base, k),
                                   1704067200000 + k * 1000)
-        run_available([start_bronze(spark, read_envelope_files(spark, base + "/queue", 1), cfg)])
+        # a lot is one file of bronze too, however large: silver's micro-batches are the lots
+        run_available([start_bronze(spark, read_envelope_files(spark, base + "/queue", 1).coalesce(1), cfg)])
     silver = start_silver(spark, cfg)
     run_available([silver])
     return LateRun(cfg, progress_frame(spark, silver))

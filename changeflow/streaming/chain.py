@@ -69,9 +69,19 @@ def start_bronze(spark: SparkSession, envelope: DataFrame, cfg: ChainConfig) ->
                          name=cfg.names.get("bronze"), fmt=cfg.fmt)
 
 
-def silver_frame(spark: SparkSession, cfg: ChainConfig) -> DataFrame:
+def raw_stream(spark: SparkSession, cfg: ChainConfig) -> DataFrame:
+    """Bronze as a stream. A micro-batch of few files is read by few tasks, so
+    its messages are dealt to as many as hold the state before they are parsed;
+    by their place in the queue, so redeliveries of one stay in their order."""
     raw = stream_table(spark, cfg.table("bronze"), "bronze", cfg.fmt,
                        max_files_per_trigger=cfg.max_files_per_trigger)
+    if cfg.max_files_per_trigger and cfg.state_partitions and cfg.max_files_per_trigger < cfg.state_partitions:
+        raw = raw.repartition(cfg.state_partitions, "origen", "particion", "desplazamiento")
+    return raw
+
+
+def silver_frame(spark: SparkSession, cfg: ChainConfig) -> DataFrame:
+    raw = raw_stream(spark, cfg)
     typed = refine.refine(raw, observe=history.REFINE)
     return dedup.dedup_stream(dedup.with_lateness(typed, cfg.lateness))
 

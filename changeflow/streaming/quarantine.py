@@ -30,9 +30,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from changeflow.operators import refine
 from changeflow.session import SCALE_CONF, apply_required
-from changeflow.sources.tables import stream_table
 from changeflow.streaming import history
-from changeflow.streaming.chain import ChainConfig, _state_partitions
+from changeflow.streaming.chain import ChainConfig, _state_partitions, raw_stream
 from changeflow.streaming.parts import Tables, read_parts, start_parts
 
 LATE, REPEATED = "tardia", "repetida"
@@ -141,7 +140,7 @@ def _own_state_store(spark: SparkSession) -> Iterator[None]:
 def start_silver_with_quarantine(spark: SparkSession, cfg: ChainConfig, lateness_s: int = 30) -> StreamingQuery:
     """Bronze -> silver and quarantine, both written once per micro-batch."""
     apply_required(spark)
-    raw = stream_table(spark, cfg.table("bronze"), "bronze", cfg.fmt, max_files_per_trigger=cfg.max_files_per_trigger)
+    raw = raw_stream(spark, cfg)
     with _state_partitions(spark, cfg), _own_state_store(spark):
         return start_parts(with_verdict(refine.refine(raw, observe=history.REFINE), lateness_s), by_verdict, folder(cfg), cfg.ckpt("silver_parts"),
                            trigger=cfg.silver_trigger, available_now=cfg.available_now, name=cfg.names.get("silver_parts"))

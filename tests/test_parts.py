@@ -11,7 +11,7 @@ from changeflow.operators import gold, refine
 from changeflow.schemas import BRONZE, SILVER
 from changeflow.sources.tables import layer_path
 from changeflow.streaming import history, parts, quarantine
-from changeflow.streaming.chain import ChainConfig
+from changeflow.streaming.chain import ChainConfig, raw_stream
 from changeflow.streaming.run import run_available
 
 T0 = dt.datetime(2026, 1, 1, 10, 0)
@@ -148,6 +148,27 @@ def test_quarantine_asks_its_state_once_per_bucket():
     assert list(processor.handleExpiredTimer((0,), _Mark(mark), None)) == [] and bucket.value is None
 
 
+def test_few_files_are_dealt_out_before_they_are_parsed(spark, scratch):
+    rows = [_message(str(i), i % 20, i % 50) for i in range(400)]
+    (spark.createDataFrame(rows, BRONZE).coalesce(1).withColumn("dia", F.to_date("ts_cola"))
+     .write.partitionBy("dia").parquet(layer_path(scratch, "bronze")))
+    seen = {}
+
+    def run(job, **limits):
+        cfg = ChainConfig(warehouse=scratch, state_partitions=4, **limits)
+
+        def note(batch, _):
+            seen[job] = batch.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+
+        run_available([raw_stream(spark, cfg).writeStream.foreachBatch(note).trigger(availableNow=True)
+                       .option("checkpointLocation", "%s/%s" % (scratch, job)).start()])
+
+    run("few", max_files_per_trigger=1)
+    run("all")
+    assert len(seen["few"]) > 1 and sum(r["count"] for r in seen["few"]) == 400
+    assert len(seen["all"]) == 1  # as many tasks as files need
+
+
 def test_faults_are_counted_once_each(spark):
     good = '{"meta":{"id":"1","dt":"2024-01-01T00:00:00.000Z"}}'
     values = [good, None, "", "nope", "[]", '{"meta":{"id":"1"', "{}", '{"meta":{"dt":"2024-01-01T00:00:00.000Z"}}',
